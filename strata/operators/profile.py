@@ -181,21 +181,21 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     its reducer once per map task.
     """
     copies = df.groupBy(*[quoted(c) for c in (columns or df.columns)]).agg(
-        F.count(F.lit(1)).alias("n")
+        F.count(F.lit(1)).alias("__n")
     )
     return copies.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.count_if(F.col("n") > 1).alias("duplicate_groups"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("excess_rows"),
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
+        F.count_if(F.col("__n") > 1).alias("duplicate_groups"),
+        F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("excess_rows"),
     )
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, and their number as percent of all rows."""
-    counted = df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
+    counted = df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
     totals = counted.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.count_if(F.col("n") > 1).alias("duplicate_keys"),
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
+        F.count_if(F.col("__n") > 1).alias("duplicate_keys"),
     )
     share = F.coalesce(share_pct(F.col("duplicate_keys"), F.col("rows")), F.lit(0.0))
     return totals.withColumn("duplicate_pct", share)
@@ -211,8 +211,8 @@ def dataset_overview(df: DataFrame, by: str) -> DataFrame:
     sizes = df.groupBy(quoted(by)).agg(
         F.count(F.lit(1)).alias("rows"), (cells if others else F.lit(0)).alias("missing_cells")
     )
-    copies = df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("n"))
-    surplus = copies.groupBy(quoted(by)).agg(F.sum(F.col("n") - 1).alias("duplicate_rows"))
+    copies = df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    surplus = copies.groupBy(quoted(by)).agg(F.sum(F.col("__n") - 1).alias("duplicate_rows"))
     return null_safe_join(sizes, surplus, [by], "inner")
 
 
