@@ -11,75 +11,110 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DateType, NumericType
 
+from strata.functions import sqltext
 from strata.spec import AGE_BANDS_7, REGISTRATION_DATE_FORMAT
 
 
-def _as_column(value: Column | str) -> Column:
-    return F.col(f"`{value}`") if isinstance(value, str) else value
-
-
 def quoted(name: str) -> Column:
     """A column by exact name, whatever spaces, dots or slashes the name holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(sqltext.name(name))
+
+
+# The parsers exist as SQL text, taking and giving expressions, for use over
+# many columns at once; the functions below them take a column name.
+
+
+def double_sql(value: str) -> str:
+    return f"try_cast({value} AS DOUBLE)"
+
+
+def int_sql(value: str) -> str:
+    return f"try_cast({double_sql(value)} AS INT)"
+
+
+def without_nan_sql(value: str) -> str:
+    return f"nullif({value}, double('NaN'))"
+
+
+def currency_sql(value: str) -> str:
+    bare = f"trim(replace(replace(CAST({value} AS STRING), ',', '.'), 'R$', ''))"
+    return without_nan_sql(double_sql(bare))
+
+
+def date_sql(value: str) -> str:
+    known = sqltext.text(REGISTRATION_DATE_FORMAT)
+    return (
+        f"to_date(coalesce(try_to_timestamp({value}, {known}), try_to_timestamp({value})))"
+    )
+
 
+def postal_code_sql(value: str) -> str:
+    code = f"trim(CAST({value} AS STRING))"
+    return f"CASE WHEN {code} RLIKE '^[0-9]{{1,7}}$' THEN lpad({code}, 8, '0') ELSE {code} END"
 
-def lenient_double(value: Column | str) -> Column:
-    return _as_column(value).try_cast("double")
 
+def postal_code_ok_sql(value: str) -> str:
+    return f"({value} IS NULL OR CAST({value} AS STRING) RLIKE '^[0-9]{{8}}$')"
 
-def lenient_int(value: Column | str) -> Column:
+
+def measure_sql(df: DataFrame, name: str) -> str:
+    value = sqltext.name(name)
+    if isinstance(df.schema[name].dataType, NumericType):
+        return without_nan_sql(f"CAST({value} AS DOUBLE)")
+    return currency_sql(value)
+
+
+def whole_number_sql(df: DataFrame, name: str) -> str:
+    value = sqltext.name(name)
+    if df.schema[name].dataType.typeName() in ("integer", "short", "byte"):
+        return f"CAST({value} AS INT)"
+    return int_sql(value)
+
+
+def registration_date_sql(df: DataFrame, name: str) -> str:
+    value = sqltext.name(name)
+    if isinstance(df.schema[name].dataType, DateType):
+        return value
+    return date_sql(f"CAST({value} AS STRING)")
+
+
+def lenient_double(name: str) -> Column:
+    return F.expr(double_sql(sqltext.name(name)))
+
+
+def lenient_int(name: str) -> Column:
     """Whole number; text such as ``1985.0`` counts as 1985."""
-    return lenient_double(value).try_cast("int")
+    return F.expr(int_sql(sqltext.name(name)))
 
 
-def parse_currency(value: Column | str) -> Column:
+def parse_currency(name: str) -> Column:
     """``R$ 1234,56`` to 1234.56. A NaN is as unusable as an unreadable value."""
-    with_point = F.replace(_as_column(value).cast("string"), F.lit(","), F.lit("."))
-    bare = F.trim(F.replace(with_point, F.lit("R$"), F.lit("")))
-    return F.nullif(bare.try_cast("double"), F.lit(float("nan")))
+    return F.expr(currency_sql(sqltext.name(name)))
 
 
 def measure(df: DataFrame, name: str) -> Column:
     """A money or area column as DOUBLE: parsed when text, read as it is when numeric."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, NumericType):
-        return F.nullif(quoted(name).cast("double"), F.lit(float("nan")))
-    return parse_currency(quoted(name))
+    return F.expr(measure_sql(df, name))
 
 
 def whole_number(df: DataFrame, name: str) -> Column:
     """An INT column, parsed leniently unless it is numeric already."""
-    if df.schema[name].dataType.typeName() in ("integer", "short", "byte"):
-        return quoted(name).cast("int")
-    return lenient_int(quoted(name))
+    return F.expr(whole_number_sql(df, name))
 
 
-def parse_registration_date(value: Column | str) -> Column:
+def parse_registration_date(name: str) -> Column:
     """Date of ``2020/1/5 00:00:00.000000000`` (fraction optional) or of an ISO stamp."""
-    text = _as_column(value)
-    stamp = F.coalesce(
-        F.try_to_timestamp(text, F.lit(REGISTRATION_DATE_FORMAT)),
-        F.try_to_timestamp(text),
-    )
-    return F.to_date(stamp)
-
-
-def registration_date(df: DataFrame, name: str) -> Column:
-    if isinstance(df.schema[name].dataType, DateType):
-        return quoted(name)
-    return parse_registration_date(quoted(name).cast("string"))
+    return F.expr(date_sql(sqltext.name(name)))
 
 
-def postal_code(value: Column | str) -> Column:
+def postal_code(name: str) -> Column:
     """Digits left-padded to eight places; anything else is kept for the checks to find."""
-    text = F.trim(_as_column(value).cast("string"))
-    return F.when(text.rlike("^[0-9]{1,7}$"), F.lpad(text, 8, "0")).otherwise(text)
+    return F.expr(postal_code_sql(sqltext.name(name)))
 
 
-def is_postal_code_ok(value: Column | str) -> Column:
+def is_postal_code_ok(name: str) -> Column:
     """Eight digits, or no value at all."""
-    text = _as_column(value)
-    return text.isNull() | text.cast("string").rlike("^[0-9]{8}$")
+    return F.expr(postal_code_ok_sql(sqltext.name(name)))
 
 
 def age_in_years(built_year: Column, reference_year: int) -> Column:

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, DateType, DoubleType, IntegerType, StringType, StructType
 
-from strata.functions import scalars
+from strata.functions import scalars, sqltext
 from strata.functions.scalars import quoted
 from strata.operators.small_side import keep_new_keys
 from strata.spec import KNOWN_ALIASES, ROLES, YEAR_PARTITION, Spec
@@ -130,44 +130,52 @@ def align_aliases(df: DataFrame, spec: Spec = Spec()) -> DataFrame:
 
 def fill_missing(df: DataFrame, schema: StructType) -> DataFrame:
     """Canonical columns first, absent ones as typed NULLs; extra columns stay."""
+    present = set(df.columns)
     known = [
-        quoted(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        sqltext.name(f.name)
+        if f.name in present
+        else f"CAST(NULL AS {f.dataType.simpleString()}) AS {sqltext.name(f.name)}"
         for f in schema.fields
     ]
-    extra = [quoted(name) for name in df.columns if name not in schema.fieldNames()]
-    return df.select(*known, *extra)
+    extra = [sqltext.name(c) for c in df.columns if c not in schema.fieldNames()]
+    return df.selectExpr(*known, *extra)
 
 
 def cast_canonical(df: DataFrame, spec: Spec = Spec()) -> DataFrame:
     """Every canonical column to its type; unreadable text becomes NULL."""
     targets = {f.name: f.dataType for f in spec.schema.fields}
-    columns = [
-        _typed(df, name, targets[name], spec).alias(name) if name in targets else quoted(name)
-        for name in df.columns
-    ]
-    return df.select(*columns)
+    columns = []
+    for column in df.columns:
+        name = sqltext.name(column)
+        if column in targets:
+            name = f"{_typed_sql(df, column, targets[column], spec)} AS {name}"
+        columns.append(name)
+    return df.selectExpr(*columns)
 
 
-def _typed(df: DataFrame, name: str, target: DataType, spec: Spec) -> Column:
-    current = df.schema[name].dataType
+def _typed_sql(df: DataFrame, name: str, target: DataType, spec: Spec) -> str:
+    value = sqltext.name(name)
     if name == spec.roles.postal_code:
-        return scalars.postal_code(quoted(name))
-    if current == target:
-        return quoted(name)
+        return scalars.postal_code_sql(value)
+    if df.schema[name].dataType == target:
+        return value
     if isinstance(target, DoubleType):
-        return scalars.measure(df, name)
+        return scalars.measure_sql(df, name)
     if isinstance(target, IntegerType):
-        return scalars.whole_number(df, name)
+        return scalars.whole_number_sql(df, name)
     if isinstance(target, DateType):
-        return scalars.registration_date(df, name)
-    return quoted(name).cast(target)
+        return scalars.registration_date_sql(df, name)
+    return f"CAST({value} AS {target.simpleString()})"
 
 
 def trim_strings(df: DataFrame) -> DataFrame:
-    text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
-    return df.select(
-        *[F.trim(quoted(n)).alias(n) if n in text else quoted(n) for n in df.columns]
-    )
+    columns = []
+    for field in df.schema.fields:
+        name = sqltext.name(field.name)
+        columns.append(
+            f"trim({name}) AS {name}" if isinstance(field.dataType, StringType) else name
+        )
+    return df.selectExpr(*columns)
 
 
 def align_year(df: DataFrame, year: int, spec: Spec = Spec()) -> DataFrame:

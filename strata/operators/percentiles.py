@@ -20,8 +20,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from strata.functions import sqltext
 from strata.functions.scalars import quoted
 from strata.operators.small_side import null_safe_join, small_or_checkpointed
 
@@ -62,19 +63,16 @@ def _brackets(
     """Per group: row count and a (from, to) pair of values around each rank."""
     slack = 3.0 / accuracy
     marks = []
-    for p in sorted(probabilities):
+    for p in probabilities:
         marks += [max(p - slack, 0.0), min(p + slack, 1.0)]
     grouped = values.groupBy(*[quoted(key) for key in keys]).agg(
-        F.count(F.lit(1)).alias("__rows"),
-        F.percentile_approx("__v", marks, accuracy).alias("__marks"),
+        F.count("__v").alias("__rows"), F.percentile_approx("__v", marks, accuracy).alias("__marks")
     )
     bounds = []
     for i in range(len(probabilities)):
-        bounds.append(F.col("__marks")[2 * i].alias(f"__from_{i}"))
-        bounds.append(F.col("__marks")[2 * i + 1].alias(f"__to_{i}"))
-    return grouped.where(F.col("__rows") > 0).select(
-        *[quoted(key) for key in keys], "__rows", *bounds
-    )
+        bounds += [f"__marks[{2 * i}] AS __from_{i}", f"__marks[{2 * i + 1}] AS __to_{i}"]
+    columns = [sqltext.name(key) for key in keys]
+    return grouped.where("__rows > 0").selectExpr(*columns, "__rows", *bounds)
 
 
 def _with_constants(values: DataFrame, brackets: DataFrame) -> DataFrame:
@@ -88,65 +86,47 @@ def _with_constants(values: DataFrame, brackets: DataFrame) -> DataFrame:
 
 def _count_by_slot(located: DataFrame, keys: list[str], count: int) -> DataFrame:
     """Count rows per slot: a single value inside an interval, or a gap."""
-    value = F.col("__v")
-    inside = F.lit(False)
-    passed = F.lit(0)
-    for i in range(count):
-        inside = inside | value.between(F.col(f"__from_{i}"), F.col(f"__to_{i}"))
-        passed = passed + (value > F.col(f"__to_{i}")).cast("int")
-    return (
-        located.select(
-            *[quoted(key) for key in keys],
-            "__rows",
-            "__v",
-            F.when(inside, value).alias("__own"),
-            F.when(~inside, passed).alias("__gap"),
-        )
-        .groupBy(*[quoted(key) for key in keys], "__rows", "__own", "__gap")
-        .agg(
-            F.count(F.lit(1)).alias("__n"),
-            F.min("__v").alias("__low"),
-            F.max("__v").alias("__high"),
-        )
+    inside = " OR ".join(f"__v BETWEEN __from_{i} AND __to_{i}" for i in range(count))
+    passed = " + ".join(f"CAST(__v > __to_{i} AS INT)" for i in range(count))
+    columns = [sqltext.name(key) for key in keys] + ["__rows"]
+    slots = located.selectExpr(
+        *columns,
+        "__v",
+        f"CASE WHEN {inside} THEN __v END AS __own",
+        f"CASE WHEN NOT ({inside}) THEN {passed} END AS __gap",
+    )
+    return slots.groupBy(*columns, "__own", "__gap").agg(
+        F.expr("count(1) AS __n"), F.expr("min(__v) AS __low"), F.expr("max(__v) AS __high")
     )
 
 
 def _pick_ranks(
     counted: DataFrame, keys: list[str], probabilities: Sequence[float], names: Sequence[str]
 ) -> DataFrame:
-    window = Window.partitionBy(*[quoted(key) for key in keys]).orderBy("__low")
-    running = F.sum("__n").over(window.rowsBetween(Window.unboundedPreceding, 0))
-    # Ranks count from zero; a slot covers the ranks first..last.
-    ranked = counted.select(
-        *[quoted(key) for key in keys],
-        "__rows",
-        "__low",
-        "__high",
-        (running - F.col("__n")).alias("__first"),
-        (running - 1).alias("__last"),
-    )
-    picks = []
-    for i, p in enumerate(probabilities):
-        position = F.lit(float(p)) * (F.col("__rows") - 1)
-        picks.append(F.max(_value_at(F.floor(position))).alias(f"__floor_{i}"))
-        picks.append(F.max(_value_at(F.ceil(position))).alias(f"__ceil_{i}"))
-        picks.append(F.first(position - F.floor(position)).alias(f"__part_{i}"))
-    picked = ranked.groupBy(*[quoted(key) for key in keys]).agg(*picks)
-    between = [
-        (
-            F.col(f"__floor_{i}")
-            + (F.col(f"__ceil_{i}") - F.col(f"__floor_{i}")) * F.col(f"__part_{i}")
-        ).alias(name)
-        for i, name in enumerate(names)
-    ]
-    return picked.select(*[quoted(key) for key in keys], *between)
-
-
-def _value_at(rank: Column) -> Column:
+    columns = [sqltext.name(key) for key in keys]
+    partition = f"PARTITION BY {', '.join(columns)} " if columns else ""
+    # Ranks count from zero; a slot covers the ranks __first..__last.
+    positions = [f"({float(p)!r}D * (__rows - 1)) AS __at_{i}" for i, p in enumerate(probabilities)]
+    running = f"sum(__n) OVER ({partition}ORDER BY __low ROWS UNBOUNDED PRECEDING) - 1 AS __last"
+    ranked = counted.selectExpr(*columns, "__n", "__low", "__high", running, *positions)
+    picks, between = [], []
+    for i, name in enumerate(names):
+        picks += [
+            f"max({_value_at(f'floor(__at_{i})')}) AS __floor_{i}",
+            f"max({_value_at(f'ceil(__at_{i})')}) AS __ceil_{i}",
+            f"first(__at_{i} - floor(__at_{i})) AS __part_{i}",
+        ]
+        between.append(
+            f"__floor_{i} + (__ceil_{i} - __floor_{i}) * __part_{i} AS {sqltext.name(name)}"
+        )
+    picked = ranked.groupBy(*columns).agg(*[F.expr(pick) for pick in picks])
+    return picked.selectExpr(*columns, *between)
+
+
+def _value_at(rank: str) -> str:
     """The value at ``rank`` if this slot covers it, else NULL."""
-    known = (
-        F.when((rank == F.col("__first")) | (F.col("__low") == F.col("__high")), F.col("__low"))
-        .when(rank == F.col("__last"), F.col("__high"))
-        .otherwise(F.raise_error(F.lit("percentile rank outside its interval; raise accuracy")))
-    )
-    return F.when(rank.between(F.col("__first"), F.col("__last")), known)
+    first = "(__last - __n + 1)"
+    return f"""CASE WHEN {rank} BETWEEN {first} AND __last THEN CASE
+        WHEN {rank} = {first} OR __low = __high THEN __low
+        WHEN {rank} = __last THEN __high
+        ELSE raise_error('percentile rank outside its interval; raise accuracy') END END"""

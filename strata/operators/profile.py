@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (
     DataType,
     DoubleType,
@@ -13,6 +13,7 @@ from pyspark.sql.types import (
     StringType,
 )
 
+from strata.functions import sqltext
 from strata.functions.scalars import quoted, share_pct
 from strata.operators.counting import top_k_per_group
 from strata.operators.percentiles import exact_percentiles
@@ -24,32 +25,31 @@ def columns_of(df: DataFrame, *kinds: type[DataType]) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
 
 
-def is_missing(df: DataFrame, name: str) -> Column:
-    """NULL, or NaN where the type has one."""
-    value = quoted(name)
+def missing_sql(df: DataFrame, name: str) -> str:
+    """Whether a cell is NULL, or NaN where its type has one."""
+    value = sqltext.name(name)
     if isinstance(df.schema[name].dataType, (FloatType, DoubleType)):
-        return value.isNull() | F.isnan(value)
-    return value.isNull()
+        return f"({value} IS NULL OR isnan({value}))"
+    return f"{value} IS NULL"
 
 
 def per_column(
-    df: DataFrame, metrics: dict[str, dict[str, Column]], by: Sequence[str] = ()
+    df: DataFrame, metrics: dict[str, dict[str, str]], by: Sequence[str] = ()
 ) -> DataFrame:
     """One aggregation over all columns, turned into one row per column.
 
-    ``metrics`` maps column name to its named aggregates. Output: the ``by``
-    keys, ``column``, ``rows`` and the aggregates.
+    ``metrics`` maps column name to its named aggregates, as SQL. Output: the
+    ``by`` keys, ``column``, ``rows`` and the aggregates.
     """
-    cells = F.array(
-        *[
-            F.struct(F.lit(name).alias("column"), *[m.alias(n) for n, m in named.items()])
-            for name, named in metrics.items()
-        ]
-    )
-    wide = df.groupBy(*[quoted(b) for b in by]).agg(
-        F.count(F.lit(1)).alias("rows"), cells.alias("__cells")
+    cells = ", ".join(
+        f"struct({sqltext.text(name)} AS column, "
+        + ", ".join(f"{sql} AS {sqltext.name(metric)}" for metric, sql in named.items())
+        + ")"
+        for name, named in metrics.items()
     )
-    return wide.select(*[quoted(b) for b in by], "rows", F.inline("__cells"))
+    keys = [quoted(b) for b in by]
+    wide = df.groupBy(*keys).agg(F.expr("count(1) AS rows"), F.expr(f"array({cells}) AS __cells"))
+    return wide.select(*keys, "rows", F.inline("__cells"))
 
 
 def null_profile(
@@ -58,7 +58,7 @@ def null_profile(
     """Missing cells per column: count and percent of rows."""
     names = list(columns or [c for c in df.columns if c not in by])
     counted = per_column(
-        df, {c: {"null_count": F.count_if(is_missing(df, c))} for c in names}, by
+        df, {c: {"null_count": f"count_if({missing_sql(df, c)})"} for c in names}, by
     )
     return counted.withColumn("null_pct", share_pct(F.col("null_count"), F.col("rows")))
 
@@ -73,33 +73,36 @@ def high_null_columns(
 def empty_string_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Text columns holding empty strings, most first."""
     names = [c for c in columns_of(df, StringType) if c not in by]
-    counted = per_column(df, {c: {"empty_count": F.count_if(quoted(c) == "")} for c in names}, by)
+    counted = per_column(
+        df, {c: {"empty_count": f"count_if({sqltext.name(c)} = '')"} for c in names}, by
+    )
     found = counted.where(F.col("empty_count") > 0)
     share = share_pct(F.col("empty_count"), F.col("rows"))
     return found.withColumn("empty_pct", share).orderBy(F.desc("empty_count"), "column")
 
 
+def _long(df: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
+    """(column, value) rows; ``value`` is SQL text with ``{}`` for the column."""
+    cells = ", ".join(
+        f"struct({sqltext.text(c)} AS column, {value.format(sqltext.name(c))} AS value)"
+        for c in columns
+    )
+    return df.selectExpr(f"inline(array({cells}))")
+
+
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value, n) for every distinct value of every column, NULL aside.
 
     Values of all columns share one aggregation keyed by (column, value), so no
     column's values gather in one task, and repeated values combine map-side.
     """
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), quoted(c).cast("string").alias("value"))
-            for c in columns
-        ]
-    )
-    long = df.select(F.inline(cells)).where(F.col("value").isNotNull())
-    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    long = _long(df, columns, "CAST({} AS STRING)").where("value IS NOT NULL")
+    return long.groupBy("column", "value").agg(F.expr("count(1) AS n"))
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, distinct_count), zero for a column without values."""
-    counted = value_counts(df, columns).groupBy("column").agg(
-        F.count(F.lit(1)).alias("distinct_count")
-    )
+    counted = value_counts(df, columns).groupBy("column").agg(F.expr("count(1) AS distinct_count"))
     names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
     return names.join(counted, "column", "left").fillna(0, ["distinct_count"])
 
@@ -142,16 +145,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     columns share the same two passes.
     """
     names = list(columns or columns_of(df, NumericType))
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.nullif(quoted(c).cast("double"), F.lit(float("nan"))).alias("value"),
-            )
-            for c in names
-        ]
-    )
-    long = df.select(F.inline(cells))
+    long = _long(df, names, "nullif(CAST({} AS DOUBLE), double('NaN'))")
     moments = long.groupBy("column").agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
@@ -203,13 +197,10 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def dataset_overview(df: DataFrame, by: str) -> DataFrame:
     """Rows, missing cells and surplus copies per value of ``by``."""
-    others = [c for c in df.columns if c != by]
-    missing = [F.count_if(is_missing(df, c)) for c in others]
-    cells = missing[0]
-    for count in missing[1:]:
-        cells = cells + count
+    missing = [f"CAST({missing_sql(df, c)} AS BIGINT)" for c in df.columns if c != by]
+    cells = f"sum({' + '.join(missing)})" if missing else "0L"
     sizes = df.groupBy(quoted(by)).agg(
-        F.count(F.lit(1)).alias("rows"), (cells if others else F.lit(0)).alias("missing_cells")
+        F.expr("count(1) AS rows"), F.expr(f"{cells} AS missing_cells")
     )
     copies = df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
     surplus = copies.groupBy(quoted(by)).agg(F.sum(F.col("__n") - 1).alias("duplicate_rows"))

@@ -8,6 +8,7 @@ checks need their own shuffle. A report row is
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -15,9 +16,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
-from strata.functions.scalars import is_postal_code_ok, lenient_double, lenient_int, quoted
+from strata.functions import scalars, sqltext
+from strata.functions.scalars import quoted
 from strata.operators.align import match_aliases
-from strata.operators.profile import duplicate_keys, duplicate_rows, is_missing
+from strata.operators.profile import duplicate_keys, duplicate_rows, missing_sql, per_column
 from strata.spec import EXPECTED_EXTRAS_BY_YEAR, YEAR_PARTITION, Domain, Spec, Thresholds
 
 ERROR = "ERROR"
@@ -35,68 +37,59 @@ CustomCheck = Callable[[DataFrame], Column]
 
 @dataclass(frozen=True)
 class Rule:
-    """``metric`` is an aggregate; ``passes`` says whether its value is good."""
+    """``metric`` is an aggregate, as SQL or as a Column. ``passes`` is SQL about
+    the value named ``metric``."""
 
     name: str
     severity: str
-    metric: Column
-    passes: Callable[[Column], Column]
+    metric: str | Column
+    passes: str = "metric = 0"
     detail: str = ""
 
 
-def no_rows(metric: Column) -> Column:
-    return metric == 0
-
-
 # ---- rules ---------------------------------------------------------------
 
 
 def rows_rule() -> Rule:
-    return Rule("not_empty", ERROR, F.count(F.lit(1)), lambda m: m > 0)
+    return Rule("not_empty", ERROR, "count(1)", "metric > 0")
 
 
 def min_rows_rule(minimum: int, severity: str) -> Rule:
-    detail = f"at least {minimum} rows"
-    return Rule("min_rows", severity, F.count(F.lit(1)), lambda m: m >= minimum, detail)
+    return Rule("min_rows", severity, "count(1)", f"metric >= {minimum}", f"at least {minimum} rows")
 
 
 def null_rule(df: DataFrame, column: str, max_pct: float) -> Rule:
-    share = F.try_divide(F.count_if(is_missing(df, column)) * 100.0, F.count(F.lit(1)))
-    return Rule(
-        f"nulls:{column}", WARNING, F.coalesce(share, F.lit(0.0)), lambda m: m <= max_pct,
-        f"at most {max_pct} percent",
-    )
+    share = f"coalesce(try_divide(count_if({missing_sql(df, column)}) * 100.0D, count(1)), 0.0D)"
+    detail = f"at most {max_pct} percent"
+    return Rule(f"nulls:{column}", WARNING, share, f"metric <= {max_pct}", detail)
 
 
-def year_rule(df: DataFrame, column: str, expected: Column) -> Rule:
-    """Rows whose year is not the one their file stands for."""
-    wrong = F.count_if(~lenient_int(quoted(column)).eqNullSafe(expected))
-    return Rule("year_consistency", ERROR, wrong, no_rows, "rows of another year")
+def year_rule(column: str, expected: str) -> Rule:
+    """Rows whose year is not the one their file stands for; ``expected`` is SQL."""
+    year = scalars.int_sql(sqltext.name(column))
+    wrong = f"count_if(NOT ({year} <=> {expected}))"
+    return Rule("year_consistency", ERROR, wrong, detail="rows of another year")
 
 
 def postal_code_rule(column: str) -> Rule:
-    bad = F.count_if(~is_postal_code_ok(quoted(column)))
-    return Rule("postal_code", WARNING, bad, no_rows, "not eight digits")
-
-
-def is_outside(domain: Domain) -> Column:
-    value = F.upper(F.trim(quoted(domain.column)))
-    return value.isNotNull() & ~value.isin(*domain.allowed)
+    bad = f"count_if(NOT {scalars.postal_code_ok_sql(sqltext.name(column))})"
+    return Rule("postal_code", WARNING, bad, detail="not eight digits")
 
 
 def domain_rule(domain: Domain) -> Rule:
+    allowed = ", ".join(sqltext.text(value) for value in domain.allowed)
+    outside = f"count_if(upper(trim({sqltext.name(domain.column)})) NOT IN ({allowed}))"
     detail = "allowed: " + ", ".join(domain.allowed)
-    return Rule(f"domain:{domain.column}", WARNING, F.count_if(is_outside(domain)), no_rows, detail)
+    return Rule(f"domain:{domain.column}", WARNING, outside, detail=detail)
 
 
 def numeric_rule(df: DataFrame, column: str) -> Rule:
     """Values that cannot be read as a number."""
-    value = quoted(column)
+    value = f"CAST({sqltext.name(column)} AS STRING)"
+    bad = f"count_if({value} IS NOT NULL AND {scalars.double_sql(value)} IS NULL)"
     if isinstance(df.schema[column].dataType, NumericType):
-        bad = F.count_if(F.lit(False))
-    else:
-        bad = F.count_if(value.isNotNull() & lenient_double(value.cast("string")).isNull())
-    return Rule(f"numeric:{column}", WARNING, bad, no_rows, "not a number")
+        bad = "count_if(false)"
+    return Rule(f"numeric:{column}", WARNING, bad, detail="not a number")
 
 
 def custom_rules(df: DataFrame, checks: dict[str, CustomCheck]) -> tuple[list[Rule], list[tuple]]:
@@ -109,7 +102,7 @@ def custom_rules(df: DataFrame, checks: dict[str, CustomCheck]) -> tuple[list[Ru
         except (AnalysisException, TypeError, ValueError, AttributeError) as problem:
             failed.append((name, str(problem).splitlines()[0]))
         else:
-            rules.append(Rule(f"custom:{name}", INFO, metric, lambda m: F.lit(True)))
+            rules.append(Rule(f"custom:{name}", INFO, metric, "true"))
     return rules, failed
 
 
@@ -120,24 +113,21 @@ def run_rules(
     df: DataFrame, rules: Sequence[Rule], layer: str, scope: Column | None = None
 ) -> DataFrame:
     """Report rows of all rules in one pass, per value of ``scope`` if given."""
-    metrics = [rule.metric.cast("double").alias(f"__m{i}") for i, rule in enumerate(rules)]
+    metrics = []
+    for i, rule in enumerate(rules):
+        metric = F.expr(rule.metric) if isinstance(rule.metric, str) else rule.metric
+        metrics.append(metric.cast("double").alias(f"__m{i}"))
     if scope is None:
         wide = df.agg(*metrics).withColumn("scope", F.lit("all"))
     else:
         wide = df.groupBy(scope.cast("string").alias("scope")).agg(*metrics)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(rule.name).alias("check"),
-                F.lit(rule.severity).alias("severity"),
-                rule.passes(F.col(f"__m{i}")).alias("passed"),
-                F.col(f"__m{i}").alias("metric"),
-                F.lit(rule.detail).alias("detail"),
-            )
-            for i, rule in enumerate(rules)
-        ]
+    rows = ", ".join(
+        f"struct({sqltext.text(rule.name)} AS check, {sqltext.text(rule.severity)} AS severity, "
+        f"__m{i} AS metric, {sqltext.text(rule.detail)} AS detail, "
+        f"({re.sub(r'\bmetric\b', f'__m{i}', rule.passes)}) AS passed)"
+        for i, rule in enumerate(rules)
     )
-    report = wide.select(F.lit(layer).alias("layer"), "scope", F.inline(rows))
+    report = wide.select(F.lit(layer).alias("layer"), "scope", F.expr(f"inline(array({rows}))"))
     return report.select(*REPORT_COLUMNS)
 
 
@@ -197,7 +187,7 @@ def validate_raw(df: DataFrame, year: int, spec: Spec = Spec()) -> DataFrame:
     rules = [rows_rule(), min_rows_rule(limits.min_rows_per_year, ERROR)]
     rules += [null_rule(df, c, limits.max_null_pct) for c in present]
     if roles.year in present:
-        rules.append(year_rule(df, roles.year, F.lit(year)))
+        rules.append(year_rule(roles.year, str(year)))
     if roles.postal_code in present:
         rules.append(numeric_rule(df, roles.postal_code))
     rules += [
@@ -216,7 +206,7 @@ def validate_bronze(df: DataFrame, spec: Spec = Spec()) -> DataFrame:
     columns = [c for c in df.columns if c != YEAR_PARTITION]
     rules = [rows_rule(), min_rows_rule(limits.min_rows_per_year, WARNING)]
     rules += [null_rule(df, c, limits.max_null_pct) for c in columns]
-    rules.append(year_rule(df, spec.roles.year, quoted(YEAR_PARTITION)))
+    rules.append(year_rule(spec.roles.year, YEAR_PARTITION))
     return run_rules(df, rules, "bronze", quoted(YEAR_PARTITION))
 
 
@@ -227,9 +217,8 @@ def validate_silver(
     roles = spec.roles
     rules = [rows_rule()]
     if roles.year in df.columns:
-        rules.append(
-            Rule("years_present", WARNING, F.count_distinct(quoted(roles.year)), lambda m: m > 0)
-        )
+        years = f"count(DISTINCT {sqltext.name(roles.year)})"
+        rules.append(Rule("years_present", WARNING, years, "metric > 0"))
     if roles.postal_code in df.columns:
         rules.append(postal_code_rule(roles.postal_code))
     rules += [domain_rule(d) for d in spec.domains if d.column in df.columns]
@@ -250,7 +239,7 @@ def validate_silver(
 def validate_gold(df: DataFrame, name: str, limits: Thresholds = Thresholds()) -> DataFrame:
     """Checks of one summary: not empty, few NULLs, no repeated rows."""
     layer = f"gold_{name}"
-    rules = [Rule("row_count", INFO, F.count(F.lit(1)), lambda m: F.lit(True))]
+    rules = [Rule("row_count", INFO, "count(1)", "true")]
     rules += [null_rule(df, c, limits.max_gold_null_pct) for c in df.columns]
     copies = duplicate_rows(df)
     repeated = _metric_row(
@@ -299,17 +288,15 @@ def year_consistency(df: DataFrame, year: Column, expected: Column) -> DataFrame
 
 def type_checks(df: DataFrame, expected: dict[str, str]) -> DataFrame:
     """Per column: declared type, expected type, and values that do not convert."""
-    from strata.operators.profile import per_column
-
     declared = dict(df.dtypes)
     metrics = {}
     for name, target in expected.items():
-        value = quoted(name)
-        bad = value.isNotNull() & value.cast("string").try_cast(target).isNull()
+        value = f"CAST({sqltext.name(name)} AS STRING)"
+        bad = f"{value} IS NOT NULL AND try_cast({value} AS {target}) IS NULL"
         metrics[name] = {
-            "declared": F.any_value(F.lit(declared[name])),
-            "expected": F.any_value(F.lit(target)),
-            "failing": F.count_if(bad),
+            "declared": f"any_value({sqltext.text(declared[name])})",
+            "expected": f"any_value({sqltext.text(target)})",
+            "failing": f"count_if({bad})",
         }
     checked = per_column(df, metrics)
     return checked.withColumn("passed", F.col("failing") == 0)

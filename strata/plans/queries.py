@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.functions import scalars
+from strata.functions import scalars, sqltext
 from strata.functions.scalars import quoted
 from strata.operators import age, align, evolution, export, gold, profile, quality, reshape, value, volume
 from strata.operators.small_side import keep_new_keys
@@ -513,8 +513,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         "o_totalprice",
         F.when(F.col("o_orderstatus") == "P", "n/d").otherwise(text).alias("text"),
     )
-    parsed = scalars.parse_currency(F.col("text"))
-    number = scalars.parse_currency(F.col("o_totalprice"))
+    parsed = scalars.parse_currency("text")
+    number = scalars.parse_currency("o_totalprice")
     return tidy(rows.select("o_orderkey", parsed.alias("valor"), number.alias("numeric_input")), 2)
 
 
@@ -526,14 +526,18 @@ SELECT o_orderkey, CAST(left(o_orderpriority, 1) AS DOUBLE) AS digit, CAST(NULL
 FROM orders""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "orders")
-    year_text = F.concat(F.year("o_orderdate").cast("string"), F.lit(".0"))
+    rows = table(spark, folder, "orders").select(
+        "o_orderkey",
+        "o_orderpriority",
+        F.left("o_orderpriority", F.lit(1)).alias("first"),
+        F.concat(F.year("o_orderdate").cast("string"), F.lit(".0")).alias("year"),
+    )
     return tidy(
         rows.select(
             "o_orderkey",
-            scalars.lenient_double(F.left("o_orderpriority", F.lit(1))).alias("digit"),
+            scalars.lenient_double("first").alias("digit"),
             scalars.lenient_double("o_orderpriority").alias("words"),
-            scalars.lenient_int(year_text).alias("year_number"),
+            scalars.lenient_int("year").alias("year_number"),
         )
     )
 
@@ -1304,12 +1308,12 @@ _YEAR_RULES = (
 
 def _year_report(spark: SparkSession, folder: str) -> DataFrame:
     rows = order_records(spark, folder, R.year, R.use_type, R.property_value)
-    negative = F.count_if(quoted(R.property_value) < 0)
+    negative = f"count_if({sqltext.name(R.property_value)} < 0)"
     rules = [
         quality.rows_rule(),
         quality.min_rows_rule(2000, quality.ERROR),
         quality.domain_rule(Domain(R.use_type, tuple(_PRIORITIES[:-1]))),
-        quality.Rule("no_negative_value", quality.WARNING, negative, quality.no_rows),
+        quality.Rule("no_negative_value", quality.WARNING, negative),
     ]
     return quality.run_rules(rows, rules, "silver", quoted(R.year))
 

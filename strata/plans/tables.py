@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.functions.scalars import quoted
+from strata.functions import sqltext
 from strata.spec import ROLES
 
 R = ROLES
@@ -81,12 +81,13 @@ def tidy(df: DataFrame, digits: int = 4) -> DataFrame:
     """Comparable results: whole numbers as bigint, doubles rounded."""
     columns = []
     for field in df.schema.fields:
-        value, kind = quoted(field.name), field.dataType.typeName()
-        if kind in ("integer", "short", "byte", "long"):
-            value = value.cast("bigint")
+        name, kind = sqltext.name(field.name), field.dataType.typeName()
+        value = name
+        if kind in ("integer", "short", "byte"):
+            value = f"CAST({name} AS BIGINT)"
         elif kind in ("double", "float"):
-            value = F.round(value, digits)
+            value = f"round({name}, {digits})"
         elif kind == "date":
-            value = F.date_format(value, "yyyy-MM-dd")
-        columns.append(value.alias(field.name))
-    return df.select(*columns)
+            value = f"date_format({name}, 'yyyy-MM-dd')"
+        columns.append(f"{value} AS {name}")
+    return df.selectExpr(*columns)

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from strata.functions import sqltext
 from strata.functions.scalars import quoted, year_in_name
 from strata.operators.profile import per_column
 
@@ -202,15 +203,13 @@ def schema_snapshot(df: DataFrame, file_path: str, sample_rows: int = 10) -> Dat
     sample = df.limit(sample_rows)
     metrics = {}
     for name in df.columns:
-        text = quoted(name).cast("string")
-
-        def all_read_as(kind: str, text: Column = text) -> Column:
-            return (F.count_if(text.isNotNull() & text.try_cast(kind).isNull()) == 0) & (
-                F.count(text) > 0
-            )
-
-        kind = F.when(all_read_as("bigint"), "bigint").when(all_read_as("double"), "double")
-        metrics[name] = {"type": kind.otherwise("string")}
+        text = f"CAST({sqltext.name(name)} AS STRING)"
+        bad = "count_if({0} IS NOT NULL AND try_cast({0} AS {1}) IS NULL)"
+        metrics[name] = {
+            "type": f"CASE WHEN count({text}) = 0 THEN 'string' "
+            f"WHEN {bad.format(text, 'BIGINT')} = 0 THEN 'bigint' "
+            f"WHEN {bad.format(text, 'DOUBLE')} = 0 THEN 'double' ELSE 'string' END"
+        }
     positions = F.array(*[F.lit(c) for c in df.columns])
     profile = per_column(sample, metrics)
     return profile.select(
