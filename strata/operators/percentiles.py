@@ -18,13 +18,13 @@ giving a wrong answer.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.functions import sqltext
 from strata.functions.scalars import quoted
-from strata.operators.small_side import null_safe_join, small_or_checkpointed
+from strata.operators.small_side import compute_once, null_safe_join
 
 SKETCH_ACCURACY = 10_000
 
@@ -35,75 +35,93 @@ def exact_percentiles(
     value: Column,
     probabilities: Sequence[float],
     names: Sequence[str],
+    along: Mapping[str, str] | None = None,
     accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
-    """One row per group: ``keys`` and one interpolated percentile per name.
+    """One row per group: ``keys``, the ``along`` aggregates, and one interpolated
+    percentile per name.
 
-    Rows with a NULL value are left out. Runs the sketch pass at once.
+    ``along`` holds further aggregates of ``df`` by name, as SQL, in which
+    ``__v`` is the value; they are computed in the sketch pass, so they cost no
+    scan of their own. NULL values have no rank; a group without any other
+    value has NULL percentiles. The sketch pass runs at once.
     """
-    keys = list(keys)
-    values = df.select(*[quoted(key) for key in keys], value.cast("double").alias("__v"))
-    values = values.where(F.col("__v").isNotNull())
-    brackets = _brackets(values, keys, probabilities, accuracy)
-    if keys:
-        located = null_safe_join(values, small_or_checkpointed(brackets), keys, "inner")
-    else:
-        located = _with_constants(values, brackets)
-    counted = _count_by_slot(located, keys, len(probabilities))
-    return _pick_ranks(counted, keys, probabilities, names)
+    keys, along = list(keys), dict(along or {})
+    columns = [sqltext.name(key) for key in keys]
+    rows = df.withColumn("__v", value.cast("double"))
+    sketched = _sketch(rows, columns, probabilities, along, accuracy)
+    values = rows.selectExpr(*columns, "__v").where("__v IS NOT NULL")
+    extra = [sqltext.name(name) for name in along]
+    if not keys:
+        constants = _constants(sketched)
+        picked = _pick_ranks(
+            _count_by_slot(values.select("__v", *constants), [], len(names)), [], probabilities, names
+        )
+        known = [c for c, (name, _) in zip(constants, sketched.dtypes) if name in along]
+        return picked.select(*known, *[quoted(name) for name in names])
+    groups = compute_once(sketched)
+    bounds = [c for c in groups.columns if c not in along]
+    located = null_safe_join(values, groups.select(*[quoted(c) for c in bounds]), keys, "inner")
+    picked = _pick_ranks(
+        _count_by_slot(located, columns, len(names)), columns, probabilities, names
+    )
+    return null_safe_join(groups.selectExpr(*columns, *extra), picked, keys, "left")
 
 
 def exact_medians(df: DataFrame, keys: Sequence[str], value: Column, name: str) -> DataFrame:
     return exact_percentiles(df, keys, value, [0.5], [name])
 
 
-def _brackets(
-    values: DataFrame, keys: list[str], probabilities: Sequence[float], accuracy: int
+def _sketch(
+    rows: DataFrame,
+    columns: list[str],
+    probabilities: Sequence[float],
+    along: Mapping[str, str],
+    accuracy: int,
 ) -> DataFrame:
-    """Per group: row count and a (from, to) pair of values around each rank."""
+    """Per group: number of values, the ``along`` aggregates, and a (from, to) pair
+    of values around each rank."""
     slack = 3.0 / accuracy
     marks = []
     for p in probabilities:
         marks += [max(p - slack, 0.0), min(p + slack, 1.0)]
-    grouped = values.groupBy(*[quoted(key) for key in keys]).agg(
-        F.count("__v").alias("__rows"), F.percentile_approx("__v", marks, accuracy).alias("__marks")
+    grouped = rows.groupBy(*columns).agg(
+        F.count("__v").alias("__rows"),
+        F.percentile_approx("__v", marks, accuracy).alias("__marks"),
+        *[sqltext.expr(sql, name) for name, sql in along.items()],
     )
     bounds = []
     for i in range(len(probabilities)):
         bounds += [f"__marks[{2 * i}] AS __from_{i}", f"__marks[{2 * i + 1}] AS __to_{i}"]
-    columns = [sqltext.name(key) for key in keys]
-    return grouped.where("__rows > 0").selectExpr(*columns, "__rows", *bounds)
+    extra = [sqltext.name(name) for name in along]
+    return grouped.selectExpr(*columns, "__rows", *bounds, *extra)
 
 
-def _with_constants(values: DataFrame, brackets: DataFrame) -> DataFrame:
-    """The one ungrouped bracket row as constants; no rows at all leaves nothing to locate."""
-    row = brackets.first()
-    if row is None:
-        row = dict.fromkeys(brackets.columns)
-    types = dict(brackets.dtypes)
-    return values.withColumns({name: F.lit(row[name]).cast(types[name]) for name in types})
+def _constants(sketched: DataFrame) -> list[Column]:
+    """The one row of an ungrouped sketch as literals."""
+    row = sketched.first()
+    return [F.lit(row[name]).cast(kind).alias(name) for name, kind in sketched.dtypes]
 
 
-def _count_by_slot(located: DataFrame, keys: list[str], count: int) -> DataFrame:
+def _count_by_slot(located: DataFrame, columns: list[str], count: int) -> DataFrame:
     """Count rows per slot: a single value inside an interval, or a gap."""
     inside = " OR ".join(f"__v BETWEEN __from_{i} AND __to_{i}" for i in range(count))
     passed = " + ".join(f"CAST(__v > __to_{i} AS INT)" for i in range(count))
-    columns = [sqltext.name(key) for key in keys] + ["__rows"]
     slots = located.selectExpr(
         *columns,
+        "__rows",
         "__v",
         f"CASE WHEN {inside} THEN __v END AS __own",
         f"CASE WHEN NOT ({inside}) THEN {passed} END AS __gap",
     )
-    return slots.groupBy(*columns, "__own", "__gap").agg(
+    return slots.groupBy(*columns, "__rows", "__own", "__gap").agg(
         F.expr("count(1) AS __n"), F.expr("min(__v) AS __low"), F.expr("max(__v) AS __high")
     )
 
 
 def _pick_ranks(
-    counted: DataFrame, keys: list[str], probabilities: Sequence[float], names: Sequence[str]
+    counted: DataFrame, columns: list[str], probabilities: Sequence[float], names: Sequence[str]
 ) -> DataFrame:
-    columns = [sqltext.name(key) for key in keys]
     partition = f"PARTITION BY {', '.join(columns)} " if columns else ""
     # Ranks count from zero; a slot covers the ranks __first..__last.
     positions = [f"({float(p)!r}D * (__rows - 1)) AS __at_{i}" for i, p in enumerate(probabilities)]

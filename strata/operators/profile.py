@@ -146,19 +146,17 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     """
     names = list(columns or columns_of(df, NumericType))
     long = _long(df, names, "nullif(CAST({} AS DOUBLE), double('NaN'))")
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quartiles = exact_percentiles(
-        long, ["column"], F.col("value"), [0.25, 0.5, 0.75], ["p25", "p50", "p75"]
-    )
-    return moments.join(quartiles, "column", "left").select(
-        "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
+    moments = {
+        "count": "count(__v)",
+        "mean": "avg(__v)",
+        "std": "stddev(__v)",
+        "min": "min(__v)",
+        "max": "max(__v)",
+    }
+    summary = exact_percentiles(
+        long, ["column"], F.col("value"), [0.25, 0.5, 0.75], ["p25", "p50", "p75"], moments
     )
+    return summary.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def id_candidates(df: DataFrame, token: str = "id") -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from strata.functions.scalars import measure, quoted
 from strata.operators import value, volume
 from strata.operators.counting import top_k
-from strata.operators.percentiles import exact_medians, exact_percentiles
-from strata.operators.small_side import null_safe_join, small_or_checkpointed
+from strata.operators.percentiles import exact_percentiles
+from strata.operators.small_side import compute_once, null_safe_join
 from strata.spec import ROLES, Roles
 
 MAX_PIVOT_COLUMNS = 1_000
@@ -74,7 +74,7 @@ def within_fences(
         (F.col("__q1") - reach).alias("fence_low"),
         (F.col("__q3") + reach).alias("fence_high"),
     )
-    fenced = null_safe_join(df, small_or_checkpointed(fences), [group], "inner")
+    fenced = null_safe_join(df, compute_once(fences), [group], "inner")
     return fenced.where(amount.between(F.col("fence_low"), F.col("fence_high")))
 
 
@@ -86,23 +86,20 @@ def _positive_taxes(df: DataFrame, roles: Roles) -> DataFrame:
 def boxplot_by_year(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
     """Box-plot figures per year of the taxes above zero and within the fences."""
     kept = within_fences(_positive_taxes(df, roles), "ano", F.col("valor"))
-    ends = kept.groupBy("ano").agg(
-        F.count(F.lit(1)).alias("n"), F.min("valor").alias("minimo"), F.max("valor").alias("maximo")
+    marks = {"minimo": 0.0, "q1": 0.25, "mediana": 0.5, "q3": 0.75, "maximo": 1.0}
+    return exact_percentiles(
+        kept, ["ano"], F.col("valor"), list(marks.values()), list(marks), {"n": "count(1)"}
     )
-    quartiles = exact_percentiles(
-        kept, ["ano"], F.col("valor"), [0.25, 0.5, 0.75], ["q1", "mediana", "q3"]
-    )
-    joined = ends.join(quartiles, "ano")
-    return joined.select("ano", "n", "minimo", "q1", "mediana", "q3", "maximo")
 
 
 def log_scale_flag(df: DataFrame, roles: Roles = ROLES, factor: float = 50.0) -> DataFrame:
     """Whether the greatest tax is more than ``factor`` times the median one."""
     taxes = _positive_taxes(df, roles)
-    median = exact_medians(taxes, [], F.col("valor"), "mediana")
-    return median.select(
-        taxes.agg(F.max("valor")).scalar().alias("maximo"), "mediana"
-    ).withColumn("use_log", F.coalesce(F.col("maximo") > F.col("mediana") * factor, F.lit(False)))
+    figures = exact_percentiles(
+        taxes, [], F.col("valor"), [0.5], ["mediana"], {"maximo": "max(__v)"}
+    )
+    wide = F.coalesce(F.col("maximo") > F.col("mediana") * factor, F.lit(False))
+    return figures.withColumn("use_log", wide)
 
 
 def report_top(

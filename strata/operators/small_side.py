@@ -2,11 +2,12 @@
 
 A derived table (one row per year, one row per column) has no size estimate
 Catalyst can trust before it has run, so leaving the join to it may shuffle
-the big side. Here the small side is computed first, at most
-``max_rows + 1`` of its rows are looked at, and only a table within the bound
-is broadcast. Beyond the bound it is written through ``checkpoint()`` to the
-cluster's shared folder, so it is not computed again, and joined as any table
-(adaptive execution splits its hot partitions).
+the big side. Here the small side is computed first, and at most
+``max_rows + 1`` of its rows are looked at. Within the bound it becomes a
+local table, whose exact size Catalyst holds against its broadcast threshold.
+Beyond the bound it is written through ``checkpoint()`` to the cluster's shared
+folder, so it is not computed again, and joined as any table (adaptive
+execution splits its hot partitions).
 """
 
 from __future__ import annotations
@@ -26,11 +27,11 @@ def take_if_small(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> list[Row] |
     return rows if len(rows) <= max_rows else None
 
 
-def small_or_checkpointed(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
-    """``df`` computed once: a broadcast local table when small, else checkpointed."""
+def compute_once(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
+    """``df``'s result: a local table when small, else checkpointed."""
     head = df.limit(max_rows + 1).toArrow()
     if head.num_rows <= max_rows:
-        return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
+        return df.sparkSession.createDataFrame(head, df.schema)
     return checkpointed(df)
 
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from strata.functions import sqltext
 from strata.functions.scalars import measure, quoted
 from strata.operators.counting import top_k
-from strata.operators.percentiles import exact_medians
-from strata.operators.small_side import null_safe_join
+from strata.operators.percentiles import exact_medians, exact_percentiles
 from strata.spec import ROLES, Roles
 
 _STATS = ["ano", "media", "mediana", "minimo", "maximo", "total", "count", "count_nonzero"]
@@ -17,10 +17,16 @@ def _yearly_values(df: DataFrame, roles: Roles, name: str) -> DataFrame:
     return df.select(quoted(roles.year).alias("ano"), measure(df, name).alias("valor"))
 
 
-def _median(rows: DataFrame, value: Column, approximate: bool) -> DataFrame:
+def _with_median(
+    rows: DataFrame, population: str, aggregates: dict[str, str], approximate: bool
+) -> DataFrame:
+    """The aggregates and the median of ``population`` per year, all as SQL."""
     if approximate:
-        return rows.groupBy("ano").agg(F.percentile_approx(value, 0.5).alias("mediana"))
-    return exact_medians(rows, ["ano"], value, "mediana")
+        median = {"mediana": f"percentile_approx({population}, 0.5)"}
+        return rows.groupBy("ano").agg(
+            *[sqltext.expr(sql, name) for name, sql in (aggregates | median).items()]
+        )
+    return exact_percentiles(rows, ["ano"], F.expr(population), [0.5], ["mediana"], aggregates)
 
 
 def tax_stats_by_year(
@@ -32,25 +38,21 @@ def tax_stats_by_year(
     statistics (0 with ``fill_zero``). Where no year has any tax above zero,
     the statistics are of all readable taxes.
     """
-    valid = _yearly_values(df, roles, roles.tax_value).where(F.col("valor").isNotNull())
-    value = F.col("valor")
-    if valid.where(value > 0).isEmpty():
-        population = value
-    else:
-        population = F.when(value > 0, value)
-    stats = valid.groupBy("ano").agg(
-        F.avg(population).alias("media"),
-        F.min(population).alias("minimo"),
-        F.max(population).alias("maximo"),
-        F.sum(value).alias("total"),
-        F.count(F.lit(1)).alias("count"),
-        F.count_if(value > 0).alias("count_nonzero"),
-    )
-    medians = _median(valid.where(population.isNotNull()), population, approximate)
-    joined = null_safe_join(stats, medians, ["ano"], "left").select(*_STATS)
+    valid = _yearly_values(df, roles, roles.tax_value).where("valor IS NOT NULL")
+    positive = "CASE WHEN valor > 0 THEN valor END"
+    population = "valor" if valid.where("valor > 0").isEmpty() else positive
+    aggregates = {
+        "media": f"avg({population})",
+        "minimo": f"min({population})",
+        "maximo": f"max({population})",
+        "total": "sum(valor)",
+        "count": "count(1)",
+        "count_nonzero": "count_if(valor > 0)",
+    }
+    stats = _with_median(valid, population, aggregates, approximate).select(*_STATS)
     if fill_zero:
-        joined = joined.fillna(0.0, ["media", "mediana", "minimo", "maximo"])
-    return joined.orderBy("ano")
+        stats = stats.fillna(0.0, ["media", "mediana", "minimo", "maximo"])
+    return stats.orderBy("ano")
 
 
 def tax_stats_by_year_joined(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
@@ -91,11 +93,6 @@ def property_value_by_year(
 ) -> DataFrame:
     """Property value by year; ``count`` counts rows, readable value or not."""
     values = _yearly_values(df, roles, roles.property_value)
-    stats = values.groupBy("ano").agg(
-        F.avg("valor").alias("media"),
-        F.sum("valor").alias("total"),
-        F.count(F.lit(1)).alias("count"),
-    )
-    medians = _median(values.where(F.col("valor").isNotNull()), F.col("valor"), approximate)
-    joined = null_safe_join(stats, medians, ["ano"], "left")
-    return joined.select("ano", "media", "mediana", "total", "count").orderBy("ano")
+    aggregates = {"media": "avg(valor)", "total": "sum(valor)", "count": "count(1)"}
+    stats = _with_median(values, "valor", aggregates, approximate)
+    return stats.select("ano", "media", "mediana", "total", "count").orderBy("ano")

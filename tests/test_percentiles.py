@@ -24,8 +24,9 @@ def test_groups_match_numpy(spark, n):
     data += [(None, rnd.random()) for _ in range(n)]
     data += [(3, None)] * n
     df = spark.createDataFrame(data, "g int, v double")
-    got = exact_percentiles(df, ["g"], F.col("v"), MARKS, list("abcdefg"))
+    got = exact_percentiles(df, ["g"], F.col("v"), MARKS, [f"p{m}" for m in MARKS])
     found = {r["g"]: list(r)[1:] for r in got.collect()}
+    assert found.pop(3) == [None] * len(MARKS)
     assert set(found) == {1, 2, None}
     for group, values in found.items():
         np.testing.assert_allclose(values, expected([v for g, v in data if g == group]))
@@ -48,14 +49,16 @@ def test_whole_table_and_empty_table(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,)], "v double")
     assert exact_medians(df, [], F.col("v"), "m").collect() == [(2.5,)]
     assert exact_medians(df.limit(0), [], F.col("v"), "m").collect() == [(None,)]
+    along = {"n": "count(1)", "least": "min(__v)"}
+    got = exact_percentiles(df, [], F.col("v"), [0.5], ["m"], along)
+    assert got.columns == ["n", "least", "m"] and got.collect() == [(4, 1.0, 2.5)]
     keyed = df.withColumn("g", F.lit(1))
     assert exact_medians(keyed.limit(0), ["g"], F.col("v"), "m").collect() == []
 
 
 def test_many_groups_take_the_join_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(
-        percentiles, "small_or_checkpointed",
-        lambda df: small_side.small_or_checkpointed(df, max_rows=5),
+        percentiles, "compute_once", lambda df: small_side.compute_once(df, max_rows=5)
     )
     df = spark.range(2000).select((F.col("id") % 50).alias("g"), F.col("id").cast("double").alias("v"))
     got = exact_medians(df, ["g"], F.col("v"), "m")
