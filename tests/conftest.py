@@ -15,6 +15,7 @@ def spark(tmp_path_factory) -> SparkSession:
         SparkSession.builder.master("local[*]")
         .appName("strata-tests")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")

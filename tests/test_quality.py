@@ -42,6 +42,18 @@ def test_low_cardinality_counts_all_rows_and_no_nulls(spark):
         F.lit(None).cast("string").alias("none"),
     )
     assert rows(profile.low_cardinality(df)) == [("few", 49), ("none", 0)]
+    assert rows(profile.low_cardinality(df, below=150)) == [("few", 49), ("many", 50), ("none", 0)]
+    assert rows(profile.low_cardinality(df.select("many"))) == []
+
+
+def test_no_narrow_column_is_ruled_out_by_its_sketch(spark):
+    """Many columns of 99 distinct values each, none estimated at twice the bound."""
+    df = spark.range(990).select(
+        *[F.sha2(F.concat(F.lit(f"{i}:"), (F.col("id") % 99).cast("string")), 256).alias(f"c{i}")
+          for i in range(60)]
+    )
+    got = profile.low_cardinality(df, below=100)
+    assert {r["distinct_count"] for r in got.collect()} == {99} and got.count() == 60
 
 
 def test_top_values_take_fewer_from_wide_columns(spark):
