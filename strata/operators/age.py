@@ -14,7 +14,6 @@ from strata.functions.scalars import (
     age_in_years,
     is_valid_built_year,
     measure,
-    quoted,
     whole_number,
 )
 from strata.operators.counting import count_by, with_share
@@ -33,9 +32,9 @@ def age_distribution(
     df: DataFrame, reference_year: int, roles: Roles = ROLES, right_closed: bool = True
 ) -> DataFrame:
     """Rows and share per age band, with the band's place in age order."""
-    aged = with_age(df.select(quoted(roles.built_year)), reference_year, roles)
+    aged = with_age(df, reference_year, roles)
     band = age_band(F.col("idade_construcao"), AGE_BANDS_7, right_closed)
-    banded = aged.select(band.alias("faixa_idade"))
+    banded = aged.withColumn("faixa_idade", band)
     counts = count_by(banded, {"faixa_idade": "faixa_idade"}, "quantidade")
     return (
         with_share(counts, "quantidade")
@@ -50,8 +49,8 @@ def age_statistics(df: DataFrame, reference_year: int, roles: Roles = ROLES) ->
     Valid ages are whole numbers from 0 to the reference year, so rows are
     first counted per age; the exact median then sees a table of bounded size.
     """
-    aged = with_age(df.select(quoted(roles.built_year)), reference_year, roles)
-    per_age = aged.groupBy("idade_construcao").agg(F.count(F.lit(1)).alias("n"))
+    aged = with_age(df, reference_year, roles)
+    per_age = count_by(aged, {"idade_construcao": "idade_construcao"}, "n")
     age, n = F.col("idade_construcao"), F.col("n")
     return per_age.agg(
         F.try_divide(F.sum(age * n), F.sum(n)).cast("double").alias("media"),

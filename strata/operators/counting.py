@@ -9,17 +9,33 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from strata.functions.scalars import quoted, share_pct
 
 
+# A table that carries this column is counted already: each of its rows stands
+# for that many records.
+ROWS = "__rows"
+
+
+def row_count(df: DataFrame) -> Column:
+    """Number of records, whether ``df`` holds them one by one or counted."""
+    if ROWS in df.columns:
+        return F.coalesce(F.sum(ROWS), F.lit(0))
+    return F.count(F.lit(1))
+
+
+def counted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Records per combination of ``columns``: one scan that several counts can share."""
+    return df.groupBy(*[quoted(c) for c in columns]).agg(row_count(df).alias(ROWS))
+
+
 def count_by(
     df: DataFrame, keys: dict[str, str], name: str, drop_null_keys: bool = False
 ) -> DataFrame:
-    """Rows per group. ``keys`` maps output name to input column.
+    """Records per group. ``keys`` maps output name to input column.
 
     A NULL key is a group of its own unless dropped. Spark counts map-side, so
     a hot key costs its reducer one row per map task.
     """
-    counts = df.groupBy(*[quoted(source).alias(out) for out, source in keys.items()]).agg(
-        F.count(F.lit(1)).alias(name)
-    )
+    grouped = df.groupBy(*[quoted(source).alias(out) for out, source in keys.items()])
+    counts = grouped.agg(row_count(df).alias(name))
     return without_null_keys(counts, keys) if drop_null_keys else counts
 
 

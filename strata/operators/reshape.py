@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.functions.scalars import measure, quoted
-from strata.operators import value, volume
+from strata.operators import volume
 from strata.operators.counting import top_k
 from strata.operators.percentiles import exact_percentiles
 from strata.operators.small_side import compute_once, null_safe_join
@@ -102,46 +102,47 @@ def log_scale_flag(df: DataFrame, roles: Roles = ROLES, factor: float = 50.0) ->
     return figures.withColumn("use_log", wide)
 
 
-def report_top(
-    df: DataFrame, roles: Roles = ROLES, k: int = 10
-) -> DataFrame:
-    """The k most frequent use types and neighbourhoods with their shares."""
-    types = top_k(volume.volume_by_type(df, roles), "total_imoveis", k, ["tipo_uso"])
-    places = top_k(volume.volume_by_neighborhood(df, roles), "total_imoveis", k, ["bairro"])
+def report_top(by_type: DataFrame, by_neighborhood: DataFrame, k: int = 10) -> DataFrame:
+    """The k most frequent use types and neighbourhoods with their shares, from
+    the volume outputs."""
 
-    def section(rows: DataFrame, name: str, label: str) -> DataFrame:
-        return rows.select(
-            F.lit(name).alias("section"), quoted(label).alias("label"), "total_imoveis", "percentual"
+    def section(counts: DataFrame, label: str) -> DataFrame:
+        return top_k(counts, "total_imoveis", k, [label]).select(
+            F.lit(label).alias("section"), quoted(label).alias("label"), "total_imoveis", "percentual"
         )
 
-    return section(types, "tipo_uso", "tipo_uso").unionByName(section(places, "bairro", "bairro"))
+    return section(by_type, "tipo_uso").unionByName(section(by_neighborhood, "bairro"))
 
 
-def summary_report_rows(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
-    """Lines of the text summary as (section, label, value, extra).
+def summary_report_rows(
+    total: DataFrame,
+    by_year: DataFrame,
+    by_type: DataFrame,
+    by_neighborhood: DataFrame,
+    tax_stats: DataFrame,
+) -> DataFrame:
+    """Lines of the text summary as (section, label, value, extra), from the
+    outputs they quote.
 
     ``extra`` is the share for the top lists and the median for tax trends.
     """
     no_extra = F.lit(None).cast("double")
 
     def lines(
-        rows: DataFrame, section: Column, label: str | Column, amount: str, extra: Column
+        rows: DataFrame, section: Column, label: Column, amount: str, extra: Column
     ) -> DataFrame:
-        text = quoted(label) if isinstance(label, str) else label
         return rows.select(
             section.alias("section"),
-            text.cast("string").alias("label"),
+            label.cast("string").alias("label"),
             quoted(amount).cast("double").alias("value"),
             extra.alias("extra"),
         )
 
-    total = volume.total_properties(df, roles)
-    years = volume.volume_by_year(df, roles)
-    taxes = value.tax_stats_by_year(df, roles)
+    top = report_top(by_type, by_neighborhood)
     parts = [
         lines(total, F.lit("total"), F.lit("total"), "value", no_extra),
-        lines(years, F.lit("ano"), "ano", "total_imoveis", no_extra),
-        lines(report_top(df, roles), F.col("section"), "label", "total_imoveis", F.col("percentual")),
-        lines(taxes, F.lit("tendencia"), "ano", "media", F.col("mediana")),
+        lines(by_year, F.lit("ano"), F.col("ano"), "total_imoveis", no_extra),
+        lines(top, F.col("section"), F.col("label"), "total_imoveis", F.col("percentual")),
+        lines(tax_stats, F.lit("tendencia"), F.col("ano"), "media", F.col("mediana")),
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from strata.operators.counting import count_by, top_k, top_k_per_group, with_share, without_null_keys
+from strata.operators.counting import (
+    count_by,
+    row_count,
+    top_k,
+    top_k_per_group,
+    with_share,
+    without_null_keys,
+)
 from strata.spec import ROLES, Roles
 
 
 def total_properties(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("value")).select(
+    return df.agg(row_count(df).alias("value")).select(
         F.lit("Total de Imóveis").alias("metric"), "value"
     )
 

@@ -15,7 +15,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from strata.functions.scalars import quoted
 from strata.operators import align, gold, quality
-from strata.plans.registry import ANALYSES, GOLD_OUTPUTS, REPORTS, Options, build_all
+from strata.plans.registry import (
+    ANALYSES,
+    GOLD_OUTPUTS,
+    REPORTS,
+    Options,
+    available,
+    build_all,
+    counts_for,
+)
 from strata.sources import manifest, readers
 from strata.sources.layers import Layers
 from strata.spec import YEAR_PARTITION, Spec
@@ -101,20 +109,46 @@ class Pipeline:
         roles = self.spec.roles
         self.layers.write_gold(gold.full_consolidated(silver, roles), "full_consolidated")
         reports = []
-        for name, (_, df) in build_all(silver, self.options, roles, GOLD_OUTPUTS).items():
+        for name, df in build_all(silver, self.options, roles, GOLD_OUTPUTS).items():
             self.layers.write_gold(df, name)
             stored = self.layers.read(self.layers.gold(name))
             reports.append(quality.validate_gold(stored.drop("_gold_timestamp"), name))
         return reports
 
     def build_analyses(self, silver: DataFrame) -> list[str]:
-        written = []
-        for analyses in (ANALYSES, REPORTS):
-            built = build_all(silver, self.options, self.spec.roles, analyses)
-            for name, (analysis, df) in built.items():
-                self.layers.write_result(df, analysis.family, name)
-                written.append(name)
-        return written
+        """Store every analysis the columns allow, and log which were stored.
+
+        Outputs that only count share one stored table of counted combinations
+        per set of columns; outputs derived from others read the stored ones.
+        """
+        roles, written, stored, counts = self.spec.roles, [], {}, {}
+        for analysis in available(silver, roles, ANALYSES + REPORTS):
+            source = silver
+            if analysis.counts_over:
+                over = analysis.counts_over
+                if over not in counts:
+                    path = self.layers.path("catalog", "counts", "_and_".join(over))
+                    counts_for(silver, roles, over).write.mode("overwrite").parquet(path)
+                    counts[over] = self.layers.spark.read.parquet(path)
+                source = counts[over]
+            made = analysis.make(source, roles, self.options, stored)
+            self.layers.write_result(made, analysis.family, analysis.name)
+            stored[analysis.name] = self.layers.read_result(analysis.family, analysis.name)
+            written.append((analysis.family, analysis.name))
+        done = self.layers.spark.createDataFrame(written, "family string, name string")
+        done.withColumn("completed_at", F.current_timestamp()).write.mode("append").parquet(
+            self.analysis_log_path
+        )
+        return [name for _, name in written]
+
+    @property
+    def analysis_log_path(self) -> str:
+        return self.layers.path("catalog", "analysis_log")
+
+    def completed_analyses(self) -> DataFrame:
+        """(family, name, completed_at) of each analysis's latest run."""
+        log = self.layers.spark.read.parquet(self.analysis_log_path)
+        return log.groupBy("family", "name").agg(F.max("completed_at").alias("completed_at"))
 
     # ---- all of it ----
 

@@ -916,7 +916,8 @@ _REPORT_TOP = """
 
 @query("report_top10", _ORDERS + _REPORT_TOP + "SELECT * FROM top")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return tidy(reshape.report_top(order_records(spark, folder, R.use_type, R.neighborhood)))
+    rows = order_records(spark, folder, R.use_type, R.neighborhood)
+    return tidy(reshape.report_top(volume.volume_by_type(rows), volume.volume_by_neighborhood(rows)))
 
 
 @query(
@@ -933,7 +934,14 @@ FROM records WHERE tax > 0 GROUP BY ano""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
     rows = order_records(spark, folder, R.year, R.use_type, R.neighborhood, R.tax_value)
-    return tidy(reshape.summary_report_rows(rows))
+    report = reshape.summary_report_rows(
+        volume.total_properties(rows),
+        volume.volume_by_year(rows),
+        volume.volume_by_type(rows),
+        volume.volume_by_neighborhood(rows),
+        value.tax_stats_by_year(rows),
+    )
+    return tidy(report)
 
 
 # ---- profiles ------------------------------------------------------------------

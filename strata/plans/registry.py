@@ -6,12 +6,13 @@ are absent are skipped, so a partial table still yields what it can.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from strata.operators import age, evolution, gold, reshape, value, volume
+from strata.operators.counting import counted
 from strata.spec import ROLES, Roles
 
 
@@ -22,16 +23,36 @@ class Options:
     last_year: int = evolution.LAST_YEAR
 
 
+Build = Callable[[DataFrame, Roles, Options], DataFrame]
+
+
 @dataclass(frozen=True)
 class Analysis:
+    """One named output.
+
+    ``counts_over`` names roles whose combinations, counted once, serve as input
+    instead of the records. An analysis with ``parents`` is derived from those
+    outputs and reads no records at all.
+    """
+
     name: str
     family: str
     requires: tuple[str, ...]
-    build: Callable[[DataFrame, Roles, Options], DataFrame]
+    build: Build | None = None
+    counts_over: tuple[str, ...] = ()
+    parents: tuple[str, ...] = ()
+    derive: Callable[..., DataFrame] | None = None
 
     def available(self, df: DataFrame, roles: Roles) -> bool:
         return all(getattr(roles, role) in df.columns for role in self.requires)
 
+    def make(
+        self, df: DataFrame, roles: Roles, options: Options, made: Mapping[str, DataFrame]
+    ) -> DataFrame:
+        if self.parents:
+            return self.derive(*[made[parent] for parent in self.parents])
+        return self.build(df, roles, options)
+
 
 def _evolution(df: DataFrame, roles: Roles, o: Options) -> DataFrame:
     return evolution.neighborhood_evolution(df, roles, o.first_year, o.last_year)
@@ -44,44 +65,41 @@ _AGE = "age_analysis"
 _AGE_VALUE = "age_value_analysis"
 _EVOLUTION = "evolution_analysis"
 _GOLD = "gold"
+_REPORT = "report"
 
+_KINDS = ("year", "use_type", "neighborhood", "construction_type")
+_BUILT = ("built_year",)
 _EVOLUTION_NEEDS = ("neighborhood", "year", "tax_value")
 
+
+def _count(name: str, family: str, requires: tuple[str, ...], build: Callable) -> Analysis:
+    """An analysis that only counts, and so can run on counted combinations."""
+    return Analysis(name, family, requires, lambda df, roles, _: build(df, roles), _KINDS)
+
+
 ANALYSES: tuple[Analysis, ...] = (
-    Analysis("total_properties", _VOLUME, (), lambda d, r, o: volume.total_properties(d, r)),
-    Analysis("volume_by_year", _VOLUME, ("year",), lambda d, r, o: volume.volume_by_year(d, r)),
-    Analysis("volume_by_type", _VOLUME, ("use_type",), lambda d, r, o: volume.volume_by_type(d, r)),
-    Analysis(
-        "volume_by_neighborhood", _VOLUME, ("neighborhood",),
-        lambda d, r, o: volume.volume_by_neighborhood(d, r),
-    ),
-    Analysis(
-        "volume_by_year_type", _VOLUME, ("year", "use_type"),
-        lambda d, r, o: volume.volume_by_year_type(d, r),
-    ),
-    Analysis(
+    _count("total_properties", _VOLUME, (), volume.total_properties),
+    _count("volume_by_year", _VOLUME, ("year",), volume.volume_by_year),
+    _count("volume_by_type", _VOLUME, ("use_type",), volume.volume_by_type),
+    _count("volume_by_neighborhood", _VOLUME, ("neighborhood",), volume.volume_by_neighborhood),
+    _count("volume_by_year_type", _VOLUME, ("year", "use_type"), volume.volume_by_year_type),
+    _count(
         "volume_by_year_neighborhood", _VOLUME, ("year", "neighborhood"),
-        lambda d, r, o: volume.volume_by_year_neighborhood(d, r),
-    ),
-    Analysis(
-        "distribution_by_type", _DISTRIBUTION, ("use_type",),
-        lambda d, r, o: volume.distribution_by_type(d, r),
+        volume.volume_by_year_neighborhood,
     ),
-    Analysis(
+    _count("distribution_by_type", _DISTRIBUTION, ("use_type",), volume.distribution_by_type),
+    _count(
         "distribution_by_neighborhood_top20", _DISTRIBUTION, ("neighborhood",),
-        lambda d, r, o: volume.distribution_by_neighborhood_top(d, r),
+        volume.distribution_by_neighborhood_top,
     ),
-    Analysis(
-        "distribution_by_year", _DISTRIBUTION, ("year",),
-        lambda d, r, o: volume.distribution_by_year(d, r),
-    ),
-    Analysis(
+    _count("distribution_by_year", _DISTRIBUTION, ("year",), volume.distribution_by_year),
+    _count(
         "distribution_by_construction", _DISTRIBUTION, ("construction_type",),
-        lambda d, r, o: volume.distribution_by_construction(d, r),
+        volume.distribution_by_construction,
     ),
-    Analysis(
+    _count(
         "top_neighborhoods_by_year", _DISTRIBUTION, ("neighborhood", "year"),
-        lambda d, r, o: volume.top_neighborhoods_by_year(d, r),
+        volume.top_neighborhoods_by_year,
     ),
     Analysis(
         "tax_stats_by_year", _TAX, ("year", "tax_value"),
@@ -97,11 +115,11 @@ ANALYSES: tuple[Analysis, ...] = (
     ),
     Analysis(
         "age_distribution_by_range", _AGE, ("built_year",),
-        lambda d, r, o: age.age_distribution(d, o.reference_year, r),
+        lambda d, r, o: age.age_distribution(d, o.reference_year, r), _BUILT,
     ),
     Analysis(
         "age_statistics", _AGE, ("built_year",),
-        lambda d, r, o: age.age_statistics(d, o.reference_year, r),
+        lambda d, r, o: age.age_statistics(d, o.reference_year, r), _BUILT,
     ),
     Analysis(
         "age_value_relationship", _AGE_VALUE, ("built_year", "tax_value", "property_value"),
@@ -110,11 +128,22 @@ ANALYSES: tuple[Analysis, ...] = (
     Analysis("neighborhood_evolution", _EVOLUTION, _EVOLUTION_NEEDS, _evolution),
     Analysis(
         "top_growth_quantity", _EVOLUTION, _EVOLUTION_NEEDS,
-        lambda d, r, o: evolution.top_growth_quantity(_evolution(d, r, o)),
+        parents=("neighborhood_evolution",), derive=evolution.top_growth_quantity,
     ),
     Analysis(
         "top_growth_value", _EVOLUTION, _EVOLUTION_NEEDS,
-        lambda d, r, o: evolution.top_growth_value(_evolution(d, r, o)),
+        parents=("neighborhood_evolution",), derive=evolution.top_growth_value,
+    ),
+)
+
+REPORTS: tuple[Analysis, ...] = (
+    Analysis(
+        "summary_report", _REPORT, ("year", "use_type", "neighborhood", "tax_value"),
+        parents=(
+            "total_properties", "volume_by_year", "volume_by_type", "volume_by_neighborhood",
+            "tax_stats_by_year",
+        ),
+        derive=reshape.summary_report_rows,
     ),
 )
 
@@ -134,16 +163,24 @@ GOLD_OUTPUTS: tuple[Analysis, ...] = (
     ),
 )
 
-REPORTS: tuple[Analysis, ...] = (
-    Analysis(
-        "summary_report", "report", ("year", "use_type", "neighborhood", "tax_value"),
-        lambda d, r, o: reshape.summary_report_rows(d, r),
-    ),
-)
+
+def available(
+    df: DataFrame, roles: Roles = ROLES, analyses: Iterable[Analysis] = ANALYSES
+) -> list[Analysis]:
+    return [a for a in analyses if a.available(df, roles)]
+
+
+def counts_for(df: DataFrame, roles: Roles, over: tuple[str, ...]) -> DataFrame:
+    """Combinations of those of the roles' columns that ``df`` has, counted."""
+    columns = [getattr(roles, role) for role in over]
+    return counted(df, [c for c in columns if c in df.columns])
 
 
 def build_all(
     df: DataFrame, options: Options, roles: Roles = ROLES, analyses: Iterable[Analysis] = ANALYSES
-) -> dict[str, tuple[Analysis, DataFrame]]:
+) -> dict[str, DataFrame]:
     """Every analysis the table's columns allow, by name."""
-    return {a.name: (a, a.build(df, roles, options)) for a in analyses if a.available(df, roles)}
+    made: dict[str, DataFrame] = {}
+    for analysis in available(df, roles, analyses):
+        made[analysis.name] = analysis.make(df, roles, options, made)
+    return made

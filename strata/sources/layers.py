@@ -103,9 +103,11 @@ class Layers:
     # ---- analysis results ----
 
     def write_result(self, df: DataFrame, family: str, name: str) -> None:
-        """One analysis result as CSV and as Parquet."""
-        df.write.mode("overwrite").parquet(self.path("analyses", "parquet", family, name))
-        df.write.mode("overwrite").csv(self.path("analyses", "csv", family, name), header=True)
+        """One analysis result as Parquet, and from there as CSV: computed once."""
+        path = self.path("analyses", "parquet", family, name)
+        df.write.mode("overwrite").parquet(path)
+        csv = self.path("analyses", "csv", family, name)
+        self.spark.read.parquet(path).write.mode("overwrite").csv(csv, header=True)
 
     def read_result(self, family: str, name: str, schema: StructType | None = None) -> DataFrame:
         """An analysis result: Parquet if there, else CSV, else an empty table."""

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import age, evolution, gold, reshape, value, volume
-from strata.plans.registry import ANALYSES, Options, build_all
+from strata.plans.registry import ANALYSES, Options, available, build_all, counts_for
 from strata.spec import ROLES as R
 from tests.conftest import rows
 
@@ -202,12 +202,29 @@ def test_boxplot_and_log_scale(spark):
 
 
 def test_summary_rows_hold_every_section(small):
-    report = reshape.summary_report_rows(small)
+    from strata.plans.registry import REPORTS
+
+    made = build_all(small, Options(reference_year=2024), analyses=ANALYSES + REPORTS)
+    report = made["summary_report"]
     sections = {r["section"] for r in report.select("section").distinct().collect()}
     assert sections == {"total", "ano", "tipo_uso", "bairro", "tendencia"}
     assert ("total", "total", 9.0, None) in rows(report)
 
 
+def test_counted_input_gives_the_same_outputs(spark, small):
+    options = Options(reference_year=2024)
+    ages = built(spark, ["2010", "2000", "1990", "1990", "0", None])
+    for df in (small, ages):
+        for analysis in available(df):
+            if analysis.counts_over:
+                counts = counts_for(df, R, analysis.counts_over)
+                if counts.columns == ["__rows"]:
+                    continue
+                direct = analysis.make(df, R, options, {})
+                assert rows(analysis.make(counts, R, options, {})) == rows(direct)
+    assert volume.total_properties(counts_for(small.limit(0), R, ("year",))).first()["value"] == 0
+
+
 def test_registry_skips_what_the_columns_do_not_allow(spark, small):
     options = Options(reference_year=2024)
     built_names = set(build_all(small, options))

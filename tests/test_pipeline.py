@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from strata.__main__ import main
 from strata.plans.pipeline import Pipeline
 from strata.plans.registry import Options
 from strata.sources import manifest, readers
@@ -94,6 +95,7 @@ def test_reports_and_run_summary(spark, full):
     layers = {r["layer"] for r in report.select("layer").distinct().collect()}
     assert {"raw", "bronze", "silver", "gold_summary_by_year_type"} <= layers
     assert report.where("`check` = 'row_conservation' and not passed").count() == 0
+    assert full.completed_analyses().count() == 21
     overview = full.run_summary([2020, 2023, 2024])
     assert rows(overview, "year", "ingested", "processing_status") == [
         (2020, True, "completed"), (2023, False, None), (2024, True, "completed"),
@@ -112,6 +114,19 @@ def test_incremental_runs_end_where_a_full_run_does(spark, raw, full, tmp_path):
     assert step.years_to_load(paths, incremental=True) == []
 
 
+def test_command_line(spark, raw, tmp_path):
+    lake, out = str(tmp_path / "lake"), str(tmp_path / "out")
+    base = ["run", "--raw", str(raw), "--lake", lake, "--reference-year", "2024", "--no-analysis"]
+    main([*base, "--years", "2020"])
+    main([*base, "--years", "2020", "2021", "--incremental"])
+    main(["export", "--lake", lake, "--output", out, "--year", "2021", "--files", "1"])
+    exported = spark.read.parquet(out)
+    assert rows(exported.groupBy(R.year).count()) == [(2021, 120)]
+    assert not [c for c in exported.columns if c.startswith("_")]
+    main(["export", "--lake", lake, "--output", out])
+    assert spark.read.parquet(out).count() == 240
+
+
 def test_a_bad_file_does_not_stop_the_rest(spark, raw, tmp_path):
     broken = tmp_path / "raw" / "iptu_2021.json"
     broken.parent.mkdir()
