@@ -99,6 +99,13 @@ class Pipeline:
         self.layers.write_silver(align.add_silver_audit(align.trim_strings(bronze)))
         return self.silver()
 
+    def years_to_consolidate(self, loaded: Iterable[int]) -> list[int]:
+        """Years just loaded, and any a broken-off run left in bronze only."""
+        bronze = self.layers.stored_years(self.layers.bronze)
+        silver = self.layers.stored_years(self.layers.silver)
+        left_over = bronze.join(silver, "year", "left_anti").collect()
+        return sorted({*loaded, *(row["year"] for row in left_over)})
+
     def silver(self) -> DataFrame:
         return self.layers.read(self.layers.silver)
 
@@ -161,9 +168,11 @@ class Pipeline:
         self.catalog(raw_root)
         loaded = self.years_to_load(paths, incremental)
         reports = self.load_bronze(paths, incremental)
-        silver = self.build_silver(loaded or None)
+        stale = self.years_to_consolidate(loaded)
+        silver = self.build_silver(stale) if stale else self.silver()
         bronze = self.layers.read(self.layers.bronze)
-        reports.append(quality.validate_bronze(bronze, self.spec))
+        fresh = self.layers.read(self.layers.bronze, stale or None)
+        reports.append(quality.validate_bronze(fresh, self.spec))
         reports.append(quality.validate_silver(silver, self.spec))
         reports.append(self.conservation(bronze, silver))
         reports += self.build_gold(silver)
@@ -190,9 +199,7 @@ class Pipeline:
         spark = self.layers.spark
         wanted = spark.createDataFrame([(y,) for y in years], "year int")
         stored = self.layers.stored_years(self.layers.bronze).withColumn("ingested", F.lit(True))
-        report = spark.read.schema(quality.REPORT_SCHEMA).json(
-            self.layers.path("catalog", "validation_report")
-        )
+        report = self.layers.read_report()
         checked = quality.scope_results(report).where(F.col("layer") == "raw").select(
             F.col("scope").cast("int").alias("year"), "errors_count", "warnings_count", "passed"
         )

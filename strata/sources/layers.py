@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 from strata.functions.scalars import quoted
 from strata.operators.align import require_columns, require_unique_columns
 from strata.operators.gold import stamped
+from strata.operators.quality import REPORT_SCHEMA, scope_results
 from strata.spec import YEAR_PARTITION
 
 
@@ -74,8 +75,8 @@ class Layers:
         """(year) for every stored year; an empty table when nothing is stored."""
         if not self.exists(path):
             return self.spark.createDataFrame([], "year int")
-        years = self.read(path).select(quoted(YEAR_PARTITION).cast("int").alias("year"))
-        return years.distinct()
+        stored = self.spark.read.format(self.format).load(path)
+        return stored.select(quoted(YEAR_PARTITION).cast("int").alias("year")).distinct()
 
     # ---- writing ----
 
@@ -126,10 +127,10 @@ class Layers:
     # ---- quality reports ----
 
     def write_report(self, report: DataFrame, name: str = "validation_report") -> None:
-        """All report rows as JSON, and the per-scope summary as CSV."""
-        from strata.operators.quality import scope_results
-
+        """All report rows as JSON, and from there the per-scope summary as CSV."""
         report.write.mode("overwrite").json(self.path("catalog", name))
-        scope_results(report).write.mode("overwrite").csv(
-            self.path("catalog", f"{name}_summary"), header=True
-        )
+        summary = scope_results(self.read_report(name))
+        summary.write.mode("overwrite").csv(self.path("catalog", f"{name}_summary"), header=True)
+
+    def read_report(self, name: str = "validation_report") -> DataFrame:
+        return self.spark.read.schema(REPORT_SCHEMA).json(self.path("catalog", name))

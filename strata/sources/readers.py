@@ -11,6 +11,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from strata.functions import sqltext
+
 DUMP_SCHEMA = StructType(
     [
         StructField("fields", ArrayType(StructType([StructField("id", StringType())]))),
@@ -26,6 +28,19 @@ def read_delimited(
     return spark.read.csv(path, header=True, sep=sep, encoding=encoding, inferSchema=False)
 
 
+def _field_names(dump: DataFrame) -> list[str]:
+    """The column names a dump lists; none when it lists no fields."""
+    head = dump.where(F.size("fields") > 0).select("fields").first()
+    return [] if head is None else [field["id"] for field in head["fields"]]
+
+
+def _dump_rows(dump: DataFrame, names: list[str]) -> DataFrame:
+    rows = dump.select(F.explode("records").alias("record"))
+    return rows.selectExpr(
+        *[f"get(record, {i}) AS {sqltext.name(name)}" for i, name in enumerate(names)]
+    )
+
+
 def read_datastore_dump(spark: SparkSession, path: str) -> DataFrame:
     """``{"fields": [{"id": ...}], "records": [[...], ...]}`` as a table.
 
@@ -33,12 +48,10 @@ def read_datastore_dump(spark: SparkSession, path: str) -> DataFrame:
     driver. One JSON document is one task's input: a limit of the format.
     """
     dump = spark.read.schema(DUMP_SCHEMA).json(path, multiLine=True)
-    head = dump.select("fields").where(F.col("fields").isNotNull()).first()
-    if head is None:
+    names = _field_names(dump)
+    if not names:
         raise ValueError(f"no field names in {path}")
-    names = [field["id"] for field in head["fields"]]
-    rows = dump.select(F.explode("records").alias("record"))
-    return rows.select(*[F.get("record", F.lit(i)).alias(name) for i, name in enumerate(names)])
+    return _dump_rows(dump, names)
 
 
 def read_record_json(spark: SparkSession, path: str) -> DataFrame:
@@ -49,8 +62,8 @@ def read_record_json(spark: SparkSession, path: str) -> DataFrame:
 def read_json(spark: SparkSession, path: str) -> DataFrame:
     """A JSON extract of either layout, told apart by whether it lists fields."""
     dump = spark.read.schema(DUMP_SCHEMA).json(path, multiLine=True)
-    named = not dump.where(F.size("fields") > 0).select("fields").isEmpty()
-    return read_datastore_dump(spark, path) if named else read_record_json(spark, path)
+    names = _field_names(dump)
+    return _dump_rows(dump, names) if names else read_record_json(spark, path)
 
 
 def read_extract(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:

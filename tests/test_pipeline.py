@@ -108,6 +108,8 @@ def test_incremental_runs_end_where_a_full_run_does(spark, raw, full, tmp_path):
     step.run(str(raw), {2020: paths[2020]}, run_analysis=False)
     step.run(str(raw), {y: paths[y] for y in (2020, 2021)}, incremental=True, run_analysis=False)
     assert step.years_to_load(paths, incremental=True) == [2022, 2024]
+    step.load_bronze({2022: paths[2022]})
+    assert step.years_to_consolidate([]) == [2022]
     step.run(str(raw), paths, incremental=True, run_analysis=False)
     assert comparable(step.silver()) == comparable(full.silver())
     assert comparable(step.layers.read(step.layers.bronze)) == comparable(full.layers.read(full.layers.bronze))
