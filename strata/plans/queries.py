@@ -14,7 +14,15 @@ from strata.functions import scalars, sqltext
 from strata.functions.scalars import quoted
 from strata.operators import age, align, evolution, export, gold, profile, quality, reshape, value, volume
 from strata.operators.small_side import keep_new_keys
-from strata.plans.tables import R, labelled_documents, line_records, order_records, table, tidy
+from strata.plans.tables import (
+    R,
+    labelled_documents,
+    line_records,
+    order_counts,
+    order_records,
+    table,
+    tidy,
+)
 from strata.spec import Domain, Roles, Spec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,7 +92,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("volume_by_neighborhood", _share_sql(_ORDERS, "bairro", "total_imoveis"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return tidy(volume.volume_by_neighborhood(order_records(spark, folder, R.neighborhood)))
+    return tidy(volume.volume_by_neighborhood(order_counts(spark, folder, R.neighborhood)))
 
 
 @query(
@@ -100,7 +108,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     _ORDERS + "SELECT ano, bairro, count(*) AS total_imoveis FROM records GROUP BY ano, bairro",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    rows = order_records(spark, folder, R.year, R.neighborhood)
+    rows = order_counts(spark, folder, R.year, R.neighborhood)
     return tidy(volume.volume_by_year_neighborhood(rows))
 
 
@@ -114,7 +122,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     _share_sql(_ORDERS, "bairro", "quantidade") + " ORDER BY quantidade DESC, bairro LIMIT 20",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    rows = order_records(spark, folder, R.neighborhood)
+    rows = order_counts(spark, folder, R.neighborhood)
     return tidy(volume.distribution_by_neighborhood_top(rows))
 
 
@@ -125,7 +133,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("distribution_by_construction", _share_sql(_ORDERS, "tipo_construcao", "quantidade"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return tidy(volume.distribution_by_construction(order_records(spark, folder, R.construction_type)))
+    return tidy(volume.distribution_by_construction(order_counts(spark, folder, R.construction_type)))
 
 
 _TOP_PER_YEAR = """
@@ -137,7 +145,7 @@ _TOP_PER_YEAR = """
 
 @query("top_k_per_year", _ORDERS + _TOP_PER_YEAR + "SELECT * FROM top")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    rows = order_records(spark, folder, R.year, R.neighborhood)
+    rows = order_counts(spark, folder, R.year, R.neighborhood)
     return tidy(volume.top_neighborhoods_by_year(rows))
 
 
@@ -834,7 +842,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     + " FROM top GROUP BY bairro",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return tidy(reshape.neighborhood_heatmap(order_records(spark, folder, R.year, R.neighborhood)))
+    return tidy(reshape.neighborhood_heatmap(order_counts(spark, folder, R.year, R.neighborhood)))
 
 
 _FENCED = """
@@ -916,7 +924,7 @@ _REPORT_TOP = """
 
 @query("report_top10", _ORDERS + _REPORT_TOP + "SELECT * FROM top")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    rows = order_records(spark, folder, R.use_type, R.neighborhood)
+    rows = order_counts(spark, folder, R.use_type, R.neighborhood)
     return tidy(reshape.report_top(volume.volume_by_type(rows), volume.volume_by_neighborhood(rows)))
 
 

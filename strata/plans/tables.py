@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.functions import sqltext
+from strata.operators.counting import ROWS, counted
 from strata.spec import ROLES
 
 R = ROLES
@@ -47,15 +48,39 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def order_records(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """One record per order: customer's nation as neighbourhood, price as tax."""
     wanted = columns or tuple(_FROM_ORDERS)
+    rows = _with_customers(spark, folder, table(spark, folder, "orders"), wanted)
+    return rows.select(*[F.expr(_FROM_ORDERS[c][0]).alias(c) for c in wanted])
+
+
+def order_counts(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """``order_records`` of columns that are only counted, counted already.
+
+    Orders are counted per customer before the join, so a customer with a third
+    of all orders reaches it as one row per combination instead of row by row.
+    """
+    own = [c for c in columns if _FROM_ORDERS[c][1] == "orders"]
+    keyed = table(spark, folder, "orders").select(
+        "o_custkey", *[F.expr(_FROM_ORDERS[c][0]).alias(c) for c in own]
+    )
+    rows = _with_customers(spark, folder, counted(keyed, ["o_custkey", *own]), columns)
+    others = {c: _FROM_ORDERS[c][0] for c in columns if c not in own}
+    return rows.select(
+        *[F.col(sqltext.name(c)) if c in own else F.col(others[c]).alias(c) for c in columns], ROWS
+    )
+
+
+def _with_customers(
+    spark: SparkSession, folder: str, rows: DataFrame, wanted: tuple[str, ...]
+) -> DataFrame:
+    """Join the customer and nation of each order, as far as the columns need them."""
     needed = {_FROM_ORDERS[c][1] for c in wanted}
-    rows = table(spark, folder, "orders")
     if needed & {"customer", "nation"}:
         customers = table(spark, folder, "customer")
         rows = rows.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
     if "nation" in needed:
         nations = table(spark, folder, "nation")
         rows = rows.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    return rows.select(*[F.expr(_FROM_ORDERS[c][0]).alias(c) for c in wanted])
+    return rows
 
 
 def line_records(spark: SparkSession, folder: str, *columns: str) -> DataFrame:

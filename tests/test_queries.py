@@ -42,3 +42,36 @@ def test_query_equals_sql(spark, db, name):
     assert got == want
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python", plan)
+
+
+def scans(df) -> list[str]:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "FileScan" in line]
+
+
+def test_counts_read_one_column(spark):
+    scan = scans(QUERIES["volume_by_type"](spark, FOLDER))[0]
+    assert scan.rstrip().endswith("ReadSchema: struct<o_orderpriority:string>")
+
+
+def test_year_window_reaches_the_scan(spark, tmp_path):
+    from strata.operators.evolution import neighborhood_evolution
+    from strata.plans.tables import R, order_records
+
+    path = str(tmp_path / "records")
+    order_records(spark, FOLDER, R.neighborhood, R.year, R.tax_value, R.use_type).write.parquet(path)
+    found = scans(neighborhood_evolution(spark.read.parquet(path), first_year=1996, last_year=1999))
+    assert found
+    for scan in found:
+        assert f"GreaterThanOrEqual(`{R.year}`,1996)" in scan
+        assert R.use_type not in scan
+
+
+def test_top_k_is_cut_before_the_shuffle(spark):
+    plan = QUERIES["top_k_per_year"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"WindowGroupLimit.*Partial", plan)
+
+
+def test_orders_are_counted_before_the_customer_join(spark):
+    plan = QUERIES["volume_by_neighborhood"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"HashAggregate\(keys=\[o_custkey.*partial_count", plan)
