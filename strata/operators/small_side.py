@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from strata.functions.scalars import quoted
 
 MAX_SMALL_ROWS = 10_000
+MAX_FILTER_KEYS = 1_000
 
 
 def take_if_small(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> list[Row] | None:
@@ -28,7 +29,10 @@ def take_if_small(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> list[Row] |
 
 
 def compute_once(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
-    """``df``'s result: a local table when small, else checkpointed."""
+    """``df``'s result for repeated use: a local table when small, else checkpointed.
+
+    Only in the second case is ``df`` computed again, to be written.
+    """
     head = df.limit(max_rows + 1).toArrow()
     if head.num_rows <= max_rows:
         return df.sparkSession.createDataFrame(head, df.schema)
@@ -55,7 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def keep_new_keys(
-    incoming: DataFrame, existing: DataFrame, key: str, max_keys: int = MAX_SMALL_ROWS
+    incoming: DataFrame, existing: DataFrame, key: str, max_keys: int = MAX_FILTER_KEYS
 ) -> DataFrame:
     """Rows of ``incoming`` whose ``key`` does not occur in ``existing`` (anti join).
 
