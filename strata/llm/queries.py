@@ -98,7 +98,7 @@ WITH texts AS (
   SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
 ), split AS (
   SELECT row, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
-    list_filter(string_split(text, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM texts
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM texts
 ), grams AS (
   SELECT row, i, array_to_string(list_slice(words, i, i + {rules.REPEAT_WINDOW - 1}), ' ') AS gram
   FROM (SELECT row, words, unnest(range(1, len(words) - {rules.REPEAT_WINDOW - 2})) AS i FROM split WHERE len(words) >= {rules.REPEAT_WINDOW})
@@ -113,7 +113,7 @@ WITH texts AS (
     cast(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
     cast(coalesce(n, 0) AS BIGINT) AS n_repeat_words, cast(len(lines) AS BIGINT) AS n_lines,
     cast(length(text) - length(translate(text, '!', '')) AS BIGINT) AS n_marks,
-    cast(len(list_filter(words, w -> lower(w) IN ({_STOPS}))) AS BIGINT) AS n_stop_words
+    cast(len(list_filter(words, lambda w: lower(w) IN ({_STOPS}))) AS BIGINT) AS n_stop_words
   FROM split LEFT JOIN repeated USING (row)
 ), judged AS (SELECT *, {rules.BASE_FAILED} AS base_failed FROM figures)
 SELECT {", ".join(_OP3[:-1])}, NOT base_failed AND {" AND ".join(r.condition() for r in rules.RULES)} AS kept FROM judged
