@@ -36,9 +36,10 @@ from strata.llm.textops import every_gram_hash, prefix_hash, ragged, span_hash,
 
 LENGTH = 200
 ANCHOR = 48
-BUCKET_PIECES = 2_000
+BUCKET_PIECES = 50_000
 #: Bytes of distinct pieces that a task indexes at a time.
 INDEX_BYTES = 1_500_000
+_NEAR = 20
 _TERMINATOR = 0xFF  # in no UTF-8 text
 
 _ID = ["__u1", "__u2"]
@@ -68,18 +69,23 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 _PLACE_BITS = np.uint64(40)
 
 
-def pieces_of(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, ...]:
-    """Anchor hash, text, first string (in the text), number of strings and of anchor
-    places per piece. A piece with several places of its anchor may repeat itself."""
+def anchor_places(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """The grams' hashes, and the begin, text and anchor's place of every string."""
     hashes = every_gram_hash(prefix_hash(data), anchor)
     order = (hashes >> _PLACE_BITS << _PLACE_BITS) | np.arange(len(hashes), dtype=np.uint64)
     least = sliding_min(order, length - anchor + 1)
     counts = np.maximum(np.diff(offsets) - length + 1, 0)
     strings = ragged(offsets[:-1], counts)
-    texts = np.repeat(np.arange(len(counts)), counts)
+    place = (least[strings] & ((np.uint64(1) << _PLACE_BITS) - np.uint64(1))).astype(np.int64)
+    return hashes, strings, np.repeat(np.arange(len(counts)), counts), place
+
+
+def pieces_of(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """Anchor hash, text, first string (in the text), number of strings and of anchor
+    places per piece. A piece with several places of its anchor may repeat itself."""
+    hashes, strings, texts, place = anchor_places(data, offsets, length, anchor)
     if not len(strings):
         return np.zeros(0, np.uint64), texts, strings, strings, strings
-    place = least[strings] & ((np.uint64(1) << _PLACE_BITS) - np.uint64(1))
     values = hashes[place]
     new = np.flatnonzero(np.r_[True, (values[1:] != values[:-1]) | (texts[1:] != texts[:-1])])
     moves = np.r_[0, np.cumsum(place[1:] != place[:-1])]
@@ -226,6 +232,49 @@ def repeated_strings(pieces: list[bytes], weights: np.ndarray, length: int) -> l
     return np.split(again, np.cumsum(index.counts)[:-1])
 
 
+def repeated_in_parts(pieces: list[bytes], weights: np.ndarray, length: int, anchor: int) -> list[np.ndarray]:
+    """As ``repeated_strings``, indexing at most about ``INDEX_BYTES`` at a time.
+
+    Equal strings lie alike about their anchor. Strings that begin within ``_NEAR`` bytes of
+    each other share most of their bytes; pieces are cut into such runs, and runs are
+    told apart by these shared bytes, so equal strings are indexed together.
+    """
+    if sum(map(len, pieces)) <= 2 * INDEX_BYTES:
+        return repeated_strings(pieces, weights, length)
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    offsets = np.append(0, np.cumsum([len(p) for p in pieces]))
+    _, strings, texts, place = anchor_places(data, offsets, length, anchor)
+    part = (place - strings) // _NEAR
+    new = np.flatnonzero(np.r_[True, (texts[1:] != texts[:-1]) | (place[1:] != place[:-1]) | (part[1:] != part[:-1])])
+    sizes = np.diff(np.append(new, len(strings)))
+    begin = strings[new]
+    sums = prefix_hash(data)
+    order = np.argsort(span_hash(sums, begin + sizes - 1, begin + length) ^ part[new].astype(np.uint64), kind="stable")
+    keys = (span_hash(sums, begin + sizes - 1, begin + length) ^ part[new].astype(np.uint64))[order]
+    again = np.zeros(len(strings), bool)
+    raw = data.tobytes()
+    at = 0
+    while at < len(order):
+        numbers: dict[bytes, int] = {}
+        totals: list[int] = []
+        members: list[tuple[int, int]] = []
+        size = 0
+        while at < len(order) and (size < INDEX_BYTES or keys[at] == keys[at - 1]):
+            run = int(order[at])
+            text = raw[begin[run] : begin[run] + sizes[run] + length - 1]
+            number = numbers.setdefault(text, len(numbers))
+            if number == len(totals):
+                totals.append(0)
+                size += len(text)
+            totals[number] += int(weights[texts[new[run]]])
+            members.append((run, number))
+            at += 1
+        found = repeated_strings(list(numbers), np.array(totals), length)
+        for run, number in members:
+            again[new[run] : new[run] + sizes[run]] = found[number]
+    return np.split(again, np.cumsum([max(len(p) - length + 1, 0) for p in pieces])[:-1])
+
+
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     steps = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
     return list(zip(np.flatnonzero(steps == 1).tolist(), np.flatnonzero(steps == -1).tolist()))
@@ -234,7 +283,7 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
 _SPANS = T.StructType(_long(*_ID, "begin", "end"))
 
 
-def _indexed(pieces: DataFrame, length: int) -> DataFrame:
+def _indexed(pieces: DataFrame, length: int, anchor: int) -> DataFrame:
     """Repeated spans of the pieces of whole buckets."""
 
     def mark(rows: list[tuple]) -> pa.RecordBatch:
@@ -247,7 +296,7 @@ def _indexed(pieces: DataFrame, length: int) -> DataFrame:
                 weights.append(0)
             weights[n] += row[4]
             which.append(n)
-        runs = [_runs(f) for f in repeated_strings(list(numbers), np.array(weights), length)]
+        runs = [_runs(f) for f in repeated_in_parts(list(numbers), np.array(weights), length, anchor)]
         out = [(r[1], r[2], r[3] + a, r[3] + b + length - 1) for r, n in zip(rows, which) for a, b in runs[n]]
         columns = list(zip(*out)) or [[], [], [], []]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], _SPANS.names)
@@ -308,11 +357,11 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, an
     )
     distinct = texts.groupBy(*_ID).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     pieces = _cut(distinct.join(wanted, _ID), length)
-    few = _indexed(pieces.where("not hot"), length)
+    few = _indexed(pieces.where("not hot"), length, anchor)
     if seen.where(F.col("n") > bucket).isEmpty():
         return stored(few, "spans")
     pieces = stored(pieces, "pieces")
-    return stored(_indexed(pieces.where("not hot"), length).unionByName(_counted(pieces.where("hot"), length)), "spans")
+    return stored(_indexed(pieces.where("not hot"), length, anchor).unionByName(_counted(pieces.where("hot"), length)), "spans")
 
 
 def _merged(begins: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
