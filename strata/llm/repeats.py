@@ -249,8 +249,11 @@ def repeated_in_parts(pieces: list[bytes], weights: np.ndarray, length: int, anc
     sizes = np.diff(np.append(new, len(strings)))
     begin = strings[new]
     sums = prefix_hash(data)
-    order = np.argsort(span_hash(sums, begin + sizes - 1, begin + length) ^ part[new].astype(np.uint64), kind="stable")
-    keys = (span_hash(sums, begin + sizes - 1, begin + length) ^ part[new].astype(np.uint64))[order]
+    # bytes that all strings of this place and part share, whichever of them a piece holds
+    core = place[new] - part[new] * _NEAR
+    keys = span_hash(sums, core, core - (_NEAR - 1) + length) ^ part[new].astype(np.uint64)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
     again = np.zeros(len(strings), bool)
     raw = data.tobytes()
     at = 0
