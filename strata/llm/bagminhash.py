@@ -178,30 +178,48 @@ def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
     return placed.join(several.select("bucket", "n"), "bucket")
 
 
-def _agree(pairs: DataFrame) -> DataFrame:
-    """Pairs whose registers' bytes agree often enough to be worth a comparison."""
-    schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+_PAIR = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+
+
+def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which rows of registers' bytes agree often enough to be worth a comparison."""
+    return (x == y).sum(axis=-1) >= AGREEING
+
+
+def _among(small: DataFrame) -> DataFrame:
+    """Promising pairs of different components in buckets of bounded size."""
+    groups = small.groupBy("bucket").agg(F.collect_list(F.struct("node", "root", "bytes")).alias("members"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, REGISTERS) for k in (2, 3))
-            good = pa.array((x == y).sum(axis=1) >= AGREEING)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], schema.names)
+            left, right = [], []
+            for members in batch.column(0):
+                rows = sorted({(m["node"], m["root"], m["bytes"]) for m in members.as_py()})
+                marks = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), -1)
+                for n in range(1, len(rows)):
+                    for m in np.flatnonzero(_agreeing(marks[:n], marks[n])).tolist():
+                        if rows[n][1] != rows[m][1]:
+                            left.append(rows[n][0])
+                            right.append(rows[m][0])
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], _PAIR.names)
 
-    return pairs.select("a", "b", "x", "y").mapInArrow(run, schema)
+    return groups.select("members").mapInArrow(run, _PAIR)
 
 
 def _across(mixed: DataFrame, signed: DataFrame) -> DataFrame:
     """Promising pairs of different components in the small ones of these buckets, and the large ones' stars."""
     full = mixed.join(signed.select("node", "bytes"), "node")
-    small = full.where(F.col("n") <= SMALL_BUCKET)
-    first = small.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("bytes").alias("x"))
-    second = small.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("bytes").alias("y"))
-    pairs = first.join(second, "bucket").where("a > b and ra != rb").select("a", "b", "x", "y").distinct()
     large = full.where(F.col("n") > SMALL_BUCKET)
     centre = large.groupBy("bucket").agg(F.max_by(F.struct(F.col("node").alias("b"), F.col("root").alias("rb"), F.col("bytes").alias("y")), F.xxhash64("node", F.lit(7))).alias("c"))
     stars = large.join(centre, "bucket").where("root != c.rb").select(F.col("node").alias("a"), "c.b", F.col("bytes").alias("x"), "c.y").distinct()
-    return _agree(pairs.unionByName(stars).distinct())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, REGISTERS) for k in (2, 3))
+            good = pa.array(_agreeing(x, y))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], _PAIR.names)
+
+    return _among(full.where(F.col("n") <= SMALL_BUCKET)).unionByName(stars.mapInArrow(run, _PAIR)).distinct()
 
 
 def near_duplicate_links(texts: DataFrame) -> DataFrame:
