@@ -38,8 +38,8 @@ SHINGLE = 5
 #: Words of the shortest passage, and the shingles they make.
 PASSAGE = 50
 SPAN = PASSAGE - SHINGLE + 1
-HASHES = 6
-AGREEING = 3
+HASHES = 4
+AGREEING = 2
 SIMILAR = (4, 5)
 #: Shingles on one side of c that tell windows of one value apart: half a passage.
 AROUND = SPAN // 2 - 1
@@ -103,7 +103,7 @@ def compact_windows(values: np.ndarray, firsts: np.ndarray, span: int = SPAN) ->
 
 
 def _windows(texts: DataFrame) -> DataFrame:
-    schema = T.StructType(_long("key", "before", "after", "u", "l", "c", "r"))
+    schema = T.StructType(_long("key", "u") + [T.StructField(n, T.IntegerType()) for n in ("before", "after", "l", "c", "r")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,8 +118,8 @@ def _windows(texts: DataFrame) -> DataFrame:
                     if not len(c):
                         continue
                     at, stop = firsts[owner[c] - row], firsts[owner[c] - row + 1]
-                    sides = [mix(sums[b] - sums[a]).view(np.int64) for a, b in ((np.maximum(at, c - AROUND), c), (c, np.minimum(stop, c + AROUND + 1)))]
-                    columns = [mix(values[c] + _U64(k)).view(np.int64), *sides, names[owner[c]], l - at, c - at, r - at]
+                    sides = [(mix(sums[b] - sums[a]) >> _U64(32)).astype(np.uint32).view(np.int32) for a, b in ((np.maximum(at, c - AROUND), c), (c, np.minimum(stop, c + AROUND + 1)))]
+                    columns = [mix(values[c] + _U64(k)).view(np.int64), names[owner[c]], *sides, *((x - at).astype(np.int32) for x in (l, c, r))]
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema.names)
 
     return texts.select("u", "text").mapInArrow(run, schema)
