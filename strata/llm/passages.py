@@ -46,6 +46,8 @@ AROUND = SPAN // 2 - 1
 
 _U64 = np.uint64
 _SEED = _U64(0xD6E8FEB86659FD93)
+#: Bits of a key that tell its hash function.
+_FUNCTION = 7
 _BOX = ["la", "ca", "ra", "lb", "cb", "rb"]
 
 
@@ -119,7 +121,7 @@ def _windows(texts: DataFrame) -> DataFrame:
                         continue
                     at, stop = firsts[owner[c] - row], firsts[owner[c] - row + 1]
                     sides = [(mix(sums[b] - sums[a]) >> _U64(32)).astype(np.uint32).view(np.int32) for a, b in ((np.maximum(at, c - AROUND), c), (c, np.minimum(stop, c + AROUND + 1)))]
-                    columns = [mix(values[c] + _U64(k)).view(np.int64), names[owner[c]], *sides, *((x - at).astype(np.int32) for x in (l, c, r))]
+                    columns = [(mix(values[c]) & _U64(~_FUNCTION & (2**64 - 1)) | _U64(k)).view(np.int64), names[owner[c]], *sides, *((x - at).astype(np.int32) for x in (l, c, r))]
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema.names)
 
     return texts.select("u", "text").mapInArrow(run, schema)
@@ -155,21 +157,23 @@ def agreeing_points(boxes: np.ndarray, keys: np.ndarray) -> np.ndarray:
     points = np.unique(points, axis=0)
     good = np.zeros(len(points), bool)
     order = np.argsort(low[:, 0], kind="stable")
-    low, high, keys = low[order], high[order], keys[order]
+    low, high, functions = low[order], high[order], keys[order] & _FUNCTION
     reach = int((high[:, 0] - low[:, 0]).max(initial=0))
-    begin = np.searchsorted(low[:, 0], points[:, 0] - reach, "left")
-    end = np.searchsorted(low[:, 0], points[:, 0], "right")
-    for n in range(len(points)):
-        part = slice(begin[n], end[n])
-        inside = (high[part, 0] >= points[n, 0]) & (low[part, 1] <= points[n, 1]) & (high[part, 1] >= points[n, 1])
-        if inside.sum() >= AGREEING:
-            good[n] = len(np.unique(keys[part][inside])) >= AGREEING
+    for at in range(0, len(points), 256):
+        some = points[at : at + 256]
+        part = slice(np.searchsorted(low[:, 0], some[0, 0] - reach, "left"), np.searchsorted(low[:, 0], some[-1, 0], "right"))
+        inside = (
+            (low[part, 0] <= some[:, :1]) & (high[part, 0] >= some[:, :1]) & (low[part, 1] <= some[:, 1:]) & (high[part, 1] >= some[:, 1:])
+        )
+        good[at : at + 256] = sum(inside[:, functions[part] == k].any(axis=1).astype(int) for k in range(HASHES)) >= AGREEING
     return points[good]
 
 
 def _candidates(boxes: DataFrame) -> DataFrame:
     """Passages to verify for each pair of texts."""
-    lists = boxes.groupBy("a", "b").agg(F.collect_set(F.struct("key", *_BOX)).alias("boxes")).where(F.size("boxes") >= AGREEING)
+    functions = F.bit_or(F.expr(f"shiftleft(1, cast(key & {_FUNCTION} as int))")).alias("functions")
+    lists = boxes.groupBy("a", "b").agg(F.collect_set(F.struct("key", *_BOX)).alias("boxes"), functions)
+    lists = lists.where(F.bit_count("functions") >= AGREEING).select("a", "b", "boxes")
     schema = T.StructType(_long("a", "b") + [T.StructField("points", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +245,7 @@ def find(docs: DataFrame, text: str = "text", key: str = "doc_id", keep_text: bo
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     named = docs.withColumn("__u", F.xxhash64(whole))
     texts = stored(named.groupBy(F.col("__u").alias("u")).agg(F.first(whole).alias("text"), F.count(F.lit(1)).alias("copies"), F.min(F.col(f"`{key}`")).alias("least")), "texts")
-    pairs = stored(_verified(_candidates(_joined(stored(_windows(texts), "windows"))), texts), "passages")
+    pairs = stored(_verified(stored(_candidates(_joined(stored(_windows(texts), "windows"))), "candidates"), texts), "passages")
     roots = components(pairs.select("a", "b").distinct()).select(F.col("node").alias("u"), "root")
     sides = pairs.select(F.col("a").alias("u"), F.col("begin_a").alias("begin"), F.col("end_a").alias("end")).unionByName(
         pairs.select(F.col("b").alias("u"), F.col("begin_b").alias("begin"), F.col("end_b").alias("end"))
