@@ -251,7 +251,7 @@ def classify(docs: DataFrame, text: str = "text", key: str = "doc_id", result: s
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     named = docs.withColumn("__node", F.unhex(F.md5(whole)))
     # a text without words is nobody's copy
-    has_words = F.trim(F.lit(" \t\n\x0b\x0c\r"), whole) != ""
+    has_words = F.trim(whole, F.lit(" \t\n\x0b\x0c\r")) != ""
     texts = named.where(has_words).groupBy(F.col("__node").alias("node")).agg(F.first(whole).alias("text"))
     links = near_duplicate_links(stored(texts, "texts"))
     roots = components(links).select(F.col("node").alias("__node"), F.col("root").alias("__root"))
