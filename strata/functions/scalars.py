@@ -163,9 +163,9 @@ def growth_pct(initial: Column, final: Column) -> Column:
 
 
 def year_in_name(path: Column, name: Column) -> Column:
-    """Smallest 2020s year in a file name, else in its path."""
+    """Smallest year (1900 to 2099, no digit beside it) in a file name, else in its path."""
 
     def smallest(text: Column) -> Column:
-        return F.array_min(F.regexp_extract_all(text, F.lit("(202[0-9])"), F.lit(1)))
+        return F.array_min(F.regexp_extract_all(text, F.lit("(?<![0-9])((?:19|20)[0-9]{2})(?![0-9])"), F.lit(1)))
 
     return F.coalesce(smallest(name), smallest(path)).cast("int")

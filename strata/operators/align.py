@@ -38,26 +38,39 @@ def _plain(name: str) -> str:
     return name.strip().lower()
 
 
+def assign_names(
+    sources: Iterable[str], spellings: Mapping[str, Iterable[str]], threshold: float
+) -> dict[str, tuple[str, float]]:
+    """Source -> (target, score), best pairs first; no source or target is used twice.
+
+    A pair's score is that of the target's most similar spelling. Equal scores are
+    taken in the order of the names, so the result depends on no column order.
+    """
+    pairs = []
+    for source in set(sources):
+        for target, spelled in spellings.items():
+            score = max((name_similarity(_plain(source), _plain(s)) for s in spelled), default=0.0)
+            if score >= threshold:
+                pairs.append((-score, source, target))
+    given: dict[str, tuple[str, float]] = {}
+    taken: set[str] = set()
+    for score, source, target in sorted(pairs):
+        if source not in given and target not in taken:
+            given[source] = (target, -score)
+            taken.add(target)
+    return given
+
+
+def _aliases_by_target(targets: Iterable[str], aliases: Mapping[str, str]) -> dict[str, list[str]]:
+    return {t: [a for a, named in aliases.items() if _plain(named) == _plain(t)] for t in targets}
+
+
 def match_aliases(
     sources: Sequence[str], targets: Sequence[str], aliases: Mapping[str, str] = KNOWN_ALIASES
 ) -> dict[str, str]:
-    """Source column -> canonical column, for spellings listed in ``aliases``.
-
-    A source counts when it equals the alias but for case and outer blanks, or
-    is nearly the same text.
-    """
-    by_plain_name = {_plain(target): target for target in targets}
-    found = {}
-    for alias, target in aliases.items():
-        canonical = by_plain_name.get(_plain(target))
-        if canonical is None:
-            continue
-        wanted = _plain(alias)
-        close = (s for s in sources if name_similarity(_plain(s), wanted) >= ALIAS_SIMILARITY)
-        source = next(close, None)
-        if source is not None:
-            found[source] = canonical
-    return found
+    """Source column -> canonical column, for (nearly) the spellings in ``aliases``."""
+    found = assign_names(sources, _aliases_by_target(targets, aliases), ALIAS_SIMILARITY)
+    return {source: target for source, (target, _) in found.items()}
 
 
 def match_similar_names(
@@ -66,28 +79,14 @@ def match_similar_names(
     threshold: float = NAME_SIMILARITY,
     aliases: Mapping[str, str] | None = None,
 ) -> dict[str, tuple[str, float]]:
-    """Source column -> (most similar target, score); each target is given out once.
+    """Source column -> (target, score) for names that are alike; aliases count as names.
 
-    Listed aliases come first with score 1. A source whose plain name is a
-    target already needs no match.
+    Sources that plainly are a target, and the targets they are, take no part.
     """
-    by_plain_source = {_plain(source): source for source in sources}
-    by_plain_target = {_plain(target): target for target in targets}
-    matches: dict[str, tuple[str, float]] = {}
-    for alias, target in (aliases or {}).items():
-        source, canonical = by_plain_source.get(_plain(alias)), by_plain_target.get(_plain(target))
-        if source is not None and canonical is not None:
-            matches[source] = (canonical, 1.0)
-    free = [t for t in targets if t not in {target for target, _ in matches.values()}]
-    for source in sources:
-        if source in matches or _plain(source) in by_plain_target or not free:
-            continue
-        best = max(free, key=lambda target: name_similarity(source, target))
-        score = name_similarity(source, best)
-        if score >= threshold:
-            matches[source] = (best, score)
-            free.remove(best)
-    return matches
+    plain_sources, plain_targets = {_plain(s) for s in sources}, {_plain(t) for t in targets}
+    listed = _aliases_by_target(targets, aliases or {})
+    spellings = {t: [t, *listed[t]] for t in targets if _plain(t) not in plain_sources}
+    return assign_names([s for s in sources if _plain(s) not in plain_targets], spellings, threshold)
 
 
 def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -142,13 +141,18 @@ def fill_missing(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def cast_canonical(df: DataFrame, spec: Spec = Spec()) -> DataFrame:
-    """Every canonical column to its type; unreadable text becomes NULL."""
+    """Every canonical column to its type; unreadable text becomes NULL.
+
+    Extra columns become text, since files of other years may hold them in other types.
+    """
     targets = {f.name: f.dataType for f in spec.schema.fields}
     columns = []
     for column in df.columns:
         name = sqltext.name(column)
         if column in targets:
             name = f"{_typed_sql(df, column, targets[column], spec)} AS {name}"
+        elif not isinstance(df.schema[column].dataType, StringType):
+            name = f"CAST({name} AS STRING) AS {name}"
         columns.append(name)
     return df.selectExpr(*columns)
 
@@ -223,7 +227,8 @@ def append_years(stored: DataFrame, incoming: DataFrame, key: str = ROLES.year)
 
 # ---- fuzzy values --------------------------------------------------------
 
-MAX_REFERENCE_VALUES = 200
+# From this similarity on, two texts share a pair of neighbouring characters.
+SHARED_PAIR_SIMILARITY = 0.5
 
 
 def text_similarity(left: Column, right: Column) -> Column:
@@ -232,32 +237,47 @@ def text_similarity(left: Column, right: Column) -> Column:
     return F.lit(1.0) - F.levenshtein(left, right) / F.greatest(longer, F.lit(1))
 
 
+def _character_pairs(text: Column) -> Column:
+    """The distinct pairs of neighbours in a text with a mark before and after it."""
+    padded = F.concat(F.lit("\x02"), text, F.lit("\x03"))
+    return F.array_distinct(
+        F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, F.lit(2)))
+    )
+
+
 def canonicalize_values(
     df: DataFrame, column: str, reference: Sequence[str], threshold: float = NAME_SIMILARITY
 ) -> DataFrame:
     """Map each value to its most similar reference value, at or above ``threshold``.
 
-    Each distinct value is scored once against the reference list, which lives
-    in the expression (its size is checked), so no pairs are materialised.
+    Distinct values meet only the references they share two neighbouring characters
+    with. A text of n characters, marked at both ends, has n + 1 such pairs and an edit
+    spoils two at most, so at a similarity of 0.5 or more nothing is missed; lower
+    thresholds are refused. Ties go to the earlier reference.
     Output: value, rows, canonical (NULL when nothing is close), score.
     """
-    if len(reference) > MAX_REFERENCE_VALUES:
-        raise SchemaError(f"at most {MAX_REFERENCE_VALUES} reference values, got {len(reference)}")
-    value = F.lower(F.trim(F.col("value")))
-    scored = [
-        F.struct(
-            F.round(text_similarity(value, F.lit(text.strip().lower())), 6).alias("score"),
-            F.lit(-i).alias("rank"),
-            F.lit(text).alias("canonical"),
-        )
-        for i, text in enumerate(reference)
-    ]
-    best = F.greatest(*scored) if len(scored) > 1 else scored[0]
+    if threshold < SHARED_PAIR_SIMILARITY:
+        raise SchemaError(f"thresholds go from {SHARED_PAIR_SIMILARITY} on, got {threshold}")
     counted = df.groupBy(quoted(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
-    close = F.col("best.score") >= threshold
-    return counted.withColumn("best", best).select(
-        "value",
-        "rows",
-        F.when(close, F.col("best.canonical")).alias("canonical"),
-        F.when(close, F.col("best.score")).alias("score"),
+    plain = F.lower(F.trim(F.col("value"))).alias("plain")
+    rows = [(-i, text, text.strip().lower()) for i, text in enumerate(reference)]
+    listed = df.sparkSession.createDataFrame(rows, "rank int, canonical string, spelled string")
+    paired = listed.withColumn("pair", F.explode(_character_pairs(F.col("spelled"))))
+    values = counted.where("value IS NOT NULL").select("value", plain)
+    met = values.withColumn("pair", F.explode(_character_pairs(F.col("plain")))).join(paired, "pair")
+    score = F.round(text_similarity(F.col("plain"), F.col("spelled")), 6)
+    scored = met.drop("pair").distinct().withColumn("score", score).where(F.col("score") >= threshold)
+    best = scored.groupBy("value").agg(F.max(F.struct("score", "rank", "canonical")).alias("best"))
+    return counted.join(best, "value", "left").select(
+        "value", "rows", F.col("best.canonical").alias("canonical"), F.col("best.score").alias("score")
     )
+
+
+def canonicalize_column(
+    df: DataFrame, column: str, reference: Sequence[str], threshold: float = NAME_SIMILARITY
+) -> DataFrame:
+    """Rows with ``column`` replaced by its canonical value where there is one."""
+    known = canonicalize_values(df, column, reference, threshold).where("canonical IS NOT NULL")
+    found = df.join(known.select(F.col("value").alias("__value"), "canonical"), quoted(column) == F.col("__value"), "left")
+    replaced = F.coalesce(F.col("canonical"), quoted(column)).alias(column)
+    return found.select(*[replaced if c == column else quoted(c) for c in df.columns])

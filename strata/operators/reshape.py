@@ -14,8 +14,6 @@ from strata.operators.percentiles import exact_percentiles
 from strata.operators.small_side import compute_once, null_safe_join
 from strata.spec import ROLES, Roles
 
-MAX_PIVOT_COLUMNS = 1_000
-
 
 def pivot_filled(
     df: DataFrame, index: str, columns: str, values: str, headings: Sequence | None = None,
@@ -23,15 +21,12 @@ def pivot_filled(
 ) -> DataFrame:
     """Rows by ``index``, one column per heading, absent cells 0.
 
-    Without ``headings`` they are read from the data, in sort order; ``first``
-    keeps that many, otherwise their number is checked.
+    Without ``headings`` they are read from the data, all of them in sort order;
+    ``first`` keeps only that many.
     """
     if headings is None:
         found = df.select(columns).where(quoted(columns).isNotNull()).distinct().orderBy(columns)
-        rows = found.take(first if first is not None else MAX_PIVOT_COLUMNS + 1)
-        if first is None and len(rows) > MAX_PIVOT_COLUMNS:
-            raise ValueError(f"more than {MAX_PIVOT_COLUMNS} values of {columns} to pivot on")
-        headings = [row[0] for row in rows]
+        headings = [row[0] for row in (found if first is None else found.limit(first)).collect()]
     cells = [
         F.coalesce(F.sum(F.when(quoted(columns) == h, quoted(values))), F.lit(0)).alias(str(h))
         for h in headings
@@ -39,8 +34,8 @@ def pivot_filled(
     return df.groupBy(quoted(index)).agg(*cells) if cells else df.select(index).distinct()
 
 
-def pivot_year_type(df: DataFrame, roles: Roles = ROLES, first: int = 10) -> DataFrame:
-    """Volume by year with one column per use type, the first ten by name."""
+def pivot_year_type(df: DataFrame, roles: Roles = ROLES, first: int | None = None) -> DataFrame:
+    """Volume by year with one column per use type; ``first`` keeps that many, by name."""
     counts = volume.volume_by_year_type(df, roles)
     return pivot_filled(counts, "ano", "tipo_uso", "total_imoveis", first=first)
 

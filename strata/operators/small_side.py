@@ -12,20 +12,11 @@ execution splits its hot partitions).
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.functions.scalars import quoted
 
 MAX_SMALL_ROWS = 10_000
-MAX_FILTER_KEYS = 1_000
-
-
-def take_if_small(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> list[Row] | None:
-    """All rows when there are at most ``max_rows``, else None."""
-    rows = df.take(max_rows + 1)
-    return rows if len(rows) <= max_rows else None
 
 
 def compute_once(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
@@ -46,37 +37,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use ``spark.checkpoint.dir``; only a local session without one gets its own."""
+    """Use the shared folder that ``spark.checkpoint.dir`` names."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="run-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     context.setCheckpointDir(configured)
 
 
-def keep_new_keys(
-    incoming: DataFrame, existing: DataFrame, key: str, max_keys: int = MAX_FILTER_KEYS
-) -> DataFrame:
+def keep_new_keys(incoming: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Rows of ``incoming`` whose ``key`` does not occur in ``existing`` (anti join).
 
-    The stored keys are years or days, so they normally fit the bound and
-    become a scan filter that prunes partitions; a larger set is anti-joined.
+    Rows with a NULL key are kept: they equal no stored key.
     """
-    stored = existing.select(key).where(quoted(key).isNotNull()).distinct()
-    rows = take_if_small(stored, max_keys)
-    if rows is None:
-        return incoming.join(stored, key, "left_anti")
-    return incoming.where(not_among(quoted(key), [row[0] for row in rows]))
-
-
-def not_among(value: Column, known: list) -> Column:
-    if not known:
-        return F.lit(True)
-    return value.isNull() | ~value.isin(known)
+    stored = existing.select(quoted(key)).where(quoted(key).isNotNull()).distinct()
+    return incoming.join(stored, key, "left_anti").select(*[quoted(c) for c in incoming.columns])
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:

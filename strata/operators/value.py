@@ -8,6 +8,7 @@ from strata.functions import sqltext
 from strata.functions.scalars import measure, quoted
 from strata.operators.counting import top_k
 from strata.operators.percentiles import exact_medians, exact_percentiles
+from strata.operators.small_side import null_safe_join
 from strata.spec import ROLES, Roles
 
 _STATS = ["ano", "media", "mediana", "minimo", "maximo", "total", "count", "count_nonzero"]
@@ -17,6 +18,16 @@ def _yearly_values(df: DataFrame, roles: Roles, name: str) -> DataFrame:
     return df.select(quoted(roles.year).alias("ano"), measure(df, name).alias("valor"))
 
 
+def _with_population(valid: DataFrame) -> DataFrame:
+    """``counted``: the taxes above zero, or all of them where no year has any.
+
+    Whether there are any is a scalar subquery of the plan, not a job of its own.
+    """
+    some = valid.agg(F.bool_or(F.col("valor") > 0).alias("any_tax")).scalar()
+    marked = valid.withColumn("any_tax", F.coalesce(some, F.lit(False)))
+    return marked.selectExpr("ano", "valor", "CASE WHEN valor > 0 OR NOT any_tax THEN valor END AS counted")
+
+
 def _with_median(
     rows: DataFrame, population: str, aggregates: dict[str, str], approximate: bool
 ) -> DataFrame:
@@ -38,18 +49,16 @@ def tax_stats_by_year(
     statistics (0 with ``fill_zero``). Where no year has any tax above zero,
     the statistics are of all readable taxes.
     """
-    valid = _yearly_values(df, roles, roles.tax_value).where("valor IS NOT NULL")
-    positive = "CASE WHEN valor > 0 THEN valor END"
-    population = "valor" if valid.where("valor > 0").isEmpty() else positive
+    valid = _with_population(_yearly_values(df, roles, roles.tax_value).where("valor IS NOT NULL"))
     aggregates = {
-        "media": f"avg({population})",
-        "minimo": f"min({population})",
-        "maximo": f"max({population})",
+        "media": "avg(counted)",
+        "minimo": "min(counted)",
+        "maximo": "max(counted)",
         "total": "sum(valor)",
         "count": "count(1)",
         "count_nonzero": "count_if(valor > 0)",
     }
-    stats = _with_median(valid, population, aggregates, approximate).select(*_STATS)
+    stats = _with_median(valid, "counted", aggregates, approximate).select(*_STATS)
     if fill_zero:
         stats = stats.fillna(0.0, ["media", "mediana", "minimo", "maximo"])
     return stats.orderBy("ano")
@@ -57,8 +66,8 @@ def tax_stats_by_year(
 
 def tax_stats_by_year_joined(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
     """The same result as two aggregations put together by a full outer join."""
-    valid = _yearly_values(df, roles, roles.tax_value).where(F.col("valor").isNotNull())
-    positive = valid.where(F.col("valor") > 0)
+    valid = _with_population(_yearly_values(df, roles, roles.tax_value).where(F.col("valor").isNotNull()))
+    positive = valid.where(F.col("counted").isNotNull())
     stats = positive.groupBy("ano").agg(
         F.avg("valor").alias("media"),
         F.min("valor").alias("minimo"),
@@ -70,9 +79,9 @@ def tax_stats_by_year_joined(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
         F.count_if(F.col("valor") > 0).alias("count_nonzero"),
     )
     medians = exact_medians(positive, ["ano"], F.col("valor"), "mediana")
-    return (
-        totals.join(stats, "ano", "full_outer").join(medians, "ano", "left").select(*_STATS)
-    )
+    # the taxes counted are some of all, so no year is on the right side only
+    joined = null_safe_join(null_safe_join(totals, stats, ["ano"], "left"), medians, ["ano"], "left")
+    return joined.select(*_STATS)
 
 
 def avg_tax_by_neighborhood_top(df: DataFrame, roles: Roles = ROLES, k: int = 20) -> DataFrame:

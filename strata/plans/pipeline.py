@@ -64,12 +64,20 @@ class Pipeline:
     # ---- bronze ----
 
     def years_to_load(self, paths: Mapping[int, str], incremental: bool) -> list[int]:
-        """Years asked for, less the stored ones when loading incrementally."""
+        """Years asked for; incrementally those not stored yet, and those whose file has
+        changed since or failed (its latest event says pending or failed)."""
         if not incremental:
             return sorted(paths)
         stored = self.layers.stored_years(self.layers.bronze)
         wanted = self.layers.spark.createDataFrame([(y,) for y in paths], "year int")
-        return sorted(row["year"] for row in wanted.join(stored, "year", "left_anti").collect())
+        missing = wanted.join(stored, "year", "left_anti")
+        log = manifest.read_log(self.layers.spark, self.log_path)
+        if log is not None:
+            of_year = {path.removeprefix("file:"): year for year, path in paths.items()}
+            files = self.layers.spark.createDataFrame(list(of_year.items()) or [("", 0)], "file_path string, year int")
+            open_ = manifest.latest(log).where(F.col("processing_status").isin(manifest.PENDING, manifest.FAILED))
+            missing = missing.union(files.join(open_.select("file_path"), "file_path").select("year"))
+        return sorted({row["year"] for row in missing.collect()} & set(paths))
 
     def load_bronze(self, paths: Mapping[int, str], incremental: bool = False) -> list[DataFrame]:
         """Align and store each year's file. Returns the raw checks of each.
@@ -84,7 +92,10 @@ class Pipeline:
                 raw = readers.read_extract(self.layers.spark, path, self.separator)
                 reports.append(quality.validate_raw(raw, year, self.spec))
                 aligned = align.align_year(raw, year, self.spec)
-                self.layers.write_bronze(align.add_bronze_audit(aligned, year, path))
+                if aligned.isEmpty():
+                    self.layers.clear_year(self.layers.bronze, year)
+                else:
+                    self.layers.write_bronze(align.add_bronze_audit(aligned, year, path))
             except (PySparkException, align.SchemaError, ValueError) as problem:
                 self._mark(path, manifest.FAILED, str(problem).splitlines()[0])
                 continue
@@ -97,6 +108,10 @@ class Pipeline:
         """Consolidate bronze. Only the given years are rewritten; the rest stay."""
         bronze = self.layers.read(self.layers.bronze, years)
         self.layers.write_silver(align.add_silver_audit(align.trim_strings(bronze)))
+        if years is not None:
+            held = {row["year"] for row in self.layers.stored_years(self.layers.bronze).collect()}
+            for year in set(years) - held:
+                self.layers.clear_year(self.layers.silver, year)
         return self.silver()
 
     def years_to_consolidate(self, loaded: Iterable[int]) -> list[int]:
@@ -168,6 +183,10 @@ class Pipeline:
         self.catalog(raw_root)
         loaded = self.years_to_load(paths, incremental)
         reports = self.load_bronze(paths, incremental)
+        if not self.layers.exists(self.layers.bronze):
+            # nothing was found or readable: say so, and store nothing else
+            self.layers.write_report(reduce(DataFrame.unionByName, [*reports, self._nothing_stored()]))
+            return self.layers.spark.createDataFrame([], self.spec.schema)
         stale = self.years_to_consolidate(loaded)
         silver = self.build_silver(stale) if stale else self.silver()
         bronze = self.layers.read(self.layers.bronze)
@@ -181,6 +200,10 @@ class Pipeline:
         self.layers.write_report(reduce(DataFrame.unionByName, reports))
         return silver
 
+    def _nothing_stored(self) -> DataFrame:
+        row = ("bronze", "all", "years_present", quality.ERROR, False, 0.0, "no extract was found or readable")
+        return self.layers.spark.createDataFrame([row], quality.REPORT_SCHEMA)
+
     def conservation(self, bronze: DataFrame, silver: DataFrame) -> DataFrame:
         """Rows per year in bronze against silver, as report rows."""
         compared = quality.row_conservation(bronze, silver, YEAR_PARTITION)

@@ -90,6 +90,12 @@ class Layers:
             .save(path)
         )
 
+    def clear_year(self, path: str, year: int) -> None:
+        """Remove a stored year that has no rows any more; overwriting would leave it."""
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{YEAR_PARTITION}={year}")
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     def write_bronze(self, df: DataFrame) -> None:
         self._write_years(df, self.bronze)
 

@@ -195,12 +195,13 @@ def row_counts(frames: Mapping[int, DataFrame]) -> DataFrame:
     return result
 
 
-def schema_snapshot(df: DataFrame, file_path: str, sample_rows: int = 10) -> DataFrame:
-    """(file_path, position, column, type, sample_row_count) from the first rows.
+def schema_snapshot(df: DataFrame, file_path: str, sample_rows: int | None = None) -> DataFrame:
+    """(file_path, position, column, type, sample_row_count) from all rows.
 
-    A column is bigint or double when every sampled value reads as one.
+    A column is bigint or double when every value reads as one. ``sample_rows`` looks
+    at so many rows only.
     """
-    sample = df.limit(sample_rows)
+    sample = df if sample_rows is None else df.limit(sample_rows)
     metrics = {}
     for name in df.columns:
         text = f"CAST({sqltext.name(name)} AS STRING)"

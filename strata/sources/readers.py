@@ -81,30 +81,24 @@ def read_years(spark: SparkSession, paths: Mapping[int, str], sep: str = ";") ->
     return {year: read_extract(spark, paths[year], sep) for year in sorted(paths)}
 
 
-# How a year's extract is named, by file ending and year.
-EXTRACT_NAMES = {
-    "csv": ("iptu_{year}", (2020, 2021, 2022, 2023)),
-    "json": ("iptu_{year}_json", (2024,)),
-}
+# Fixed value: how a year's extract is named; any year and any of the endings.
+EXTRACT_NAME = r"^(?:.*/)?(iptu_([0-9]{4})(?:_json)?)\.(csv|json|parquet)$"
 
 
-def find_extracts(spark: SparkSession, root: str, names: Mapping = EXTRACT_NAMES) -> dict[int, str]:
-    """Path of each year's extract under ``root``: in a folder of its own name, else flat.
+def find_extracts(spark: SparkSession, root: str, name: str = EXTRACT_NAME) -> dict[int, str]:
+    """Path of each year's extract under ``root``, whichever years are there.
 
-    Only the file listing is read; years without a file are left out.
+    ``name`` matches a file's relative path; its first group is the bare name, its
+    second the year. A file in a folder of its own name goes before one that lies
+    elsewhere; among equals the first path is taken. Only the file listing is read.
     """
     from strata.sources.manifest import scan
 
-    wanted = {}
-    for ending, (template, years) in names.items():
-        for year in years:
-            name = template.format(year=year)
-            wanted[f"{name}.{ending}"] = (year, False)
-            wanted[f"{name}/{name}.{ending}"] = (year, True)
-    listed = scan(spark, root, checksum=False).where(F.col("relative_path").isin(list(wanted)))
-    found = {}
-    for row in listed.select("file_path", "relative_path").collect():
-        year, in_folder = wanted[row["relative_path"]]
-        if in_folder or year not in found:
-            found[year] = row["file_path"]
-    return dict(sorted(found.items()))
+    path = F.col("relative_path")
+    bare, folder = F.regexp_extract(path, name, 1), F.element_at(F.split(F.concat(F.lit("/"), path), "/"), -2)
+    listed = scan(spark, root, checksum=False).where(path.rlike(name)).select(
+        F.regexp_extract(path, name, 2).cast("int").alias("year"),
+        F.struct((folder != bare).alias("elsewhere"), "file_path").alias("choice"),
+    )
+    chosen = listed.groupBy("year").agg(F.min("choice").alias("choice"))
+    return {row["year"]: row["choice"]["file_path"] for row in chosen.orderBy("year").collect()}

@@ -39,6 +39,8 @@ def stream_year(
         spark.readStream.schema(text_schema(header or spec.columns))
         .option("header", True)
         .option("sep", sep)
+        # a file whose header differs from the schema stops the stream, it is not read by position
+        .option("enforceSchema", False)
         .csv(folder)
     )
 

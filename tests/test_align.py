@@ -82,7 +82,7 @@ def test_union_of_aligned_years_neither_widens_nor_fails(spark):
     )
     union = align.union_years([text, numeric])
     assert dict(union.dtypes)[R.tax_value] == "double"
-    assert rows(union, R.entity, R.tax_value, "_id") == [("77", None, None), ("88", 9.5, 1)]
+    assert rows(union, R.entity, R.tax_value, "_id") == [("77", None, None), ("88", 9.5, "1")]
 
 
 def test_union_conserves_rows(spark):
@@ -138,4 +138,21 @@ def test_canonicalize_values_against_brute_force(spark):
         expected = reference[scores.index(best)] if best >= 0.7 else None
         assert got[value] == (2, expected)
     with pytest.raises(SchemaError):
-        align.canonicalize_values(df, "b", ["x"] * 201)
+        align.canonicalize_values(df, "b", reference, threshold=0.4)
+    many = [f"rua {n:04d}" for n in range(900)] + reference
+    assert {r["value"]: r["canonical"] for r in align.canonicalize_values(df, "b", many).collect()}["boa viagen"] == "Boa Viagem"
+    replaced = align.canonicalize_column(df, "b", reference)
+    assert replaced.count() == df.count() and replaced.where("b = 'Boa Viagem'").count() == 4
+
+
+def test_matches_do_not_depend_on_the_order_of_columns():
+    sources, targets = ["bairos", "bairo", "cidad"], ["bairro", "cidade", "cidades"]
+    first = align.match_similar_names(sources, targets)
+    assert first == align.match_similar_names(sources[::-1], targets[::-1])
+    # the best pair is handed out first, whichever column comes first
+    assert first["bairo"][0] == "bairro" and first["cidad"][0] == "cidade" and "bairos" not in first
+
+
+def test_extra_columns_become_text(spark):
+    df = spark.createDataFrame([("A", 3)], ["bairro", "foo"])
+    assert dict(align.align_year(df, 2022).dtypes)["foo"] == "string"

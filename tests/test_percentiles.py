@@ -66,12 +66,12 @@ def test_many_groups_take_the_join_without_broadcast(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_keep_new_keys_above_the_bound(spark):
-    incoming = spark.range(100).withColumnRenamed("id", "k")
-    existing = spark.range(50).withColumnRenamed("id", "k")
-    for bound in (10, 1000):
-        kept = small_side.keep_new_keys(incoming, existing, "k", max_keys=bound)
-        assert sorted(r["k"] for r in kept.collect()) == list(range(50, 100))
+def test_keep_new_keys_keeps_null_keys(spark):
+    incoming = spark.range(3000).selectExpr("nullif(id, 2999) AS k")
+    existing = spark.range(1500).selectExpr("nullif(id, 7) AS k")
+    kept = small_side.keep_new_keys(incoming, existing, "k")
+    assert sorted(r["k"] for r in kept.collect() if r["k"] is not None) == [7, *range(1500, 2999)]
+    assert kept.where("k IS NULL").count() == 1
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):
