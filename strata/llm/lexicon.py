@@ -544,14 +544,22 @@ def _cut(counts: dict[bytes, int], size: int) -> dict[bytes, int]:
     return {w: n - beyond for w, n in counts.items() if n > beyond}
 
 
+#: Files that an application's executors can fetch already.
+_shared: set[tuple[str, str]] = set()
+
+
 def share_transducer(spark, transducer: Transducer) -> str:
     """Hand the automaton to all executors through Spark; returns its file's name."""
     content = transducer.tobytes()
     name = f"lexicon-{hashlib.sha256(content).hexdigest()[:24]}.bin"
+    known = (spark.sparkContext.applicationId, name)
+    if known in _shared:
+        return name
     folder = os.path.realpath(tempfile.mkdtemp(prefix="strata-"))
     with open(os.path.join(folder, name), "wb") as file:
         file.write(content)
     spark.sparkContext.addFile(os.path.join(folder, name))
+    _shared.add(known)
     return name
 
 
