@@ -9,9 +9,10 @@ a register with the probability of their weighted Jaccard similarity, the sum of
 the lesser weights over that of the greater.
 
 Registers are banded. Texts that share a band are candidates. Within a band's bucket,
-candidates are first held against one member; what lies in other components then is
-compared further (pairs in small buckets, finer buckets made of two bands for large
-ones), and every candidate that counts is verified by the exact overlap of the bags.
+candidates are first held against one member; buckets that then hold several components
+are compared inside a task, which keeps only the links that join components. Buckets too
+large for a task are split by further bands. Every link is verified by the exact overlap
+of the bags.
 Equal texts are one node. A class is a component of verified links; its id is the least
 doc_id in it.
 
@@ -41,7 +42,11 @@ REGISTERS = BANDS * ROWS
 #: Of so many equal registers at least does a further pair become a candidate (0.6; the
 #: standard error at a similarity of 0.8 is 0.04).
 AGREEING = 58
-SMALL_BUCKET = 40
+#: Members, and shingles of all members, of a bucket that one task compares; larger buckets are
+#: split by further bands, up to so many.
+SMALL_BUCKET = 2_000
+BUCKET_SHINGLES = 2_000_000
+DEEPEST = 4
 
 _U64 = np.uint64
 _SEED = _U64(0x2545F4914F6CDD1D)
@@ -110,7 +115,7 @@ def _band_hashes(rows: np.ndarray) -> np.ndarray:
 
 def _signed(texts: DataFrame) -> DataFrame:
     """Node, bands and a byte of each register for texts that have shingles."""
-    fields = [T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("bytes", T.BinaryType())]
+    fields = [T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("bytes", T.BinaryType()), T.StructField("n_shingles", T.LongType())]
 
     def work(data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
         count = len(offsets) - 1
@@ -119,7 +124,8 @@ def _signed(texts: DataFrame) -> DataFrame:
         some = np.bincount(texts_, minlength=count) > 0
         bands = _band_hashes(rows).view(np.int64)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(count + 1) * BANDS, pa.int32()), pa.array(bands.ravel()), mask=pa.array(~some))
-        return [lists, pa.array([r.tobytes() for r in rows.astype(np.uint8)], pa.binary())]
+        sizes = np.bincount(texts_, weights, minlength=count).astype(np.int64)
+        return [lists, pa.array([r.tobytes() for r in rows.astype(np.uint8)], pa.binary()), pa.array(sizes)]
 
     return map_texts(texts, "text", fields, work).where("bands is not null")
 
@@ -174,8 +180,14 @@ def _stars(members: DataFrame) -> DataFrame:
 def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members, with their components, of buckets that hold several components."""
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo != hi")
-    return placed.join(several.select("bucket", "n"), "bucket")
+    return _several(placed)
+
+
+def _several(placed: DataFrame) -> DataFrame:
+    """The rows of buckets of several components, with ``small`` where a task may hold the bucket."""
+    size = (F.count(F.lit(1)) <= SMALL_BUCKET) & (F.sum("n_shingles") <= BUCKET_SHINGLES)
+    several = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), size.alias("small")).where("lo != hi")
+    return placed.join(several.select("bucket", "small"), "bucket")
 
 
 _PAIR = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
@@ -186,40 +198,69 @@ def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x == y).sum(axis=-1) >= AGREEING
 
 
-def _among(small: DataFrame) -> DataFrame:
-    """Promising pairs of different components in buckets of bounded size."""
-    groups = small.groupBy("bucket").agg(F.collect_list(F.struct("node", "root", "bytes")).alias("members"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = [], []
-            for members in batch.column(0):
-                rows = sorted({(m["node"], m["root"], m["bytes"]) for m in members.as_py()})
-                marks = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), -1)
-                for n in range(1, len(rows)):
-                    for m in np.flatnonzero(_agreeing(marks[:n], marks[n])).tolist():
-                        if rows[n][1] != rows[m][1]:
-                            left.append(rows[n][0])
-                            right.append(rows[m][0])
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], _PAIR.names)
-
-    return groups.select("members").mapInArrow(run, _PAIR)
-
-
-def _across(mixed: DataFrame, signed: DataFrame) -> DataFrame:
-    """Promising pairs of different components in the small ones of these buckets, and the large ones' stars."""
-    full = mixed.join(signed.select("node", "bytes"), "node")
-    large = full.where(F.col("n") > SMALL_BUCKET)
-    centre = large.groupBy("bucket").agg(F.max_by(F.struct(F.col("node").alias("b"), F.col("root").alias("rb"), F.col("bytes").alias("y")), F.xxhash64("node", F.lit(7))).alias("c"))
-    stars = large.join(centre, "bucket").where("root != c.rb").select(F.col("node").alias("a"), "c.b", F.col("bytes").alias("x"), "c.y").distinct()
+def _units(data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
+    """A text's shingles, each occurrence told apart, so bags overlap as these sets do."""
+    texts, grams, weights = bags(data, offsets)
+    occurrence = ragged(np.zeros(len(weights), np.int64), weights)
+    units = mix(np.repeat(grams, weights) ^ (occurrence.astype(_U64) * _STEP))
+    counts = np.bincount(np.repeat(texts, weights), minlength=len(offsets) - 1)
+    return [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(units.view(np.int64)))]
+
+
+def joining_pairs(roots: list[bytes], marks: np.ndarray, units: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs of one bucket's members whose bags overlap enough, as few as join all that such pairs join."""
+    own = np.unique(np.array([r.hex() for r in roots]), return_inverse=True)[1]
+    sizes = np.array([len(u) for u in units])
+    codes = np.unique(np.concatenate(units), return_inverse=True)[1]
+    begins = np.cumsum(sizes) - sizes
+    inside = np.zeros(len(codes), np.int32)
+    found = []
+    for n in range(1, len(own)):
+        near = _agreeing(marks[:n], marks[n]) & (own[:n] != own[n])
+        near &= np.minimum(sizes[:n], sizes[n]) * SIMILAR[1] >= np.maximum(sizes[:n], sizes[n]) * SIMILAR[0]
+        some = np.flatnonzero(near)
+        if not len(some):
+            continue
+        mine = codes[begins[n] : begins[n] + sizes[n]]
+        inside[mine] = 1
+        less = np.add.reduceat(inside[codes[ragged(begins[some], sizes[some])]], np.cumsum(sizes[some]) - sizes[some])
+        inside[mine] = 0
+        for m in some[less * SIMILAR[1] >= (sizes[some] + sizes[n] - less) * SIMILAR[0]].tolist():
+            if own[m] != own[n]:
+                found.append((m, n))
+                own[own == own[m]] = own[n]
+    return found
+
+
+def _within(buckets: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Verified links of different components inside buckets of bounded size."""
+    own = signed.select("node", "bytes").join(buckets.select("node").distinct(), "node")
+    units = map_texts(own.join(texts, "node"), "text", [T.StructField("units", T.ArrayType(T.LongType()))], _units, limit=1 << 18)
+    rows = buckets.select("bucket", "node", "root").distinct().join(units, "node").select("bucket", "node", "root", "bytes", "units")
+
+    def link(held: list[tuple]) -> pa.RecordBatch:
+        nodes, roots, marks, bags_ = zip(*held)
+        pairs = joining_pairs(list(roots), np.frombuffer(b"".join(marks), np.uint8).reshape(len(marks), -1), list(bags_))
+        return pa.RecordBatch.from_arrays([pa.array([nodes[p[k]] for p in pairs], pa.binary()) for k in (1, 0)], _PAIR.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        bucket = None
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, REGISTERS) for k in (2, 3))
-            good = pa.array(_agreeing(x, y))
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], _PAIR.names)
-
-    return _among(full.where(F.col("n") <= SMALL_BUCKET)).unionByName(stars.mapInArrow(run, _PAIR)).distinct()
+            lists = batch.column(4)
+            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            names = zip(*(batch.column(k).to_pylist() for k in range(4)))
+            for row, (key, node, root, marks) in enumerate(names):
+                if key != bucket:
+                    if len(held) > 1:
+                        yield link(held)
+                    bucket, held = key, []
+                # a copy, so that a bucket held on to does not keep its batches
+                held.append((node, root, marks, values[offsets[row] : offsets[row + 1]].copy()))
+        if len(held) > 1:
+            yield link(held)
+
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(run, _PAIR)
 
 
 def near_duplicate_links(texts: DataFrame) -> DataFrame:
@@ -228,22 +269,25 @@ def near_duplicate_links(texts: DataFrame) -> DataFrame:
     Links that only repeat what others already join are left out.
     """
     signed = stored(_signed(texts), "signatures")
-    members = signed.select("node", F.explode("bands").alias("bucket"))
+    members = signed.select("node", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
     links = stored(verified(_stars(members), texts), "verified")
     roots = stored(components(links), "roots")
     mixed = stored(_mixed(members, roots), "mixed")
-    if mixed.isEmpty():
-        return links
-    large = mixed.where(F.col("n") > SMALL_BUCKET)
-    again = _across(mixed.where(F.col("n") <= SMALL_BUCKET), signed)
-    if not large.isEmpty():
-        # members of large buckets meet again where they share a second band too
-        held = large.select("node", F.col("bucket").alias("first"), "root").join(signed.select("node", "bands"), "node")
-        finer = held.select("node", "root", F.explode("bands").alias("second"), "first").where("first < second")
-        keyed = finer.select("node", "root", F.xxhash64("first", "second").alias("bucket"))
-        several = keyed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo != hi")
-        again = again.unionByName(_across(keyed.join(several.select("bucket", "n"), "bucket"), signed)).distinct()
-    return links.unionByName(stored(verified(again, texts), "verified"))
+    large = wide = mixed.where("not small")
+    again = stored(_within(mixed.where("small"), signed, texts), "verified")
+    depth = 1
+    while not large.isEmpty():
+        links = links.unionByName(again)
+        if depth == DEEPEST:
+            return links.unionByName(stored(verified(_stars(large), texts), "verified"))
+        # members of large buckets meet again where they share one more band of large buckets
+        other = wide.select("node", F.col("band").alias("next"), F.col("bucket").alias("more"))
+        finer = large.join(other, "node").where("band < next").select("node", "n_shingles", "root", F.col("next").alias("band"), F.xxhash64("bucket", "more").alias("bucket"))
+        finer = stored(_several(finer), "mixed")
+        again = stored(_within(finer.where("small"), signed, texts), "verified")
+        large = finer.where("not small")
+        depth += 1
+    return links.unionByName(again)
 
 
 def classify(docs: DataFrame, text: str = "text", key: str = "doc_id", result: str = "class_id") -> DataFrame:
