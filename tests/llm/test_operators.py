@@ -165,6 +165,35 @@ def test_large_mixed_buckets(docs, monkeypatch):
     assert Counter((r.doc_id, r.class_id) for r in got.collect()) == Counter(true_classes(docs.collect()))
 
 
+def test_links_of_a_bucket_join_what_all_pairs_join():
+    """Random bags in one bucket: kept links give the components of all pairs that are similar enough."""
+    random = np.random.default_rng(5)
+    bags_ = []
+    for _ in range(12):
+        base = random.integers(0, 10**9, 60)
+        for _ in range(6):
+            bag = base.copy()
+            bag[random.permutation(60)[: random.integers(0, 8)]] = random.integers(0, 10**9)
+            bags_.append(np.unique(bag))
+    marks = np.zeros((len(bags_), bagminhash.REGISTERS), np.uint8)
+    roots = [bytes([n // 2]) for n in range(len(bags_))]
+
+    def classes(links):
+        own = [n // 2 for n in range(len(bags_))]
+        for a, b in links:
+            own = [own[b] if x == own[a] else x for x in own]
+        return {frozenset(n for n, x in enumerate(own) if x == one) for one in own}
+
+    similar = {
+        (a, b) for b in range(len(bags_)) for a in range(b)
+        if 5 * len(np.intersect1d(bags_[a], bags_[b])) >= 4 * len(np.union1d(bags_[a], bags_[b]))
+    }
+    found = bagminhash.joining_pairs(roots, marks, bags_)
+    assert set(found) <= similar and len(found) < len(similar)
+    assert classes(found) == classes(similar)
+    assert len(found) == 36 - len(classes(similar))
+
+
 def test_signatures_estimate_weighted_similarity():
     pick = random.Random(3)
     pairs = []
