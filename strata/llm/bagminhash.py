@@ -10,9 +10,9 @@ the lesser weights over that of the greater.
 
 Registers are banded. Texts that share a band are candidates. Within a band's bucket,
 candidates are first held against one member; buckets that then hold several components
-are compared inside a task, which keeps only the links that join components. Buckets too
-large for a task are split by further bands. Every link is verified by the exact overlap
-of the bags.
+are compared inside tasks, which keep only the links that join components. A bucket too
+large for a task is dealt into parts, and every two parts meet in a task of their own. Every
+link is verified by the exact overlap of the bags.
 Equal texts are one node. A class is a component of verified links; its id is the least
 doc_id in it.
 
@@ -42,11 +42,9 @@ REGISTERS = BANDS * ROWS
 #: Of so many equal registers at least does a further pair become a candidate (0.6; the
 #: standard error at a similarity of 0.8 is 0.04).
 AGREEING = 58
-#: Members, and shingles of all members, of a bucket that one task compares; larger buckets are
-#: split by further bands, up to so many.
+#: Members, and shingles of all members, that one task compares, on the average of its buckets' parts.
 SMALL_BUCKET = 2_000
 BUCKET_SHINGLES = 2_000_000
-DEEPEST = 4
 
 _U64 = np.uint64
 _SEED = _U64(0x2545F4914F6CDD1D)
@@ -178,16 +176,26 @@ def _stars(members: DataFrame) -> DataFrame:
 
 
 def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members, with their components, of buckets that hold several components."""
+    """Members, with their components, of buckets that hold several components.
+
+    ``parts`` tells in how many parts a bucket is dealt: one if a task may hold it.
+    """
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    return _several(placed)
+    count, shingles = F.count(F.lit(1)), F.sum("n_shingles")
+    # two parts meet in a task, so each is to be half of what a task may hold
+    halves = F.ceil(F.greatest(count * 2 / SMALL_BUCKET, shingles * 2 / BUCKET_SHINGLES)).cast("int")
+    parts = F.when((count <= SMALL_BUCKET) & (shingles <= BUCKET_SHINGLES), 1).otherwise(F.greatest(halves, F.lit(2)))
+    several = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), parts.alias("parts")).where("lo != hi")
+    return placed.join(several.select("bucket", "parts"), "bucket").select("bucket", "node", "root", "parts")
 
 
-def _several(placed: DataFrame) -> DataFrame:
-    """The rows of buckets of several components, with ``small`` where a task may hold the bucket."""
-    size = (F.count(F.lit(1)) <= SMALL_BUCKET) & (F.sum("n_shingles") <= BUCKET_SHINGLES)
-    several = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), size.alias("small")).where("lo != hi")
-    return placed.join(several.select("bucket", "small"), "bucket")
+def _dealt(mixed: DataFrame) -> DataFrame:
+    """Every member once for each two parts of its bucket that are to meet: ``x`` <= ``y``."""
+    part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).otherwise(0)
+    placed = mixed.distinct().withColumn("part", part)
+    other = F.explode(F.expr("filter(sequence(0, parts - 1), p -> parts = 1 or p != part)"))
+    met = placed.select("bucket", "node", "root", "part", other.alias("other"))
+    return met.select("bucket", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "node", "root")
 
 
 _PAIR = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
@@ -232,11 +240,11 @@ def joining_pairs(roots: list[bytes], marks: np.ndarray, units: list[np.ndarray]
     return found
 
 
-def _within(buckets: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
-    """Verified links of different components inside buckets of bounded size."""
-    own = signed.select("node", "bytes").join(buckets.select("node").distinct(), "node")
+def _within(mixed: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Verified links of different components inside buckets."""
+    own = signed.select("node", "bytes").join(mixed.select("node").distinct(), "node")
     units = map_texts(own.join(texts, "node"), "text", [T.StructField("units", T.ArrayType(T.LongType()))], _units, limit=1 << 18)
-    rows = buckets.select("bucket", "node", "root").distinct().join(units, "node").select("bucket", "node", "root", "bytes", "units")
+    rows = _dealt(mixed).join(units, "node").select("bucket", "x", "y", "node", "root", "bytes", "units")
 
     def link(held: list[tuple]) -> pa.RecordBatch:
         nodes, roots, marks, bags_ = zip(*held)
@@ -247,20 +255,20 @@ def _within(buckets: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFram
         held: list[tuple] = []
         bucket = None
         for batch in batches:
-            lists = batch.column(4)
+            lists = batch.column(6)
             offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-            names = zip(*(batch.column(k).to_pylist() for k in range(4)))
-            for row, (key, node, root, marks) in enumerate(names):
-                if key != bucket:
+            names = zip(*(batch.column(k).to_pylist() for k in range(6)))
+            for row, (*place, node, root, marks) in enumerate(names):
+                if place != bucket:
                     if len(held) > 1:
                         yield link(held)
-                    bucket, held = key, []
+                    bucket, held = place, []
                 # a copy, so that a bucket held on to does not keep its batches
                 held.append((node, root, marks, values[offsets[row] : offsets[row + 1]].copy()))
         if len(held) > 1:
             yield link(held)
 
-    return rows.repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(run, _PAIR)
+    return rows.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "node").mapInArrow(run, _PAIR)
 
 
 def near_duplicate_links(texts: DataFrame) -> DataFrame:
@@ -273,21 +281,7 @@ def near_duplicate_links(texts: DataFrame) -> DataFrame:
     links = stored(verified(_stars(members), texts), "verified")
     roots = stored(components(links), "roots")
     mixed = stored(_mixed(members, roots), "mixed")
-    large = wide = mixed.where("not small")
-    again = stored(_within(mixed.where("small"), signed, texts), "verified")
-    depth = 1
-    while not large.isEmpty():
-        links = links.unionByName(again)
-        if depth == DEEPEST:
-            return links.unionByName(stored(verified(_stars(large), texts), "verified"))
-        # members of large buckets meet again where they share one more band of large buckets
-        other = wide.select("node", F.col("band").alias("next"), F.col("bucket").alias("more"))
-        finer = large.join(other, "node").where("band < next").select("node", "n_shingles", "root", F.col("next").alias("band"), F.xxhash64("bucket", "more").alias("bucket"))
-        finer = stored(_several(finer), "mixed")
-        again = stored(_within(finer.where("small"), signed, texts), "verified")
-        large = finer.where("not small")
-        depth += 1
-    return links.unionByName(again)
+    return links.unionByName(stored(_within(mixed, signed, texts), "verified"))
 
 
 def classify(docs: DataFrame, text: str = "text", key: str = "doc_id", result: str = "class_id") -> DataFrame:

@@ -159,8 +159,9 @@ def test_near_duplicates(docs):
     assert sorted(r.doc_id for r in first.collect()) == sorted({c for _, c in true_classes(docs.collect())})
 
 
-def test_large_mixed_buckets(docs, monkeypatch):
-    monkeypatch.setattr(bagminhash, "SMALL_BUCKET", 1)
+@pytest.mark.parametrize("most", [1, 4])
+def test_large_mixed_buckets(docs, monkeypatch, most):
+    monkeypatch.setattr(bagminhash, "SMALL_BUCKET", most)
     got = bagminhash.classify(docs)
     assert Counter((r.doc_id, r.class_id) for r in got.collect()) == Counter(true_classes(docs.collect()))
 
