@@ -104,8 +104,8 @@ def compact_windows(values: np.ndarray, firsts: np.ndarray, span: int = SPAN) ->
     return np.array(before), nodes, np.array(after)
 
 
-def _windows(texts: DataFrame) -> DataFrame:
-    schema = T.StructType(_long("key", "u") + [T.StructField(n, T.IntegerType()) for n in ("before", "after", "l", "c", "r")])
+def _windows(texts: DataFrame, keys_only: bool = False) -> DataFrame:
+    schema = T.StructType(_long("key") if keys_only else _long("key", "u") + [T.StructField(n, T.IntegerType()) for n in ("before", "after", "l", "c", "r")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,18 +119,26 @@ def _windows(texts: DataFrame) -> DataFrame:
                     l, c, r = compact_windows(values, firsts)
                     if not len(c):
                         continue
+                    key = pa.array((mix(values[c]) & _U64(~_FUNCTION & (2**64 - 1)) | _U64(k)).view(np.int64))
+                    if keys_only:
+                        yield pa.RecordBatch.from_arrays([key], schema.names)
+                        continue
                     at, stop = firsts[owner[c] - row], firsts[owner[c] - row + 1]
                     sides = [(mix(sums[b] - sums[a]) >> _U64(32)).astype(np.uint32).view(np.int32) for a, b in ((np.maximum(at, c - AROUND), c), (c, np.minimum(stop, c + AROUND + 1)))]
-                    columns = [(mix(values[c]) & _U64(~_FUNCTION & (2**64 - 1)) | _U64(k)).view(np.int64), names[owner[c]], *sides, *((x - at).astype(np.int32) for x in (l, c, r))]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema.names)
+                    columns = [names[owner[c]], *sides, *((x - at).astype(np.int32) for x in (l, c, r))]
+                    yield pa.RecordBatch.from_arrays([key, *(pa.array(x) for x in columns)], schema.names)
 
     return texts.select("u", "text").mapInArrow(run, schema)
 
 
-def _joined(windows: DataFrame) -> DataFrame:
-    """Rectangles of pairs of texts: ``a`` has the least window, ``b`` another one."""
-    seen = windows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    shared = stored(windows.join(seen, "key"), "windows")
+def _joined(texts: DataFrame) -> DataFrame:
+    """Rectangles of pairs of texts: ``a`` has the least window, ``b`` another one.
+
+    Windows are made twice, for their keys first: most keys are single, and keeping all
+    windows would take more room than any later step.
+    """
+    seen = _windows(texts, keys_only=True).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    shared = stored(_windows(texts).join(seen, "key"), "windows")
     window = F.struct("u", "c", "l", "r")
     own = (F.col("u") == F.col("m.u")) & (F.col("c") == F.col("m.c"))
     box = [F.col("m.u").alias("a"), F.col("u").alias("b"), "key", *[F.col(f"m.{x}").alias(f"{x}a") for x in "lcr"], *[F.col(x).alias(f"{x}b") for x in "lcr"]]
@@ -245,7 +253,7 @@ def find(docs: DataFrame, text: str = "text", key: str = "doc_id", keep_text: bo
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     named = docs.withColumn("__u", F.xxhash64(whole))
     texts = stored(named.groupBy(F.col("__u").alias("u")).agg(F.first(whole).alias("text"), F.count(F.lit(1)).alias("copies"), F.min(F.col(f"`{key}`")).alias("least")), "texts")
-    pairs = stored(_verified(stored(_candidates(_joined(stored(_windows(texts), "windows"))), "candidates"), texts), "passages")
+    pairs = stored(_verified(stored(_candidates(_joined(texts)), "candidates"), texts), "passages")
     roots = components(pairs.select("a", "b").distinct()).select(F.col("node").alias("u"), "root")
     sides = pairs.select(F.col("a").alias("u"), F.col("begin_a").alias("begin"), F.col("end_a").alias("end")).unionByName(
         pairs.select(F.col("b").alias("u"), F.col("begin_b").alias("begin"), F.col("end_b").alias("end"))
