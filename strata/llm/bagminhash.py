@@ -284,36 +284,43 @@ def near_duplicate_links(texts: DataFrame) -> DataFrame:
     return links.unionByName(stored(_within(mixed, signed, texts), "verified"))
 
 
-def classify(docs: DataFrame, text: str = "text", key: str = "doc_id", result: str = "class_id") -> DataFrame:
-    """The documents with their class: the least key among near-duplicates of each other."""
+def _rooted(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+    """The documents with ``__node`` and ``__words``, and the root of every linked node."""
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    named = docs.withColumn("__node", F.unhex(F.md5(whole)))
     # a text without words is nobody's copy
     has_words = F.trim(whole, F.lit(" \t\n\x0b\x0c\r")) != ""
-    texts = named.where(has_words).groupBy(F.col("__node").alias("node")).agg(F.first(whole).alias("text"))
+    named = docs.withColumns({"__node": F.unhex(F.md5(whole)), "__words": has_words})
+    texts = named.where("__words").groupBy(F.col("__node").alias("node")).agg(F.first(whole).alias("text"))
     links = near_duplicate_links(stored(texts, "texts"))
-    roots = components(links).select(F.col("node").alias("__node"), F.col("root").alias("__root"))
-    ids = named.where(has_words).groupBy("__node").agg(F.min(F.col(f"`{key}`")).alias("__least"))
+    return named, components(links).select(F.col("node").alias("__node"), F.col("root").alias("__root"))
+
+
+def classify(docs: DataFrame, text: str = "text", key: str = "doc_id", result: str = "class_id") -> DataFrame:
+    """The documents with their class: the least key among near-duplicates of each other."""
+    named, roots = _rooted(docs, text)
+    ids = named.where("__words").groupBy("__node").agg(F.min(F.col(f"`{key}`")).alias("__least"))
     placed = ids.join(roots, "__node", "left").withColumn("__root", F.coalesce("__root", "__node"))
     least = placed.groupBy("__root").agg(F.min("__least").alias("__class"))
     classes = placed.join(least, "__root").select("__node", "__class")
     kept = [F.col(f"`{c}`") for c in docs.columns if c != result]
-    joined = named.select(*[F.col(f"`{c}`") for c in docs.columns], "__node", has_words.alias("__words")).join(classes, "__node", "left")
+    joined = named.join(classes, "__node", "left")
     return joined.select(*kept, F.when(F.col("__words"), F.col("__class")).otherwise(F.col(f"`{key}`")).alias(result))
 
 
 def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One document of each class: that with the least key, and among equals the least row."""
-    others = [c for c in docs.columns if c not in (text, key)]
-    classed = classify(docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")).withColumn("__same", F.lit(0)), text, key, "__class").select(
-        F.col(f"`{key}`").alias("__key"), "__class"
-    )
-    first = classed.where(F.col("__key").eqNullSafe(F.col("__class"))).select("__key").distinct()
-    # rows that share the first key are cut to one
-    picked = docs.join(first, F.col(f"`{key}`").eqNullSafe(F.col("__key"))).drop("__key")
-    several = picked.groupBy(F.col(f"`{key}`").alias("__key")).count().where("count > 1")
-    if several.isEmpty():
-        return picked
-    return picked.groupBy(F.col(f"`{key}`").alias("__k")).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in [key, text, *others]])).alias("r")).select(
-        *[F.col(f"r.`{c}`").alias(c) for c in docs.columns]
+    """One document of each class: that with the least key, and among equals the least row.
+
+    A row without a key comes after those that have one. Classes are told apart by their
+    component, not by the key, so rows of one key but of different classes all stay. Rows
+    without words are one class only if both key and text are equal.
+    """
+    named, roots = _rooted(docs, text)
+    own = F.col("__words")
+    placed = named.join(roots, "__node", "left").select(
+        F.when(own, F.coalesce("__root", "__node")).alias("__root"),
+        F.when(~own, F.col(f"`{key}`")).alias("__key"),
+        F.when(~own, F.col(f"`{text}`")).alias("__text"),
+        F.struct(F.col(f"`{key}`").isNull().alias("__no_key"), *[F.col(f"`{c}`") for c in [key, text, *(c for c in docs.columns if c not in (text, key))]]).alias("__row"),
     )
+    first = placed.groupBy("__root", "__key", "__text").agg(F.min("__row").alias("r"))
+    return first.select(*[F.col(f"r.`{c}`").alias(c) for c in docs.columns])

@@ -159,6 +159,18 @@ def test_near_duplicates(docs):
     assert sorted(r.doc_id for r in first.collect()) == sorted({c for _, c in true_classes(docs.collect())})
 
 
+def test_one_document_of_each_class_whatever_the_ids(spark):
+    texts = [" ".join(made_words(300 + n, 60)) for n in range(6)]
+    near = texts[5].split()
+    near[59] = "changed"
+    rows = [(None, t) for t in texts[:3]] + [(None, texts[0]), (None, texts[4]), (3, texts[4]), (9, texts[4])]
+    rows += [(5, texts[5]), (7, " ".join(near)), (7, texts[3]), (None, ""), (None, ""), (None, " "), (7, ""), (7, None)]
+    docs = spark.createDataFrame([(k, t, "en", None, 0) for k, t in rows], DOCS)
+    got = Counter((r.doc_id, r.text) for r in bagminhash.keep_first(docs).collect())
+    want = [(None, t) for t in texts[:3]] + [(3, texts[4]), (5, texts[5]), (7, texts[3]), (None, ""), (None, " "), (7, ""), (7, None)]
+    assert got == Counter(want)
+
+
 @pytest.mark.parametrize("most", [1, 4])
 def test_large_mixed_buckets(docs, monkeypatch, most):
     monkeypatch.setattr(bagminhash, "SMALL_BUCKET", most)
