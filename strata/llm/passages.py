@@ -5,14 +5,19 @@ values form a Cartesian tree, whose nodes are compact windows (l, c, r): every p
 begins in [l, c] and ends in [c, r] has its least value at c. Windows too short for a
 passage are left out, so there are about two windows per passage length and function.
 
-Windows of different places with the same function and value are joined: those with the
-same shingles before c to the least of them, those with the same shingles after it likewise,
-and the least ones to the least of all, so a value shared by g windows makes at most 4 g
-joins. A repeated passage lies on one side of c by half its length or more. For a pair of texts each
-join is a rectangle of passage begins, [.., ..] in one text and in the other; points in
-rectangles of at least ``AGREEING`` functions are passages to verify, which is done by the
-shingles' Jaccard similarity. A verified pair grows on both sides as long as the words
-agree.
+Windows of different places with the same function and value meet in two rounds. First those
+with the same shingles before c are joined to the least of them, those with the same shingles
+after it likewise, and the least ones to the least of all, so a value shared by g windows makes
+at most 4 g joins. For a pair of texts each join is a rectangle of passage begins, [.., ..] in
+one text and in the other; points in rectangles of at least ``AGREEING`` functions are passages
+to verify, which is done by the shingles' Jaccard similarity. A verified pair grows on both sides as
+long as the words agree.
+
+Then, for the first function and after it for the others, all windows of a value are compared inside tasks, but for those pairs
+that can add nothing: of one component, and with all their passages found. Here one function
+is enough. A value of too many windows for a task is dealt into parts, and every
+two parts meet in a task of their own. Only passages that join texts or are new leave a
+task, to be verified and grown like the others.
 
 Equal texts are one text of several copies; all its words are then repeated if they are enough for a passage.
 
@@ -43,6 +48,8 @@ AGREEING = 2
 SIMILAR = (4, 5)
 #: Shingles on one side of c that tell windows of one value apart: half a passage.
 AROUND = SPAN // 2 - 1
+#: Windows of one value that one task compares, on each side.
+PART_WINDOWS = 2_000
 
 _U64 = np.uint64
 _SEED = _U64(0xD6E8FEB86659FD93)
@@ -131,14 +138,18 @@ def _windows(texts: DataFrame, keys_only: bool = False) -> DataFrame:
     return texts.select("u", "text").mapInArrow(run, schema)
 
 
-def _joined(texts: DataFrame) -> DataFrame:
-    """Rectangles of pairs of texts: ``a`` has the least window, ``b`` another one.
+def _shared(texts: DataFrame) -> DataFrame:
+    """Windows whose value occurs again.
 
     Windows are made twice, for their keys first: most keys are single, and keeping all
     windows would take more room than any later step.
     """
     seen = _windows(texts, keys_only=True).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    shared = stored(_windows(texts).join(seen, "key"), "windows")
+    return _windows(texts).join(seen, "key")
+
+
+def _joined(shared: DataFrame) -> DataFrame:
+    """Rectangles of pairs of texts: ``a`` has the least window, ``b`` another one."""
     window = F.struct("u", "c", "l", "r")
     own = (F.col("u") == F.col("m.u")) & (F.col("c") == F.col("m.c"))
     box = [F.col("m.u").alias("a"), F.col("u").alias("b"), "key", *[F.col(f"m.{x}").alias(f"{x}a") for x in "lcr"], *[F.col(x).alias(f"{x}b") for x in "lcr"]]
@@ -248,17 +259,200 @@ def _verified(candidates: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "points", "ta", "tb").mapInArrow(run, schema)
 
 
+def _sides(pairs: DataFrame) -> DataFrame:
+    """Spans found in each text."""
+    sides = pairs.select(F.col("a").alias("u"), F.col("begin_a").alias("begin"), F.col("end_a").alias("end")).unionByName(
+        pairs.select(F.col("b").alias("u"), F.col("begin_b").alias("begin"), F.col("end_b").alias("end"))
+    )
+    return sides.groupBy("u").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+
+
+def _open(shared: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Windows of the values that are not settled by the pairs: low and high are passage begins."""
+    roots = components(pairs.select("a", "b").distinct()).select(F.col("node").alias("u"), "root")
+    known = _sides(pairs).join(roots, "u", "left")
+    low, high = F.greatest("l", F.col("c") - SPAN + 1), F.least("c", F.col("r") - SPAN + 1)
+    windows = shared.select("key", "u", "c", low.alias("low"), high.alias("high"))
+    found = F.coalesce(F.expr(f"exists(spans, s -> s.begin <= low and s.end >= high + {SPAN})"), F.lit(False))
+    placed = windows.join(known, "u", "left").select("key", "u", "c", "low", "high", F.coalesce("root", "u").alias("root"), found.alias("found"))
+    parts = F.ceil(F.count(F.lit(1)) / PART_WINDOWS).cast("int").alias("parts")
+    state = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.bool_and("found").alias("all"), parts)
+    return placed.join(state.where("lo != hi or not all").select("key", "parts"), "key")
+
+
+def _first_places(grams: np.ndarray) -> np.ndarray:
+    """For each passage begin, the places of its distinct shingles."""
+    order = np.argsort(grams, kind="stable")
+    before = np.full(len(grams), -1)
+    same = grams[order[1:]] == grams[order[:-1]]
+    before[order[1:][same]] = order[:-1][same]
+    begins, places = np.arange(len(grams) - SPAN + 1)[:, None], np.arange(len(grams))
+    return (places >= begins) & (places < begins + SPAN) & (before < begins)
+
+
+def alike(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray) -> np.ndarray:
+    """Which passage begins of both windows' shingles are similar enough."""
+    sums = np.zeros((len(a), len(b) + 1), np.int32)
+    np.cumsum(a[:, None] == b, axis=1, out=sums[:, 1:])
+    less = of_a.astype(np.float32) @ (sums[:, SPAN:] > sums[:, :-SPAN]).astype(np.float32)
+    more = of_a.sum(axis=1)[:, None] + of_b.sum(axis=1) - less
+    return less * SIMILAR[1] >= more * SIMILAR[0]
+
+
+def _within_reach(hits: np.ndarray, sizes: np.ndarray, open_: np.ndarray) -> np.ndarray:
+    """Rows with an open passage of whose shingles enough may be in the other window."""
+    sums = np.zeros((len(hits), hits.shape[1] + 1), np.int16)
+    np.cumsum(hits, axis=1, out=sums[:, 1:])
+    return (open_ & ((sums[:, SPAN:] - sums[:, :-SPAN]) * SIMILAR[1] >= sizes * SIMILAR[0])).any(axis=1)
+
+
+def compared(texts: list[int], lows: list[int], roots: list[int], found: list[bool], parts: list[int], grams: list[np.ndarray], across: bool) -> list[tuple[int, int, list[int]]]:
+    """Pairs of one value's windows, and begins of passages, that join texts or are new.
+
+    ``across`` tells that only windows of different parts are to meet.
+    """
+    count, width = len(grams), 2 * SPAN - 1
+    names, codes = np.unique(np.concatenate(grams), return_inverse=True)
+    lengths = np.array([len(g) for g in grams])
+    table = np.full((count, width), len(names), np.int32)
+    table[np.arange(width) < lengths[:, None]] = codes
+    firsts = [_first_places(table[n, : lengths[n]]) for n in range(count)]
+    sizes = np.full((count, SPAN), 2 * width)
+    open_ = np.zeros((count, SPAN), bool)
+    for n, f in enumerate(firsts):
+        sizes[n, : len(f)] = f.sum(axis=1)
+        open_[n, : len(f)] = not found[n]
+    own, part, text = np.unique(roots, return_inverse=True)[1], np.array(parts), np.array(texts)
+    every = np.arange(SPAN) <= (lengths - SPAN)[:, None]
+    least = sizes.min(axis=1)
+    inside, number = np.zeros(len(names) + 1, bool), np.zeros(len(names) + 1, np.int64)
+    pairs = []
+    for n in range(1, count):
+        some = (own[:n] != own[n]) | open_[:n].any(axis=1) | open_[n].any()
+        some = np.flatnonzero(some & (part[:n] != part[n])) if across else np.flatnonzero(some)
+        if not len(some):
+            continue
+        mine = table[n, : lengths[n]]
+        # similar passages have four fifths of the larger one's shingles in common
+        inside[mine] = True
+        some = some[inside[table[some]].sum(axis=1) * SIMILAR[1] >= np.maximum(least[some], least[n]) * SIMILAR[0]]
+        inside[mine] = False
+        if not len(some):
+            continue
+        kinds, kind = np.unique(mine, return_inverse=True)
+        number[kinds] = np.arange(1, len(kinds) + 1)
+        at = number[table[some]]
+        number[kinds] = 0
+        hit = np.zeros((len(some), len(kinds) + 1), bool)
+        hit[np.arange(len(some))[:, None], at] = True
+        back = np.zeros((len(some), width), bool)
+        back[:, : lengths[n]] = hit[:, 1 + kind]
+        apart = (own[some] != own[n])[:, None]
+        good = _within_reach(at > 0, sizes[some], open_[some] | apart & every[some]) | _within_reach(back, sizes[n], open_[n] | apart & every[n])
+        nearest = np.argsort(-(at > 0).sum(axis=1), kind="stable")
+        for m in some[nearest[good[nearest]]].tolist():
+            if own[m] == own[n] and not (open_[m].any() or open_[n].any()):
+                continue
+            ok = alike(table[m, : lengths[m]], mine, firsts[m], firsts[n])
+            if text[m] == text[n]:
+                ok &= np.abs(lows[m] + np.arange(ok.shape[0])[:, None] - lows[n] - np.arange(ok.shape[1])) >= SPAN
+            if not ok.any():
+                continue
+            # the commonest shift first, so that points fall on few diagonals
+            i, j = np.nonzero(ok)
+            shifts, counts = np.unique(j - i, return_counts=True)
+            order = np.argsort(-counts[np.searchsorted(shifts, j - i)], kind="stable")
+            i, j = i[order], j[order]
+            new = np.zeros(len(i), bool)
+            new[np.unique(i, return_index=True)[1]] = True
+            new &= open_[m][i]
+            other = np.zeros(len(i), bool)
+            other[np.unique(j, return_index=True)[1]] = True
+            new |= other & open_[n][j]
+            if own[m] != own[n]:
+                new[0] = True
+                own[own == own[m]] = own[n]
+            open_[m][i], open_[n][j] = False, False
+            if new.any():
+                pairs.append((m, n, np.stack([i[new] + lows[m], j[new] + lows[n]], axis=1).ravel().tolist()))
+    return pairs
+
+
+_PLACED = ["key", "x", "y", "part", "u", "root", "found", "low"]
+
+
+def _compared(windows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Passages to verify of the pairs of windows of one value, each two of which meet."""
+    fields = ["key", "parts", "root", "found", "c", "low", "high"]
+    lists = windows.groupBy("u").agg(F.collect_list(F.struct(*fields)).alias("windows")).join(texts.select("u", "text"), "u")
+    whole = T.StructType([*_long("key"), T.StructField("parts", T.IntegerType()), *_long("u", "root"), T.StructField("found", T.BooleanType()), *_long("low"), T.StructField("grams", T.ArrayType(T.LongType()))])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(1)
+            places = column.offsets.to_numpy()
+            for row, end, data, offsets in text_blocks(batch.column(2)):
+                grams, firsts, _ = shingles_of(data, offsets)
+                held = dict(zip(fields, column.values.slice(places[row], places[end] - places[row]).flatten()))
+                owner = np.repeat(np.arange(row, end), np.diff(places[row : end + 1]))
+                low, counts = held["low"].to_numpy(), held["high"].to_numpy() - held["low"].to_numpy() + SPAN
+                for at in range(0, len(owner), 4096):
+                    s = slice(at, at + 4096)
+                    taken = grams[ragged(firsts[owner[s] - row] + low[s], counts[s])].view(np.int64)
+                    values = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts[s])), pa.int32()), pa.array(taken))
+                    kept = {n: held[n].slice(at, 4096) for n in ("key", "parts", "root", "found")}
+                    yield pa.RecordBatch.from_arrays([kept["key"], kept["parts"], batch.column(0).take(pa.array(owner[s])), kept["root"], kept["found"], pa.array(low[s].astype(np.int64)), values], whole.names)
+
+    own = lists.select("u", "windows", "text").mapInArrow(cut, whole)
+    placed = own.withColumn("part", F.pmod(F.xxhash64("u", "low"), F.col("parts")).cast("int"))
+    met = placed.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+    met = met.withColumns({"x": F.least("part", "other"), "y": F.greatest("part", "other")}).select(*_PLACED, "grams")
+    schema = T.StructType(_long("a", "b") + [T.StructField("points", T.ArrayType(T.LongType()))])
+
+    def link(held: list[tuple], across: bool) -> pa.RecordBatch:
+        part, u, root, found, low, grams = zip(*held)
+        pairs = compared(list(u), list(low), list(root), list(found), list(part), list(grams), across)
+        return pa.RecordBatch.from_arrays([pa.array([u[p[k]] for p in pairs], pa.int64()) for k in (0, 1)] + [pa.array([p[2] for p in pairs], pa.list_(pa.int64()))], schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        group = None
+        for batch in batches:
+            lists = batch.column(len(_PLACED))
+            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            for row, (key, x, y, *rest) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(len(_PLACED))))):
+                if (key, x, y) != group:
+                    if len(held) > 1:
+                        yield link(held, group[1] != group[2])
+                    group, held = (key, x, y), []
+                held.append((*rest, values[offsets[row] : offsets[row + 1]].copy()))
+        if len(held) > 1:
+            yield link(held, group[1] != group[2])
+
+    return met.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, schema)
+
+
+def _passages(texts: DataFrame) -> DataFrame:
+    """Verified passages of pairs of texts: those of least windows, then all that are not settled by them."""
+    shared = stored(_shared(texts), "windows")
+    pairs = stored(_verified(stored(_candidates(_joined(shared)), "candidates"), texts), "passages")
+    function = F.col("key").bitwiseAND(F.lit(_FUNCTION))
+    # one function finds all equal passages, so the others have less left to compare
+    for some in (function == 0, function > 0):
+        left = _open(shared.where(some), pairs)
+        found = stored(_verified(stored(_compared(left, texts), "candidates"), texts), "passages")
+        pairs = pairs.unionByName(found)
+    return pairs
+
+
 def find(docs: DataFrame, text: str = "text", key: str = "doc_id", keep_text: bool = True) -> DataFrame:
     """Documents with ``n_words``, ``n_repeated_words``, ``spans`` (of words) and ``class_id``."""
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     named = docs.withColumn("__u", F.xxhash64(whole))
     texts = stored(named.groupBy(F.col("__u").alias("u")).agg(F.first(whole).alias("text"), F.count(F.lit(1)).alias("copies"), F.min(F.col(f"`{key}`")).alias("least")), "texts")
-    pairs = stored(_verified(stored(_candidates(_joined(texts)), "candidates"), texts), "passages")
+    pairs = _passages(texts)
     roots = components(pairs.select("a", "b").distinct()).select(F.col("node").alias("u"), "root")
-    sides = pairs.select(F.col("a").alias("u"), F.col("begin_a").alias("begin"), F.col("end_a").alias("end")).unionByName(
-        pairs.select(F.col("b").alias("u"), F.col("begin_b").alias("begin"), F.col("end_b").alias("end"))
-    )
-    spans = sides.groupBy("u").agg(F.collect_set(F.struct("begin", "end")).alias("__spans"))
+    spans = _sides(pairs).withColumnRenamed("spans", "__spans")
     placed = texts.select("u", "copies", "least").join(roots, "u", "left").withColumn("root", F.coalesce("root", "u"))
     classes = placed.groupBy("root").agg(F.min("least").alias("__class"))
     found = placed.join(classes, "root").select("u", "copies", "__class").join(spans, "u", "left")

@@ -386,10 +386,57 @@ def test_passages(docs):
             assert len({got[rows[n].doc_id][0].class_id for n, _ in places}) == 1
     # a passage whose only equal is not the least window of its value may be missed
     assert len(found) > 500 and np.mean(found) > 0.95, np.mean(found)
+    # as all windows of a value meet, none is missed
+    assert all(found)
     alone = [r for r in rows if r.text and len(words_of(r.text)) == 6000]
     assert all(not got[r.doc_id][0].spans and got[r.doc_id][0].class_id == r.doc_id for r in alone)
 
 
+def test_all_exact_repeats_amid_boilerplate(spark, monkeypatch):
+    """Repeats whose first 40 words are boilerplate of other texts, so that no window of theirs is a least one."""
+    common, texts, want = made_words(50, 40), [], []
+    for n in range(60):
+        tail = made_words(2000 + n, 10)
+        for copy in range(2):
+            front, back = made_words(3000 + 2 * n + copy, 60), made_words(4000 + 2 * n + copy, 60)
+            texts.append(" ".join(front + common + tail + back))
+            want.append((60, 110))
+    texts += [" ".join(made_words(6000 + n, 60) + common + made_words(7000 + n, 70)) for n in range(40)]
+    docs = spark.createDataFrame([(n, t, "en", None, 0) for n, t in enumerate(texts)], DOCS)
+    for most in (2_000, 7):
+        monkeypatch.setattr(passages, "PART_WINDOWS", most, raising=False)
+        got = {r.doc_id: r for r in passages.find(docs).collect()}
+        lost = [n for n, (x, y) in enumerate(want) if not any(s.begin <= x and y <= s.end for s in got[n].spans)]
+        assert not lost and all(got[n].class_id == got[n ^ 1].class_id for n in range(len(want)))
+
+
+def test_compared_windows_are_those_that_all_pairs_give():
+    pick = np.random.default_rng(4)
+    base = pick.integers(0, 10**9, 91)
+    grams = []
+    for n in range(30):
+        one = np.where(np.arange(91) < 30 + 3 * (n % 20), base, pick.integers(0, 10**9, 91))
+        one[pick.integers(0, 91, pick.integers(0, 4))] = n
+        one[45] = base[45]
+        grams.append(one[pick.integers(0, 20) : 91 - pick.integers(0, 20)])
+
+    def passage(n, i):
+        return set(grams[n][i : i + passages.SPAN].tolist())
+
+    want, starts = set(), [len(g) - passages.SPAN + 1 for g in grams]
+    for n in range(30):
+        for m in range(n):
+            for i in range(starts[m]):
+                for j in range(starts[n]):
+                    x, y = passage(m, i), passage(n, j)
+                    if 5 * len(x & y) >= 4 * len(x | y):
+                        want |= {(m, i), (n, j)}
+    count = list(range(30))
+    found = passages.compared(count, [0] * 30, count, [False] * 30, [0] * 30, grams, False)
+    got = {p for m, n, points in found for i, j in zip(points[::2], points[1::2]) for p in ((m, i), (n, j))}
+    assert len(want) > 50 and got == want
+
+
 def test_language_and_quality(spark):
     pick = random.Random(8)
     lists = {"en": "the of and this house water with that over".split(), "fr": "le les des maison eau avec être où été".split()}
