@@ -1,4 +1,4 @@
-"""The ten operators over the test tables, and the SQL of those that SQL can express."""
+"""The operators over the test tables, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bagminhash, contamination, language, lexicon, packing, passages, quality, repeats, rules, sampling, warc
+from strata.llm import bagminhash, contamination, gramjoin, language, lexicon, packing, passages, quality, repeats, rules, sampling, warc
 from strata.llm.store import ship_package
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -89,6 +89,11 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents", "doc_id", "text"), VOCABULARY, digests=True)
 
 
+@_query
+def op12_gramjoin(spark: SparkSession, folder: str) -> DataFrame:
+    return gramjoin.join(_table(spark, folder, "documents", "doc_id", "text"), keep_text=False)
+
+
 _OP3 = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
 _STOPS = ", ".join(f"'{w}'" for w in sorted({w for many in rules.STOP_WORDS.values() for w in many}))
@@ -158,3 +163,20 @@ WITH payloads AS (
 )
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM linked
 """
+
+ORACLE_SQL["op12_gramjoin"] = rf"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+') AS words FROM documents
+), sets AS (
+  SELECT DISTINCT row, array_to_string(list_slice(words, i, i + {gramjoin.SHINGLE - 1}), ' ') AS gram
+  FROM (SELECT row, words, unnest(range(1, greatest(len(words) - {gramjoin.SHINGLE - 2}, 2))) AS i FROM docs WHERE len(words) > 0)
+), sizes AS (SELECT row, count(*) AS n FROM sets GROUP BY row), links AS (
+  SELECT a.row AS a, b.row AS b FROM sets a JOIN sets b ON a.gram = b.gram AND a.row != b.row
+  JOIN sizes m ON m.row = a.row JOIN sizes n ON n.row = b.row
+  GROUP BY a.row, b.row, m.n, n.n HAVING 100 * count(*) >= 85 * (m.n + n.n - count(*))
+), reach(row, other) AS (
+  SELECT row, row FROM docs UNION SELECT r.row, l.b FROM reach r JOIN links l ON r.other = l.a
+)
+SELECT d.doc_id, cast(coalesce(any_value(s.n), 0) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id
+FROM docs d LEFT JOIN sizes s USING (row) JOIN reach r ON r.row = d.row JOIN docs o ON o.row = r.other GROUP BY d.row, d.doc_id
+"""
