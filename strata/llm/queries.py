@@ -8,10 +8,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bagminhash, contamination, gramjoin, language, lexicon, packing, passages, quality, repeats, rules, sampling, warc
+from strata.llm import alignment, bagminhash, contamination, gramjoin, language, lexicon, packing, passages, quality, repeats, rules, sampling, warc
 from strata.llm.store import ship_package
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -89,6 +90,11 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents", "doc_id", "text"), VOCABULARY, digests=True)
 
 
+@_query
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(_table(spark, folder, "documents", "doc_id", "text"), VOCABULARY, PIECES, digests=True)
+
+
 @_query
 def op12_gramjoin(spark: SparkSession, folder: str) -> DataFrame:
     return gramjoin.join(_table(spark, folder, "documents", "doc_id", "text"), keep_text=False)
