@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import alignment, bagminhash, contamination, gramjoin, language, lexicon, packing, passages, quality, repeats, rules, sampling, warc
+from strata.llm import alignment, bagminhash, contamination, gramjoin, language, lexicon, packing, passages, prefixtrie, quality, repeats, rules, sampling, warc
 from strata.llm.store import ship_package
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -100,6 +100,11 @@ def op12_gramjoin(spark: SparkSession, folder: str) -> DataFrame:
     return gramjoin.join(_table(spark, folder, "documents", "doc_id", "text"), keep_text=False)
 
 
+@_query
+def op13_prefixtrie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixtrie.trie(prefixtrie.reassembled(_table(spark, folder, "conversations", "conv_id", "turn", "role", "text")))
+
+
 _OP3 = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
 _STOPS = ", ".join(f"'{w}'" for w in sorted({w for many in rules.STOP_WORDS.values() for w in many}))
@@ -186,3 +191,45 @@ WITH RECURSIVE docs AS (
 SELECT d.doc_id, cast(coalesce(any_value(s.n), 0) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id
 FROM docs d LEFT JOIN sizes s USING (row) JOIN reach r ON r.row = d.row JOIN docs o ON o.row = r.other GROUP BY d.row, d.doc_id
 """
+
+ORACLE_SQL["op13_prefixtrie"] = f"""
+WITH RECURSIVE ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL), crc(c, bit, v) AS (
+  SELECT c, 0, 4294967295 FROM ids
+  UNION ALL
+  SELECT c, bit + 1, CASE WHEN w & 1 = 1 THEN xor(w >> 1, 3988292384) ELSE w >> 1 END
+  FROM (SELECT c, bit, CASE WHEN bit % 8 = 0 THEN xor(v, ord(substr(cast(c AS VARCHAR), bit // 8 + 1, 1))) ELSE v END AS w
+        FROM crc WHERE bit < 8 * length(cast(c AS VARCHAR)))
+), shared AS (
+  SELECT c, xor(v, 4294967295) % {prefixtrie.SHARED} AS h FROM crc WHERE bit = 8 * length(cast(c AS VARCHAR))
+), own AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos,
+    coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), rebuilt AS (
+  SELECT s.c, 0 AS part, pos, role, text FROM shared s JOIN own o ON o.c = s.c - s.c % {prefixtrie.GROUP} AND o.pos < s.h
+  UNION ALL SELECT s.c, 1, pos, role, text FROM shared s JOIN own o ON o.c = s.c AND o.pos >= s.h
+), turns AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS depth, role, text FROM rebuilt
+), places AS (
+  SELECT c, 0 AS depth, '' AS name, 0 AS size FROM ids
+  UNION ALL
+  SELECT c, depth, string_agg(md5(length(role) || ':' || role || text), '/') OVER (PARTITION BY c ORDER BY depth), strlen(text) FROM turns
+), nodes AS (
+  SELECT depth, name, min(c) AS conv_id, count(*) AS n_convs, max(size) AS size FROM places GROUP BY depth, name
+), placed AS (
+  SELECT p.c, p.depth, n.conv_id, p.depth = max(p.depth) OVER (PARTITION BY p.c) AS ends FROM places p JOIN nodes n USING (depth, name)
+), linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id FROM nodes n LEFT JOIN placed p ON p.c = n.conv_id AND p.depth = n.depth - 1
+), children AS (
+  SELECT depth - 1 AS depth, parent_conv_id AS conv_id, count(*) AS n FROM linked WHERE depth > 0 GROUP BY ALL
+), figures AS (
+  SELECT l.*, coalesce(c.n, 0) AS n_children FROM linked l LEFT JOIN children c ON c.depth = l.depth AND c.conv_id = l.conv_id
+), totals AS (
+  SELECT p.depth, p.conv_id, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * size) AS saved
+  FROM figures f JOIN placed p ON p.c = f.conv_id AND p.depth <= f.depth GROUP BY ALL
+), ends AS (
+  SELECT depth, conv_id, sha256(string_agg(cast(c AS VARCHAR), ',' ORDER BY c)) AS digest FROM placed WHERE ends GROUP BY ALL
+)
+SELECT f.conv_id, cast(f.depth AS BIGINT) AS depth, f.parent_conv_id, cast(f.n_convs AS BIGINT) AS n_convs, cast(f.n_children AS BIGINT) AS n_children,
+  cast(t.n_leaves AS BIGINT) AS n_leaves, cast(t.saved AS BIGINT) AS saved_tokens, coalesce(e.digest, sha256('')) AS ends_sha256
+FROM figures f JOIN totals t ON t.depth = f.depth AND t.conv_id = f.conv_id LEFT JOIN ends e ON e.depth = f.depth AND e.conv_id = f.conv_id
+"""
