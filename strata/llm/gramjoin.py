@@ -9,8 +9,8 @@ slices that hold anything for this to be certain is sliced anew by another hash.
 
 Inside a tile, size and hashed bitmaps come first: where two bitmaps differ in b bits, the
 sets differ in at least b shingles, so the overlap is at most (m + n - b) / 2. Only pairs that
-pass are intersected exactly, as sorted arrays. All members are first held against their
-tile's least member; tiles that then still hold several components are compared inside
+pass are intersected exactly, as sorted arrays. Every set is first held against one tile's least
+member, the one it shares most tiles with; tiles that then still hold several components are compared inside
 tasks, which look at pairs of different components only. A tile too large for a task is dealt
 into parts, every two of which meet in a task of their own. No link is lost on the way.
 
@@ -360,7 +360,9 @@ def _links(marked: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     marks = stored(own.join(members.select("node").distinct(), "node").dropDuplicates(["node"]), "marks")
     sets = stored(_sets(members, marked, docs, text), "sets")
     centres = members.groupBy("tile").agg(F.min("node").alias("b"))
-    stars = members.join(centres, "tile").where("node != b").select(F.col("node").alias("a"), "b").distinct()
+    shared = members.join(centres, "tile").where("node != b").groupBy("node", "b").agg(F.count(F.lit(1)).alias("n"))
+    # the one centre that shares most tiles with a node; its other tiles are looked at below
+    stars = shared.groupBy(F.col("node").alias("a")).agg(F.max(F.struct("n", "b")).alias("most")).select("a", F.col("most.b").alias("b"))
     links = stored(_intersected(_bounded(stars, marks), sets), "links")
     roots = stored(components(links), "roots")
     dealt = stored(_dealt(members, roots, marks), "dealt")
