@@ -288,26 +288,42 @@ def _overlap(x: np.ndarray, y: np.ndarray) -> int:
     return len(np.intersect1d(x, y, assume_unique=True))
 
 
-def tile_links(roots: list[bytes], bitmaps: list[bytes], sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links of one tile's members, as few as join all components that its links join."""
-    own, counts = np.unique(np.array([r.hex() for r in roots]), return_inverse=True, return_counts=True)[1:]
-    # members of the largest component first: they need no comparison among themselves
-    order = np.lexsort((own, -counts[own]))
-    own, sizes = own[order], np.array([len(sets[k]) for k in order])
-    width = min(len(b) for b in bitmaps)
-    marks = np.stack([folded(bitmaps[k], width) for k in order])
-    found = []
-    for n in range(int(counts.max()), len(own)):
-        near = np.flatnonzero((own[:n] != own[n]) & enough(np.minimum(sizes[:n], sizes[n]), sizes[:n] + sizes[n]))
-        if not len(near):
-            continue
-        bits = np.bitwise_count(marks[near] ^ marks[n]).sum(axis=1).astype(np.int64)
-        near = near[enough(most_overlap(sizes[near], sizes[n], bits), sizes[near] + sizes[n])]
-        for m in near.tolist():
-            if own[m] != own[n] and enough(np.int64(_overlap(sets[order[m]], sets[order[n]])), sizes[m] + sizes[n]):
-                found.append((int(order[m]), int(order[n])))
-                own[own == own[m]] = own[n]
-    return found
+class Tile:
+    """One tile's members, those of its largest component first: they need no comparison among themselves."""
+
+    def __init__(self, roots: list[bytes], sizes: list[int], bitmaps: list[bytes]) -> None:
+        own, counts = np.unique(np.array([r.hex() for r in roots]), return_inverse=True, return_counts=True)[1:]
+        self.order = np.lexsort((own, -counts[own]))
+        self.first = int(counts.max())
+        self.own, self.sizes = own[self.order], np.array(sizes)[self.order]
+        width = min(len(b) for b in bitmaps)
+        self.marks = np.stack([folded(bitmaps[k], width) for k in self.order])
+
+    def near(self, n: int) -> np.ndarray:
+        """Earlier members of other components that size and bitmap allow to be similar."""
+        sizes = self.sizes
+        near = np.flatnonzero((self.own[:n] != self.own[n]) & enough(np.minimum(sizes[:n], sizes[n]), sizes[:n] + sizes[n]))
+        bits = np.bitwise_count(self.marks[near] ^ self.marks[n]).sum(axis=1).astype(np.int64)
+        return near[enough(most_overlap(sizes[near], sizes[n], bits), sizes[near] + sizes[n])]
+
+    def worth_a_look(self) -> np.ndarray:
+        """Members that may be similar to one of another component, by their bitmaps."""
+        found = np.zeros(len(self.own), bool)
+        for n in range(self.first, len(self.own)):
+            near = self.near(n)
+            found[near] = True
+            found[n] |= len(near) > 0
+        return self.order[found]
+
+    def links(self, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        """Links, as few as join all components that the tile's links join."""
+        own, order, sizes, found = self.own, self.order, self.sizes, []
+        for n in range(self.first, len(own)):
+            for m in self.near(n).tolist():
+                if own[m] != own[n] and enough(np.int64(_overlap(sets[order[m]], sets[order[n]])), sizes[m] + sizes[n]):
+                    found.append((int(order[m]), int(order[n])))
+                    own[own == own[m]] = own[n]
+        return found
 
 
 def _dealt(members: DataFrame, roots: DataFrame, marks: DataFrame) -> DataFrame:
@@ -325,32 +341,59 @@ def _dealt(members: DataFrame, roots: DataFrame, marks: DataFrame) -> DataFrame:
     return met.select("tile", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "node", "root")
 
 
-def _within(dealt: DataFrame, marks: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links of different components inside tiles."""
-    rows = dealt.join(marks.select("node", "bitmap"), "node").join(sets, "node").select("tile", "x", "y", "node", "root", "bitmap", "grams")
+_MEMBER = T.StructType([T.StructField("tile", T.LongType()), T.StructField("x", T.IntegerType()), T.StructField("y", T.IntegerType()), T.StructField("node", T.BinaryType()), T.StructField("root", T.BinaryType())])
 
-    def link(held: list[tuple]) -> pa.RecordBatch:
-        nodes, roots, bitmaps, sets_ = zip(*held)
-        pairs = tile_links(list(roots), list(bitmaps), list(sets_))
-        return pa.RecordBatch.from_arrays([pa.array([nodes[p[k]] for p in pairs], pa.binary()) for k in (0, 1)], _PAIR.names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        tile = None
-        for batch in batches:
-            lists = batch.column(6)
-            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-            for row, (*place, node, root, bitmap) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(6)))):
-                if place != tile:
-                    if len(held) > 1:
-                        yield link(held)
-                    tile, held = place, []
+_MEMBER_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+
+
+def _groups(batches: Iterator[pa.RecordBatch], sets: bool) -> Iterator[tuple[list, list[tuple], list[np.ndarray]]]:
+    """Each tile's place and members (node, root, size, bitmap), with their sets if they are there."""
+    held, arrays, tile = [], [], None
+    for batch in batches:
+        if sets:
+            offsets, values = batch.column(7).offsets.to_numpy(), batch.column(7).values.to_numpy()
+        for row, (*place, node, root, size, bitmap) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(7)))):
+            if place != tile:
+                if len(held) > 1:
+                    yield tile, held, arrays
+                tile, held, arrays = place, [], []
+            held.append((node, root, size, bitmap))
+            if sets:
                 # a copy, so that a tile held on to does not keep its batches
-                held.append((node, root, bitmap, values[offsets[row] : offsets[row + 1]].copy()))
-        if len(held) > 1:
-            yield link(held)
+                arrays.append(values[offsets[row] : offsets[row + 1]].copy())
+    if len(held) > 1:
+        yield tile, held, arrays
+
+
+def _by_tile(members: DataFrame) -> DataFrame:
+    return members.repartition("tile", "x", "y").sortWithinPartitions("tile", "x", "y", "node")
+
+
+def _looked_at(dealt: DataFrame, marks: DataFrame) -> DataFrame:
+    """Members of tiles that their bitmaps do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for place, held, _ in _groups(batches, sets=False):
+            _, roots, sizes, bitmaps = zip(*held)
+            kept = [(*place, *held[k][:2]) for k in Tile(roots, sizes, bitmaps).worth_a_look().tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*kept), _MEMBER_TYPES)] if kept else [pa.array([], t) for t in _MEMBER_TYPES], _MEMBER.names)
+
+    rows = dealt.join(marks.select("node", "n", "bitmap"), "node")
+    return _by_tile(rows.select("tile", "x", "y", "node", "root", "n", "bitmap")).mapInArrow(run, _MEMBER)
+
+
+def _within(near: DataFrame, marks: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of different components inside tiles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, held, arrays in _groups(batches, sets=True):
+            nodes, roots, sizes, bitmaps = zip(*held)
+            pairs = Tile(roots, sizes, bitmaps).links(arrays)
+            yield pa.RecordBatch.from_arrays([pa.array([nodes[p[k]] for p in pairs], pa.binary()) for k in (0, 1)], _PAIR.names)
 
-    return rows.repartition("tile", "x", "y").sortWithinPartitions("tile", "x", "y", "node").mapInArrow(run, _PAIR)
+    rows = near.join(marks.select("node", "n", "bitmap"), "node").join(sets, "node")
+    return _by_tile(rows.select("tile", "x", "y", "node", "root", "n", "bitmap", "grams")).mapInArrow(run, _PAIR)
 
 
 def _links(marked: DataFrame, docs: DataFrame, text: str) -> DataFrame:
@@ -366,7 +409,8 @@ def _links(marked: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     links = stored(_intersected(_bounded(stars, marks), sets), "links")
     roots = stored(components(links), "roots")
     dealt = stored(_dealt(members, roots, marks), "dealt")
-    return links.unionByName(stored(_within(dealt, marks, sets), "links"))
+    near = stored(_looked_at(dealt, marks), "near")
+    return links.unionByName(stored(_within(near, marks, sets), "links"))
 
 
 def join(docs: DataFrame, text: str = "text", key: str = "doc_id", result: str = "component_id", keep_text: bool = True) -> DataFrame:
