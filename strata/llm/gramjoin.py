@@ -10,9 +10,10 @@ slices that hold anything for this to be certain is sliced anew by another hash.
 Inside a tile, size and hashed bitmaps come first: where two bitmaps differ in b bits, the
 sets differ in at least b shingles, so the overlap is at most (m + n - b) / 2. Only pairs that
 pass are intersected exactly, as sorted arrays. Every set is first held against one tile's least
-member, the one it shares most tiles with; tiles that then still hold several components are compared inside
-tasks, which look at pairs of different components only. A tile too large for a task is dealt
-into parts, every two of which meet in a task of their own. No link is lost on the way.
+member, the one it shares most tiles with. In tiles that then still hold several components, bitmaps
+are compared inside tasks; sets connected by pairs that these leave open are gathered,
+over all tiles, and intersected inside a task, but for pairs of one component. A group too large
+for a task is dealt into parts, every two of which meet in a task of their own. No link is lost on the way.
 
 Shingles are told apart by 64-bit hashes (words by 64-bit BLAKE2 first), sets by 128 bits.
 
@@ -306,14 +307,16 @@ class Tile:
         bits = np.bitwise_count(self.marks[near] ^ self.marks[n]).sum(axis=1).astype(np.int64)
         return near[enough(most_overlap(sizes[near], sizes[n], bits), sizes[near] + sizes[n])]
 
-    def worth_a_look(self) -> np.ndarray:
-        """Members that may be similar to one of another component, by their bitmaps."""
-        found = np.zeros(len(self.own), bool)
+    def chains(self) -> list[tuple[int, int]]:
+        """Pairs that bitmaps leave open, as few as connect all members that such pairs connect."""
+        found, label = [], np.arange(len(self.own))
         for n in range(self.first, len(self.own)):
             near = self.near(n)
-            found[near] = True
-            found[n] |= len(near) > 0
-        return self.order[found]
+            for joined, m in zip(*np.unique(label[near], return_index=True)):
+                if joined != label[n]:
+                    found.append((int(self.order[near[m]]), int(self.order[n])))
+                    label[label == joined] = label[n]
+        return found
 
     def links(self, sets: list[np.ndarray]) -> list[tuple[int, int]]:
         """Links, as few as join all components that the tile's links join."""
@@ -341,12 +344,6 @@ def _dealt(members: DataFrame, roots: DataFrame, marks: DataFrame) -> DataFrame:
     return met.select("tile", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "node", "root")
 
 
-_MEMBER = T.StructType([T.StructField("tile", T.LongType()), T.StructField("x", T.IntegerType()), T.StructField("y", T.IntegerType()), T.StructField("node", T.BinaryType()), T.StructField("root", T.BinaryType())])
-
-
-_MEMBER_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-
-
 def _groups(batches: Iterator[pa.RecordBatch], sets: bool) -> Iterator[tuple[list, list[tuple], list[np.ndarray]]]:
     """Each tile's place and members (node, root, size, bitmap), with their sets if they are there."""
     held, arrays, tile = [], [], None
@@ -370,20 +367,20 @@ def _by_tile(members: DataFrame) -> DataFrame:
     return members.repartition("tile", "x", "y").sortWithinPartitions("tile", "x", "y", "node")
 
 
-def _looked_at(dealt: DataFrame, marks: DataFrame) -> DataFrame:
-    """Members of tiles that their bitmaps do not rule out."""
+def _open_pairs(dealt: DataFrame, marks: DataFrame) -> DataFrame:
+    """Pairs of different components that bitmaps leave open, enough to connect all such members of a tile."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for place, held, _ in _groups(batches, sets=False):
-            _, roots, sizes, bitmaps = zip(*held)
-            kept = [(*place, *held[k][:2]) for k in Tile(roots, sizes, bitmaps).worth_a_look().tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*kept), _MEMBER_TYPES)] if kept else [pa.array([], t) for t in _MEMBER_TYPES], _MEMBER.names)
+        for _, held, _ in _groups(batches, sets=False):
+            nodes, roots, sizes, bitmaps = zip(*held)
+            pairs = Tile(roots, sizes, bitmaps).chains()
+            yield pa.RecordBatch.from_arrays([pa.array([nodes[p[k]] for p in pairs], pa.binary()) for k in (0, 1)], _PAIR.names)
 
     rows = dealt.join(marks.select("node", "n", "bitmap"), "node")
-    return _by_tile(rows.select("tile", "x", "y", "node", "root", "n", "bitmap")).mapInArrow(run, _MEMBER)
+    return _by_tile(rows.select("tile", "x", "y", "node", "root", "n", "bitmap")).mapInArrow(run, _PAIR)
 
 
-def _within(near: DataFrame, marks: DataFrame, sets: DataFrame) -> DataFrame:
+def _within(dealt: DataFrame, marks: DataFrame, sets: DataFrame) -> DataFrame:
     """Links of different components inside tiles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -392,7 +389,7 @@ def _within(near: DataFrame, marks: DataFrame, sets: DataFrame) -> DataFrame:
             pairs = Tile(roots, sizes, bitmaps).links(arrays)
             yield pa.RecordBatch.from_arrays([pa.array([nodes[p[k]] for p in pairs], pa.binary()) for k in (0, 1)], _PAIR.names)
 
-    rows = near.join(marks.select("node", "n", "bitmap"), "node").join(sets, "node")
+    rows = dealt.join(marks.select("node", "n", "bitmap"), "node").join(sets, "node")
     return _by_tile(rows.select("tile", "x", "y", "node", "root", "n", "bitmap", "grams")).mapInArrow(run, _PAIR)
 
 
@@ -409,8 +406,11 @@ def _links(marked: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     links = stored(_intersected(_bounded(stars, marks), sets), "links")
     roots = stored(components(links), "roots")
     dealt = stored(_dealt(members, roots, marks), "dealt")
-    near = stored(_looked_at(dealt, marks), "near")
-    return links.unionByName(stored(_within(near, marks, sets), "links"))
+    # sets that open pairs connect, over all tiles: each is sent once, whatever the number of its tiles
+    clusters = components(stored(_open_pairs(dealt, marks), "open"))
+    gathered = stored(clusters.select(F.xxhash64("root").alias("tile"), "node"), "gathered")
+    again = stored(_dealt(gathered, roots, marks), "dealt")
+    return links.unionByName(stored(_within(again, marks, sets), "links"))
 
 
 def join(docs: DataFrame, text: str = "text", key: str = "doc_id", result: str = "component_id", keep_text: bool = True) -> DataFrame:
