@@ -205,8 +205,9 @@ def trie(turns: DataFrame) -> DataFrame:
     key = ["pos", "trie", "name"]
     lengths = named.groupBy("conv").agg(F.max("pos").alias("deep"))
     ended = named.join(lengths, "conv").withColumn("ends", F.col("pos") == F.col("deep"))
-    nodes = named.groupBy(*key).agg(F.min("conv").alias("least"), F.count(F.lit(1)).alias("n_convs"), F.max("size").alias("size"))
-    placed = stored(ended.join(nodes.drop("size"), key), "placed")
+    # stored, so that its join is between two shuffles, of which a hot node's can be split
+    nodes = stored(named.groupBy(*key).agg(F.min("conv").alias("least"), F.count(F.lit(1)).alias("n_convs")), "nodes")
+    placed = stored(ended.join(nodes, key), "placed")
     # a node's own figures stand in the row of its least member
     own = F.col("conv") == F.col("least")
     # nobody goes on behind a leaf
