@@ -36,12 +36,12 @@ from strata.llm.store import stored
 from strata.llm.textops import ragged, text_blocks
 
 #: Links and texts after which a container is closed; ordinals of texts take 16 bits.
-CONTAINER_LINKS = 12_000_000
+CONTAINER_LINKS = 8_000_000
 CONTAINER_TEXTS = 1 << 16
 #: Id pairs of one stored row.
 SEGMENT_PAIRS = 1 << 16
 #: Bytes of different words that a task remembers, and that it encodes at once.
-MEMORY_BYTES = 160 << 20
+MEMORY_BYTES = 96 << 20
 RUN_BYTES = 1 << 16
 
 _SPACE = 0x20
