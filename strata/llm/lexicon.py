@@ -33,7 +33,8 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from strata.llm.textops import map_texts, prefix_hash, ragged, span_hash, text_blocks
+from strata.llm.store import stored
+from strata.llm.textops import map_texts, ragged, text_blocks
 
 #: Words that the automaton holds at most, and words a task counts at a time.
 LEXICON_WORDS = 60_000
@@ -252,12 +253,35 @@ def merge_one(word: bytes, vocabulary: Vocabulary) -> list[int]:
     return [i for i in ids if i >= 0]
 
 
+_PLACE_BITS = 22
+_RUN_BYTES = 1 << (_PLACE_BITS - 1)
+
+
+def same_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of each set of equal words, and for each word which of these it equals.
+
+    Words follow each other without a gap; their bytes are compared, not only hashes.
+    """
+    cuts = np.append(starts, ends[-1:]).astype(np.int64)
+    buffers = [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))]
+    codes = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode().indices.to_numpy()
+    # codes are given out in the order of first words
+    first = np.flatnonzero(codes > np.append(-1, np.maximum.accumulate(codes)[:-1]))
+    return first, codes
+
+
 def merge_many(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of many words, one after another, and each word's number of ids.
 
     Each round merges the leftmost pair of lowest rank in every word that still has one.
+    Places take ``_PLACE_BITS`` bits beside the rank, so words are merged in runs of fewer bytes.
     """
     sizes = ends - starts
+    run = np.cumsum(np.where(sizes <= BATCH_WORD_BYTES, sizes, 0)) // _RUN_BYTES
+    if len(run) and run[-1] > run[0]:
+        cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(run)]
+        parts = [merge_many(data, starts[a:b], ends[a:b], vocabulary) for a, b in zip(cuts, cuts[1:])]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     long = np.flatnonzero(sizes > BATCH_WORD_BYTES)
     words = np.flatnonzero((sizes <= BATCH_WORD_BYTES) & (sizes > 0))
     owner = np.repeat(words, sizes[words])
@@ -273,8 +297,8 @@ def merge_many(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabular
     ranks[inner], new[inner] = vocabulary.look_up(ids[inner], ids[inner + 1])
     while len(ids):
         heads = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        best = np.minimum.reduceat((ranks << 22) | np.arange(len(ids)), heads)
-        open_ = best < (_NONE << 22)
+        best = np.minimum.reduceat((ranks << _PLACE_BITS) | np.arange(len(ids)), heads)
+        open_ = best < (_NONE << _PLACE_BITS)
         if not open_.all():
             counts = np.diff(np.append(heads, len(ids)))
             live = np.repeat(open_, counts)
@@ -282,10 +306,10 @@ def merge_many(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabular
             done_ids.append(ids[~live])
             kept = np.cumsum(live) - 1
             best = best[open_]
-            places = kept[best & ((1 << 22) - 1)]
+            places = kept[best & ((1 << _PLACE_BITS) - 1)]
             owner, ids, ranks, new = owner[live], ids[live], ranks[live], new[live]
         else:
-            places = best & ((1 << 22) - 1)
+            places = best & ((1 << _PLACE_BITS) - 1)
         if not len(ids):
             break
         ids[places] = new[places]
@@ -438,8 +462,7 @@ class Encoder:
         ends = np.append(starts[1:], len(data)).astype(np.int64)
         if not len(starts):
             return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-        hashes = span_hash(prefix_hash(data), starts, ends)
-        _, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        first, back = same_words(data, starts, ends)
         starts_u, ends_u = starts[first], ends[first]
         numbers = self.transducer.numbers(data, starts_u, ends_u) if self.transducer else np.full(len(first), -1)
         special = np.full(len(first), -1, np.int64)
@@ -517,8 +540,8 @@ def frequent_words(docs: DataFrame, text: str = "text", words: int = LEXICON_WOR
                 ends = np.append(starts[1:], len(data)).astype(np.int64)
                 if not len(starts):
                     continue
-                hashes = span_hash(prefix_hash(data), starts, ends)
-                _, first, number = np.unique(hashes, return_index=True, return_counts=True)
+                first, codes = same_words(data, starts, ends)
+                number = np.bincount(codes, minlength=len(first))
                 raw = data.tobytes()
                 for a, b, n in zip(starts[first].tolist(), ends[first].tolist(), number.tolist()):
                     if b - a <= BATCH_WORD_BYTES:
@@ -531,8 +554,16 @@ def frequent_words(docs: DataFrame, text: str = "text", words: int = LEXICON_WOR
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
     schema = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())])
-    ranked = docs.select(text).mapInArrow(count, schema).groupBy("word").agg(F.sum("n").alias("n"))
-    rows = ranked.where("n > 1").orderBy(F.desc("n"), "word").limit(words).select("word").collect()
+    ranked = stored(docs.select(text).mapInArrow(count, schema).groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "words")
+    # how many words occur so often: from these few counts, the least count among the chosen
+    ladder = ranked.groupBy(F.floor(F.log2("n") * 16).alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()
+    taken, least = 0, 0
+    for step, n in sorted(((r.step, r.n) for r in ladder), reverse=True):
+        taken, least = taken + n, step
+        if taken >= words:
+            break
+    some = ranked.where(F.floor(F.log2("n") * 16) >= least)
+    rows = some.orderBy(F.desc("n"), "word").limit(words).select("word").collect()
     return [bytes(r.word) for r in rows]
 
 
