@@ -11,8 +11,9 @@ The index of at most ``INDEX_BYTES`` of benchmark text is broadcast. A larger be
 dealt into parts by size, each of which is searched for by itself; the spans found are
 brought together per text.
 
-Defined cases: a NULL or empty text has no words and is clean; an item without an id or
-without words has no windows; repeated items count once; repeated documents are each judged.
+Defined cases: a NULL or empty text has no words and is clean; an item without words has no
+windows; the windows of an item without an id hit words like any, but the item is not counted or
+named; repeated items count once; repeated documents are each judged.
 Other columns stay; own result columns replace columns of the same names.
 """
 
@@ -56,8 +57,8 @@ class WindowIndex:
             data, starts, ends, _, _ = words_of(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
             lowered = data.tobytes()
             words = [lowered[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-            for at in range(max(1, len(words) - size + 1)) if words and item is not None else ():
-                texts.setdefault(tuple(words[at : at + size]), set()).add(str(item))
+            for at in range(max(1, len(words) - size + 1)) if words else ():
+                texts.setdefault(tuple(words[at : at + size]), set()).update([] if item is None else [str(item)])
         self.windows = list(texts)
         self.owners = [sorted(texts[w]) for w in self.windows]
         self.lengths = np.array([len(w) for w in self.windows], np.int64)
@@ -151,7 +152,7 @@ def _count_shingles(docs: DataFrame, text: str, index: WindowIndex) -> dict[tupl
 
 def _indexes(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str, size: int, limit: int) -> Iterator[WindowIndex]:
     """One index, or several where the benchmark's text is over ``limit`` bytes."""
-    items = benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{item_text}`").alias("t")).where("item is not null and t is not null")
+    items = benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{item_text}`").alias("t")).where("t is not null")
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     parts = int(total // limit) + 1
     for part in range(parts):

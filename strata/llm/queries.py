@@ -142,7 +142,7 @@ ORACLE_SQL["op8_contamination"] = rf"""
 WITH docs AS (
   SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({_LOWERED}, '{_WORD}') AS words FROM documents
 ), items AS (
-  SELECT item_id, regexp_extract_all({_LOWERED}, '{_WORD}') AS words FROM benchmark WHERE item_id IS NOT NULL
+  SELECT item_id, regexp_extract_all({_LOWERED}, '{_WORD}') AS words FROM benchmark
 ), windows AS (
   SELECT DISTINCT item_id, least(len(words), {contamination.WINDOW}) AS size,
     array_to_string(list_slice(words, i, i + {contamination.WINDOW - 1}), ' ') AS gram
@@ -157,7 +157,7 @@ WITH docs AS (
   SELECT row, count(DISTINCT p) AS n FROM (SELECT row, unnest(range(i, i + size)) AS p FROM found) GROUP BY row
 ), items_hit AS (
   SELECT row, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
-  FROM (SELECT DISTINCT row, cast(item_id AS VARCHAR) AS item FROM found) GROUP BY row
+  FROM (SELECT DISTINCT row, cast(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY row
 )
 SELECT doc_id, cast(len(words) AS BIGINT) AS n_words, cast(coalesce(w.n, 0) AS BIGINT) AS n_hit, cast(coalesce(i.n, 0) AS BIGINT) AS n_items,
   sha256(coalesce(names, '')) AS items_sha256, coalesce(w.n, 0) > 0 AND {contamination.PART} * coalesce(w.n, 0) >= len(words) AS contaminated

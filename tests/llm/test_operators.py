@@ -241,8 +241,8 @@ def test_contamination(spark, docs, limit):
     windows = defaultdict(set)
     for item, text in items:
         words = pattern.findall((text or "").translate(lower))
-        for n in range(max(1, len(words) - 12)) if words and item is not None else ():
-            windows[tuple(words[n : n + 13])].add(str(item))
+        for n in range(max(1, len(words) - 12)) if words else ():
+            windows[tuple(words[n : n + 13])].update([] if item is None else [str(item)])
     got = contamination.find_contamination(clashing(docs, "n_hit", "items"), benchmark, limit=limit).collect()
     for row in got:
         words = pattern.findall((row.text or "").translate(lower))
