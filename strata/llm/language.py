@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from strata.llm.sampling import learnable, sampled
+from strata.llm.sampling import bounded_by_label, learnable
 from strata.llm.textops import text_blocks
 
 WINDOW = 256
@@ -154,9 +154,7 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "do
     if not counts:
         return None
     languages = sorted(counts)
-    chosen = F.lit(False)
-    for language, count in counts.items():
-        chosen = chosen | ((F.col(label) == language) & sampled(key, count, rows))
+    chosen = bounded_by_label(usable, label, counts, rows, text)
     schema = T.StructType([T.StructField("window", T.BinaryType()), T.StructField("label", T.StringType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +171,7 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "do
                     [pa.array([windows[p].tobytes() for p in picks], pa.binary()), pa.array([labels[row + owner[p]] for p in picks], pa.string())], schema.names
                 )
 
-    found = usable.where(chosen).select(text, label).mapInArrow(cut, schema).collect()
+    found = chosen.select(text, label).mapInArrow(cut, schema).collect()
     found.sort(key=lambda r: (r.label, bytes(r.window)))
     windows = np.frombuffer(b"".join(bytes(r.window) for r in found), np.uint8).reshape(-1, WINDOW)
     return train(windows, np.array([languages.index(r.label) for r in found]), languages)

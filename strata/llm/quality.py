@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from strata.llm.rules import STOP_WORDS
-from strata.llm.sampling import learnable, sampled
+from strata.llm.sampling import learnable, bounded
 from strata.llm.textops import SPACE_WORDS, find_words, map_texts, prefix_hash, span_hash, word_grams
 
 #: Bound of labelled rows to learn from.
@@ -189,11 +189,14 @@ def _with_statistics(docs: DataFrame, text: str) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "quality", key: str = "doc_id", rows: int = TRAIN_ROWS) -> Forest:
-    """Learn from labelled rows that are not held out."""
-    known = learnable(labels.select(key, label), key).where(F.col(label).isNotNull())
-    chosen = sampled(key, known.count(), rows)
-    figures = _with_statistics(learnable(docs.select(key, text), key).where(chosen), text)
-    found = figures.join(known.where(chosen), key).select("figures", label).collect()
+    """Learn from at most ``rows`` labelled ids that are not held out.
+
+    An id with several labels has the greatest of them, one with several texts the least.
+    """
+    known = learnable(labels.select(key, label), key).groupBy(key).agg(F.max(label).alias(label)).where(F.col(label).isNotNull())
+    chosen = bounded(known, known.count(), rows, key, label)
+    texts = learnable(docs.select(key, text), key).join(chosen, key).groupBy(key, label).agg(F.min(text).alias(text))
+    found = _with_statistics(texts, text).select("figures", label).collect()
     found = sorted((tuple(r.figures), int(r[label])) for r in found)
     return grow(np.array([f for f, _ in found]).reshape(-1, len(NAMES)), np.array([q for _, q in found], np.float64))
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from strata.llm.sampling import sampled
+from strata.llm.sampling import bounded
 from strata.llm.store import new_folder
 
 REVISIT_BYTES = 1000
@@ -203,7 +203,8 @@ def train_dictionary(pages: DataFrame, page: str = "page_id", html: str = "html"
     """A dictionary from a bounded sample of pages; empty where too few are there."""
     rows = pages.count()
     body = F.substring(F.col(f"`{html}`").cast("binary"), 1, TRAIN_BYTES)
-    found = pages.where(F.col(f"`{html}`").isNotNull() & sampled(page, rows, TRAIN_PAGES)).select(body.alias("b")).collect()
+    heads = pages.where(F.col(f"`{html}`").isNotNull()).select(F.col(f"`{page}`").alias("page"), body.alias("b"))
+    found = bounded(heads, rows, TRAIN_PAGES, "page", "b").select("b").collect()
     samples = sorted(bytes(r.b) for r in found)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
