@@ -14,7 +14,7 @@ from strata.operators import export
 from strata.plans.pipeline import Pipeline
 from strata.plans.registry import Options
 from strata.sources.layers import Layers
-from strata.sources.readers import find_extracts
+from strata.sources.readers import resolve_extracts
 
 
 def arguments(given: list[str] | None = None) -> argparse.Namespace:
@@ -45,11 +45,11 @@ def main(given: list[str] | None = None) -> None:
         source = layers.silver if args.year is None else layers.bronze
         export.write_refined(layers.read(source), args.output, args.year, args.files)
         return
-    paths = find_extracts(spark, args.raw)
+    extracts = resolve_extracts(spark, args.raw)
     if args.years:
-        paths = {year: path for year, path in paths.items() if year in args.years}
+        extracts = extracts.only(args.years)
     pipeline = Pipeline(layers, Options(args.reference_year))
-    pipeline.run(args.raw, paths, args.incremental, run_analysis=not args.no_analysis)
+    pipeline.run(args.raw, extracts, args.incremental, run_analysis=not args.no_analysis)
 
 
 if __name__ == "__main__":

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.functions.scalars import growth_pct, measure, quoted
+from strata.operators import partials
 from strata.operators.counting import top_k
 from strata.spec import ROLES, Roles, Thresholds
 
@@ -26,19 +27,17 @@ _COLUMNS = [
 def _taxed_by_place_and_year(
     df: DataFrame, roles: Roles, first_year: int, last_year: int
 ) -> DataFrame:
-    """Sum and count of the taxes above zero per place and year of the window."""
-    taxed = (
-        df.where(quoted(roles.year).between(first_year, last_year))
-        .select(
-            quoted(roles.neighborhood).alias("bairro"),
-            quoted(roles.year).alias("ano"),
-            measure(df, roles.tax_value).alias("valor"),
-        )
-        .where(F.col("valor") > 0)
-    )
-    return taxed.groupBy("bairro", "ano").agg(
-        F.count(F.lit(1)).alias("quantidade"), F.avg("valor").alias("valor_medio")
-    )
+    """Sum and count of the taxes above zero per place and year of the window.
+
+    ``df`` may hold partial states; they must be of taxes above zero only.
+    """
+    tax = roles.tax_value
+    window = df.where(quoted(roles.year).between(first_year, last_year))
+    if not partials.is_states(df, tax):
+        rows = window.select(quoted(roles.neighborhood), quoted(roles.year), measure(df, tax).alias(tax))
+        window = rows.where(quoted(tax) > 0)
+    found = partials.summary(window, [roles.neighborhood, roles.year], {"quantidade": ("count", tax), "valor_medio": ("avg", tax)})
+    return found.select(quoted(roles.neighborhood).alias("bairro"), quoted(roles.year).alias("ano"), "quantidade", "valor_medio")
 
 
 def _end_years(stats: DataFrame) -> tuple[Column, Column]:

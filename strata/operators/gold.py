@@ -2,52 +2,92 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
-from strata.functions.scalars import measure, quoted
+from strata.operators import partials
 from strata.spec import ROLES, Roles
 
 
-def _measured(df: DataFrame, roles: Roles, keys: list[str], measures: dict[str, str]) -> DataFrame:
-    """Only the keys and the parsed measures, so the scan reads nothing else."""
-    return df.select(
-        *[quoted(key) for key in keys],
-        *[measure(df, column).alias(alias) for alias, column in measures.items()],
-    )
+@dataclass(frozen=True)
+class Summary:
+    """Keys and outputs (kind of aggregate, measure) of a summary, by roles."""
+
+    keys: tuple[str, ...]
+    outputs: dict[str, tuple[str, str | None]]
+
+    def columns(self, roles: Roles) -> list[str]:
+        return [getattr(roles, key) for key in self.keys]
+
+    def of(self, roles: Roles) -> partials.Outputs:
+        return {name: (kind, role and getattr(roles, role)) for name, (kind, role) in self.outputs.items()}
+
+    def measures(self, roles: Roles) -> list[str]:
+        return list(dict.fromkeys(getattr(roles, role) for _, role in self.outputs.values() if role))
+
+
+SUMMARIES = {
+    "summary_by_year_type": Summary(
+        ("year", "use_type"),
+        {
+            "total_imoveis": ("rows", None),
+            "total_iptu_value": ("sum", "tax_value"),
+            "avg_iptu_value": ("avg", "tax_value"),
+            "min_iptu_value": ("min", "tax_value"),
+            "max_iptu_value": ("max", "tax_value"),
+        },
+    ),
+    "summary_by_neighborhood": Summary(
+        ("neighborhood", "year"),
+        {
+            "total_imoveis": ("rows", None),
+            "total_iptu_value": ("sum", "tax_value"),
+            "avg_terrain_area": ("avg", "land_area"),
+            "avg_built_area": ("avg", "built_area"),
+        },
+    ),
+    "year_over_year_trends": Summary(
+        ("year",),
+        {
+            "total_imoveis": ("rows", None),
+            "total_iptu_value": ("sum", "tax_value"),
+            "avg_iptu_value": ("avg", "tax_value"),
+            "total_terrain_area": ("sum", "land_area"),
+            "total_built_area": ("sum", "built_area"),
+        },
+    ),
+}
+
+
+def _summary(df: DataFrame, name: str, roles: Roles) -> DataFrame:
+    chosen = SUMMARIES[name]
+    return partials.summary(df, chosen.columns(roles), chosen.of(roles))
 
 
 def summary_by_year_type(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
-    rows = _measured(df, roles, [roles.year, roles.use_type], {"__tax": roles.tax_value})
-    return rows.groupBy(quoted(roles.year), quoted(roles.use_type)).agg(
-        F.count(F.lit(1)).alias("total_imoveis"),
-        F.sum("__tax").alias("total_iptu_value"),
-        F.avg("__tax").alias("avg_iptu_value"),
-        F.min("__tax").alias("min_iptu_value"),
-        F.max("__tax").alias("max_iptu_value"),
-    )
+    return _summary(df, "summary_by_year_type", roles)
 
 
 def summary_by_neighborhood(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
-    measures = {"__tax": roles.tax_value, "__land": roles.land_area, "__built": roles.built_area}
-    rows = _measured(df, roles, [roles.neighborhood, roles.year], measures)
-    return rows.groupBy(quoted(roles.neighborhood), quoted(roles.year)).agg(
-        F.count(F.lit(1)).alias("total_imoveis"),
-        F.sum("__tax").alias("total_iptu_value"),
-        F.avg("__land").alias("avg_terrain_area"),
-        F.avg("__built").alias("avg_built_area"),
-    )
+    return _summary(df, "summary_by_neighborhood", roles)
 
 
 def year_over_year_trends(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
-    measures = {"__tax": roles.tax_value, "__land": roles.land_area, "__built": roles.built_area}
-    rows = _measured(df, roles, [roles.year], measures)
-    return rows.groupBy(quoted(roles.year)).agg(
-        F.count(F.lit(1)).alias("total_imoveis"),
-        F.sum("__tax").alias("total_iptu_value"),
-        F.avg("__tax").alias("avg_iptu_value"),
-        F.sum("__land").alias("total_terrain_area"),
-        F.sum("__built").alias("total_built_area"),
-    )
+    return _summary(df, "year_over_year_trends", roles)
+
+
+def states(df: DataFrame, name: str, roles: Roles = ROLES, along: Sequence[str] = ()) -> DataFrame:
+    """A summary's partial states, apart for each combination of the ``along`` columns."""
+    chosen = SUMMARIES[name]
+    return partials.states(df, [*dict.fromkeys([*chosen.columns(roles), *along])], chosen.measures(roles))
+
+
+def from_states(df: DataFrame, name: str, roles: Roles = ROLES) -> DataFrame:
+    """The summary, merged from partial states."""
+    chosen = SUMMARIES[name]
+    return partials.merged(df, chosen.columns(roles), chosen.of(roles))
 
 
 def full_consolidated(df: DataFrame, roles: Roles = ROLES) -> DataFrame:

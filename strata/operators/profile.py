@@ -16,7 +16,7 @@ from pyspark.sql.types import (
 from strata.functions import sqltext
 from strata.functions.scalars import quoted, share_pct
 from strata.operators.counting import top_k_per_group
-from strata.operators.percentiles import exact_percentiles
+from strata.operators.percentiles import percentiles_of_columns
 from strata.operators.small_side import null_safe_join
 from strata.spec import Thresholds
 
@@ -159,11 +159,10 @@ def categorical_top_values(
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, stddev, min, quartiles and max per numeric column.
 
-    Columns become rows of (column, value), so that the quartiles of all
-    columns share the same two passes.
+    All columns share the same passes, in which a row of the table stays one row.
     """
     names = list(columns or columns_of(df, NumericType))
-    long = _long(df, names, "nullif(CAST({} AS DOUBLE), double('NaN'))")
+    values = {name: f"nullif(CAST({sqltext.name(name)} AS DOUBLE), double('NaN'))" for name in names}
     moments = {
         "count": "count(__v)",
         "mean": "avg(__v)",
@@ -171,9 +170,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         "min": "min(__v)",
         "max": "max(__v)",
     }
-    summary = exact_percentiles(
-        long, ["column"], F.col("value"), [0.25, 0.5, 0.75], ["p25", "p50", "p75"], moments
-    )
+    summary = percentiles_of_columns(df, values, [0.25, 0.5, 0.75], ["p25", "p50", "p75"], moments)
     return summary.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from strata.functions import sqltext
 from strata.functions.scalars import measure, quoted
+from strata.operators import partials
 from strata.operators.counting import top_k
-from strata.operators.percentiles import exact_medians, exact_percentiles
+from strata.operators.percentiles import exact_medians, exact_percentiles, finished, sketched
 from strata.operators.small_side import null_safe_join
 from strata.spec import ROLES, Roles
 
@@ -33,13 +34,28 @@ def _with_median(
 ) -> DataFrame:
     """The aggregates and the median of ``population`` per year, all as SQL."""
     if approximate:
-        median = {"mediana": f"percentile_approx({population}, 0.5)"}
-        return rows.groupBy("ano").agg(
-            *[sqltext.expr(sql, name) for name, sql in (aggregates | median).items()]
-        )
+        return _approximate(rows, population, aggregates)
     return exact_percentiles(rows, ["ano"], F.expr(population), [0.5], ["mediana"], aggregates)
 
 
+def _approximate(rows: DataFrame, population: str, aggregates: dict[str, str]) -> DataFrame:
+    median = {"mediana": f"percentile_approx({population}, 0.5)"}
+    return rows.groupBy("ano").agg(*[sqltext.expr(sql, name) for name, sql in (aggregates | median).items()])
+
+
+def _taxes_counted(rows: DataFrame, aggregates: dict[str, str]) -> DataFrame:
+    """Aggregates and median of the taxes above zero, or of all where no year has any.
+
+    The yearly counts of the first pass tell which, so the table is not read to find out.
+    """
+    for population in ("CASE WHEN valor > 0 THEN valor END", "valor"):
+        chosen = {name: sql.replace("counted", population) for name, sql in aggregates.items()}
+        found, years = sketched(rows, ["ano"], F.expr(population), [0.5], chosen)
+        if not years.where("count_nonzero > 0").isEmpty():
+            break
+    return finished(found, years, ["ano"], [0.5], ["mediana"], chosen)
+
+
 def tax_stats_by_year(
     df: DataFrame, roles: Roles = ROLES, fill_zero: bool = False, approximate: bool = False
 ) -> DataFrame:
@@ -49,7 +65,7 @@ def tax_stats_by_year(
     statistics (0 with ``fill_zero``). Where no year has any tax above zero,
     the statistics are of all readable taxes.
     """
-    valid = _with_population(_yearly_values(df, roles, roles.tax_value).where("valor IS NOT NULL"))
+    valid = _yearly_values(df, roles, roles.tax_value).where("valor IS NOT NULL")
     aggregates = {
         "media": "avg(counted)",
         "minimo": "min(counted)",
@@ -58,7 +74,11 @@ def tax_stats_by_year(
         "count": "count(1)",
         "count_nonzero": "count_if(valor > 0)",
     }
-    stats = _with_median(valid, "counted", aggregates, approximate).select(*_STATS)
+    if approximate:
+        stats = _approximate(_with_population(valid), "counted", aggregates)
+    else:
+        stats = _taxes_counted(valid, aggregates)
+    stats = stats.select(*_STATS)
     if fill_zero:
         stats = stats.fillna(0.0, ["media", "mediana", "minimo", "maximo"])
     return stats.orderBy("ano")
@@ -85,16 +105,11 @@ def tax_stats_by_year_joined(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
 
 
 def avg_tax_by_neighborhood_top(df: DataFrame, roles: Roles = ROLES, k: int = 20) -> DataFrame:
-    """Places with the greatest mean tax, zeros included."""
-    valid = df.select(
-        quoted(roles.neighborhood).alias("bairro"), measure(df, roles.tax_value).alias("valor")
-    ).where(F.col("valor").isNotNull())
-    means = valid.groupBy("bairro").agg(
-        F.avg("valor").alias("media"),
-        F.sum("valor").alias("total"),
-        F.count(F.lit(1)).alias("count"),
-    )
-    return top_k(means, "media", k, ["bairro"])
+    """Places with the greatest mean tax, zeros included. ``df`` may hold partial states of the taxes."""
+    outputs = {"media": ("avg", roles.tax_value), "total": ("sum", roles.tax_value), "count": ("count", roles.tax_value)}
+    means = partials.summary(df, [roles.neighborhood], outputs).where("count > 0")
+    named = means.select(quoted(roles.neighborhood).alias("bairro"), *outputs)
+    return top_k(named, "media", k, ["bairro"])
 
 
 def property_value_by_year(

@@ -18,8 +18,10 @@ from strata.plans.tables import (
     R,
     labelled_documents,
     line_records,
+    line_states,
     order_counts,
     order_records,
+    order_states,
     table,
     tidy,
 )
@@ -196,7 +198,7 @@ SELECT bairro, round(avg(tax), 8) AS media, round(sum(tax), 8) AS total, count(*
 FROM records WHERE tax IS NOT NULL GROUP BY bairro ORDER BY avg(tax) DESC, bairro LIMIT 20""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    rows = line_records(spark, folder, R.neighborhood, R.tax_value)
+    rows = line_states(spark, folder, [R.neighborhood], [R.tax_value])
     return tidy(value.avg_tax_by_neighborhood_top(rows), 8)
 
 
@@ -389,8 +391,12 @@ SELECT bairro, quantidade_inicial, round(valor_medio_inicial, 4) AS valor_medio_
 FROM grown """
 
 
+def _taxed(spark: SparkSession, folder: str) -> DataFrame:
+    return order_states(spark, folder, [R.neighborhood, R.year], [R.tax_value], only=f"`{R.tax_value}` > 0")
+
+
 def _evolution(spark: SparkSession, folder: str) -> DataFrame:
-    rows = order_records(spark, folder, R.neighborhood, R.year, R.tax_value)
+    rows = _taxed(spark, folder)
     return evolution.neighborhood_evolution(rows, first_year=FIRST_YEAR, last_year=LAST_YEAR)
 
 
@@ -401,7 +407,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("evolution_join", _EVOLUTION + _GROWN)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    rows = order_records(spark, folder, R.neighborhood, R.year, R.tax_value)
+    rows = _taxed(spark, folder)
     joined = evolution.neighborhood_evolution_joined(
         rows, first_year=FIRST_YEAR, last_year=LAST_YEAR
     )
@@ -468,8 +474,8 @@ SELECT bairro AS {_BAIRRO}, ano AS {_ANO}, count(*) AS total_imoveis,
 FROM records GROUP BY bairro, ano""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    rows = line_records(
-        spark, folder, R.neighborhood, R.year, R.tax_value, R.land_area, R.built_area
+    rows = line_states(
+        spark, folder, [R.neighborhood, R.year], [R.tax_value, R.land_area, R.built_area]
     )
     out = gold.stamped(gold.summary_by_neighborhood(rows), "summary_by_neighborhood")
     return tidy(out.drop("_gold_timestamp"))
@@ -941,13 +947,13 @@ UNION ALL SELECT 'tendencia', CAST(ano AS VARCHAR), round(avg(tax), 4), round(me
 FROM records WHERE tax > 0 GROUP BY ano""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    rows = order_records(spark, folder, R.year, R.use_type, R.neighborhood, R.tax_value)
+    rows = order_counts(spark, folder, R.year, R.use_type, R.neighborhood)
     report = reshape.summary_report_rows(
         volume.total_properties(rows),
         volume.volume_by_year(rows),
         volume.volume_by_type(rows),
         volume.volume_by_neighborhood(rows),
-        value.tax_stats_by_year(rows),
+        value.tax_stats_by_year(order_records(spark, folder, R.year, R.tax_value)),
     )
     return tidy(report)
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.functions import sqltext
+from strata.operators import partials
 from strata.operators.counting import ROWS, counted
 from strata.spec import ROLES
 
@@ -69,6 +70,31 @@ def order_counts(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     )
 
 
+def order_states(
+    spark: SparkSession, folder: str, keys: list[str], measures: list[str], only: str | None = None
+) -> DataFrame:
+    """``order_records`` as partial states of the measures by ``keys``.
+
+    Orders are aggregated per customer before the join; ``only`` is a condition on them.
+    """
+    own = [c for c in keys if _FROM_ORDERS[c][1] == "orders"]
+    rows = table(spark, folder, "orders").select("o_custkey", *[F.expr(_FROM_ORDERS[c][0]).alias(c) for c in [*own, *measures]])
+    held = partials.states(rows if only is None else rows.where(only), ["o_custkey", *own], measures)
+    kept = [c for c in held.columns if c not in ("o_custkey", *own)]
+    joined = _with_customers(spark, folder, held, tuple(keys))
+    return joined.select(*[F.col(sqltext.name(c)) if c in own else F.col(_FROM_ORDERS[c][0]).alias(c) for c in keys], *[sqltext.name(c) for c in kept])
+
+
+def line_states(spark: SparkSession, folder: str, keys: list[str], measures: list[str]) -> DataFrame:
+    """``line_records`` as partial states of the measures by ``keys``; lines are aggregated per supplier before the join."""
+    own = [c for c in keys if _FROM_LINES[c][1] == "lineitem"]
+    rows = table(spark, folder, "lineitem").select("l_suppkey", *[F.expr(_FROM_LINES[c][0]).alias(c) for c in [*own, *measures]])
+    held = partials.states(rows, ["l_suppkey", *own], measures)
+    kept = [c for c in held.columns if c not in ("l_suppkey", *own)]
+    joined = _with_suppliers(spark, folder, held)
+    return joined.select(*[F.col(sqltext.name(c)) if c in own else F.col(_FROM_LINES[c][0]).alias(c) for c in keys], *[sqltext.name(c) for c in kept])
+
+
 def _with_customers(
     spark: SparkSession, folder: str, rows: DataFrame, wanted: tuple[str, ...]
 ) -> DataFrame:
@@ -89,13 +115,17 @@ def line_records(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     needed = {_FROM_LINES[c][1] for c in wanted}
     rows = table(spark, folder, "lineitem")
     if "nation" in needed:
-        suppliers = table(spark, folder, "supplier")
-        nations = table(spark, folder, "nation")
-        rows = rows.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-        rows = rows.join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        rows = _with_suppliers(spark, folder, rows)
     return rows.select(*[F.expr(_FROM_LINES[c][0]).alias(c) for c in wanted])
 
 
+def _with_suppliers(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
+    suppliers = table(spark, folder, "supplier")
+    nations = table(spark, folder, "nation")
+    rows = rows.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    return rows.join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+
+
 def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with their labels, NULL where a document has none."""
     documents = table(spark, folder, "documents")

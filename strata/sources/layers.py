@@ -80,16 +80,28 @@ class Layers:
 
     # ---- writing ----
 
-    def _write_years(self, df: DataFrame, path: str) -> None:
+    def _write_years(self, df: DataFrame, path: str, every: bool = False, format: str | None = None) -> None:
         require_unique_columns(df)
         (
-            df.write.format(self.format)
+            df.write.format(format or self.format)
             .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            .option("partitionOverwriteMode", "static" if every else "dynamic")
             .partitionBy(YEAR_PARTITION)
             .save(path)
         )
 
+    def write_years(self, df: DataFrame, path: str, every: bool, gone: Iterable[int] = ()) -> None:
+        """A table of partial states by year, as Parquet: all years, or those of ``df``; ``gone`` ones are removed."""
+        self._write_years(df, path, every, "parquet")
+        for year in gone:
+            self.clear_year(path, year)
+
+    def write_gold_years(self, df: DataFrame, name: str, every: bool, gone: Iterable[int] = ()) -> None:
+        """A gold table partitioned by year, of which only the years of ``df`` are rewritten."""
+        self._write_years(stamped(df, name), self.gold(name), every)
+        for year in gone:
+            self.clear_year(self.gold(name), year)
+
     def clear_year(self, path: str, year: int) -> None:
         """Remove a stored year that has no rows any more; overwriting would leave it."""
         jvm = self.spark._jvm

@@ -7,6 +7,7 @@ costs an extra pass over the data.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -84,21 +85,74 @@ def read_years(spark: SparkSession, paths: Mapping[int, str], sep: str = ";") ->
 # Fixed value: how a year's extract is named; any year and any of the endings.
 EXTRACT_NAME = r"^(?:.*/)?(iptu_([0-9]{4})(?:_json)?)\.(csv|json|parquet)$"
 
+QUARANTINE_SCHEMA = "file_path string, relative_path string, year int, reason string"
+
+
+class SeveralExtracts(ValueError):
+    """A year has several extracts where one was asked for."""
+
+
+@dataclass(frozen=True)
+class Extracts:
+    """The files of each year, and a row for every file that is none of them, with the reason."""
+
+    years: dict[int, list[str]]
+    quarantined: DataFrame
+
+    def only(self, years: list[int]) -> Extracts:
+        return Extracts({y: p for y, p in self.years.items() if y in years}, self.quarantined)
 
-def find_extracts(spark: SparkSession, root: str, name: str = EXTRACT_NAME) -> dict[int, str]:
-    """Path of each year's extract under ``root``, whichever years are there.
+
+def resolve_extracts(spark: SparkSession, root: str, name: str = EXTRACT_NAME) -> Extracts:
+    """All files below ``root``: each year's extracts, or quarantined.
 
     ``name`` matches a file's relative path; its first group is the bare name, its
-    second the year. A file in a folder of its own name goes before one that lies
-    elsewhere; among equals the first path is taken. Only the file listing is read.
+    second the year. Several files of a year are its parts, and are all loaded; one whose
+    content equals another's is a copy and quarantined, the one in a folder of its own name
+    being kept. The listing is read, and the content of files only in years with several.
     """
-    from strata.sources.manifest import scan
+    from strata.sources import manifest
 
     path = F.col("relative_path")
     bare, folder = F.regexp_extract(path, name, 1), F.element_at(F.split(F.concat(F.lit("/"), path), "/"), -2)
-    listed = scan(spark, root, checksum=False).where(path.rlike(name)).select(
-        F.regexp_extract(path, name, 2).cast("int").alias("year"),
-        F.struct((folder != bare).alias("elsewhere"), "file_path").alias("choice"),
+    listed = manifest.scan(spark, root, checksum=False, pattern="*").select(
+        "file_path",
+        "relative_path",
+        F.when(path.rlike(name), F.regexp_extract(path, name, 2)).cast("int").alias("year"),
+        (folder != bare).alias("elsewhere"),
     )
-    chosen = listed.groupBy("year").agg(F.min("choice").alias("choice"))
-    return {row["year"]: row["choice"]["file_path"] for row in chosen.orderBy("year").collect()}
+    files = listed.orderBy("year", "elsewhere", "file_path").collect()
+    several = {f["year"] for f in files if sum(g["year"] == f["year"] for g in files) > 1} - {None}
+    sums: dict[str, str] = {}
+    if several:
+        known = manifest.scan(spark, root).where(path.rlike(name))
+        own = known.where(F.regexp_extract(path, name, 2).cast("int").isin(sorted(several)))
+        sums = {row["file_path"]: row["md5_checksum"] for row in own.select("file_path", "md5_checksum").collect()}
+    years: dict[int, list[str]] = {}
+    aside, first = [], {}
+    for file in files:
+        where, year = file["file_path"], file["year"]
+        if year is None:
+            aside.append((where, file["relative_path"], None, "not named like an extract"))
+            continue
+        kept = first.setdefault((year, sums.get(where, where)), where)
+        if kept == where:
+            years.setdefault(year, []).append(where)
+        else:
+            aside.append((where, file["relative_path"], year, f"same content as {kept}"))
+    return Extracts(years, spark.createDataFrame(aside, QUARANTINE_SCHEMA))
+
+
+def find_extracts(spark: SparkSession, root: str, name: str = EXTRACT_NAME) -> dict[int, str]:
+    """One path for each year, for callers that take no more: the only extract, or the only
+    one in a folder of its own name.
+
+    Where neither holds, ``SeveralExtracts`` stops this; ``resolve_extracts`` gives all files.
+    """
+    chosen = {}
+    for year, paths in sorted(resolve_extracts(spark, root, name).years.items()):
+        own = [p for p in paths if p.split("/")[-2] == p.split("/")[-1].rsplit(".", 1)[0]]
+        if len(paths) > 1 and len(own) != 1:
+            raise SeveralExtracts(f"several extracts of {year}: {', '.join(paths)}")
+        chosen[year] = own[0] if len(paths) > 1 else paths[0]
+    return chosen

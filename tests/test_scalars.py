@@ -89,4 +89,4 @@ def test_year_in_name(spark):
     names = ["a_2023_2021.csv", "dados.csv", "x2019.csv", "2030.csv"]
     df = one_column(spark, names)
     path = F.concat(F.lit("/raw/iptu_2022/"), F.col("v"))
-    assert apply(df, scalars.year_in_name(path, F.col("v"))) == [2021, 2022, 2022, 2022]
+    assert apply(df, scalars.year_in_name(path, F.col("v"))) == [2021, 2022, 2019, 2030]
