@@ -10,17 +10,10 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from strata.functions import sqltext
-
-DUMP_SCHEMA = StructType(
-    [
-        StructField("fields", ArrayType(StructType([StructField("id", StringType())]))),
-        StructField("records", ArrayType(ArrayType(StringType()))),
-    ]
-)
-
+from strata.sources.jsonsplit import read_records
+from strata.sources.scratch import scratch_path
 
 def read_delimited(
     spark: SparkSession, path: str | list[str], sep: str = ";", encoding: str = "utf-8"
@@ -29,42 +22,39 @@ def read_delimited(
     return spark.read.csv(path, header=True, sep=sep, encoding=encoding, inferSchema=False)
 
 
-def _field_names(dump: DataFrame) -> list[str]:
-    """The column names a dump lists; none when it lists no fields."""
-    head = dump.where(F.size("fields") > 0).select("fields").first()
-    return [] if head is None else [field["id"] for field in head["fields"]]
-
-
-def _dump_rows(dump: DataFrame, names: list[str]) -> DataFrame:
-    rows = dump.select(F.explode("records").alias("record"))
+def _dump_rows(records: DataFrame, names: list[str]) -> DataFrame:
+    rows = records.select(F.from_json("value", "array<string>").alias("record"))
     return rows.selectExpr(
         *[f"get(record, {i}) AS {sqltext.name(name)}" for i, name in enumerate(names)]
     )
 
 
-def read_datastore_dump(spark: SparkSession, path: str) -> DataFrame:
-    """``{"fields": [{"id": ...}], "records": [[...], ...]}`` as a table.
+def _object_rows(records: DataFrame) -> DataFrame:
+    """Objects as a table; keys and types are Spark's, from the lines as stored."""
+    path = scratch_path(records, "json-lines")
+    records.write.text(path, lineSep="\x1e")
+    return records.sparkSession.read.json(path, lineSep="\x1e")
 
-    ``fields`` names the columns; of the data only this one row reaches the
-    driver. One JSON document is one task's input: a limit of the format.
-    """
-    dump = spark.read.schema(DUMP_SCHEMA).json(path, multiLine=True)
-    names = _field_names(dump)
+
+def read_datastore_dump(spark: SparkSession, path: str) -> DataFrame:
+    """``{"fields": [{"id": ...}], "records": [[...], ...]}`` as a table, read by many tasks."""
+    records, head = read_records(spark, path)
+    names = [field["id"] for field in head.get("fields") or []]
     if not names:
         raise ValueError(f"no field names in {path}")
-    return _dump_rows(dump, names)
+    return _dump_rows(records, names)
 
 
 def read_record_json(spark: SparkSession, path: str) -> DataFrame:
-    """``{"records": [{...}, ...]}`` as a table, one column per key."""
-    return spark.read.json(path, multiLine=True).select(F.inline("records"))
+    """``{"records": [{...}, ...]}`` as a table, one column per key, read by many tasks."""
+    return _object_rows(read_records(spark, path)[0])
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON extract of either layout, told apart by whether it lists fields."""
-    dump = spark.read.schema(DUMP_SCHEMA).json(path, multiLine=True)
-    names = _field_names(dump)
-    return _dump_rows(dump, names) if names else read_record_json(spark, path)
+    """A JSON extract of either layout, told apart by whether it lists fields; it is read once."""
+    records, head = read_records(spark, path)
+    names = [field["id"] for field in head.get("fields") or []]
+    return _dump_rows(records, names) if names else _object_rows(records)
 
 
 def read_extract(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
