@@ -45,8 +45,8 @@ BAND_RATIO = 1.6
 #: Hashes by which a set is sliced, at most; beyond them sets meet in a tile of their band.
 SLICINGS = 16
 #: Members, and shingles of all members, that one task compares.
-TILE_MEMBERS = 2_000
-TILE_SHINGLES = 2_000_000
+TILE_MEMBERS = 4_000
+TILE_SHINGLES = 4_000_000
 
 _U64 = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -330,18 +330,39 @@ class Tile:
 
 
 def _dealt(members: DataFrame, roots: DataFrame, marks: DataFrame) -> DataFrame:
-    """Members of tiles that hold several components, once for each task they are to be in."""
+    """Members of tiles that hold several components, once for each task they are to be in.
+
+    Members of a tile's largest component need not meet each other: each is in one task, and the
+    others visit all of these. Where the others are too many for that, every two parts of the tile meet.
+    """
     placed = members.join(roots, "node", "left").join(marks.select("node", "n"), "node").withColumn("root", F.coalesce("root", "node"))
-    count, shingles = F.count(F.lit(1)), F.sum("n")
-    # two parts meet in a task, so each is half of what a task may hold
-    halves = F.ceil(F.greatest(count * 2 / TILE_MEMBERS, shingles * 2 / TILE_SHINGLES)).cast("int")
-    parts = F.when((count <= TILE_MEMBERS) & (shingles <= TILE_SHINGLES), 1).otherwise(F.greatest(halves, F.lit(2)))
-    several = placed.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), parts.alias("parts")).where("lo != hi")
-    mixed = placed.join(several.select("tile", "parts"), "tile")
-    part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).otherwise(0)
-    other = F.explode(F.expr("filter(sequence(0, parts - 1), p -> parts = 1 or p != part)"))
-    met = mixed.withColumn("part", part).select("tile", "node", "root", "part", other.alias("other"))
-    return met.select("tile", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "node", "root")
+    held = placed.groupBy("tile", "root").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("shingles"))
+    tiles = held.groupBy("tile").agg(
+        F.max(F.struct("count", "shingles", "root")).alias("main"),
+        F.sum("count").alias("count"),
+        F.sum("shingles").alias("shingles"),
+        F.count(F.lit(1)).alias("components"),
+    )
+    # what meets in a task is two parts, or a part and the visitors, each at most half of what it may hold
+    parts = "cast(ceil(greatest({0} * 2 / {m}, {1} * 2 / {s})) AS int)"
+    limits = {"m": TILE_MEMBERS, "s": TILE_SHINGLES}
+    several = tiles.where("components > 1").selectExpr(
+        "tile",
+        "main.root AS main",
+        f"count <= {TILE_MEMBERS} AND shingles <= {TILE_SHINGLES} AS whole",
+        f"(count - main.count) * 2 <= {TILE_MEMBERS} AND (shingles - main.shingles) * 2 <= {TILE_SHINGLES} AS visited",
+        f"greatest({parts.format('main.count', 'main.shingles', **limits)}, 1) AS homes",
+        f"greatest({parts.format('count', 'shingles', **limits)}, 2) AS parts",
+    )
+    mixed = placed.join(several, "tile")
+    part = F.expr("cast(pmod(xxhash64(node), CASE WHEN visited THEN homes ELSE parts END) AS int)")
+    tasks = F.expr(
+        """CASE WHEN whole THEN array(named_struct('x', 0, 'y', 0))
+        WHEN visited AND root = main THEN array(named_struct('x', part, 'y', part))
+        WHEN visited THEN transform(sequence(0, homes - 1), p -> named_struct('x', p, 'y', p))
+        ELSE transform(filter(sequence(0, parts - 1), p -> p != part), p -> named_struct('x', least(p, part), 'y', greatest(p, part))) END"""
+    )
+    return mixed.withColumn("part", part).select("tile", F.explode(tasks).alias("t"), "node", "root").select("tile", "t.x", "t.y", "node", "root")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], sets: bool) -> Iterator[tuple[list, list[tuple], list[np.ndarray]]]:
