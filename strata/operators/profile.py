@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (
+    ArrayType,
     DataType,
     DoubleType,
     FloatType,
+    MapType,
     NumericType,
     StringType,
+    StructType,
 )
 
 from strata.functions import sqltext
@@ -181,16 +184,44 @@ def id_candidates(df: DataFrame, token: str = "id") -> DataFrame:
     return distinct_counts(df, names).withColumn("rows", rows)
 
 
+def row_hashes(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Three 64-bit hashes of the columns' values, NULLs and their places included."""
+    parts: list[Column] = []
+    for name in columns:
+        kind = df.schema[name].dataType
+        nested = isinstance(kind, (ArrayType, MapType, StructType))
+        # a hash skips NULLs inside nested values; their text shows them
+        value = F.to_json(F.struct(quoted(name)), {"ignoreNullFields": "false"}) if nested else quoted(name)
+        parts += [quoted(name).isNull(), value]
+    return [F.xxhash64(F.lit(seed), *parts).alias(f"__h{seed}") for seed in (1, 2, 3)]
+
+
+def row_copies(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``__n``, the number of its copies, for every different row, with the ``by`` columns.
+
+    Rows are shuffled as two hashes. Where a third one tells rows of equal hashes apart, those rows, and no
+    others, are compared by their values.
+    """
+    hashed = df.select(*[quoted(c) for c in by], *row_hashes(df, columns))
+    groups = hashed.groupBy(*[quoted(c) for c in by], "__h1", "__h2").agg(
+        F.count(F.lit(1)).alias("__n"), F.min("__h3").alias("__lo"), F.max("__h3").alias("__hi")
+    )
+    alike = groups.where("__lo = __hi").select(*[quoted(c) for c in by], "__n")
+    keys = [*by, "__h1", "__h2"]
+    torn = groups.where("__lo != __hi").select(*[quoted(c).alias(f"__torn_{i}") for i, c in enumerate(keys)])
+    same = [quoted(c).eqNullSafe(F.col(f"__torn_{i}")) for i, c in enumerate(keys)]
+    whole = df.select("*", *row_hashes(df, columns)).join(torn, same, "left_semi")
+    compared = whole.groupBy(*[quoted(c) for c in dict.fromkeys([*by, *columns])]).agg(F.count(F.lit(1)).alias("__n"))
+    return alike.unionByName(compared.select(*[quoted(c) for c in by], "__n"))
+
+
 def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Repeated full rows: groups of copies, and rows beyond the first of each.
 
     Copies combine map-side, so a row repeated in a third of the table reaches
-    its reducer once per map task.
+    its reducer once per map task, as two hashes and a count.
     """
-    copies = df.groupBy(*[quoted(c) for c in (columns or df.columns)]).agg(
-        F.count(F.lit(1)).alias("__n")
-    )
-    return copies.agg(
+    return row_copies(df, columns or df.columns).agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
         F.count_if(F.col("__n") > 1).alias("duplicate_groups"),
         F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("excess_rows"),
@@ -215,7 +246,7 @@ def dataset_overview(df: DataFrame, by: str) -> DataFrame:
     sizes = df.groupBy(quoted(by)).agg(
         F.expr("count(1) AS rows"), F.expr(f"{cells} AS missing_cells")
     )
-    copies = df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    copies = row_copies(df, df.columns, [by])
     surplus = copies.groupBy(quoted(by)).agg(F.sum(F.col("__n") - 1).alias("duplicate_rows"))
     return null_safe_join(sizes, surplus, [by], "inner")
 

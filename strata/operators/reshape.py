@@ -15,23 +15,32 @@ from strata.operators.small_side import compute_once, null_safe_join
 from strata.spec import ROLES, Roles
 
 
+def pivot_map(df: DataFrame, index: str, columns: str, values: str) -> DataFrame:
+    """Rows by ``index`` with ``cells``, a map of heading to value: any number of headings in one plan."""
+    sums = df.groupBy(quoted(index), quoted(columns)).agg(F.sum(quoted(values)).alias("__n"))
+    entry = F.when(quoted(columns).isNotNull(), F.struct(quoted(columns).alias("key"), F.col("__n").alias("value")))
+    return sums.groupBy(quoted(index)).agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
+
+
 def pivot_filled(
     df: DataFrame, index: str, columns: str, values: str, headings: Sequence | None = None,
     first: int | None = None,
 ) -> DataFrame:
     """Rows by ``index``, one column per heading, absent cells 0.
 
-    Without ``headings`` they are read from the data, all of them in sort order;
-    ``first`` keeps only that many.
+    Columns have to be named, so without ``headings`` they are read from ``df``, all of them in sort
+    order (``first`` keeps only that many); ``df`` is a table of counts, computed once for both. The cells
+    of a row come from one map, whatever the number of headings.
     """
+    df = compute_once(df)
     if headings is None:
         found = df.select(columns).where(quoted(columns).isNotNull()).distinct().orderBy(columns)
         headings = [row[0] for row in (found if first is None else found.limit(first)).collect()]
+    kind = df.schema[columns].dataType
     cells = [
-        F.coalesce(F.sum(F.when(quoted(columns) == h, quoted(values))), F.lit(0)).alias(str(h))
-        for h in headings
+        F.coalesce(F.try_element_at("cells", F.lit(h).cast(kind)), F.lit(0)).alias(str(h)) for h in headings
     ]
-    return df.groupBy(quoted(index)).agg(*cells) if cells else df.select(index).distinct()
+    return pivot_map(df, index, columns, values).select(quoted(index), *cells)
 
 
 def pivot_year_type(df: DataFrame, roles: Roles = ROLES, first: int | None = None) -> DataFrame:
@@ -42,7 +51,7 @@ def pivot_year_type(df: DataFrame, roles: Roles = ROLES, first: int | None = Non
 
 def pivot_top_types(df: DataFrame, roles: Roles = ROLES, k: int = 5) -> DataFrame:
     """Volume by year with one column for each of the k most frequent use types."""
-    counts = volume.volume_by_year_type(df, roles)
+    counts = compute_once(volume.volume_by_year_type(df, roles))
     totals = counts.groupBy("tipo_uso").agg(F.sum("total_imoveis").alias("total"))
     leading = top_k(totals.where(F.col("tipo_uso").isNotNull()), "total", k, ["tipo_uso"])
     headings = [row["tipo_uso"] for row in leading.collect()]

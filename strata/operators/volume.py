@@ -21,8 +21,8 @@ def total_properties(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
     )
 
 
-def volume_by_year(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
-    return count_by(df, {"ano": roles.year}, "total_imoveis").orderBy("ano")
+def volume_by_year(df: DataFrame, roles: Roles = ROLES, drop_null_keys: bool = False) -> DataFrame:
+    return count_by(df, {"ano": roles.year}, "total_imoveis", drop_null_keys).orderBy("ano")
 
 
 def volume_by_type(df: DataFrame, roles: Roles = ROLES, drop_null_keys: bool = False) -> DataFrame:
@@ -35,47 +35,65 @@ def volume_by_neighborhood(
     return _counts_with_share(df, {"bairro": roles.neighborhood}, "total_imoveis", drop_null_keys)
 
 
-def volume_by_year_type(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
+def volume_by_year_type(
+    df: DataFrame, roles: Roles = ROLES, drop_null_keys: bool = False
+) -> DataFrame:
     keys = {"ano": roles.year, "tipo_uso": roles.use_type}
-    return count_by(df, keys, "total_imoveis").orderBy("ano", "tipo_uso")
+    return count_by(df, keys, "total_imoveis", drop_null_keys).orderBy("ano", "tipo_uso")
 
 
-def volume_by_year_neighborhood(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
+def volume_by_year_neighborhood(
+    df: DataFrame, roles: Roles = ROLES, drop_null_keys: bool = False
+) -> DataFrame:
     keys = {"ano": roles.year, "bairro": roles.neighborhood}
-    counts = count_by(df, keys, "total_imoveis")
+    counts = count_by(df, keys, "total_imoveis", drop_null_keys)
     return counts.orderBy("ano", F.desc("total_imoveis"), "bairro")
 
 
-def distribution_by_type(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
-    return _counts_with_share(df, {"tipo_uso": roles.use_type}, "quantidade")
+def distribution_by_type(
+    df: DataFrame, roles: Roles = ROLES, drop_null_keys: bool = False
+) -> DataFrame:
+    return _counts_with_share(df, {"tipo_uso": roles.use_type}, "quantidade", drop_null_keys)
 
 
-def distribution_by_neighborhood_top(df: DataFrame, roles: Roles = ROLES, k: int = 20) -> DataFrame:
+def distribution_by_neighborhood_top(
+    df: DataFrame, roles: Roles = ROLES, k: int = 20, drop_null_keys: bool = False
+) -> DataFrame:
     """Greatest neighbourhoods; the share is of all rows, not of the k shown."""
-    counts = with_share(count_by(df, {"bairro": roles.neighborhood}, "quantidade"), "quantidade")
+    counts = _with_share(df, {"bairro": roles.neighborhood}, "quantidade", drop_null_keys)
     return top_k(counts, "quantidade", k, ["bairro"])
 
 
-def distribution_by_year(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
-    counts = count_by(df, {"ano": roles.year}, "quantidade")
-    return with_share(counts, "quantidade").orderBy("ano")
+def distribution_by_year(
+    df: DataFrame, roles: Roles = ROLES, drop_null_keys: bool = False
+) -> DataFrame:
+    return _with_share(df, {"ano": roles.year}, "quantidade", drop_null_keys).orderBy("ano")
 
 
-def distribution_by_construction(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
-    return _counts_with_share(df, {"tipo_construcao": roles.construction_type}, "quantidade")
+def distribution_by_construction(
+    df: DataFrame, roles: Roles = ROLES, drop_null_keys: bool = False
+) -> DataFrame:
+    keys = {"tipo_construcao": roles.construction_type}
+    return _counts_with_share(df, keys, "quantidade", drop_null_keys)
 
 
-def top_neighborhoods_by_year(df: DataFrame, roles: Roles = ROLES, k: int = 10) -> DataFrame:
-    counts = count_by(df, {"bairro": roles.neighborhood, "ano": roles.year}, "quantidade")
+def top_neighborhoods_by_year(
+    df: DataFrame, roles: Roles = ROLES, k: int = 10, drop_null_keys: bool = False
+) -> DataFrame:
+    keys = {"bairro": roles.neighborhood, "ano": roles.year}
+    counts = count_by(df, keys, "quantidade", drop_null_keys)
     top = top_k_per_group(counts, ["ano"], "quantidade", k, ["bairro"])
     return top.select("bairro", "quantidade", "ano")
 
 
+def _with_share(df: DataFrame, keys: dict[str, str], name: str, drop_null_keys: bool) -> DataFrame:
+    """Counts and shares of all rows, also where groups without a key are not shown."""
+    counts = with_share(count_by(df, keys, name), name)
+    return without_null_keys(counts, keys) if drop_null_keys else counts
+
+
 def _counts_with_share(
     df: DataFrame, keys: dict[str, str], name: str, drop_null_keys: bool = False
 ) -> DataFrame:
     """Counts and shares of all rows, greatest first."""
-    counts = with_share(count_by(df, keys, name), name)
-    if drop_null_keys:
-        counts = without_null_keys(counts, keys)
-    return counts.orderBy(F.desc(name), *keys)
+    return _with_share(df, keys, name, drop_null_keys).orderBy(F.desc(name), *keys)

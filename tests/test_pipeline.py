@@ -166,3 +166,15 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     stored = load()
     assert stored.count() == 8
     assert dict(stored.dtypes)[R.tax_value] == "double"
+
+
+def test_stream_takes_files_of_any_header(spark, tmp_path):
+    layers, folder = Layers(spark, str(tmp_path / "lake")), tmp_path / "incoming"
+    folder.mkdir()
+    (folder / "a.csv").write_text(f"{R.year};{R.neighborhood};{R.tax_value}\n2020;A;1,5\n", encoding="utf-8")
+    (folder / "b.csv").write_text(f"{R.tax_value};extra;{R.neighborhood};{R.year}\n2,5;e;B;2020\n", encoding="utf-8")
+    (folder / "c.csv").write_text(f"{R.year};{R.neighborhood};{R.tax_value}\n2020;C;3,5\n", encoding="utf-8")
+    (folder / "d.csv").write_text("", encoding="utf-8")
+    stream_year(spark, str(folder), 2020, layers, str(tmp_path / "ck")).awaitTermination()
+    stored = layers.read(layers.path("bronze_stream"))
+    assert rows(stored, R.neighborhood, R.tax_value, "extra") == [("A", 1.5, None), ("B", 2.5, "e"), ("C", 3.5, None)]
