@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from strata.llm.components import components
 from strata.llm.store import stored
@@ -186,7 +186,10 @@ def enough(overlap: np.ndarray, both: np.ndarray) -> np.ndarray:
 
 
 def _marked(docs: DataFrame, text: str, keep_text: bool) -> DataFrame:
-    """The documents with their set's name, size, bitmap and tiles; the empty set has no name."""
+    """The documents with their set's name, size, bitmap and tiles; the empty set has no name.
+
+    Of equal sets, the first of a task has the tiles, so a hot text goes into a tile once a task.
+    """
     fields = [
         T.StructField("__node", T.BinaryType()),
         T.StructField("n_shingles", T.LongType()),
@@ -194,6 +197,8 @@ def _marked(docs: DataFrame, text: str, keep_text: bool) -> DataFrame:
         T.StructField("__tiles", T.ArrayType(T.LongType())),
     ]
 
+    placed: set[bytes] = set()  # sets that this task has put into their tiles already
+
     def work(data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
         count = len(offsets) - 1
         texts, grams = shingle_sets(data, offsets)
@@ -202,10 +207,16 @@ def _marked(docs: DataFrame, text: str, keep_text: bool) -> DataFrame:
         names = np.zeros((count, 2), _U64)
         for k, seed in enumerate((0x2545F4914F6CDD1D, 0x9E6C63D0876A9A35)):
             np.add.at(names[:, k], texts, mix(grams ^ _U64(seed)))
+        nodes = [n.tobytes() if s else None for n, s in zip(names, sizes.tolist())]
+        fresh = np.zeros(count, bool)
+        for k, node in enumerate(nodes):
+            if node is not None and node not in placed:
+                placed.add(node)
+                fresh[k] = True
         owner, tile = tiles_of(texts, grams, sizes, bands)
+        owner, tile = owner[fresh[owner]], tile[fresh[owner]]
         ends = np.append(0, np.cumsum(np.bincount(owner, minlength=count)))
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tile.view(np.int64)))
-        nodes = [n.tobytes() if s else None for n, s in zip(names, sizes.tolist())]
         return [pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bitmaps_of(texts, grams, sizes, bands), pa.binary()), lists]
 
     named = docs.withColumn("__text_name", F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))))
@@ -213,14 +224,20 @@ def _marked(docs: DataFrame, text: str, keep_text: bool) -> DataFrame:
 
 
 def _members(marked: DataFrame) -> DataFrame:
-    """``tile`` and ``node`` of tiles with different sets; of tiles with the same sets one stays."""
-    placed = marked.where("n_shingles > 0").select(F.col("__node").alias("node"), F.explode("__tiles").alias("tile"))
+    """``tile`` and ``node`` of tiles with different sets; of tiles with the same sets one stays.
+
+    Sets are dealt by tile once, and what is alone in its tile goes no further.
+    """
+    placed = marked.select(F.col("__node").alias("node"), F.explode("__tiles").alias("tile"))
+    tile = Window.partitionBy("tile")
     short = F.xxhash64("node")
+    met = placed.withColumns({"lo": F.min(short).over(tile), "hi": F.max(short).over(tile)}).where("lo != hi")
+    several = stored(met.select("tile", "node").distinct(), "met")
     # 32 bits a sum, so that no number of rows overflows it
     sums = [F.sum(short.bitwiseAND(F.lit(0xFFFFFFFF))).alias("s1"), F.sum(F.shiftrightunsigned(short, 32)).alias("s2")]
-    held = placed.groupBy("tile").agg(F.min(short).alias("lo"), F.max(short).alias("hi"), F.count(F.lit(1)).alias("n"), *sums)
-    once = held.where("lo != hi").groupBy("lo", "hi", "n", "s1", "s2").agg(F.min("tile").alias("tile")).select("tile")
-    return placed.join(stored(once, "tiles"), "tile").distinct()
+    held = several.groupBy("tile").agg(F.min(short).alias("lo"), F.max(short).alias("hi"), F.count(F.lit(1)).alias("n"), *sums)
+    once = held.groupBy("lo", "hi", "n", "s1", "s2").agg(F.min("tile").alias("tile")).select("tile")
+    return several.join(once, "tile")
 
 
 def _sets(members: DataFrame, marked: DataFrame, docs: DataFrame, text: str) -> DataFrame:
