@@ -318,7 +318,9 @@ def merge_many(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabular
         moved = np.cumsum(keep) - 1
         places = moved[places]
         owner, ids, ranks, new = owner[keep], ids[keep], ranks[keep], new[keep]
-        fresh = np.unique(np.concatenate([places, places[places > 0] - 1]))
+        touched = np.zeros(len(ids), bool)
+        touched[places] = touched[places[places > 0] - 1] = True
+        fresh = np.flatnonzero(touched)
         paired = np.zeros(len(fresh), bool)
         inside = fresh + 1 < len(ids)
         paired[inside] = owner[fresh[inside]] == owner[fresh[inside] + 1]
@@ -442,19 +444,31 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, transducer: Transducer | None = None, remembered: int = 200_000) -> None:
         self.vocabulary, self.transducer, self.remembered = vocabulary, transducer, remembered
-        self.known: dict[bytes, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        # a word's number, and all words' ids in a row
+        self.known: dict[bytes, int] = {}
+        self.ids, self.id_offsets = np.zeros(0, np.int64), np.zeros(1, np.int64)
 
     def _merged(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        words = [data[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())]
-        new = [n for n, w in enumerate(words) if w not in self.known]
+        """As ``merge_many``, for words that differ."""
+        raw = data.tobytes()
+        words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+        numbers = np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(numbers < 0)
         ids, counts = merge_many(data, starts[new], ends[new], self.vocabulary)
-        parts = np.split(ids, np.cumsum(counts)[:-1]) if new else []
-        fresh = dict(zip([words[n] for n in new], parts))
-        found = [self.known[w] if w in self.known else fresh[w] for w in words]
-        if len(self.known) + len(fresh) > self.remembered:
-            self.known = {}
-        self.known.update(fresh)
-        return (np.concatenate(found) if found else np.zeros(0, np.int64)), np.array([len(f) for f in found], np.int64)
+        table = np.concatenate([self.ids, ids])
+        offsets = np.append(self.id_offsets, self.id_offsets[-1] + np.cumsum(counts))
+        numbers[new] = len(self.known) + np.arange(len(new))
+        sizes = offsets[numbers + 1] - offsets[numbers]
+        found = table[ragged(offsets[numbers], sizes)]
+        if len(self.known) + len(new) > self.remembered:
+            self._forget()
+            table, offsets = ids, np.append(0, np.cumsum(counts))
+        self.known.update(zip([words[n] for n in new.tolist()], range(len(self.known), len(self.known) + len(new))))
+        self.ids, self.id_offsets = table, offsets
+        return found, sizes
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts of a block, and where each text's ids begin."""

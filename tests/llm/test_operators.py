@@ -287,6 +287,20 @@ def test_long_words_merge_alike():
         assert ids.tolist() == lexicon.merge_one(word, vocabulary) and counts.tolist() == [len(ids)]
 
 
+def test_merged_words_lie_in_one_array():
+    vocabulary = lexicon.load_vocabulary(VOCABULARY)
+    small = lexicon.Encoder(vocabulary, remembered=150)
+    for n in range(6):
+        texts = [" ".join(made_words(k % 5, 40 + k)) for k in range(n, n + 4)]
+        blob, offsets = lexicon.ragged_bytes([t.encode() for t in texts])
+        got, want = small.encode(blob, offsets), lexicon.Encoder(vocabulary).encode(blob, offsets)
+        assert all((a == b).all() for a, b in zip(got, want))
+        # a word's number leads to its ids; no array a word
+        assert sorted(small.known.values()) == list(range(len(small.id_offsets) - 1)) and small.id_offsets[-1] == len(small.ids)
+        for word, number in small.known.items():
+            assert small.ids[small.id_offsets[number] : small.id_offsets[number + 1]].tolist() == lexicon.merge_one(word, vocabulary)
+
+
 def test_transducer_holds_exactly_its_words():
     vocabulary = lexicon.load_vocabulary(VOCABULARY)
     words = sorted({w.encode() for w in made_words(3, 400)})
