@@ -10,7 +10,9 @@ from collections.abc import Iterable, Mapping, Sequence
 from difflib import SequenceMatcher
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType, DateType, DoubleType, IntegerType, StringType, StructType
 
 from strata.functions import scalars, sqltext
@@ -229,6 +231,8 @@ def append_years(stored: DataFrame, incoming: DataFrame, key: str = ROLES.year)
 
 # From this similarity on, two texts share a pair of neighbouring characters.
 SHARED_PAIR_SIMILARITY = 0.5
+_MILLION = 1_000_000
+_LAST_PLACE = 2**31 - 1
 
 
 def text_similarity(left: Column, right: Column) -> Column:
@@ -245,6 +249,19 @@ def _character_pairs(text: Column) -> Column:
     )
 
 
+def _pairs_of(text: str) -> set[str]:
+    """The same of a reference value."""
+    padded = f"\x02{text}\x03"
+    return {padded[i : i + 2] for i in range(len(padded) - 1)}
+
+
+def _local(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    fields = StructType.fromDDL(schema)
+    columns = list(zip(*rows)) or [()] * len(fields)
+    made = pa.table([pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, fields)], names=fields.names)
+    return spark.createDataFrame(made, fields)
+
+
 def canonicalize_values(
     df: DataFrame, column: str, reference: Sequence[str], threshold: float = NAME_SIMILARITY
 ) -> DataFrame:
@@ -258,18 +275,24 @@ def canonicalize_values(
     """
     if threshold < SHARED_PAIR_SIMILARITY:
         raise SchemaError(f"thresholds go from {SHARED_PAIR_SIMILARITY} on, got {threshold}")
+    spark = df.sparkSession
+    rows = [(i, text, text.strip().lower()) for i, text in enumerate(reference)]
+    # local tables, of exactly known size, so that values stay where they are
+    listed = _local(spark, rows, "place int, canonical string, spelled string")
+    paired = _local(spark, [(pair, i) for i, _, text in rows for pair in sorted(_pairs_of(text))], "pair string, place int")
+    plain = F.lower(F.trim(F.col("value")))
     counted = df.groupBy(quoted(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
-    plain = F.lower(F.trim(F.col("value"))).alias("plain")
-    rows = [(-i, text, text.strip().lower()) for i, text in enumerate(reference)]
-    listed = df.sparkSession.createDataFrame(rows, "rank int, canonical string, spelled string")
-    paired = listed.withColumn("pair", F.explode(_character_pairs(F.col("spelled"))))
-    values = counted.where("value IS NOT NULL").select("value", plain)
-    met = values.withColumn("pair", F.explode(_character_pairs(F.col("plain")))).join(paired, "pair")
-    score = F.round(text_similarity(F.col("plain"), F.col("spelled")), 6)
-    scored = met.drop("pair").distinct().withColumn("score", score).where(F.col("score") >= threshold)
-    best = scored.groupBy("value").agg(F.max(F.struct("score", "rank", "canonical")).alias("best"))
-    return counted.join(best, "value", "left").select(
-        "value", "rows", F.col("best.canonical").alias("canonical"), F.col("best.score").alias("score")
+    pairs = counted.select("value", "rows", F.explode_outer(_character_pairs(plain)).alias("pair"))
+    met = pairs.join(paired, "pair", "left").select("value", "rows", "place").distinct()
+    score = F.round(text_similarity(plain, F.col("spelled")) * _MILLION).cast("long")
+    # one number, since a greatest struct would be sorted for: score first, then the earlier reference
+    mark = score * (_LAST_PLACE + 1) + (F.lit(_LAST_PLACE) - F.col("place"))
+    best = met.join(listed, "place", "left").groupBy("value", "rows").agg(F.max(mark).alias("best"))
+    best = best.withColumn("score", F.shiftright("best", 31) / F.lit(float(_MILLION)))
+    place = F.lit(_LAST_PLACE) - F.col("best").bitwiseAND(F.lit(_LAST_PLACE))
+    found = best.withColumn("place", F.when(F.col("score") >= threshold, place).cast("int"))
+    return found.join(listed, "place", "left").select(
+        "value", "rows", "canonical", F.when(F.col("place").isNotNull(), F.col("score")).alias("score")
     )
 
 

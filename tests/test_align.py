@@ -145,6 +145,17 @@ def test_canonicalize_values_against_brute_force(spark):
     assert replaced.count() == df.count() and replaced.where("b = 'Boa Viagem'").count() == 4
 
 
+def test_values_stay_where_they_were_counted(spark):
+    """Only the reference is broadcast: the values, which grow, are shuffled once."""
+    df = spark.range(3000).selectExpr("concat('rua ', cast(id % 700 as string)) AS b")
+    found = align.canonicalize_values(df, "b", ["Rua 10", "Rua 11", "Casa Forte"])
+    assert {r["value"]: r["canonical"] for r in found.collect()}["rua 110"] == "Rua 10"
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.split("Initial Plan")[-1].splitlines() if "Exchange" in line]
+    assert sum("hashpartitioning(b#" in line for line in exchanges) == 1
+    assert all("hashpartitioning(b#" in line or "BroadcastExchange" in line for line in exchanges)
+
+
 def test_matches_do_not_depend_on_the_order_of_columns():
     sources, targets = ["bairos", "bairo", "cidad"], ["bairro", "cidade", "cidades"]
     first = align.match_similar_names(sources, targets)
