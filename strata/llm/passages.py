@@ -51,6 +51,8 @@ SIMILAR = (4, 5)
 AROUND = SPAN // 2 - 1
 #: Windows of one value that one task compares, on each side.
 PART_WINDOWS = 2_000
+#: Results that such a task remembers, of pairs of windows with similar passages.
+KNOWN_PAIRS = 5_000
 
 _U64 = np.uint64
 _SEED = _U64(0xD6E8FEB86659FD93)
@@ -307,37 +309,60 @@ def _within_reach(hits: np.ndarray, sizes: np.ndarray, open_: np.ndarray) -> np.
     return (open_ & ((sums[:, SPAN:] - sums[:, :-SPAN]) * SIMILAR[1] >= sizes * SIMILAR[0])).any(axis=1)
 
 
+def _firsts_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different value, and for each place which of these has its value."""
+    return np.unique(values, return_index=True, return_inverse=True)[1:]
+
+
 def compared(texts: list[int], lows: list[int], roots: list[int], found: list[bool], parts: list[int], grams: list[np.ndarray], across: bool) -> list[tuple[int, int, list[int]]]:
     """Pairs of one value's windows, and begins of passages, that join texts or are new.
 
-    ``across`` tells that only windows of different parts are to meet.
+    ``across`` tells that only windows of different parts are to meet. Many windows are
+    copies: whether passages of two windows are alike is found out once for equal ones.
     """
     count, width = len(grams), 2 * SPAN - 1
     names, codes = np.unique(np.concatenate(grams), return_inverse=True)
     lengths = np.array([len(g) for g in grams])
     table = np.full((count, width), len(names), np.int32)
     table[np.arange(width) < lengths[:, None]] = codes
+    own, part, text = np.unique(roots, return_inverse=True)[1], np.array(parts), np.array(texts)
+    content = np.unique(table.view(np.dtype((np.void, table.itemsize * width))).ravel(), return_inverse=True)[1]
+    unlike = np.zeros((int(content.max()) + 1,) * 2, bool)
+    known: dict[tuple[int, int], np.ndarray] = {}
     firsts = [_first_places(table[n, : lengths[n]]) for n in range(count)]
     sizes = np.full((count, SPAN), 2 * width)
     open_ = np.zeros((count, SPAN), bool)
     for n, f in enumerate(firsts):
         sizes[n, : len(f)] = f.sum(axis=1)
         open_[n, : len(f)] = not found[n]
-    own, part, text = np.unique(roots, return_inverse=True)[1], np.array(parts), np.array(texts)
+    any_open = open_.any(axis=1)
+    # a window without open passages adds nothing after its like, but where that one met its own text
+    states = np.stack([content, own, part, any_open], axis=1)
+    place, like = np.unique(states, axis=0, return_index=True, return_inverse=True)[1:]
+    like = np.where(any_open, np.arange(count), place[like])
     every = np.arange(SPAN) <= (lengths - SPAN)[:, None]
     least = sizes.min(axis=1)
     inside, number = np.zeros(len(names) + 1, bool), np.zeros(len(names) + 1, np.int64)
     pairs = []
     for n in range(1, count):
-        some = (own[:n] != own[n]) | open_[:n].any(axis=1) | open_[n].any()
+        some = (own[:n] != own[n]) | any_open[:n] | any_open[n]
+        some &= ~unlike[content[n]][content[:n]]
+        if like[n] < n:
+            some &= text[:n] == text[like[n]]
         some = np.flatnonzero(some & (part[:n] != part[n])) if across else np.flatnonzero(some)
         if not len(some):
             continue
+        closed = ~any_open[some] & (text[some] != text[n])
+        one = np.unique(content[some[closed]] * count + own[some[closed]], return_index=True)[1]
+        some = np.sort(np.concatenate([some[~closed], some[closed][one]]))
         mine = table[n, : lengths[n]]
         # similar passages have four fifths of the larger one's shingles in common
         inside[mine] = True
-        some = some[inside[table[some]].sum(axis=1) * SIMILAR[1] >= np.maximum(least[some], least[n]) * SIMILAR[0]]
+        kind, rows = _firsts_of(content[some])
+        enough = (inside[table[some[kind]]].sum(axis=1) * SIMILAR[1] >= np.maximum(least[some[kind]], least[n]) * SIMILAR[0])[rows]
         inside[mine] = False
+        unlike[content[n], content[some[~enough]]] = unlike[content[some[~enough]], content[n]] = True
+        some = some[enough]
         if not len(some):
             continue
         kinds, kind = np.unique(mine, return_inverse=True)
@@ -352,11 +377,19 @@ def compared(texts: list[int], lows: list[int], roots: list[int], found: list[bo
         good = _within_reach(at > 0, sizes[some], open_[some] | apart & every[some]) | _within_reach(back, sizes[n], open_[n] | apart & every[n])
         nearest = np.argsort(-(at > 0).sum(axis=1), kind="stable")
         for m in some[nearest[good[nearest]]].tolist():
-            if own[m] == own[n] and not (open_[m].any() or open_[n].any()):
+            if unlike[content[m], content[n]] or own[m] == own[n] and not (any_open[m] or any_open[n]):
                 continue
-            ok = alike(table[m, : lengths[m]], mine, firsts[m], firsts[n])
+            ok = known.get((content[m], content[n]))
+            if ok is None:
+                ok = alike(table[m, : lengths[m]], mine, firsts[m], firsts[n])
+                if not ok.any():
+                    unlike[content[m], content[n]] = unlike[content[n], content[m]] = True
+                    continue
+                if len(known) >= KNOWN_PAIRS:
+                    known.clear()
+                known[content[m], content[n]] = ok
             if text[m] == text[n]:
-                ok &= np.abs(lows[m] + np.arange(ok.shape[0])[:, None] - lows[n] - np.arange(ok.shape[1])) >= SPAN
+                ok = ok & np.abs(lows[m] + np.arange(ok.shape[0])[:, None] - lows[n] - np.arange(ok.shape[1])) >= SPAN
             if not ok.any():
                 continue
             # the commonest shift first, so that points fall on few diagonals
@@ -374,6 +407,7 @@ def compared(texts: list[int], lows: list[int], roots: list[int], found: list[bo
                 new[0] = True
                 own[own == own[m]] = own[n]
             open_[m][i], open_[n][j] = False, False
+            any_open[m], any_open[n] = open_[m].any(), open_[n].any()
             if new.any():
                 pairs.append((m, n, np.stack([i[new] + lows[m], j[new] + lows[n]], axis=1).ravel().tolist()))
     return pairs
