@@ -29,11 +29,12 @@ component of texts that share a passage, named by the least doc_id in it.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from strata.llm.components import components
 from strata.llm.store import stored
@@ -51,6 +52,11 @@ SIMILAR = (4, 5)
 AROUND = SPAN // 2 - 1
 #: Windows of one value that one task compares, on each side.
 PART_WINDOWS = 2_000
+#: Characters, times functions, whose windows make one bin, and windows that a task holds before it deals them.
+BIN_CHARS = 16_000_000
+HELD_WINDOWS = 500_000
+#: Functions whose windows are made at a time.
+TOGETHER = 3
 
 _U64 = np.uint64
 _SEED = _U64(0xD6E8FEB86659FD93)
@@ -112,41 +118,258 @@ def compact_windows(values: np.ndarray, firsts: np.ndarray, span: int = SPAN) ->
     return np.array(before), nodes, np.array(after)
 
 
-def _windows(texts: DataFrame, keys_only: bool = False) -> DataFrame:
-    schema = T.StructType(_long("key") if keys_only else _long("key", "u") + [T.StructField(n, T.IntegerType()) for n in ("before", "after", "l", "c", "r")])
+def passage_windows(values: np.ndarray, firsts: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First begin, c and last begin of the passages of ``span`` values in every compact window.
+
+    All passages with their least value at c begin in one run, so no tree is to be built.
+    Values are told apart by the bits above those of a place.
+    """
+    counts = np.maximum(np.diff(firsts) - span + 1, 0)
+    begins = ragged(firsts[:-1], counts)
+    if not len(begins):
+        return (np.zeros(0, np.int64),) * 3
+    bits = _U64(len(values).bit_length())
+    low, size = values >> bits << bits | np.arange(len(values), dtype=_U64), 1
+    while size * 2 <= span:
+        low = np.minimum(low[:-size], low[size:])
+        size *= 2
+    if size < span:
+        low = np.minimum(low[: len(low) - (span - size)], low[span - size :])
+    place = (low[begins] & ((_U64(1) << bits) - _U64(1))).astype(np.int64)
+    new = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    return begins[new], place[new], begins[np.r_[new[1:], len(begins)] - 1]
+
+
+def run_hashes(grams: np.ndarray) -> np.ndarray:
+    """A hash of the shingles of each passage, in their order."""
+    size, factor = 1, _U64(0x9E3779B97F4A7C15)
+    if len(grams) < SPAN:
+        return np.zeros(0, _U64)
+    while size * 2 <= SPAN:
+        grams = mix(grams[:-size] * factor ^ grams[size:] + _U64(size))
+        size *= 2
+    return mix(grams[: len(grams) - (SPAN - size)] * factor ^ grams[SPAN - size :] + _U64(SPAN))
+
+
+#: A window: ``content`` is of all its shingles and c, ``found`` tells that all its passages are known.
+_WINDOW = np.dtype(
+    [(n, np.int64) for n in ("key", "content", "u", "root")] + [(n, np.int32) for n in ("before", "after", "l", "c", "r")] + [("found", np.bool_)]
+)
+
+
+def _no_spans() -> Column:
+    return F.expr("cast(array() as array<struct<begin: bigint, end: bigint>>)")
+
+
+def _known_begins(spans: pa.Array, row: int, end: int, firsts: np.ndarray, size: int) -> np.ndarray:
+    """Of all shingles of a block of texts, those where a known passage begins."""
+    places = spans.offsets.to_numpy()[row : end + 1]
+    begins, ends = (x.to_numpy()[places[0] : places[-1]] for x in spans.values.flatten())
+    at = np.repeat(firsts[:-1], np.diff(places))
+    return covered(at + begins, at + ends - SPAN + 1, size)
+
+
+def _windows_of(row: int, end: int, data: np.ndarray, offsets: np.ndarray, names: np.ndarray, roots: np.ndarray, spans: pa.Array, functions: range) -> Iterator[np.ndarray]:
+    """Windows of a block of texts."""
+    grams, firsts, _ = shingles_of(data, offsets)
+    runs = run_hashes(grams)
+    owner = np.repeat(np.arange(row, end), np.diff(firsts))
+    sums = np.append(_U64(0), np.cumsum(mix(grams ^ _SEED)))
+    unknown = np.append(0, np.cumsum(~_known_begins(spans, row, end, firsts, len(grams))))
+    for k in functions:
+        values = mix(grams ^ _U64(int(_SEED) * (2 * k + 3) & (2**64 - 1)))
+        low, c, high = passage_windows(values, firsts)
+        made = np.zeros(len(c), _WINDOW)
+        made["key"] = (mix(values[c]) & _U64(~_FUNCTION & (2**64 - 1)) | _U64(k)).view(np.int64)
+        shape = mix(((c - low) * SPAN + high - low).astype(_U64))
+        made["content"] = mix(mix(runs[low] ^ shape) + runs[high]).view(np.int64)
+        made["u"], made["root"] = names[owner[c]], roots[owner[c]]
+        at, last = firsts[owner[c] - row], firsts[owner[c] - row + 1]
+        for n, x, y in (("before", np.maximum(at, c - AROUND), c), ("after", c, np.minimum(last, c + AROUND + 1))):
+            made[n] = (mix(sums[y] - sums[x]) >> _U64(32)).astype(np.uint32).view(np.int32)
+        made["l"], made["c"], made["r"] = low - at, c - at, high + SPAN - 1 - at
+        made["found"] = unknown[high + 1] == unknown[low]
+        yield made
+
+
+def _dealt(texts: DataFrame, known: DataFrame | None, functions: range) -> DataFrame:
+    """Windows packed into rows by bins of keys, each bin's together."""
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    bins = 1 + chars * len(functions) // BIN_CHARS
+    if known is None:
+        named = texts.select("u", F.col("u").alias("root"), _no_spans().alias("spans"), "text")
+    else:
+        named = texts.join(known, "u", "left").select("u", F.coalesce("root", "u").alias("root"), F.coalesce("spans", _no_spans()).alias("spans"), "text")
+
+    def split(held: list[np.ndarray]) -> pa.RecordBatch:
+        made = np.concatenate(held)
+        place = ((made["key"].view(_U64) >> _U64(3)) % _U64(bins)).astype(np.int64)
+        made = made[np.argsort(place, kind="stable")]
+        counts = np.bincount(place, minlength=bins)
+        ends = np.cumsum(counts)
+        some = np.flatnonzero(counts)
+        return pa.RecordBatch.from_arrays([pa.array(some), pa.array([made[e - n : e].tobytes() for e, n in zip(ends[some], counts[some])], pa.binary())], ["bin", "windows"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for batch in batches:
-            names = batch.column(0).to_numpy()
-            for row, end, data, offsets in text_blocks(batch.column(1)):
-                grams, firsts, _ = shingles_of(data, offsets)
-                owner = np.repeat(np.arange(row, end), np.diff(firsts))
-                sums = np.append(_U64(0), np.cumsum(mix(grams ^ _SEED)))
-                for k in range(HASHES):
-                    values = mix(grams ^ _U64(int(_SEED) * (2 * k + 3) & (2**64 - 1)))
-                    l, c, r = compact_windows(values, firsts)
-                    if not len(c):
-                        continue
-                    key = pa.array((mix(values[c]) & _U64(~_FUNCTION & (2**64 - 1)) | _U64(k)).view(np.int64))
-                    if keys_only:
-                        yield pa.RecordBatch.from_arrays([key], schema.names)
-                        continue
-                    at, stop = firsts[owner[c] - row], firsts[owner[c] - row + 1]
-                    sides = [(mix(sums[b] - sums[a]) >> _U64(32)).astype(np.uint32).view(np.int32) for a, b in ((np.maximum(at, c - AROUND), c), (c, np.minimum(stop, c + AROUND + 1)))]
-                    columns = [names[owner[c]], *sides, *((x - at).astype(np.int32) for x in (l, c, r))]
-                    yield pa.RecordBatch.from_arrays([key, *(pa.array(x) for x in columns)], schema.names)
+            names, roots = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for row, end, data, offsets in text_blocks(batch.column(3)):
+                held += _windows_of(row, end, data, offsets, names, roots, batch.column(2), functions)
+                if sum(map(len, held)) > HELD_WINDOWS:
+                    yield split(held)
+                    held = []
+        if held:
+            yield split(held)
+
+    packed = named.mapInArrow(run, T.StructType([*_long("bin"), T.StructField("windows", T.BinaryType())]))
+    return packed.repartition("bin").sortWithinPartitions("bin")
+
+
+def _bins(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """All windows of one bin after another."""
+    held: list[bytes] = []
+    group = None
+    for batch in batches:
+        for name, raw in zip(*(batch.column(k).to_pylist() for k in (0, 1))):
+            if name != group and held:
+                yield np.frombuffer(b"".join(held), _WINDOW)
+                held = []
+            group = name
+            held.append(raw)
+    if held:
+        yield np.frombuffer(b"".join(held), _WINDOW)
+
+
+def partners(starts: np.ndarray, counts: np.ndarray, texts: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Of equal passages, which lie in runs ordered by text and begin, one that each repeats, or -1.
+
+    This is the first or the last one; others would not do where these overlap it.
+    """
+    every = np.arange(len(texts))
+    got = np.full(len(texts), -1)
+    for ends in (starts + counts - 1, starts):
+        other = np.repeat(ends, counts)
+        good = (texts[other] != texts[every]) | (np.abs(begins[other] - begins[every]) >= SPAN)
+        got = np.where(good, other, got)
+    return got
+
+
+def _of_contents(made: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows in order, and the runs of those with one key and content."""
+    made = made[np.lexsort((made["l"], made["u"], made["content"], made["key"]))]
+    new = np.r_[True, (made["key"][1:] != made["key"][:-1]) | (made["content"][1:] != made["content"][:-1])]
+    starts = np.flatnonzero(new)
+    return made, starts, np.diff(np.append(starts, len(made)))
+
 
-    return texts.select("u", "text").mapInArrow(run, schema)
+_PAIR = ["a", "b", "begin_a", "end_a", "begin_b", "end_b"]
 
 
-def _shared(texts: DataFrame) -> DataFrame:
-    """Windows whose value occurs again.
+def _repeats(texts: DataFrame) -> DataFrame:
+    """Spans of equal passages, each with one it repeats.
 
-    Windows are made twice, for their keys first: most keys are single, and keeping all
-    windows would take more room than any later step.
+    Equal passages lie in windows of one key at one distance from c. Equal windows are
+    repeats as a whole; of unequal ones with one key, passages are told by their hashes.
     """
-    seen = _windows(texts, keys_only=True).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    return _windows(texts).join(seen, "key")
+    schema = T.StructType([*_long("key", "a", "b", "begin_a", "end_a", "begin_b", "end_b")])
+
+    def equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs of equal windows; without a, the first and last one of each content to look into."""
+        for made in _bins(batches):
+            made, starts, counts = _of_contents(made)
+            other = partners(starts, counts, made["u"], made["l"])
+            some = np.flatnonzero(other >= 0)
+            keys = made["key"][starts]
+            first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            kinds = np.diff(np.append(first, len(keys)))
+            many = np.repeat(kinds > 1, kinds)
+            kept = np.unique(np.concatenate([starts[many], (starts + counts - 1)[many]]))
+            x, y = made[other[some]], made[some]
+            linked = [y["key"], x["u"], y["u"], x["l"], x["r"] + 1, y["l"], y["r"] + 1]
+            z = made[kept]
+            inner = [z["key"], None, z["u"], None, None, z["l"], z["r"] + 1]
+            for columns, size in ((linked, len(some)), (inner, len(kept))):
+                yield pa.RecordBatch.from_arrays([pa.nulls(size, pa.int64()) if c is None else pa.array(c.astype(np.int64)) for c in columns], schema.names)
+
+    found = stored(_dealt(texts, None, range(1)).mapInArrow(equal, schema), "repeats")
+    inner = found.where("a is null").groupBy(F.col("b").alias("u")).agg(F.collect_list(F.struct("key", "begin_b", "end_b")).alias("windows"))
+    cut_schema = T.StructType([*_long("key", "u", "begin"), T.StructField("runs", T.ArrayType(T.LongType()))])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(1)
+            places = column.offsets.to_numpy()
+            keys, begins, ends = (x.to_numpy() for x in column.values.flatten())
+            for row, end, data, offsets in text_blocks(batch.column(2)):
+                grams, firsts, _ = shingles_of(data, offsets)
+                runs, some = run_hashes(grams), slice(places[row], places[end])
+                owner = np.repeat(np.arange(row, end), np.diff(places[row : end + 1]))
+                counts = ends[some] - begins[some] - SPAN + 1
+                taken = runs[ragged(firsts[owner - row] + begins[some], counts)].view(np.int64)
+                values = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(taken))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[some]), batch.column(0).take(pa.array(owner)), pa.array(begins[some]), values], cut_schema.names)
+
+    runs = inner.join(texts.select("u", "text"), "u").select("u", "windows", "text").mapInArrow(cut, cut_schema)
+
+    def link(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        runs, texts, begins = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((begins, texts, runs))
+        runs, texts, begins = runs[order], texts[order], begins[order]
+        starts = np.flatnonzero(np.r_[True, runs[1:] != runs[:-1]])
+        other = partners(starts, np.diff(np.append(starts, len(runs))), texts, begins)
+        some = np.flatnonzero(other >= 0)
+        a, b, x, y = texts[other[some]], texts[some], begins[other[some]], begins[some]
+        order = np.lexsort((y, y - x, a, b))
+        a, b, x, y = a[order], b[order], x[order], y[order]
+        # passages next to each other make one span
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (x[1:] != x[:-1] + 1) | (y[1:] != y[:-1] + 1)
+        at = np.flatnonzero(new)
+        last = np.append(at[1:], len(a)) - 1
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (a[at], b[at], x[at], x[last] + SPAN, y[at], y[last] + SPAN)], _PAIR)
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        size, group = 0, None
+        for batch in batches:
+            keys, texts, begins = (batch.column(k).to_numpy() for k in range(3))
+            lists = batch.column(3)
+            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            cuts = np.append(np.flatnonzero(np.r_[len(keys) > 0, keys[1:] != keys[:-1]]), len(keys)).tolist()
+            for x, y in zip(cuts, cuts[1:]):
+                if keys[x] != group and size > HELD_WINDOWS:
+                    yield link(held)
+                    held, size = [], 0
+                group = keys[x]
+                counts = np.diff(offsets[x : y + 1])
+                held.append((values[offsets[x] : offsets[y]].copy(), np.repeat(texts[x:y], counts), ragged(begins[x:y], counts)))
+                size += int(counts.sum())
+        if held:
+            yield link(held)
+
+    same = runs.repartition("key").sortWithinPartitions("key").mapInArrow(within, T.StructType(_long(*_PAIR)))
+    return found.where("a is not null").select(*_PAIR).unionByName(stored(same, "repeats"))
+
+
+def _unsettled(texts: DataFrame, known: DataFrame, functions: range) -> DataFrame:
+    """Windows whose value occurs again and that the pairs do not settle; of equal ones, the first and last."""
+    names = ["key", "u", "before", "after", "l", "c", "r"]
+    schema = T.StructType(_long("key", "u") + [T.StructField(n, T.IntegerType()) for n in names[2:]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for made in _bins(batches):
+            made, starts, counts = _of_contents(made)
+            first = np.flatnonzero(np.r_[True, made["key"][1:] != made["key"][:-1]])
+            sizes = np.diff(np.append(first, len(made)))
+            left = sizes > 1
+            left &= (np.minimum.reduceat(made["root"], first) != np.maximum.reduceat(made["root"], first)) | ~np.logical_and.reduceat(made["found"], first)
+            kept = np.zeros(len(made), bool)
+            kept[starts] = kept[starts + counts - 1] = True
+            some = made[kept & np.repeat(left, sizes)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(some[n])) for n in names], names)
+
+    return _dealt(texts, known, functions).mapInArrow(run, schema)
 
 
 def _joined(shared: DataFrame) -> DataFrame:
@@ -261,24 +484,32 @@ def _verified(candidates: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _sides(pairs: DataFrame) -> DataFrame:
-    """Spans found in each text."""
+    """Spans found in each text; those whose passages are next to each other are one."""
     sides = pairs.select(F.col("a").alias("u"), F.col("begin_a").alias("begin"), F.col("end_a").alias("end")).unionByName(
         pairs.select(F.col("b").alias("u"), F.col("begin_b").alias("begin"), F.col("end_b").alias("end"))
     )
-    return sides.groupBy("u").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+    before = Window.partitionBy("u").orderBy("begin").rowsBetween(Window.unboundedPreceding, -1)
+    new = F.col("begin") > F.coalesce(F.max("end").over(before), F.lit(0)) - (SPAN - 1)
+    numbered = sides.withColumn("new", new.cast("int")).withColumn("run", F.sum("new").over(Window.partitionBy("u").orderBy("begin")))
+    merged = numbered.groupBy("u", "run").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+    return merged.groupBy("u").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
 
 
-def _open(shared: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Windows of the values that are not settled by the pairs: low and high are passage begins."""
+def _known(pairs: DataFrame) -> DataFrame:
+    """Spans found in each text, and the least text of its component if it has others."""
     roots = components(pairs.select("a", "b").distinct()).select(F.col("node").alias("u"), "root")
-    known = _sides(pairs).join(roots, "u", "left")
+    return _sides(pairs).join(roots, "u", "left")
+
+
+def _open(shared: DataFrame, known: DataFrame) -> DataFrame:
+    """Windows of the values that are not settled by what is known: low and high are passage begins."""
     low, high = F.greatest("l", F.col("c") - SPAN + 1), F.least("c", F.col("r") - SPAN + 1)
     windows = shared.select("key", "u", "c", low.alias("low"), high.alias("high"))
     found = F.coalesce(F.expr(f"exists(spans, s -> s.begin <= low and s.end >= high + {SPAN})"), F.lit(False))
     placed = windows.join(known, "u", "left").select("key", "u", "c", "low", "high", F.coalesce("root", "u").alias("root"), found.alias("found"))
     parts = F.ceil(F.count(F.lit(1)) / PART_WINDOWS).cast("int").alias("parts")
     state = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.bool_and("found").alias("all"), parts)
-    return placed.join(state.where("lo != hi or not all").select("key", "parts"), "key")
+    return placed.drop("found").join(state.where("lo != hi or not all").select("key", "parts"), "key")
 
 
 def _first_places(grams: np.ndarray) -> np.ndarray:
@@ -300,93 +531,200 @@ def alike(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray) -> n
     return less * SIMILAR[1] >= more * SIMILAR[0]
 
 
-def _within_reach(hits: np.ndarray, sizes: np.ndarray, open_: np.ndarray) -> np.ndarray:
-    """Rows with an open passage of whose shingles enough may be in the other window."""
-    sums = np.zeros((len(hits), hits.shape[1] + 1), np.int16)
-    np.cumsum(hits, axis=1, out=sums[:, 1:])
-    return (open_ & ((sums[:, SPAN:] - sums[:, :-SPAN]) * SIMILAR[1] >= sizes * SIMILAR[0])).any(axis=1)
-
-
-def compared(texts: list[int], lows: list[int], roots: list[int], found: list[bool], parts: list[int], grams: list[np.ndarray], across: bool) -> list[tuple[int, int, list[int]]]:
+def _within_reach(common: np.ndarray, sizes: np.ndarray, least: int) -> np.ndarray:
+    """Passages with enough of their shingles in common for one similar to be of ``least`` shingles or more."""
+    # similar passages have four ninths of both ones' shingles in common, and four fifths of each one's
+    return (common * sum(SIMILAR) >= (sizes + least) * SIMILAR[0]) & (common * SIMILAR[1] >= np.maximum(sizes, least) * SIMILAR[0])
+
+
+def _since(table: np.ndarray) -> np.ndarray:
+    """For each place of the windows' shingles, the first passage in which it is the first of its kind."""
+    order = np.argsort(table, axis=1, kind="stable")
+    kinds = np.take_along_axis(table, order, axis=1)
+    before = np.full(table.shape, -1)
+    np.put_along_axis(before, order[:, 1:], np.where(kinds[:, 1:] == kinds[:, :-1], order[:, :-1], -1), axis=1)
+    return np.maximum(before + 1, np.maximum(np.arange(table.shape[1]) - SPAN + 1, 0))
+
+
+def _distinct(hits: np.ndarray, since: np.ndarray) -> np.ndarray:
+    """Different shingles, of those hit, in each passage of the windows."""
+    count, wide = len(hits), hits.shape[1] + 1
+    row, place = np.nonzero(hits)
+    steps = np.bincount(row * wide + since[row, place], minlength=count * wide) - np.bincount(row * wide + place + 1, minlength=count * wide)
+    return np.cumsum(steps.reshape(count, wide), axis=1)[:, :SPAN]
+
+
+def _viable(table: np.ndarray, since: np.ndarray, sizes: np.ndarray, kinds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Passages of whose shingles enough are in other windows at all, and which of the kinds are in several of these."""
+    alive = np.arange(len(table))
+    viable, often = np.zeros(sizes.shape, bool), np.zeros(kinds + 1, bool)
+    while len(alive) > 1:
+        order = np.sort(table[alive], axis=1)
+        new = np.ones(order.shape, bool)
+        new[:, 1:] = order[:, 1:] != order[:, :-1]
+        often = np.bincount(order[new], minlength=kinds + 1) > 1
+        often[-1] = False
+        some = _within_reach(_distinct(often[table[alive]], since[alive]), sizes[alive], int(sizes[alive].min()))
+        left = some.any(axis=1)
+        if left.all():
+            viable[alive] = some
+            break
+        alive = alive[left]
+    return viable, often
+
+
+def compared(
+    texts: list[int], lows: list[int], roots: list[int], found: list, parts: list[int], grams: list[np.ndarray], across: bool, sizes_of: list[int] | None = None
+) -> list[tuple[int, int, list[int]]]:
     """Pairs of one value's windows, and begins of passages, that join texts or are new.
 
-    ``across`` tells that only windows of different parts are to meet.
+    ``found`` tells of each window or of each of its passages that it is known, ``across``
+    that only windows of different parts are to meet. There may be several values, with no
+    shingle in common, of ``sizes_of`` windows each. A passage that is not known meets the windows
+    with the most shingles of its own first, and no more of them once it is known.
     """
     count, width = len(grams), 2 * SPAN - 1
-    names, codes = np.unique(np.concatenate(grams), return_inverse=True)
     lengths = np.array([len(g) for g in grams])
+    names, codes = np.unique(np.concatenate(grams), return_inverse=True)
     table = np.full((count, width), len(names), np.int32)
     table[np.arange(width) < lengths[:, None]] = codes
-    firsts = [_first_places(table[n, : lengths[n]]) for n in range(count)]
-    sizes = np.full((count, SPAN), 2 * width)
+    since = _since(table)
+    every = np.arange(SPAN) <= (lengths - SPAN)[:, None]
+    sizes = np.where(every, _distinct(table < len(names), since), 2 * width)
+    masks: dict[int, np.ndarray] = {}
+
+    def firsts(n: int) -> np.ndarray:
+        if n not in masks:
+            if len(masks) > 4 * PART_WINDOWS:
+                masks.clear()
+            masks[n] = _first_places(table[n, : lengths[n]])
+        return masks[n]
+
+    viable, often = _viable(table, since, sizes, len(names))
+    alive = np.flatnonzero(viable.any(axis=1))
+    if len(alive) < 2:
+        return []
     open_ = np.zeros((count, SPAN), bool)
-    for n, f in enumerate(firsts):
-        sizes[n, : len(f)] = f.sum(axis=1)
-        open_[n, : len(f)] = not found[n]
+    for n in alive.tolist():
+        open_[n, : lengths[n] - SPAN + 1] = ~np.asarray(found[n])
+    open_ &= viable
     own, part, text = np.unique(roots, return_inverse=True)[1], np.array(parts), np.array(texts)
-    every = np.arange(SPAN) <= (lengths - SPAN)[:, None]
-    least = sizes.min(axis=1)
-    inside, number = np.zeros(len(names) + 1, bool), np.zeros(len(names) + 1, np.int64)
-    pairs = []
-    for n in range(1, count):
-        some = (own[:n] != own[n]) | open_[:n].any(axis=1) | open_[n].any()
-        some = np.flatnonzero(some & (part[:n] != part[n])) if across else np.flatnonzero(some)
+    least, low = sizes.min(axis=1), np.array(lows)
+    ends = np.searchsorted(alive, np.cumsum(sizes_of or [count])).tolist()
+    groups = [alive[x:y] for x, y in zip([0, *ends], ends) if y - x > 1]
+    pairs: list[tuple[int, int, list[int]]] = []
+
+    def keep(m: int, n: int, i: np.ndarray, j: np.ndarray) -> None:
+        """Those points of a pair that are new, and one that joins its texts."""
+        new = np.zeros(len(i), bool)
+        new[np.unique(i, return_index=True)[1]] = True
+        new &= open_[m][i]
+        other = np.zeros(len(i), bool)
+        other[np.unique(j, return_index=True)[1]] = True
+        new |= other & open_[n][j]
+        if own[m] != own[n]:
+            new[0] = True
+            own[own == own[m]] = own[n]
+        open_[m][i], open_[n][j] = False, False
+        if new.any():
+            pairs.append((m, n, np.stack([i[new] + lows[m], j[new] + lows[n]], axis=1).ravel().tolist()))
+
+    # passages that are alike but for shingles of their own alone, by hashes of the others
+    plain = alive[(~every | (sizes == SPAN))[alive].all(axis=1)]
+    shared = often[table[plain]]
+    codes = mix(np.where(shared, table[plain] + 1, 0).astype(_U64).ravel()).reshape(shared.shape)
+    hashes = run_hashes(codes.T).T
+    sums = np.zeros((len(plain), width + 1), np.int16)
+    np.cumsum(shared, axis=1, out=sums[:, 1:])
+    enough = viable[plain] & ((sums[:, SPAN:] - sums[:, :-SPAN]) * sum(SIMILAR) >= 2 * SPAN * SIMILAR[0])
+    row, begin = np.nonzero(enough)
+    window, value = plain[row], hashes[row, begin]
+    order = np.lexsort((low[window] + begin, text[window], value))
+    window, begin, value = window[order], begin[order], value[order]
+    starts = np.flatnonzero(np.r_[len(value) > 0, value[1:] != value[:-1]])
+    other = partners(starts, np.diff(np.append(starts, len(value))), text[window], low[window] + begin)
+    some = np.flatnonzero(other >= 0)
+    some = some[(part[window[some]] != part[window[other[some]]])] if across else some
+    some = some[open_[window[some], begin[some]] | open_[window[other[some]], begin[other[some]]] | (own[window[some]] != own[window[other[some]]])]
+    some = some[np.lexsort((begin[some], window[other[some]], window[some]))]
+    mine, theirs = window[some], window[other[some]]
+    cuts = np.append(np.flatnonzero(np.r_[len(some) > 0, (mine[1:] != mine[:-1]) | (theirs[1:] != theirs[:-1])]), len(some)).tolist()
+    for x, y in zip(cuts, cuts[1:]):
+        keep(int(theirs[x]), int(mine[x]), begin[other[some[x:y]]], begin[some[x:y]])
+
+    inside = np.zeros(len(names) + 1, bool)
+    # the windows of each shingle, which are all of one value
+    row, place = np.nonzero((table < len(names)) & (viable.any(axis=1)[:, None]))
+    kinds = np.unique(table[row, place].astype(np.int64) * count + row)
+    holders, bounds = kinds % count, np.searchsorted(kinds, np.arange(len(names) + 1) * count).tolist()
+    repeats = ((sizes < SPAN) & every).any(axis=1)
+
+    def meet(n: int, some: np.ndarray, joining: bool) -> None:
+        """Compare a window with others, till its passages are all known or, ``joining``, all texts joined."""
         if not len(some):
-            continue
+            return
         mine = table[n, : lengths[n]]
-        # similar passages have four fifths of the larger one's shingles in common
-        inside[mine] = True
-        some = some[inside[table[some]].sum(axis=1) * SIMILAR[1] >= np.maximum(least[some], least[n]) * SIMILAR[0]]
-        inside[mine] = False
-        if not len(some):
-            continue
-        kinds, kind = np.unique(mine, return_inverse=True)
-        number[kinds] = np.arange(1, len(kinds) + 1)
-        at = number[table[some]]
-        number[kinds] = 0
-        hit = np.zeros((len(some), len(kinds) + 1), bool)
-        hit[np.arange(len(some))[:, None], at] = True
-        back = np.zeros((len(some), width), bool)
-        back[:, : lengths[n]] = hit[:, 1 + kind]
-        apart = (own[some] != own[n])[:, None]
-        good = _within_reach(at > 0, sizes[some], open_[some] | apart & every[some]) | _within_reach(back, sizes[n], open_[n] | apart & every[n])
-        nearest = np.argsort(-(at > 0).sum(axis=1), kind="stable")
-        for m in some[nearest[good[nearest]]].tolist():
-            if own[m] == own[n] and not (open_[m].any() or open_[n].any()):
-                continue
-            ok = alike(table[m, : lengths[m]], mine, firsts[m], firsts[n])
-            if text[m] == text[n]:
-                ok &= np.abs(lows[m] + np.arange(ok.shape[0])[:, None] - lows[n] - np.arange(ok.shape[1])) >= SPAN
-            if not ok.any():
-                continue
-            # the commonest shift first, so that points fall on few diagonals
-            i, j = np.nonzero(ok)
-            shifts, counts = np.unique(j - i, return_counts=True)
-            order = np.argsort(-counts[np.searchsorted(shifts, j - i)], kind="stable")
-            i, j = i[order], j[order]
-            new = np.zeros(len(i), bool)
-            new[np.unique(i, return_index=True)[1]] = True
-            new &= open_[m][i]
-            other = np.zeros(len(i), bool)
-            other[np.unique(j, return_index=True)[1]] = True
-            new |= other & open_[n][j]
-            if own[m] != own[n]:
-                new[0] = True
-                own[own == own[m]] = own[n]
-            open_[m][i], open_[n][j] = False, False
-            if new.any():
-                pairs.append((m, n, np.stack([i[new] + lows[m], j[new] + lows[n]], axis=1).ravel().tolist()))
+        first = int(some.min())
+        common = np.concatenate([holders[bounds[k] : bounds[k + 1]] for k in set(mine.tolist())])
+        common = np.bincount(common[common >= first] - first, minlength=int(some.max()) - first + 1)[some - first]
+        enough = common * sum(SIMILAR) >= (least[some] + least[n]) * SIMILAR[0]
+        some, common = some[enough], common[enough]
+        some = some[np.argsort(-common, kind="stable")]
+        for j in np.flatnonzero(viable[n] if joining else open_[n]).tolist():
+            at, size = 0, 64
+            while at < len(some) and (joining or open_[n, j]):
+                near = some[at : at + size]
+                at, size = at + size, 4 * size
+                near = near[own[near] != own[n]] if joining else near
+                if not len(near):
+                    continue
+                # shingles that this passage and each one of the others have in common
+                inside[mine[j : j + SPAN]] = True
+                hits = inside[table[near]]
+                inside[mine] = False
+                if repeats[near].any():
+                    both = _distinct(hits, since[near])
+                else:
+                    sums = np.zeros((len(near), width + 1), np.int16)
+                    np.cumsum(hits, axis=1, out=sums[:, 1:])
+                    both = sums[:, SPAN:] - sums[:, :-SPAN]
+                good = both * sum(SIMILAR) >= (sizes[near] + sizes[n, j]) * SIMILAR[0]
+                good &= (text[near] != text[n])[:, None] | (np.abs(low[near][:, None] + np.arange(SPAN) - low[n] - j) >= SPAN)
+                for m in near[good.any(axis=1)].tolist():
+                    if own[m] == own[n] if joining else not open_[n, j]:
+                        continue
+                    ok = alike(table[m, : lengths[m]], mine, firsts(m), firsts(n))
+                    if text[m] == text[n]:
+                        ok &= np.abs(lows[m] + np.arange(ok.shape[0])[:, None] - lows[n] - np.arange(ok.shape[1])) >= SPAN
+                    if not ok.any():
+                        continue
+                    # the commonest shift first, so that points fall on few diagonals
+                    i, k = np.nonzero(ok)
+                    shifts, counts = np.unique(k - i, return_counts=True)
+                    order = np.argsort(-counts[np.searchsorted(shifts, k - i)], kind="stable")
+                    keep(m, n, i[order], k[order])
+
+    for group in groups:
+        for n in group[open_[group].any(axis=1)].tolist():
+            if open_[n].any():
+                meet(n, group[(group != n) & (part[group] != part[n])] if across else group[group != n], False)
+        for at in range(1, len(group)) if (own[group] != own[group[0]]).any() else ():
+            n, some = int(group[at]), group[:at]
+            some = some[(own[some] != own[n]) & ((part[some] != part[n]) | (not across))]
+            meet(n, some, True)
     return pairs
 
 
-_PLACED = ["key", "x", "y", "part", "u", "root", "found", "low"]
+_PLACED = ["key", "x", "y", "part", "u", "root", "low"]
 
 
-def _compared(windows: DataFrame, texts: DataFrame) -> DataFrame:
+def _compared(windows: DataFrame, texts: DataFrame, known: DataFrame) -> DataFrame:
     """Passages to verify of the pairs of windows of one value, each two of which meet."""
-    fields = ["key", "parts", "root", "found", "c", "low", "high"]
+    fields = ["key", "parts", "root", "c", "low", "high"]
     lists = windows.groupBy("u").agg(F.collect_list(F.struct(*fields)).alias("windows")).join(texts.select("u", "text"), "u")
-    whole = T.StructType([*_long("key"), T.StructField("parts", T.IntegerType()), *_long("u", "root"), T.StructField("found", T.BooleanType()), *_long("low"), T.StructField("grams", T.ArrayType(T.LongType()))])
+    lists = lists.join(known.select("u", "spans"), "u", "left").withColumn("spans", F.coalesce("spans", _no_spans()))
+    of_lists = [T.StructField("found", T.ArrayType(T.BooleanType())), T.StructField("grams", T.ArrayType(T.LongType()))]
+    whole = T.StructType([*_long("key"), T.StructField("parts", T.IntegerType()), *_long("u", "root", "low"), *of_lists])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -394,54 +732,79 @@ def _compared(windows: DataFrame, texts: DataFrame) -> DataFrame:
             places = column.offsets.to_numpy()
             for row, end, data, offsets in text_blocks(batch.column(2)):
                 grams, firsts, _ = shingles_of(data, offsets)
+                known = _known_begins(batch.column(3), row, end, firsts, len(grams))
                 held = dict(zip(fields, column.values.slice(places[row], places[end] - places[row]).flatten()))
                 owner = np.repeat(np.arange(row, end), np.diff(places[row : end + 1]))
-                low, counts = held["low"].to_numpy(), held["high"].to_numpy() - held["low"].to_numpy() + SPAN
+                low, high = held["low"].to_numpy(), held["high"].to_numpy()
                 for at in range(0, len(owner), 4096):
                     s = slice(at, at + 4096)
-                    taken = grams[ragged(firsts[owner[s] - row] + low[s], counts[s])].view(np.int64)
-                    values = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts[s])), pa.int32()), pa.array(taken))
-                    kept = {n: held[n].slice(at, 4096) for n in ("key", "parts", "root", "found")}
-                    yield pa.RecordBatch.from_arrays([kept["key"], kept["parts"], batch.column(0).take(pa.array(owner[s])), kept["root"], kept["found"], pa.array(low[s].astype(np.int64)), values], whole.names)
-
-    own = lists.select("u", "windows", "text").mapInArrow(cut, whole)
+                    values = []
+                    for array, counts in ((known, high[s] - low[s] + 1), (grams.view(np.int64), high[s] - low[s] + SPAN)):
+                        taken = array[ragged(firsts[owner[s] - row] + low[s], counts)]
+                        values.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(taken)))
+                    kept = {n: held[n].slice(at, 4096) for n in ("key", "parts", "root")}
+                    yield pa.RecordBatch.from_arrays([kept["key"], kept["parts"], batch.column(0).take(pa.array(owner[s])), kept["root"], pa.array(low[s].astype(np.int64)), *values], whole.names)
+
+    own = lists.select("u", "windows", "text", "spans").mapInArrow(cut, whole)
     placed = own.withColumn("part", F.pmod(F.xxhash64("u", "low"), F.col("parts")).cast("int"))
     met = placed.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-    met = met.withColumns({"x": F.least("part", "other"), "y": F.greatest("part", "other")}).select(*_PLACED, "grams")
+    met = met.withColumns({"x": F.least("part", "other"), "y": F.greatest("part", "other")}).select(*_PLACED, "found", "grams")
     schema = T.StructType(_long("a", "b") + [T.StructField("points", T.ArrayType(T.LongType()))])
 
-    def link(held: list[tuple], across: bool) -> pa.RecordBatch:
-        part, u, root, found, low, grams = zip(*held)
-        pairs = compared(list(u), list(low), list(root), list(found), list(part), list(grams), across)
+    def link(held: list[tuple], across: bool, sizes: list[int]) -> pa.RecordBatch:
+        part, u, root, low, found, grams = zip(*held)
+        pairs = compared(list(u), list(low), list(root), list(found), list(part), list(grams), across, sizes)
         return pa.RecordBatch.from_arrays([pa.array([u[p[k]] for p in pairs], pa.int64()) for k in (0, 1)] + [pa.array([p[2] for p in pairs], pa.list_(pa.int64()))], schema.names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def groups_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, list[tuple]]]:
+        """Windows that meet; shingles of different values are told apart."""
         held: list[tuple] = []
         group = None
         for batch in batches:
-            lists = batch.column(len(_PLACED))
-            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            lists = [batch.column(len(_PLACED) + k) for k in (0, 1)]
+            (at, found), (begin, values) = ((x.offsets.to_numpy(), x.values.to_numpy(zero_copy_only=False)) for x in lists)
+            salt = np.repeat(mix(batch.column(0).to_numpy().view(_U64)), np.diff(begin))
+            values = (values[begin[0] : begin[-1]].view(_U64) ^ salt).view(np.int64)
+            begin = begin - begin[0]
             for row, (key, x, y, *rest) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(len(_PLACED))))):
                 if (key, x, y) != group:
                     if len(held) > 1:
-                        yield link(held, group[1] != group[2])
+                        yield group[1] != group[2], held
                     group, held = (key, x, y), []
-                held.append((*rest, values[offsets[row] : offsets[row + 1]].copy()))
+                held.append((*rest, found[at[row] : at[row + 1]].copy(), values[begin[row] : begin[row + 1]].copy()))
         if len(held) > 1:
-            yield link(held, group[1] != group[2])
+            yield group[1] != group[2], held
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        sizes: list[int] = []
+        for across, group in groups_of(batches):
+            if across:
+                yield link(group, True, [len(group)])
+                continue
+            held, sizes = held + group, [*sizes, len(group)]
+            if len(held) >= PART_WINDOWS:
+                yield link(held, False, sizes)
+                held, sizes = [], []
+        if held:
+            yield link(held, False, sizes)
 
     return met.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, schema)
 
 
 def _passages(texts: DataFrame) -> DataFrame:
     """Verified passages of pairs of texts: those of least windows, then all that are not settled by them."""
-    shared = stored(_shared(texts), "windows")
-    pairs = stored(_verified(stored(_candidates(_joined(shared)), "candidates"), texts), "passages")
+    pairs = _repeats(texts)
+    known = stored(_known(pairs), "known")
+    parts = [_unsettled(texts, known, range(k, min(k + TOGETHER, HASHES))) for k in range(0, HASHES, TOGETHER)]
+    shared = functools.reduce(DataFrame.unionByName, [stored(part, "windows") for part in parts])
+    pairs = pairs.unionByName(stored(_verified(stored(_candidates(_joined(shared)), "candidates"), texts), "passages"))
     function = F.col("key").bitwiseAND(F.lit(_FUNCTION))
     # one function finds all equal passages, so the others have less left to compare
     for some in (function == 0, function > 0):
-        left = _open(shared.where(some), pairs)
-        found = stored(_verified(stored(_compared(left, texts), "candidates"), texts), "passages")
+        known = stored(_known(pairs), "known")
+        left = _open(shared.where(some), known)
+        found = stored(_verified(stored(_compared(left, texts, known), "candidates"), texts), "passages")
         pairs = pairs.unionByName(found)
     return pairs
 
