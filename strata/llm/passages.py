@@ -5,7 +5,13 @@ values form a Cartesian tree, whose nodes are compact windows (l, c, r): every p
 begins in [l, c] and ends in [c, r] has its least value at c. Windows too short for a
 passage are left out, so there are about two windows per passage length and function.
 
-Windows of different places with the same function and value meet in two rounds. First those
+Equal passages come first, by the first function alone: they lie in windows of one value, at one
+distance from c. Equal windows repeat as a whole; of unequal ones of a value, passages are grouped
+by a hash of their shingles. This takes no pairs of windows.
+
+For the rest, of equal windows the first and last are kept, and values are left out whose windows
+are known and of one component. Windows of different places with the same function and value
+then meet in two rounds. First those
 with the same shingles before c are joined to the least of them, those with the same shingles
 after it likewise, and the least ones to the least of all, so a value shared by g windows makes
 at most 4 g joins. For a pair of texts each join is a rectangle of passage begins, [.., ..] in
@@ -15,7 +21,9 @@ long as the words agree.
 
 Then, for the first function and after it for the others, all windows of a value are compared inside tasks, but for those pairs
 that can add nothing: of one component, and with all their passages found. Here one function
-is enough. A value of too many windows for a task is dealt into parts, and every
+is enough. A passage drops out if too few of its shingles are in other windows of the value; those
+alike but for shingles of their own alone are found by a hash of the others; the rest count the
+shingles they share with each window, and only pairs with enough of them are looked into. A value of too many windows for a task is dealt into parts, and every
 two parts meet in a task of their own. Only passages that join texts or are new leave a
 task, to be verified and grown like the others.
 
@@ -326,7 +334,7 @@ def _repeats(texts: DataFrame) -> DataFrame:
         new = np.ones(len(a), bool)
         new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (x[1:] != x[:-1] + 1) | (y[1:] != y[:-1] + 1)
         at = np.flatnonzero(new)
-        last = np.append(at[1:], len(a)) - 1
+        last = np.append(at[1:], len(a))[: len(at)] - 1
         return pa.RecordBatch.from_arrays([pa.array(c) for c in (a[at], b[at], x[at], x[last] + SPAN, y[at], y[last] + SPAN)], _PAIR)
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -800,8 +808,8 @@ def _passages(texts: DataFrame) -> DataFrame:
     shared = functools.reduce(DataFrame.unionByName, [stored(part, "windows") for part in parts])
     pairs = pairs.unionByName(stored(_verified(stored(_candidates(_joined(shared)), "candidates"), texts), "passages"))
     function = F.col("key").bitwiseAND(F.lit(_FUNCTION))
-    # one function finds all equal passages, so the others have less left to compare
-    for some in (function == 0, function > 0):
+    # what one function finds, the others need not compare; few at a time hold fewer windows on disk
+    for some in (function == 0, function.between(1, 2), function > 2):
         known = stored(_known(pairs), "known")
         left = _open(shared.where(some), known)
         found = stored(_verified(stored(_compared(left, texts, known), "candidates"), texts), "passages")

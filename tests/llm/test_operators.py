@@ -489,6 +489,32 @@ def test_compared_windows_are_those_that_all_pairs_give():
     assert len(want) > 50 and got == want
 
 
+def test_windows_of_known_length_are_those_of_the_tree():
+    pick = np.random.default_rng(3)
+    values, firsts = pick.integers(0, 2**63, 400).astype(np.uint64), np.array([0, 150, 150, 160, 400])
+    values[200:230] = values[170:200]
+    low, c, high = passages.passage_windows(values, firsts)
+    left, place, right = passages.compact_windows(values, firsts)
+    assert c.tolist() == place.tolist()
+    assert low.tolist() == np.maximum(left, place - passages.SPAN + 1).tolist() and high.tolist() == np.minimum(place, right - passages.SPAN + 1).tolist()
+
+
+def test_passages_without_their_like_are_not_looked_into_pair_by_pair(monkeypatch):
+    """Windows with an edit each, of other length in each, share most shingles but no similar passage."""
+    pick = np.random.default_rng(9)
+    base = pick.integers(0, 10**9, 86)
+    grams = [np.r_[base[:40], 10**9 + 100 * n + np.arange(5), base[40 + n % 2 :]][: 2 * passages.SPAN - 1] for n in range(40)]
+    open_ = np.arange(passages.SPAN) == 25
+    calls = []
+    alike = passages.alike
+    monkeypatch.setattr(passages, "alike", lambda *sides: calls.append(1) or alike(*sides))
+    count = list(range(40))
+    known = [~open_[: len(g) - passages.SPAN + 1] for g in grams]
+    pairs = passages.compared(count, [0] * 40, [0] * 40, known, [0] * 40, grams, False)
+    # 780 pairs of windows; each passage is met by its like at once
+    assert len(calls) <= 40 and {x for p in pairs for x in p[:2]} == set(count)
+
+
 def test_language_and_quality(spark):
     pick = random.Random(8)
     lists = {"en": "the of and this house water with that over".split(), "fr": "le les des maison eau avec être où été".split()}
