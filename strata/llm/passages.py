@@ -42,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from strata.llm.components import components
 from strata.llm.store import stored
@@ -54,23 +54,22 @@ PASSAGE = 50
 SPAN = PASSAGE - SHINGLE + 1
 #: So that at a similarity of 0.8 no function agrees with probability 0.2 ** 6, 0.006 %.
 HASHES = 6
-AGREEING = 2
 SIMILAR = (4, 5)
-#: Shingles on one side of c that tell windows of one value apart: half a passage.
-AROUND = SPAN // 2 - 1
 #: Windows of one value that one task compares, on each side.
 PART_WINDOWS = 2_000
 #: Characters, times functions, whose windows make one bin, and windows that a task holds before it deals them.
 BIN_CHARS = 16_000_000
 HELD_WINDOWS = 500_000
-#: Functions whose windows are made at a time.
-TOGETHER = 3
+#: Windows whose common shingles are counted by one product of matrices, and pairs of windows compared at a time.
+DENSE_WINDOWS = 48
+HELD_PAIRS = 32_768
+#: Remainders by which windows are told to lack a shingle.
+RESTS = 2_048
 
 _U64 = np.uint64
 _SEED = _U64(0xD6E8FEB86659FD93)
 #: Bits of a key that tell its hash function.
 _FUNCTION = 7
-_BOX = ["la", "ca", "ra", "lb", "cb", "rb"]
 
 
 def _long(*names: str) -> list[T.StructField]:
@@ -126,6 +125,15 @@ def compact_windows(values: np.ndarray, firsts: np.ndarray, span: int = SPAN) ->
     return np.array(before), nodes, np.array(after)
 
 
+def least_of_spans(low: np.ndarray) -> np.ndarray:
+    """The least of each ``SPAN`` values in a row."""
+    size = 1
+    while size * 2 <= SPAN:
+        low = np.minimum(low[:-size], low[size:])
+        size *= 2
+    return np.minimum(low[: len(low) - (SPAN - size)], low[SPAN - size :])
+
+
 def passage_windows(values: np.ndarray, firsts: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First begin, c and last begin of the passages of ``span`` values in every compact window.
 
@@ -148,6 +156,11 @@ def passage_windows(values: np.ndarray, firsts: np.ndarray, span: int = SPAN) ->
     return begins[new], place[new], begins[np.r_[new[1:], len(begins)] - 1]
 
 
+def min_hashes(grams: np.ndarray, k: int) -> np.ndarray:
+    """The values of function ``k``, different for different shingles."""
+    return mix(grams ^ _U64(int(_SEED) * (2 * k + 3) & (2**64 - 1)))
+
+
 def run_hashes(grams: np.ndarray) -> np.ndarray:
     """A hash of the shingles of each passage, in their order."""
     size, factor = 1, _U64(0x9E3779B97F4A7C15)
@@ -161,7 +174,7 @@ def run_hashes(grams: np.ndarray) -> np.ndarray:
 
 #: A window: ``content`` is of all its shingles and c, ``found`` tells that all its passages are known.
 _WINDOW = np.dtype(
-    [(n, np.int64) for n in ("key", "content", "u", "root")] + [(n, np.int32) for n in ("before", "after", "l", "c", "r")] + [("found", np.bool_)]
+    [(n, np.int64) for n in ("key", "content", "u", "root")] + [(n, np.int32) for n in ("l", "c", "r")] + [("found", np.bool_)]
 )
 
 
@@ -182,32 +195,32 @@ def _windows_of(row: int, end: int, data: np.ndarray, offsets: np.ndarray, names
     grams, firsts, _ = shingles_of(data, offsets)
     runs = run_hashes(grams)
     owner = np.repeat(np.arange(row, end), np.diff(firsts))
-    sums = np.append(_U64(0), np.cumsum(mix(grams ^ _SEED)))
     unknown = np.append(0, np.cumsum(~_known_begins(spans, row, end, firsts, len(grams))))
     for k in functions:
-        values = mix(grams ^ _U64(int(_SEED) * (2 * k + 3) & (2**64 - 1)))
+        values = min_hashes(grams, k)
         low, c, high = passage_windows(values, firsts)
         made = np.zeros(len(c), _WINDOW)
         made["key"] = (mix(values[c]) & _U64(~_FUNCTION & (2**64 - 1)) | _U64(k)).view(np.int64)
         shape = mix(((c - low) * SPAN + high - low).astype(_U64))
         made["content"] = mix(mix(runs[low] ^ shape) + runs[high]).view(np.int64)
         made["u"], made["root"] = names[owner[c]], roots[owner[c]]
-        at, last = firsts[owner[c] - row], firsts[owner[c] - row + 1]
-        for n, x, y in (("before", np.maximum(at, c - AROUND), c), ("after", c, np.minimum(last, c + AROUND + 1))):
-            made[n] = (mix(sums[y] - sums[x]) >> _U64(32)).astype(np.uint32).view(np.int32)
+        at = firsts[owner[c] - row]
         made["l"], made["c"], made["r"] = low - at, c - at, high + SPAN - 1 - at
         made["found"] = unknown[high + 1] == unknown[low]
         yield made
 
 
-def _dealt(texts: DataFrame, known: DataFrame | None, functions: range) -> DataFrame:
+def _named(texts: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Texts with the least one of their component and what is known of them."""
+    if known is None:
+        return texts.select("u", F.col("u").alias("root"), _no_spans().alias("spans"), "text")
+    return texts.join(known.hint("shuffle_hash"), "u", "left").select("u", F.coalesce("root", "u").alias("root"), F.coalesce("spans", _no_spans()).alias("spans"), "text")
+
+
+def _dealt(texts: DataFrame, known: DataFrame | None, functions: range, chars: int) -> DataFrame:
     """Windows packed into rows by bins of keys, each bin's together."""
-    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     bins = 1 + chars * len(functions) // BIN_CHARS
-    if known is None:
-        named = texts.select("u", F.col("u").alias("root"), _no_spans().alias("spans"), "text")
-    else:
-        named = texts.join(known, "u", "left").select("u", F.coalesce("root", "u").alias("root"), F.coalesce("spans", _no_spans()).alias("spans"), "text")
+    named = _named(texts, known)
 
     def split(held: list[np.ndarray]) -> pa.RecordBatch:
         made = np.concatenate(held)
@@ -274,13 +287,31 @@ def _of_contents(made: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 _PAIR = ["a", "b", "begin_a", "end_a", "begin_b", "end_b"]
 
 
-def _repeats(texts: DataFrame) -> DataFrame:
-    """Spans of equal passages, each with one it repeats.
+def _runs(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    """Spans of passages that begin at x of text a and at y of text b: those next to each other make one."""
+    order = np.lexsort((y, y - x, a, b))
+    a, b, x, y = a[order], b[order], x[order], y[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (x[1:] != x[:-1] + 1) | (y[1:] != y[:-1] + 1)
+    at = np.flatnonzero(new)
+    last = np.append(at[1:], len(a))[: len(at)] - 1
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (a[at], b[at], x[at], x[last] + SPAN, y[at], y[last] + SPAN)], _PAIR)
+
+
+def _parts(keys: np.ndarray) -> np.ndarray:
+    """For windows in the order of their keys, how many parts those of one key are dealt into."""
+    first = np.flatnonzero(np.r_[len(keys) > 0, keys[1:] != keys[:-1]])
+    sizes = np.diff(np.append(first, len(keys)))
+    return np.repeat(-(-sizes // PART_WINDOWS), sizes).astype(np.int32)
+
+
+def _repeats(texts: DataFrame, chars: int) -> tuple[DataFrame, DataFrame]:
+    """Spans of equal passages, each with one it repeats, and the windows of the first function that are not equal.
 
     Equal passages lie in windows of one key at one distance from c. Equal windows are
     repeats as a whole; of unequal ones with one key, passages are told by their hashes.
     """
-    schema = T.StructType([*_long("key", "a", "b", "begin_a", "end_a", "begin_b", "end_b")])
+    schema = T.StructType([*_long("key", "a", "b", "begin_a", "end_a", "begin_b", "end_b"), *[T.StructField(n, T.IntegerType()) for n in ("parts", "at")]])
 
     def equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs of equal windows; without a, the first and last one of each content to look into."""
@@ -291,16 +322,20 @@ def _repeats(texts: DataFrame) -> DataFrame:
             keys = made["key"][starts]
             first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
             kinds = np.diff(np.append(first, len(keys)))
-            many = np.repeat(kinds > 1, kinds)
+            # equal windows, all of them repeats of others, need no look into
+            begins = starts[first]
+            alone = np.logical_or.reduceat(other < 0, begins) & (np.diff(np.append(begins, len(made))) > 1)
+            many = np.repeat((kinds > 1) | alone, kinds)
             kept = np.unique(np.concatenate([starts[many], (starts + counts - 1)[many]]))
             x, y = made[other[some]], made[some]
-            linked = [y["key"], x["u"], y["u"], x["l"], x["r"] + 1, y["l"], y["r"] + 1]
+            linked = [y["key"], x["u"], y["u"], x["l"], x["r"] + 1, y["l"], y["r"] + 1, None, None]
             z = made[kept]
-            inner = [z["key"], None, z["u"], None, None, z["l"], z["r"] + 1]
+            inner = [z["key"], None, z["u"], None, None, z["l"], z["r"] + 1, _parts(z["key"]), z["c"] - z["l"]]
+            kinds_of = [pa.int64()] * 7 + [pa.int32()] * 2
             for columns, size in ((linked, len(some)), (inner, len(kept))):
-                yield pa.RecordBatch.from_arrays([pa.nulls(size, pa.int64()) if c is None else pa.array(c.astype(np.int64)) for c in columns], schema.names)
+                yield pa.RecordBatch.from_arrays([pa.nulls(size, k) if c is None else pa.array(c.astype(k.to_pandas_dtype())) for c, k in zip(columns, kinds_of)], schema.names)
 
-    found = stored(_dealt(texts, None, range(1)).mapInArrow(equal, schema), "repeats")
+    found = stored(_dealt(texts, None, range(1), chars).mapInArrow(equal, schema), "repeats")
     inner = found.where("a is null").groupBy(F.col("b").alias("u")).agg(F.collect_list(F.struct("key", "begin_b", "end_b")).alias("windows"))
     cut_schema = T.StructType([*_long("key", "u", "begin"), T.StructField("runs", T.ArrayType(T.LongType()))])
 
@@ -327,15 +362,7 @@ def _repeats(texts: DataFrame) -> DataFrame:
         starts = np.flatnonzero(np.r_[True, runs[1:] != runs[:-1]])
         other = partners(starts, np.diff(np.append(starts, len(runs))), texts, begins)
         some = np.flatnonzero(other >= 0)
-        a, b, x, y = texts[other[some]], texts[some], begins[other[some]], begins[some]
-        order = np.lexsort((y, y - x, a, b))
-        a, b, x, y = a[order], b[order], x[order], y[order]
-        # passages next to each other make one span
-        new = np.ones(len(a), bool)
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (x[1:] != x[:-1] + 1) | (y[1:] != y[:-1] + 1)
-        at = np.flatnonzero(new)
-        last = np.append(at[1:], len(a))[: len(at)] - 1
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in (a[at], b[at], x[at], x[last] + SPAN, y[at], y[last] + SPAN)], _PAIR)
+        return _runs(texts[other[some]], texts[some], begins[other[some]], begins[some])
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -357,13 +384,17 @@ def _repeats(texts: DataFrame) -> DataFrame:
             yield link(held)
 
     same = runs.repartition("key").sortWithinPartitions("key").mapInArrow(within, T.StructType(_long(*_PAIR)))
-    return found.where("a is not null").select(*_PAIR).unionByName(stored(same, "repeats"))
+    left = found.where("a is null").select("key", F.col("b").alias("u"), "parts", F.col("begin_b").cast("int").alias("low"), "at", (F.col("end_b") - F.col("begin_b")).cast("int").alias("counts"))
+    return found.where("a is not null").select(*_PAIR).unionByName(stored(same, "repeats")), left
 
 
-def _unsettled(texts: DataFrame, known: DataFrame, functions: range) -> DataFrame:
-    """Windows whose value occurs again and that the pairs do not settle; of equal ones, the first and last."""
-    names = ["key", "u", "before", "after", "l", "c", "r"]
-    schema = T.StructType(_long("key", "u") + [T.StructField(n, T.IntegerType()) for n in names[2:]])
+#: Of a window: how many parts the windows of its value are dealt into, the first passage, the value's place and the shingles.
+_PLACE = ["parts", "low", "at", "counts"]
+
+
+def _unsettled(texts: DataFrame, known: DataFrame, functions: range, chars: int) -> DataFrame:
+    """Windows whose value occurs again and that what is known does not settle; of equal ones, the first and last."""
+    schema = T.StructType(_long("key", "u") + [T.StructField(n, T.IntegerType()) for n in _PLACE])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for made in _bins(batches):
@@ -375,149 +406,92 @@ def _unsettled(texts: DataFrame, known: DataFrame, functions: range) -> DataFram
             kept = np.zeros(len(made), bool)
             kept[starts] = kept[starts + counts - 1] = True
             some = made[kept & np.repeat(left, sizes)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(some[n])) for n in names], names)
-
-    return _dealt(texts, known, functions).mapInArrow(run, schema)
-
+            columns = [some["key"], some["u"], _parts(some["key"]), some["l"], some["c"] - some["l"], some["r"] - some["l"] + 1]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], schema.names)
 
-def _joined(shared: DataFrame) -> DataFrame:
-    """Rectangles of pairs of texts: ``a`` has the least window, ``b`` another one."""
-    window = F.struct("u", "c", "l", "r")
-    own = (F.col("u") == F.col("m.u")) & (F.col("c") == F.col("m.c"))
-    box = [F.col("m.u").alias("a"), F.col("u").alias("b"), "key", *[F.col(f"m.{x}").alias(f"{x}a") for x in "lcr"], *[F.col(x).alias(f"{x}b") for x in "lcr"]]
-    nearest = {side: shared.groupBy("key", side).agg(F.min(window).alias("m")) for side in ("before", "after")}
-    alike = [shared.join(near, ["key", side]).where(~own).select(*box) for side, near in nearest.items()]
-    near = nearest["before"].select("key", "m").unionByName(nearest["after"].select("key", "m")).distinct()
-    least = near.groupBy("key").agg(F.min("m").alias("far"))
-    other = near.join(least, "key").select("key", F.col("m").alias("near"), F.col("far").alias("m")).select("key", "m", "near.*").where(~own).select(*box)
-    return alike[0].unionByName(alike[1]).unionByName(other)
+    return _dealt(texts, known, functions, chars).mapInArrow(run, schema)
 
 
-def agreeing_points(boxes: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Passage begins in both texts that lie in rectangles of enough functions.
+def grown(a: np.ndarray, b: np.ndarray, begin_a: int, end_a: int, begin_b: int) -> tuple[int, int]:
+    """Begin and end in a of a span of shingles that a and b share, while they are equal on both sides."""
+    end_b = begin_b + end_a - begin_a
+    back = min(begin_a, begin_b)
+    unequal = np.flatnonzero(a[begin_a - back : begin_a] != b[begin_b - back : begin_b])
+    back -= int(unequal[-1]) + 1 if len(unequal) else 0
+    ahead = min(len(a) - end_a, len(b) - end_b)
+    unequal = np.flatnonzero(a[end_a : end_a + ahead] != b[end_b : end_b + ahead])
+    return begin_a - back, end_a + (int(unequal[0]) if len(unequal) else ahead)
 
-    ``boxes`` has l, c, r of both sides a row. Tried are the least and greatest corners.
-    """
-    low = np.stack([np.maximum(boxes[:, 0], boxes[:, 1] - SPAN + 1), np.maximum(boxes[:, 3], boxes[:, 4] - SPAN + 1)], axis=1)
-    high = np.stack([np.minimum(boxes[:, 1], boxes[:, 2] - SPAN + 1), np.minimum(boxes[:, 4], boxes[:, 5] - SPAN + 1)], axis=1)
-    # where a passage's alignment is that of the two least places, both ends shift alike
-    shift = boxes[:, 4] - boxes[:, 1]
-    first = np.maximum(low[:, 0], low[:, 1] - shift)
-    last = np.minimum(high[:, 0], high[:, 1] - shift)
-    points = np.concatenate([np.stack([first, first + shift], axis=1), np.stack([last, last + shift], axis=1)])
-    points = np.unique(points, axis=0)
-    good = np.zeros(len(points), bool)
-    order = np.argsort(low[:, 0], kind="stable")
-    low, high, functions = low[order], high[order], keys[order] & _FUNCTION
-    reach = int((high[:, 0] - low[:, 0]).max(initial=0))
-    for at in range(0, len(points), 256):
-        some = points[at : at + 256]
-        part = slice(np.searchsorted(low[:, 0], some[0, 0] - reach, "left"), np.searchsorted(low[:, 0], some[-1, 0], "right"))
-        inside = (
-            (low[part, 0] <= some[:, :1]) & (high[part, 0] >= some[:, :1]) & (low[part, 1] <= some[:, 1:]) & (high[part, 1] >= some[:, 1:])
-        )
-        good[at : at + 256] = sum(inside[:, functions[part] == k].any(axis=1).astype(int) for k in range(HASHES)) >= AGREEING
-    return points[good]
-
-
-def _candidates(boxes: DataFrame) -> DataFrame:
-    """Passages to verify for each pair of texts."""
-    functions = F.bit_or(F.expr(f"shiftleft(1, cast(key & {_FUNCTION} as int))")).alias("functions")
-    lists = boxes.groupBy("a", "b").agg(F.collect_set(F.struct("key", *_BOX)).alias("boxes"), functions)
-    lists = lists.where(F.bit_count("functions") >= AGREEING).select("a", "b", "boxes")
-    schema = T.StructType(_long("a", "b") + [T.StructField("points", T.ArrayType(T.LongType()))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(2)
-            offsets = column.offsets.to_numpy()
-            fields = dict(zip([f.name for f in column.type.value_type], column.values.flatten()))
-            keys = fields["key"].to_numpy()
-            sides = np.stack([fields[n].to_numpy() for n in _BOX], axis=1)
-            found = [agreeing_points(sides[x:y], keys[x:y]).ravel() for x, y in zip(offsets, offsets[1:])]
-            some = pa.array([len(f) > 0 for f in found])
-            points = pa.array(found, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([x.filter(some) for x in (batch.column(0), batch.column(1), points)], schema.names)
-
-    return lists.mapInArrow(run, schema)
-
-
-def verified_spans(a: np.ndarray, b: np.ndarray, points: np.ndarray, same: bool) -> list[tuple[int, int, int, int]]:
-    """Spans of shingles in both texts, of the passages similar enough, grown while equal."""
-    found: list[tuple[int, int, int, int]] = []
-    done: dict[int, list[tuple[int, int]]] = {}
-    for i, j in points.reshape(-1, 2).tolist():
-        if same and abs(i - j) < SPAN:
-            continue
-        if any(x <= i and i + SPAN <= y for x, y in done.get(j - i, ())):
-            continue
-        x, y = np.unique(a[i : i + SPAN]), np.unique(b[j : j + SPAN])
-        common = len(np.intersect1d(x, y, assume_unique=True))
-        if common * SIMILAR[1] < (len(x) + len(y) - common) * SIMILAR[0]:
-            continue
-        back = min(i, j)
-        unequal = np.flatnonzero(a[i - back : i] != b[j - back : j])
-        back -= int(unequal[-1]) + 1 if len(unequal) else 0
-        ahead = min(len(a) - i, len(b) - j) - SPAN
-        unequal = np.flatnonzero(a[i + SPAN : i + SPAN + ahead] != b[j + SPAN : j + SPAN + ahead])
-        ahead = int(unequal[0]) if len(unequal) else ahead
-        span = (i - back, i + SPAN + ahead)
-        done.setdefault(j - i, []).append(span)
-        found.append((*span, span[0] + j - i, span[1] + j - i))
-    return found
-
-
-def _verified(candidates: DataFrame, texts: DataFrame) -> DataFrame:
-    """Spans (begin, end in shingles) of both texts of each verified pair."""
-    schema = T.StructType(_long("a", "b", "begin_a", "end_a", "begin_b", "end_b"))
+def _grown(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Spans of similar passages, grown as long as the words agree."""
+    schema = T.StructType(_long(*_PAIR))
+    fields = ["begin_a", "end_a", "begin_b"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
-            names = [batch.column(k).to_numpy() for k in (0, 1)]
-            for n in range(len(batch)):
+            names = [batch.column(k).to_pylist() for k in (0, 1)]
+            places = batch.column(2).offsets.to_pylist()
+            spans = list(zip(*(x.to_pylist() for x in batch.column(2).values.slice(0, places[-1]).flatten())))
+            rows: list[tuple[int, ...]] = []
+            for at in range(0, len(batch), 64):
                 sides = []
                 for k in (3, 4):
-                    raw = batch.column(k)[n].as_py().encode()
-                    sides.append(shingles_of(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0])
-                points = np.array(batch.column(2)[n].as_py(), np.int64)
-                for span in verified_spans(*sides, points, names[0][n] == names[1][n]):
-                    rows.append((int(names[0][n]), int(names[1][n]), *span))
+                    texts_of = []
+                    for _, _, data, offsets in text_blocks(batch.column(k).slice(at, 64)):
+                        grams, firsts, _ = shingles_of(data, offsets)
+                        texts_of += [grams[x:y] for x, y in zip(firsts.tolist(), [*firsts.tolist()[1:]])]
+                    sides.append(texts_of)
+                for n, a, b in zip(range(at, at + 64), *sides):
+                    for x, y, z in spans[places[n] : places[n + 1]]:
+                        begin, end = grown(a, b, x, y, z)
+                        rows.append((names[0][n], names[1][n], begin, end, begin + z - x, end + z - x))
             columns = list(zip(*rows)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema.names)
 
-    one = candidates.join(texts.select(F.col("u").alias("b"), F.col("text").alias("tb")), "b")
+    lists = pairs.groupBy("a", "b").agg(F.collect_set(F.struct(*fields)).alias("spans"))
+    one = lists.join(texts.select(F.col("u").alias("b"), F.col("text").alias("tb")), "b")
     both = one.join(texts.select(F.col("u").alias("a"), F.col("text").alias("ta")), "a")
-    return both.select("a", "b", "points", "ta", "tb").mapInArrow(run, schema)
+    return both.select("a", "b", "spans", "ta", "tb").mapInArrow(run, schema)
 
 
-def _sides(pairs: DataFrame) -> DataFrame:
+def _sides(sides: DataFrame) -> DataFrame:
     """Spans found in each text; those whose passages are next to each other are one."""
+    schema = T.StructType(_long("u") + [T.StructField("spans", T.ArrayType(T.StructType(_long("begin", "end"))))])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = batch.column(1).offsets.to_numpy()
+            begins, ends = (x.to_numpy() for x in batch.column(1).values.slice(places[0], places[-1] - places[0]).flatten())
+            row = np.repeat(np.arange(len(batch)), np.diff(places))
+            order = np.lexsort((begins, row))
+            row, begins, ends = row[order], begins[order], ends[order]
+            # the greatest end so far in a text, whose places come after those of the text before
+            step = int(ends.max(initial=0)) + SPAN
+            reach = np.maximum.accumulate(row * step + ends)
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (begins[1:] > reach[:-1] - row[1:] * step - (SPAN - 1))
+            at = np.flatnonzero(new)
+            last = np.append(at[1:], len(row))[: len(at)] - 1
+            merged = pa.StructArray.from_arrays([pa.array(begins[at]), pa.array(reach[last] - row[last] * step)], ["begin", "end"])
+            offsets = np.searchsorted(row[at], np.arange(len(batch) + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), merged)], schema.names)
+
+    once = sides.groupBy("u", "begin").agg(F.max("end").alias("end"))
+    return once.groupBy("u").agg(F.collect_list(F.struct("begin", "end")).alias("spans")).mapInArrow(merge, schema)
+
+
+def _known(known: DataFrame | None, pairs: DataFrame) -> DataFrame:
+    """Spans found in each text, and the least text of its component if it has others, by what was known and more pairs."""
     sides = pairs.select(F.col("a").alias("u"), F.col("begin_a").alias("begin"), F.col("end_a").alias("end")).unionByName(
         pairs.select(F.col("b").alias("u"), F.col("begin_b").alias("begin"), F.col("end_b").alias("end"))
     )
-    before = Window.partitionBy("u").orderBy("begin").rowsBetween(Window.unboundedPreceding, -1)
-    new = F.col("begin") > F.coalesce(F.max("end").over(before), F.lit(0)) - (SPAN - 1)
-    numbered = sides.withColumn("new", new.cast("int")).withColumn("run", F.sum("new").over(Window.partitionBy("u").orderBy("begin")))
-    merged = numbered.groupBy("u", "run").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
-    return merged.groupBy("u").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-
-
-def _known(pairs: DataFrame) -> DataFrame:
-    """Spans found in each text, and the least text of its component if it has others."""
-    roots = components(pairs.select("a", "b").distinct()).select(F.col("node").alias("u"), "root")
-    return _sides(pairs).join(roots, "u", "left")
-
-
-def _open(shared: DataFrame, known: DataFrame) -> DataFrame:
-    """Windows of the values that are not settled by what is known: low and high are passage begins."""
-    low, high = F.greatest("l", F.col("c") - SPAN + 1), F.least("c", F.col("r") - SPAN + 1)
-    windows = shared.select("key", "u", "c", low.alias("low"), high.alias("high"))
-    found = F.coalesce(F.expr(f"exists(spans, s -> s.begin <= low and s.end >= high + {SPAN})"), F.lit(False))
-    placed = windows.join(known, "u", "left").select("key", "u", "c", "low", "high", F.coalesce("root", "u").alias("root"), found.alias("found"))
-    parts = F.ceil(F.count(F.lit(1)) / PART_WINDOWS).cast("int").alias("parts")
-    state = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.bool_and("found").alias("all"), parts)
-    return placed.drop("found").join(state.where("lo != hi or not all").select("key", "parts"), "key")
+    links = pairs.select("a", "b")
+    if known is not None:
+        sides = sides.unionByName(known.select("u", F.inline("spans")))
+        links = links.unionByName(known.where("root != u").select(F.col("u").alias("a"), F.col("root").alias("b")))
+    roots = components(links.distinct()).select(F.col("node").alias("u"), "root")
+    return _sides(sides).join(roots, "u", "left")
 
 
 def _first_places(grams: np.ndarray) -> np.ndarray:
@@ -545,13 +519,13 @@ def _within_reach(common: np.ndarray, sizes: np.ndarray, least: int) -> np.ndarr
     return (common * sum(SIMILAR) >= (sizes + least) * SIMILAR[0]) & (common * SIMILAR[1] >= np.maximum(sizes, least) * SIMILAR[0])
 
 
-def _since(table: np.ndarray) -> np.ndarray:
-    """For each place of the windows' shingles, the first passage in which it is the first of its kind."""
+def _before(table: np.ndarray) -> np.ndarray:
+    """For each place of the windows' shingles, the last one before of the same shingle, or -1."""
     order = np.argsort(table, axis=1, kind="stable")
     kinds = np.take_along_axis(table, order, axis=1)
     before = np.full(table.shape, -1)
     np.put_along_axis(before, order[:, 1:], np.where(kinds[:, 1:] == kinds[:, :-1], order[:, :-1], -1), axis=1)
-    return np.maximum(before + 1, np.maximum(np.arange(table.shape[1]) - SPAN + 1, 0))
+    return before
 
 
 def _distinct(hits: np.ndarray, since: np.ndarray) -> np.ndarray:
@@ -562,17 +536,30 @@ def _distinct(hits: np.ndarray, since: np.ndarray) -> np.ndarray:
     return np.cumsum(steps.reshape(count, wide), axis=1)[:, :SPAN]
 
 
-def _viable(table: np.ndarray, since: np.ndarray, sizes: np.ndarray, kinds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Passages of whose shingles enough are in other windows at all, and which of the kinds are in several of these."""
+def _sums(hits: np.ndarray) -> np.ndarray:
+    """Places hit in each passage of the windows."""
+    sums = np.zeros((len(hits), hits.shape[1] + 1), np.int16)
+    np.cumsum(hits, axis=1, out=sums[:, 1:])
+    return sums[:, SPAN:] - sums[:, :-SPAN]
+
+
+def _viable(table: np.ndarray, new: np.ndarray, since: np.ndarray, sizes: np.ndarray, kinds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Passages of whose shingles enough are in other windows at all, and which of the kinds are in several of these.
+
+    ``new`` tells where a window has a shingle for the first time.
+    """
     alive = np.arange(len(table))
     viable, often = np.zeros(sizes.shape, bool), np.zeros(kinds + 1, bool)
+    once = (new | (table == kinds)).all(axis=1)
     while len(alive) > 1:
-        order = np.sort(table[alive], axis=1)
-        new = np.ones(order.shape, bool)
-        new[:, 1:] = order[:, 1:] != order[:, :-1]
-        often = np.bincount(order[new], minlength=kinds + 1) > 1
+        some = table[alive]
+        often = np.bincount(some[new[alive]], minlength=kinds + 1) > 1
         often[-1] = False
-        some = _within_reach(_distinct(often[table[alive]], since[alive]), sizes[alive], int(sizes[alive].min()))
+        hits = often[some]
+        common = _sums(hits)
+        if len(twice := np.flatnonzero(~once[alive])):
+            common[twice] = _distinct(hits[twice], since[alive[twice]])
+        some = _within_reach(common, sizes[alive], int(sizes[alive].min()))
         left = some.any(axis=1)
         if left.all():
             viable[alive] = some
@@ -581,6 +568,275 @@ def _viable(table: np.ndarray, since: np.ndarray, sizes: np.ndarray, kinds: int)
     return viable, often
 
 
+class _Meeting:
+    """Windows of some values, in the order of their ``group``, and the passages that are yet to be found or joined.
+
+    All windows lie with their value in the column ``SPAN - 1``, so that passages of one alignment
+    begin in one column. ``at`` is the value's place in a window, ``grams`` has the shingles of all
+    windows, none of them in two groups, and ``known`` tells of each passage that it is known.
+    Windows of a group that goes ``across`` meet those of other parts only. Passages that have
+    the value of a function before ``function``, that of a group's windows, in common met by that one.
+    """
+
+    def __init__(self, group: np.ndarray, text: np.ndarray, root: np.ndarray, part: np.ndarray, low: np.ndarray, at: np.ndarray, counts: np.ndarray, grams: np.ndarray, known: np.ndarray, across: np.ndarray, function: np.ndarray | None = None, salt: np.ndarray | None = None):
+        width = 2 * SPAN - 1
+        found = pa.array(grams).dictionary_encode()
+        names, codes = found.dictionary.to_numpy(), found.indices.to_numpy()
+        self.none, shift = len(names), SPAN - 1 - at
+        columns = np.arange(width)
+        self.table = np.full((len(group), width), self.none, np.int32)
+        inside = (columns >= shift[:, None]) & (columns < (shift + counts)[:, None])
+        self.table[inside] = codes
+        self.function = np.zeros(len(group), np.int64) if function is None else function
+        self.names, self.salt = np.append(names, _U64(0)), np.zeros(len(group), _U64) if salt is None else salt
+        # which of so many remainders a window's codes have
+        self.rests = np.zeros((len(group), RESTS), bool)
+        self.rests[np.arange(len(group))[:, None], self.table % RESTS] = True
+        self.every = (columns[:SPAN] >= shift[:, None]) & (columns[:SPAN] <= (shift + counts - SPAN)[:, None])
+        before = _before(self.table)
+        # for each place, the first passage in which its shingle is the first of its kind
+        self.since = np.maximum(before + 1, np.maximum(columns - SPAN + 1, 0))
+        new = (before < 0) & inside
+        self.sizes = np.where(self.every, SPAN, 2 * width)
+        twice = np.flatnonzero((new != inside).any(axis=1))
+        self.sizes[twice] = np.where(self.every[twice], _distinct(inside[twice], self.since[twice]), 2 * width)
+        self.viable, self.often = _viable(self.table, new, self.since, self.sizes, self.none)
+        self.open = np.zeros(self.every.shape, bool)
+        self.open[self.every] = ~known
+        self.open &= self.viable
+        self.group, self.text, self.part, self.across, self.counts, self.shift = group, text, part, across, counts, shift
+        self.own = np.unique(root, return_inverse=True)[1]
+        self.least, self.low = self.sizes.min(axis=1), low - shift
+        self.plain = (~self.every | (self.sizes == SPAN)).all(axis=1)
+        self.alive = np.flatnonzero(self.viable.any(axis=1))
+        self.kept: list[np.ndarray] = []
+
+    def settle(self, m: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+        """Of similar passages, keep the first of each one that is open, and one for texts not yet joined."""
+        turn = m > n
+        m, n, i, j = np.where(turn, n, m), np.where(turn, m, n), np.where(turn, j, i), np.where(turn, i, j)
+        new = np.zeros(len(m), bool)
+        for window, begin in ((m, i), (n, j)):
+            place, first = np.unique(window * SPAN + begin, return_index=True)
+            new[first] |= self.open.ravel()[place]
+        apart = np.flatnonzero(self.own[m] != self.own[n])
+        if len(apart):
+            _, first = np.unique(self.own[m[apart]] * len(self.own) + self.own[n[apart]], return_index=True)
+            for p in apart[np.sort(first)].tolist():
+                x, y = self.own[m[p]], self.own[n[p]]
+                if x != y:
+                    self.own[self.own == x] = y
+                    new[p] = True
+        self.open[m, i] = self.open[n, j] = False
+        self.kept.append(np.stack([m[new], n[new], i[new], j[new]]))
+
+    def by_hashes(self) -> None:
+        """Passages that are alike but for shingles of their own alone, by hashes of the others."""
+        some = self.alive[self.plain[self.alive]]
+        shared = self.often[self.table[some]]
+        codes = mix(np.where(shared, self.table[some] + 1, 0).astype(_U64).ravel()).reshape(shared.shape)
+        hashes = run_hashes(codes.T).T
+        enough = self.viable[some] & (_sums(shared) * sum(SIMILAR) >= 2 * SPAN * SIMILAR[0])
+        row, begin = np.nonzero(enough)
+        window, value = some[row], hashes[row, begin]
+        order = np.lexsort((self.low[window] + begin, self.text[window], value))
+        window, begin, value = window[order], begin[order], value[order]
+        starts = np.flatnonzero(np.r_[len(value) > 0, value[1:] != value[:-1]])
+        other = partners(starts, np.diff(np.append(starts, len(value))), self.text[window], self.low[window] + begin)
+        mine = np.flatnonzero(other >= 0)
+        theirs = other[mine]
+        mine, theirs = (x[self.may_meet(window[mine], window[theirs])] for x in (mine, theirs))
+        order = np.lexsort((begin[mine], window[theirs], window[mine]))
+        mine, theirs = mine[order], theirs[order]
+        self.settle(window[theirs], window[mine], begin[theirs], begin[mine])
+
+    def may_meet(self, m: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Not if all their passages overlap in one text."""
+        first, last = self.low + self.shift, self.low + self.shift + self.counts - SPAN
+        far = np.maximum(last[m] - first[n], last[n] - first[m]) >= SPAN
+        return (far | (self.text[m] != self.text[n])) & (~self.across[m] | (self.part[m] != self.part[n]))
+
+    def needed(self, m: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return self.open[m].any(axis=1) | self.open[n].any(axis=1) | (self.own[m] != self.own[n])
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Windows of one value with enough shingles in common for similar passages, and how many these are."""
+        groups = self.group[self.alive]
+        cuts = np.append(np.flatnonzero(np.r_[len(groups) > 0, groups[1:] != groups[:-1]]), len(groups)).tolist()
+        # a group is done if nothing in it is open and it is of one component
+        own, done = self.own[self.alive], []
+        if len(groups):
+            starts = cuts[:-1]
+            apart = np.minimum.reduceat(own, starts) != np.maximum.reduceat(own, starts)
+            done = (~apart & ~np.logical_or.reduceat(self.open[self.alive].any(axis=1), starts)).tolist()
+        some: list[np.ndarray] = []
+        size = 0
+        for x, y, over in zip(cuts, cuts[1:], done):
+            if y - x < 2 or over:
+                continue
+            if y - x > 4 * DENSE_WINDOWS:
+                yield from self.pairs_of_many(self.alive[x:y])
+                continue
+            if some and size + y - x > DENSE_WINDOWS:
+                yield self.pairs_of_few(np.concatenate(some))
+                some, size = [], 0
+            some.append(self.alive[x:y])
+            size += y - x
+        if some:
+            yield self.pairs_of_few(np.concatenate(some))
+
+    def pairs_of_few(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By one product of matrices."""
+        codes = self.table[some]
+        codes = np.where(self.often[codes], codes, -1)
+        kinds, place = np.unique(codes, return_inverse=True)
+        holds = np.zeros((len(some), len(kinds)), np.float32)
+        holds[np.arange(len(some))[:, None], place.reshape(codes.shape)] = kinds[place.reshape(codes.shape)] >= 0
+        common = holds @ holds.T
+        least = self.least[some]
+        good = np.triu(common * sum(SIMILAR) >= (least[:, None] + least) * SIMILAR[0], 1)
+        good &= self.group[some][:, None] == self.group[some]
+        i, j = np.nonzero(good)
+        return some[i], some[j], common[i, j]
+
+    def pairs_of_many(self, some: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Window after window, by the windows of each shingle."""
+        row, place = np.nonzero(self.often[self.table[some]])
+        kinds = np.unique(self.table[some[row], place].astype(np.int64) * len(some) + row)
+        holders, values = kinds % len(some), kinds // len(some)
+        for n, window in enumerate(some.tolist()):
+            if self.open[window].any():
+                near = np.arange(len(some)) > n
+                near |= ~self.open[some].any(axis=1)
+                near[n] = False
+            else:
+                near = (np.arange(len(some)) < n) & (self.own[some] != self.own[window])
+            near = np.flatnonzero(near)
+            near = near[self.may_meet(np.full(len(near), window), some[near])]
+            if not len(near):
+                continue
+            mine = np.unique(self.table[window])
+            begins, ends = np.searchsorted(values, mine), np.searchsorted(values, mine, "right")
+            common = np.bincount(holders[ragged(begins, ends - begins)], minlength=len(some))[near]
+            enough = common * sum(SIMILAR) >= (self.least[some[near]] + self.least[window]) * SIMILAR[0]
+            near = near[enough]
+            yield np.full(len(near), window), some[near], common[enough]
+
+    def meet(self) -> None:
+        """Compare windows of one value two by two, till all passages are known and all texts joined."""
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
+        for pairs in self.pairs():
+            held.append(pairs)
+            size += len(pairs[0])
+            if size > HELD_PAIRS:
+                self.compare(*(np.concatenate(x) for x in zip(*held)))
+                held, size = [], 0
+        if held:
+            self.compare(*(np.concatenate(x) for x in zip(*held)))
+
+    def compare(self, m: np.ndarray, n: np.ndarray, common: np.ndarray) -> None:
+        """Pairs of windows, those with most in common first: in the value's alignment, then in all."""
+        some = self.may_meet(m, n)
+        m, n, common = m[some], n[some], common[some]
+        order = np.argsort(-common, kind="stable")
+        m, n = m[order], n[order]
+        for look, most in ((self.aligned, 4096), (self.in_all, 512)):
+            at = 0
+            while at < len(m):
+                x, y = m[at : at + most], n[at : at + most]
+                at += most
+                some = self.needed(x, y)
+                if some.any():
+                    look(x[some], y[some])
+
+    def not_met(self, m: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Whether passages that are open, or any of texts not joined yet, met not all passages of the other window before."""
+        before = int(self.function[m].max(initial=0))
+        if not before:
+            return np.ones(len(m), bool)
+        met = ~(self.every[m][:, :, None] & self.every[n][:, None, :])
+        sides = [np.where((codes := self.table[x]) < self.none, self.names[codes] ^ self.salt[x][:, None], 0) for x in (m, n)]
+        for k in range(before):
+            a, b = (least_of_spans(np.where(self.table[x] < self.none, min_hashes(side, k), _U64(2**64 - 1)).T).T for x, side in zip((m, n), sides))
+            met |= (a[:, :, None] == b[:, None, :]) & (self.function[m] > k)[:, None, None]
+        apart = (self.own[m] != self.own[n])[:, None]
+        return ((self.open[m] | apart) & ~met.all(axis=2)).any(axis=1) | ((self.open[n] | apart) & ~met.all(axis=1)).any(axis=1)
+
+    def aligned(self, m: np.ndarray, n: np.ndarray) -> None:
+        """Passages that are similar in the value's alignment, which begin in one column or a few apart."""
+        some = self.plain[m] & self.plain[n] & ((self.text[m] != self.text[n]) | (np.abs(self.low[m] - self.low[n]) >= 2 * SPAN))
+        m, n = m[some], n[some]
+        equal = (self.table[m] == self.table[n]) & (self.table[m] < self.none)
+        sums = np.zeros((len(m), equal.shape[1] + 1), np.int16)
+        np.cumsum(equal, axis=1, out=sums[:, 1:])
+        least = -(-2 * SPAN * SIMILAR[0] // sum(SIMILAR))
+        for d in range(SPAN - least + 1):
+            for x, y in ((m, n), (n, m))[: 1 + (d > 0)]:
+                good = sums[:, SPAN : 2 * SPAN - d] - sums[:, d:SPAN] >= least
+                good &= self.every[x, : SPAN - d] & self.every[y, d:]
+                good &= self.open[x, : SPAN - d] | self.open[y, d:] | (self.own[x] != self.own[y])[:, None]
+                pair, begin = np.nonzero(good)
+                if len(pair):
+                    self.settle(x[pair], y[pair], begin, begin + d)
+
+    def reaching(self, x: np.ndarray, y: np.ndarray, hits: np.ndarray) -> np.ndarray:
+        """Whether passages of windows ``x`` hit enough, at most, of the shingles of ``y``."""
+        return self.viable[x] & (_sums(hits) * sum(SIMILAR) >= (self.sizes[x] + self.least[y][:, None]) * SIMILAR[0])
+
+    def in_all(self, m: np.ndarray, n: np.ndarray) -> None:
+        """Passages that are similar in any alignment: first those with enough shingles in the other window."""
+        apart = self.own[m] != self.own[n]
+        # by remainders, which may hit too much but never too little
+        near = []
+        for x, y in ((m, n), (n, m)):
+            a = self.table[x]
+            near.append(self.reaching(x, y, self.rests[y[:, None], a % RESTS] & (a < self.none)))
+        some = (near[0] & self.open[m]).any(axis=1) | (near[1] & self.open[n]).any(axis=1) | (apart & near[0].any(axis=1) & near[1].any(axis=1))
+        m, n = m[some], n[some]
+        some = self.not_met(m, n)
+        m, n = m[some], n[some]
+        apart = self.own[m] != self.own[n]
+        near = []
+        for x, y in ((m, n), (n, m)):
+            some = np.flatnonzero(apart | self.open[x].any(axis=1))
+            a = self.table[x[some]]
+            hits = (a[:, :, None] == self.table[y[some]][:, None, :]).any(axis=2) & (a < self.none)
+            both = _distinct(hits, self.since[x[some]])
+            enough = np.zeros((len(x), SPAN), bool)
+            enough[some] = self.viable[x[some]] & (both * sum(SIMILAR) >= (self.sizes[x[some]] + self.least[y[some]][:, None]) * SIMILAR[0])
+            near.append(enough)
+        wanted = (near[0] & self.open[m]).any(axis=1) | (near[1] & self.open[n]).any(axis=1) | (apart & near[0].any(axis=1) & near[1].any(axis=1))
+        for p in np.flatnonzero(wanted).tolist():
+            self.whole(int(m[p]), int(n[p]), near[0][p], near[1][p])
+
+    def whole(self, m: int, n: int, near_m: np.ndarray, near_n: np.ndarray) -> None:
+        if not ((near_m & self.open[m]).any() or (near_n & self.open[n]).any() or self.own[m] != self.own[n]):
+            return
+        a, b = (self.table[w, self.shift[w] : self.shift[w] + self.counts[w]] for w in (m, n))
+        ok = alike(a, b, _first_places(a), _first_places(b))
+        i, k = np.nonzero(ok)
+        i, k = i + self.shift[m], k + self.shift[n]
+        if self.text[m] == self.text[n]:
+            some = np.abs(self.low[m] + i - self.low[n] - k) >= SPAN
+            i, k = i[some], k[some]
+        if not len(i):
+            return
+        # the commonest shift first, so that passages fall on few diagonals
+        shifts, place, counts = np.unique(k - i, return_inverse=True, return_counts=True)
+        order = np.argsort(-counts[place], kind="stable")
+        self.settle(np.full(len(i), m), np.full(len(i), n), i[order], k[order])
+
+    def points(self) -> np.ndarray:
+        """Windows and, in their texts, begins of the passages kept: a row for m, n, i and j."""
+        if len(self.alive) < 2:
+            return np.zeros((4, 0), np.int64)
+        self.by_hashes()
+        self.meet()
+        m, n, i, j = np.concatenate(self.kept, axis=1)
+        return np.stack([m, n, self.low[m] + i, self.low[n] + j])
+
+
 def compared(
     texts: list[int], lows: list[int], roots: list[int], found: list, parts: list[int], grams: list[np.ndarray], across: bool, sizes_of: list[int] | None = None
 ) -> list[tuple[int, int, list[int]]]:
@@ -588,151 +844,56 @@ def compared(
 
     ``found`` tells of each window or of each of its passages that it is known, ``across``
     that only windows of different parts are to meet. There may be several values, with no
-    shingle in common, of ``sizes_of`` windows each. A passage that is not known meets the windows
-    with the most shingles of its own first, and no more of them once it is known.
+    shingle in common, of ``sizes_of`` windows each.
     """
-    count, width = len(grams), 2 * SPAN - 1
-    lengths = np.array([len(g) for g in grams])
-    names, codes = np.unique(np.concatenate(grams), return_inverse=True)
-    table = np.full((count, width), len(names), np.int32)
-    table[np.arange(width) < lengths[:, None]] = codes
-    since = _since(table)
-    every = np.arange(SPAN) <= (lengths - SPAN)[:, None]
-    sizes = np.where(every, _distinct(table < len(names), since), 2 * width)
-    masks: dict[int, np.ndarray] = {}
-
-    def firsts(n: int) -> np.ndarray:
-        if n not in masks:
-            if len(masks) > 4 * PART_WINDOWS:
-                masks.clear()
-            masks[n] = _first_places(table[n, : lengths[n]])
-        return masks[n]
-
-    viable, often = _viable(table, since, sizes, len(names))
-    alive = np.flatnonzero(viable.any(axis=1))
-    if len(alive) < 2:
-        return []
-    open_ = np.zeros((count, SPAN), bool)
-    for n in alive.tolist():
-        open_[n, : lengths[n] - SPAN + 1] = ~np.asarray(found[n])
-    open_ &= viable
-    own, part, text = np.unique(roots, return_inverse=True)[1], np.array(parts), np.array(texts)
-    least, low = sizes.min(axis=1), np.array(lows)
-    ends = np.searchsorted(alive, np.cumsum(sizes_of or [count])).tolist()
-    groups = [alive[x:y] for x, y in zip([0, *ends], ends) if y - x > 1]
-    pairs: list[tuple[int, int, list[int]]] = []
-
-    def keep(m: int, n: int, i: np.ndarray, j: np.ndarray) -> None:
-        """Those points of a pair that are new, and one that joins its texts."""
-        new = np.zeros(len(i), bool)
-        new[np.unique(i, return_index=True)[1]] = True
-        new &= open_[m][i]
-        other = np.zeros(len(i), bool)
-        other[np.unique(j, return_index=True)[1]] = True
-        new |= other & open_[n][j]
-        if own[m] != own[n]:
-            new[0] = True
-            own[own == own[m]] = own[n]
-        open_[m][i], open_[n][j] = False, False
-        if new.any():
-            pairs.append((m, n, np.stack([i[new] + lows[m], j[new] + lows[n]], axis=1).ravel().tolist()))
-
-    # passages that are alike but for shingles of their own alone, by hashes of the others
-    plain = alive[(~every | (sizes == SPAN))[alive].all(axis=1)]
-    shared = often[table[plain]]
-    codes = mix(np.where(shared, table[plain] + 1, 0).astype(_U64).ravel()).reshape(shared.shape)
-    hashes = run_hashes(codes.T).T
-    sums = np.zeros((len(plain), width + 1), np.int16)
-    np.cumsum(shared, axis=1, out=sums[:, 1:])
-    enough = viable[plain] & ((sums[:, SPAN:] - sums[:, :-SPAN]) * sum(SIMILAR) >= 2 * SPAN * SIMILAR[0])
-    row, begin = np.nonzero(enough)
-    window, value = plain[row], hashes[row, begin]
-    order = np.lexsort((low[window] + begin, text[window], value))
-    window, begin, value = window[order], begin[order], value[order]
-    starts = np.flatnonzero(np.r_[len(value) > 0, value[1:] != value[:-1]])
-    other = partners(starts, np.diff(np.append(starts, len(value))), text[window], low[window] + begin)
-    some = np.flatnonzero(other >= 0)
-    some = some[(part[window[some]] != part[window[other[some]]])] if across else some
-    some = some[open_[window[some], begin[some]] | open_[window[other[some]], begin[other[some]]] | (own[window[some]] != own[window[other[some]]])]
-    some = some[np.lexsort((begin[some], window[other[some]], window[some]))]
-    mine, theirs = window[some], window[other[some]]
-    cuts = np.append(np.flatnonzero(np.r_[len(some) > 0, (mine[1:] != mine[:-1]) | (theirs[1:] != theirs[:-1])]), len(some)).tolist()
-    for x, y in zip(cuts, cuts[1:]):
-        keep(int(theirs[x]), int(mine[x]), begin[other[some[x:y]]], begin[some[x:y]])
-
-    inside = np.zeros(len(names) + 1, bool)
-    # the windows of each shingle, which are all of one value
-    row, place = np.nonzero((table < len(names)) & (viable.any(axis=1)[:, None]))
-    kinds = np.unique(table[row, place].astype(np.int64) * count + row)
-    holders, bounds = kinds % count, np.searchsorted(kinds, np.arange(len(names) + 1) * count).tolist()
-    repeats = ((sizes < SPAN) & every).any(axis=1)
-
-    def meet(n: int, some: np.ndarray, joining: bool) -> None:
-        """Compare a window with others, till its passages are all known or, ``joining``, all texts joined."""
-        if not len(some):
-            return
-        mine = table[n, : lengths[n]]
-        first = int(some.min())
-        common = np.concatenate([holders[bounds[k] : bounds[k + 1]] for k in set(mine.tolist())])
-        common = np.bincount(common[common >= first] - first, minlength=int(some.max()) - first + 1)[some - first]
-        enough = common * sum(SIMILAR) >= (least[some] + least[n]) * SIMILAR[0]
-        some, common = some[enough], common[enough]
-        some = some[np.argsort(-common, kind="stable")]
-        for j in np.flatnonzero(viable[n] if joining else open_[n]).tolist():
-            at, size = 0, 64
-            while at < len(some) and (joining or open_[n, j]):
-                near = some[at : at + size]
-                at, size = at + size, 4 * size
-                near = near[own[near] != own[n]] if joining else near
-                if not len(near):
-                    continue
-                # shingles that this passage and each one of the others have in common
-                inside[mine[j : j + SPAN]] = True
-                hits = inside[table[near]]
-                inside[mine] = False
-                if repeats[near].any():
-                    both = _distinct(hits, since[near])
-                else:
-                    sums = np.zeros((len(near), width + 1), np.int16)
-                    np.cumsum(hits, axis=1, out=sums[:, 1:])
-                    both = sums[:, SPAN:] - sums[:, :-SPAN]
-                good = both * sum(SIMILAR) >= (sizes[near] + sizes[n, j]) * SIMILAR[0]
-                good &= (text[near] != text[n])[:, None] | (np.abs(low[near][:, None] + np.arange(SPAN) - low[n] - j) >= SPAN)
-                for m in near[good.any(axis=1)].tolist():
-                    if own[m] == own[n] if joining else not open_[n, j]:
-                        continue
-                    ok = alike(table[m, : lengths[m]], mine, firsts(m), firsts(n))
-                    if text[m] == text[n]:
-                        ok &= np.abs(lows[m] + np.arange(ok.shape[0])[:, None] - lows[n] - np.arange(ok.shape[1])) >= SPAN
-                    if not ok.any():
-                        continue
-                    # the commonest shift first, so that points fall on few diagonals
-                    i, k = np.nonzero(ok)
-                    shifts, counts = np.unique(k - i, return_counts=True)
-                    order = np.argsort(-counts[np.searchsorted(shifts, k - i)], kind="stable")
-                    keep(m, n, i[order], k[order])
-
-    for group in groups:
-        for n in group[open_[group].any(axis=1)].tolist():
-            if open_[n].any():
-                meet(n, group[(group != n) & (part[group] != part[n])] if across else group[group != n], False)
-        for at in range(1, len(group)) if (own[group] != own[group[0]]).any() else ():
-            n, some = int(group[at]), group[:at]
-            some = some[(own[some] != own[n]) & ((part[some] != part[n]) | (not across))]
-            meet(n, some, True)
-    return pairs
-
-
-_PLACED = ["key", "x", "y", "part", "u", "root", "low"]
+    count, counts = len(grams), np.array([len(g) for g in grams])
+    known = np.concatenate([np.broadcast_to(f, max(c - SPAN + 1, 0)) for f, c in zip(found, counts.tolist())])
+    group = np.repeat(np.arange(len(sizes_of or [count])), sizes_of or [count])
+    meeting = _Meeting(group, np.array(texts), np.array(roots), np.array(parts), np.array(lows), np.full(count, SPAN - 1), counts, np.concatenate(grams), known, np.full(count, across))
+    m, n, i, j = meeting.points()
+    pairs: dict[tuple[int, int], list[int]] = {}
+    for a, b, x, y in zip(m.tolist(), n.tolist(), i.tolist(), j.tolist()):
+        pairs.setdefault((a, b), []).extend((x, y))
+    return [(a, b, points) for (a, b), points in pairs.items()]
+
+
+_PLACED = ["key", "x", "y", "part", "u", "root", "low", "at"]
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one value and two parts are in one batch, of ``PART_WINDOWS`` rows or more but for the last."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for at in range(0, len(batch), PART_WINDOWS):
+            held.append(batch.slice(at, PART_WINDOWS))
+            size += len(held[-1])
+            if size < PART_WINDOWS:
+                continue
+            whole = pa.concat_batches(held)
+            names = [whole.column(k).to_numpy() for k in range(3)]
+            cuts = np.flatnonzero(np.any([n[1:] != n[:-1] for n in names], axis=0)) + 1
+            last = int(cuts[-1]) if len(cuts) else 0
+            if last:
+                yield whole.slice(0, last)
+            held, size = [whole.slice(last)], 0 if last else size
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of the lists, and all their values in a row."""
+    offsets = column.offsets.to_numpy()
+    return np.diff(offsets), column.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False)
 
 
 def _compared(windows: DataFrame, texts: DataFrame, known: DataFrame) -> DataFrame:
-    """Passages to verify of the pairs of windows of one value, each two of which meet."""
-    fields = ["key", "parts", "root", "c", "low", "high"]
-    lists = windows.groupBy("u").agg(F.collect_list(F.struct(*fields)).alias("windows")).join(texts.select("u", "text"), "u")
-    lists = lists.join(known.select("u", "spans"), "u", "left").withColumn("spans", F.coalesce("spans", _no_spans()))
+    """Spans of similar passages in the windows of one value, each two of which meet."""
+    fields = ["key", *_PLACE]
+    lists = windows.groupBy("u").agg(F.collect_list(F.struct(*fields)).alias("windows"))
+    lists = _named(texts, known).join(lists.hint("shuffle_hash"), "u")
     of_lists = [T.StructField("found", T.ArrayType(T.BooleanType())), T.StructField("grams", T.ArrayType(T.LongType()))]
-    whole = T.StructType([*_long("key"), T.StructField("parts", T.IntegerType()), *_long("u", "root", "low"), *of_lists])
+    whole = T.StructType([*_long("key", "u", "root"), *[T.StructField(n, T.IntegerType()) for n in ("parts", "low", "at")], *of_lists])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -743,78 +904,48 @@ def _compared(windows: DataFrame, texts: DataFrame, known: DataFrame) -> DataFra
                 known = _known_begins(batch.column(3), row, end, firsts, len(grams))
                 held = dict(zip(fields, column.values.slice(places[row], places[end] - places[row]).flatten()))
                 owner = np.repeat(np.arange(row, end), np.diff(places[row : end + 1]))
-                low, high = held["low"].to_numpy(), held["high"].to_numpy()
+                low, counts = held["low"].to_numpy(), held["counts"].to_numpy()
                 for at in range(0, len(owner), 4096):
                     s = slice(at, at + 4096)
                     values = []
-                    for array, counts in ((known, high[s] - low[s] + 1), (grams.view(np.int64), high[s] - low[s] + SPAN)):
-                        taken = array[ragged(firsts[owner[s] - row] + low[s], counts)]
-                        values.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(taken)))
-                    kept = {n: held[n].slice(at, 4096) for n in ("key", "parts", "root")}
-                    yield pa.RecordBatch.from_arrays([kept["key"], kept["parts"], batch.column(0).take(pa.array(owner[s])), kept["root"], pa.array(low[s].astype(np.int64)), *values], whole.names)
+                    for array, many in ((known, counts[s] - SPAN + 1), (grams.view(np.int64), counts[s])):
+                        taken = array[ragged(firsts[owner[s] - row] + low[s], many)]
+                        values.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(many)), pa.int32()), pa.array(taken)))
+                    kept = {n: held[n].slice(at, 4096) for n in fields} | {n: batch.column(k).take(pa.array(owner[s])) for n, k in (("u", 0), ("root", 4))}
+                    yield pa.RecordBatch.from_arrays([*(kept[n] for n in whole.names[:-2]), *values], whole.names)
 
-    own = lists.select("u", "windows", "text", "spans").mapInArrow(cut, whole)
+    own = lists.select("u", "windows", "text", "spans", "root").mapInArrow(cut, whole)
     placed = own.withColumn("part", F.pmod(F.xxhash64("u", "low"), F.col("parts")).cast("int"))
     met = placed.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
     met = met.withColumns({"x": F.least("part", "other"), "y": F.greatest("part", "other")}).select(*_PLACED, "found", "grams")
-    schema = T.StructType(_long("a", "b") + [T.StructField("points", T.ArrayType(T.LongType()))])
-
-    def link(held: list[tuple], across: bool, sizes: list[int]) -> pa.RecordBatch:
-        part, u, root, low, found, grams = zip(*held)
-        pairs = compared(list(u), list(low), list(root), list(found), list(part), list(grams), across, sizes)
-        return pa.RecordBatch.from_arrays([pa.array([u[p[k]] for p in pairs], pa.int64()) for k in (0, 1)] + [pa.array([p[2] for p in pairs], pa.list_(pa.int64()))], schema.names)
-
-    def groups_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, list[tuple]]]:
-        """Windows that meet; shingles of different values are told apart."""
-        held: list[tuple] = []
-        group = None
-        for batch in batches:
-            lists = [batch.column(len(_PLACED) + k) for k in (0, 1)]
-            (at, found), (begin, values) = ((x.offsets.to_numpy(), x.values.to_numpy(zero_copy_only=False)) for x in lists)
-            salt = np.repeat(mix(batch.column(0).to_numpy().view(_U64)), np.diff(begin))
-            values = (values[begin[0] : begin[-1]].view(_U64) ^ salt).view(np.int64)
-            begin = begin - begin[0]
-            for row, (key, x, y, *rest) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(len(_PLACED))))):
-                if (key, x, y) != group:
-                    if len(held) > 1:
-                        yield group[1] != group[2], held
-                    group, held = (key, x, y), []
-                held.append((*rest, found[at[row] : at[row + 1]].copy(), values[begin[row] : begin[row + 1]].copy()))
-        if len(held) > 1:
-            yield group[1] != group[2], held
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        sizes: list[int] = []
-        for across, group in groups_of(batches):
-            if across:
-                yield link(group, True, [len(group)])
-                continue
-            held, sizes = held + group, [*sizes, len(group)]
-            if len(held) >= PART_WINDOWS:
-                yield link(held, False, sizes)
-                held, sizes = [], []
-        if held:
-            yield link(held, False, sizes)
+        for batch in _whole_groups(batches):
+            key, x, y, part, u, root, low, at = (batch.column(k).to_numpy() for k in range(len(_PLACED)))
+            group = np.cumsum(np.r_[False, (key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
+            (_, found), (counts, grams) = (_lists(batch.column(len(_PLACED) + k)) for k in (0, 1))
+            # shingles of different groups are told apart
+            salt = mix(mix(key.view(_U64)) ^ (x.astype(_U64) << _U64(32) | y.astype(_U64)))
+            m, n, i, j = _Meeting(group, u, root, part, low.astype(np.int64), at.astype(np.int64), counts.astype(np.int64), grams.view(_U64) ^ np.repeat(salt, counts), found, x != y, key & _FUNCTION, salt).points()
+            yield _runs(u[m], u[n], i, j)
 
-    return met.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, schema)
+    return met.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, T.StructType(_long(*_PAIR)))
 
 
 def _passages(texts: DataFrame) -> DataFrame:
-    """Verified passages of pairs of texts: those of least windows, then all that are not settled by them."""
-    pairs = _repeats(texts)
-    known = stored(_known(pairs), "known")
-    parts = [_unsettled(texts, known, range(k, min(k + TOGETHER, HASHES))) for k in range(0, HASHES, TOGETHER)]
-    shared = functools.reduce(DataFrame.unionByName, [stored(part, "windows") for part in parts])
-    pairs = pairs.unionByName(stored(_verified(stored(_candidates(_joined(shared)), "candidates"), texts), "passages"))
-    function = F.col("key").bitwiseAND(F.lit(_FUNCTION))
+    """What is known of texts when all windows of one value have met: equal passages first, then similar ones."""
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    pairs, windows = _repeats(texts, chars)
+    known = stored(_known(None, pairs), "known")
+    rounds: list[DataFrame] = []
     # what one function finds, the others need not compare; few at a time hold fewer windows on disk
-    for some in (function == 0, function.between(1, 2), function > 2):
-        known = stored(_known(pairs), "known")
-        left = _open(shared.where(some), known)
-        found = stored(_verified(stored(_compared(left, texts, known), "candidates"), texts), "passages")
-        pairs = pairs.unionByName(found)
-    return pairs
+    for functions in (range(1), range(1, 3), range(3, HASHES)):
+        if rounds:
+            known = stored(_known(known, rounds[-1]), "known")
+            windows = _unsettled(texts, known, functions, chars)
+        rounds.append(stored(_compared(windows, texts, known), "passages"))
+    pairs = stored(_grown(functools.reduce(DataFrame.unionByName, rounds), texts), "passages")
+    return stored(_known(known, pairs), "known")
 
 
 def find(docs: DataFrame, text: str = "text", key: str = "doc_id", keep_text: bool = True) -> DataFrame:
@@ -822,12 +953,10 @@ def find(docs: DataFrame, text: str = "text", key: str = "doc_id", keep_text: bo
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     named = docs.withColumn("__u", F.xxhash64(whole))
     texts = stored(named.groupBy(F.col("__u").alias("u")).agg(F.first(whole).alias("text"), F.count(F.lit(1)).alias("copies"), F.min(F.col(f"`{key}`")).alias("least")), "texts")
-    pairs = _passages(texts)
-    roots = components(pairs.select("a", "b").distinct()).select(F.col("node").alias("u"), "root")
-    spans = _sides(pairs).withColumnRenamed("spans", "__spans")
-    placed = texts.select("u", "copies", "least").join(roots, "u", "left").withColumn("root", F.coalesce("root", "u"))
+    known = _passages(texts).withColumnRenamed("spans", "__spans")
+    placed = texts.select("u", "copies", "least").join(known, "u", "left").withColumn("root", F.coalesce("root", "u"))
     classes = placed.groupBy("root").agg(F.min("least").alias("__class"))
-    found = placed.join(classes, "root").select("u", "copies", "__class").join(spans, "u", "left")
+    found = placed.join(classes, "root").select("u", "copies", "__class", "__spans")
     own = T.StructType(
         _long("n_words", "n_repeated_words")
         + [T.StructField("spans", T.ArrayType(T.StructType(_long("begin", "end")))), T.StructField("class_id", docs.schema[key].dataType)]
