@@ -55,8 +55,9 @@ SPAN = PASSAGE - SHINGLE + 1
 #: So that at a similarity of 0.8 no function agrees with probability 0.2 ** 6, 0.006 %.
 HASHES = 6
 SIMILAR = (4, 5)
-#: Windows of one value that one task compares, on each side.
-PART_WINDOWS = 2_000
+#: Windows of one value that one task compares, on each side, and windows of several values compared at once.
+PART_WINDOWS = 4_000
+MEET_WINDOWS = 2_000
 #: Characters, times functions, whose windows make one bin, and windows that a task holds before it deals them.
 BIN_CHARS = 16_000_000
 HELD_WINDOWS = 500_000
@@ -593,12 +594,15 @@ class _Meeting:
         self.rests = np.zeros((len(group), RESTS), bool)
         self.rests[np.arange(len(group))[:, None], self.table % RESTS] = True
         self.every = (columns[:SPAN] >= shift[:, None]) & (columns[:SPAN] <= (shift + counts - SPAN)[:, None])
-        before = _before(self.table)
+        ordered = np.sort(self.table, axis=1)
+        twice = np.flatnonzero(((ordered[:, 1:] == ordered[:, :-1]) & (ordered[:, 1:] < self.none)).any(axis=1))
         # for each place, the first passage in which its shingle is the first of its kind
-        self.since = np.maximum(before + 1, np.maximum(columns - SPAN + 1, 0))
-        new = (before < 0) & inside
+        self.since = np.broadcast_to(np.maximum(columns - SPAN + 1, 0).astype(np.int16), inside.shape).copy()
+        before = _before(self.table[twice])
+        self.since[twice] = np.maximum(self.since[twice], before + 1)
+        new = inside.copy()
+        new[twice] &= before < 0
         self.sizes = np.where(self.every, SPAN, 2 * width)
-        twice = np.flatnonzero((new != inside).any(axis=1))
         self.sizes[twice] = np.where(self.every[twice], _distinct(inside[twice], self.since[twice]), 2 * width)
         self.viable, self.often = _viable(self.table, new, self.since, self.sizes, self.none)
         self.open = np.zeros(self.every.shape, bool)
@@ -607,6 +611,7 @@ class _Meeting:
         self.group, self.text, self.part, self.across, self.counts, self.shift = group, text, part, across, counts, shift
         self.own = np.unique(root, return_inverse=True)[1]
         self.least, self.low = self.sizes.min(axis=1), low - shift
+        self.first, self.last = low, low + counts - SPAN
         self.plain = (~self.every | (self.sizes == SPAN)).all(axis=1)
         self.alive = np.flatnonzero(self.viable.any(axis=1))
         self.kept: list[np.ndarray] = []
@@ -652,8 +657,7 @@ class _Meeting:
 
     def may_meet(self, m: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Not if all their passages overlap in one text."""
-        first, last = self.low + self.shift, self.low + self.shift + self.counts - SPAN
-        far = np.maximum(last[m] - first[n], last[n] - first[m]) >= SPAN
+        far = np.maximum(self.last[m] - self.first[n], self.last[n] - self.first[m]) >= SPAN
         return (far | (self.text[m] != self.text[n])) & (~self.across[m] | (self.part[m] != self.part[n]))
 
     def needed(self, m: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -704,13 +708,15 @@ class _Meeting:
         row, place = np.nonzero(self.often[self.table[some]])
         kinds = np.unique(self.table[some[row], place].astype(np.int64) * len(some) + row)
         holders, values = kinds % len(some), kinds // len(some)
+        every = np.arange(len(some))
         for n, window in enumerate(some.tolist()):
-            if self.open[window].any():
-                near = np.arange(len(some)) > n
-                near |= ~self.open[some].any(axis=1)
+            if not n % 32:
+                still = self.open[some].any(axis=1)
+            if still[n]:
+                near = (every > n) | ~still
                 near[n] = False
             else:
-                near = (np.arange(len(some)) < n) & (self.own[some] != self.own[window])
+                near = (every < n) & (self.own[some] != self.own[window])
             near = np.flatnonzero(near)
             near = near[self.may_meet(np.full(len(near), window), some[near])]
             if not len(near):
@@ -861,14 +867,14 @@ _PLACED = ["key", "x", "y", "part", "u", "root", "low", "at"]
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one value and two parts are in one batch, of ``PART_WINDOWS`` rows or more but for the last."""
+    """Rows of one value and two parts are in one batch, of ``MEET_WINDOWS`` rows or more but for the last."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
-        for at in range(0, len(batch), PART_WINDOWS):
-            held.append(batch.slice(at, PART_WINDOWS))
+        for at in range(0, len(batch), MEET_WINDOWS):
+            held.append(batch.slice(at, MEET_WINDOWS))
             size += len(held[-1])
-            if size < PART_WINDOWS:
+            if size < MEET_WINDOWS:
                 continue
             whole = pa.concat_batches(held)
             names = [whole.column(k).to_numpy() for k in range(3)]
@@ -942,7 +948,7 @@ def _passages(texts: DataFrame) -> DataFrame:
     for functions in (range(1), range(1, 3), range(3, HASHES)):
         if rounds:
             known = stored(_known(known, rounds[-1]), "known")
-            windows = _unsettled(texts, known, functions, chars)
+            windows = stored(_unsettled(texts, known, functions, chars), "windows")
         rounds.append(stored(_compared(windows, texts, known), "passages"))
     pairs = stored(_grown(functools.reduce(DataFrame.unionByName, rounds), texts), "passages")
     return stored(_known(known, pairs), "known")
