@@ -9,23 +9,16 @@ Equal passages come first, by the first function alone: they lie in windows of o
 distance from c. Equal windows repeat as a whole; of unequal ones of a value, passages are grouped
 by a hash of their shingles. This takes no pairs of windows.
 
-For the rest, of equal windows the first and last are kept, and values are left out whose windows
-are known and of one component. Windows of different places with the same function and value
-then meet in two rounds. First those
-with the same shingles before c are joined to the least of them, those with the same shingles
-after it likewise, and the least ones to the least of all, so a value shared by g windows makes
-at most 4 g joins. For a pair of texts each join is a rectangle of passage begins, [.., ..] in
-one text and in the other; points in rectangles of at least ``AGREEING`` functions are passages
-to verify, which is done by the shingles' Jaccard similarity. A verified pair grows on both sides as
-long as the words agree.
-
-Then, for the first function and after it for the others, all windows of a value are compared inside tasks, but for those pairs
-that can add nothing: of one component, and with all their passages found. Here one function
-is enough. A passage drops out if too few of its shingles are in other windows of the value; those
-alike but for shingles of their own alone are found by a hash of the others; the rest count the
-shingles they share with each window, and only pairs with enough of them are looked into. A value of too many windows for a task is dealt into parts, and every
-two parts meet in a task of their own. Only passages that join texts or are new leave a
-task, to be verified and grown like the others.
+For the rest, function after function, of equal windows the first and last are kept, and values are
+left out whose windows are known and of one component. All windows of a value then meet inside tasks, many
+values in one array, but for those pairs that can add nothing: of one component, and with all
+their passages found. Here one function is enough, and passages that met by an earlier one do not
+meet again. A passage drops out if too few of its shingles are in other windows of the value; those
+alike but for shingles of their own alone are found by a hash of the others; then windows with enough
+shingles in common are compared where the value lies in one column, and only what is open after
+that in all alignments. Similar is what the shingles' Jaccard similarity says. A value of too many windows for
+a task is dealt into parts, and every two parts meet in a task of their own. Only passages that join texts or
+are new leave a task. In the end all of them grow on both sides as long as the words agree.
 
 Equal texts are one text of several copies; all its words are then repeated if they are enough for a passage.
 

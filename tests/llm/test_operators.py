@@ -515,6 +515,18 @@ def test_passages_without_their_like_are_not_looked_into_pair_by_pair(monkeypatc
     assert len(calls) <= 40 and {x for p in pairs for x in p[:2]} == set(count)
 
 
+def test_passages_alike_in_one_alignment_are_found_without_a_look_at_each_pair(monkeypatch):
+    """Windows with five shingles of their own, each at another place, are like one without any."""
+    pick = np.random.default_rng(11)
+    base = pick.integers(0, 10**9, passages.SPAN)
+    grams = [base, *(np.r_[base[:n], 10**9 + 100 * n + np.arange(5), base[n + 5 :]] for n in range(passages.SPAN - 5))]
+    count, calls = list(range(len(grams))), []
+    alike = passages.alike
+    monkeypatch.setattr(passages, "alike", lambda *sides: calls.append(1) or alike(*sides))
+    pairs = passages.compared(count, [0] * len(grams), count, [False] * len(grams), [0] * len(grams), grams, False)
+    assert {x for p in pairs for x in p[:2]} == set(count) and not calls
+
+
 def test_language_and_quality(spark):
     pick = random.Random(8)
     lists = {"en": "the of and this house water with that over".split(), "fr": "le les des maison eau avec être où été".split()}
